@@ -1,0 +1 @@
+"""Nothing here on purpose: the forecast is a batch job and has no streaming operator."""
