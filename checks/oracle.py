@@ -201,6 +201,10 @@ VIEWS = {
     "product_edges": """
         select distinct p_brand as node, concat('House ', right(p_brand, 1)) as up from part
         union all select distinct concat('House ', right(p_brand, 1)), 'All brands' from part""",
+    "element_edges": """
+        select * from (values ('INT_INC', 'Net Interest Income'), ('INT_EXP', 'Net Interest Income'),
+          ('FEE_INC', 'Non-Interest Income'), ('Net Interest Income', 'Income'),
+          ('Non-Interest Income', 'Income')) e(node, up)""",
     "bridge": f"""
         select concat('CC', cast(n_nationkey as varchar)) as cost_centre, r_name as business_unit,
           product, n_nationkey % 5 <> 0 as is_leaf
@@ -310,7 +314,7 @@ STATEMENTS = {
     "nii_cost_centre_distinct": """
         select run_id, business_unit, nii_business_unit, cost_centre, round(cc_ratio, 6) as cc_ratio, fe_weight,
           round(denominator, 6) as allocation_denominator,
-          round(nii_business_unit * cc_ratio * fe_weight / nullif(denominator, 0), 6) as nii_cost_centre
+          round(nii_business_unit * cc_ratio * fe_weight / nullif(denominator, 0), 9) as nii_cost_centre
         from (
           select d.*, cost_centre, cc_ratio, fe_weight,
             cast(sum(cast(cc_ratio * fe_weight as decimal(38,18)))
@@ -375,7 +379,7 @@ STATEMENTS = {
           round(cc_ratio, 6) as cc_ratio, fe_weight,
           round(allocation_denominator, 6) as allocation_denominator,
           round(nii_cost_centre, 6) as nii_cost_centre,
-          'exec-1' as execution_id, '2001-01-02 03:04:05' as run_timestamp
+          'exec-1' as execution_id, cast(978404645 as bigint) as run_timestamp
         from allocated""",
     # ---- hierarchies ----
     "hierarchy_rollup": """
@@ -392,6 +396,13 @@ STATEMENTS = {
           select p.node, e.up from path p join product_edges e on p.ancestor = e.node)
         select ancestor, cast(sum(amount) as double) as amount, cast(sum(income) as double) as income
         from lines join path on brand = node group by ancestor""",
+    "element_rollup": """
+        with recursive path(node, ancestor) as (
+          select node, node from (select node from element_edges union select up from element_edges)
+          union all
+          select p.node, e.up from path p join element_edges e on p.ancestor = e.node)
+        select ancestor, business_unit, cast(sum(amount) as double) as amount
+        from postings join path on accounting_element = node group by 1, 2""",
     "hierarchy_closure": """
         with recursive path(node, ancestor, depth) as (
           select node, node, 0 from (select node from product_edges union select up from product_edges)

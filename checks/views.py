@@ -7,8 +7,9 @@ or month, a literal list is exploded, so nothing is cross joined.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,13 @@ from niimble.plans.forecast import ForecastInputs, ForecastParams
 RUN = "R1"
 FIRST_MONTH = date(2001, 1, 1)
 PRODUCTS = ("Deposit", "LARGE", "Loan", "MEDIUM", "SMALL", "STANDARD")
+ELEMENTS = {
+    "INT_INC": "Net Interest Income",
+    "INT_EXP": "Net Interest Income",
+    "FEE_INC": "Non-Interest Income",
+    "Net Interest Income": "Income",
+    "Non-Interest Income": "Income",
+}
 MONEY = "decimal(18,4)"
 
 
@@ -33,28 +41,41 @@ def _code(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
-@dataclass(frozen=True)
+def _once(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Keep the frame per Views and arguments: its plan is analysed once. No data is cached."""
+
+    @wraps(build)
+    def kept(self: Views, *args: object) -> DataFrame:
+        key = (build.__name__, *args)
+        if key not in self.frames:
+            self.frames[key] = build(self, *args)
+        return self.frames[key]
+
+    return kept
+
+
 class Views:
-    spark: SparkSession
-    folder: str
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+        self.frames: dict[tuple[object, ...], DataFrame] = {}
 
+    @_once
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # ---- facts ----
 
+    @_once
     def lines(self) -> DataFrame:
         """One posted line per lineitem row.
 
         The order side is put together first and is narrow, so lineitem moves only for its two
         large joins: once for the part, once for the order.
         """
-        places = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        owners = self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        orders = self.table("orders").join(owners, F.col("o_custkey") == F.col("c_custkey"))
-        order_side = orders.select(
+        order_side = self.table("orders").join(
+            self.owners(), F.col("o_custkey") == F.col("c_custkey")
+        ).select(
             "o_orderkey",
             F.col("r_name").alias("business_unit"),
             F.col("c_mktsegment").alias("business_segment_group"),
@@ -85,6 +106,16 @@ class Views:
             )
         )
 
+    @_once
+    def owners(self) -> DataFrame:
+        """Customers with nation and region; the two small tables are joined one by one, so
+        Spark knows their size from the files."""
+        return (
+            self.table("customer")
+            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        )
+
     def actuals(self) -> DataFrame:
         """Segment x cost centre x year; sums stay DECIMAL."""
         return self.lines().groupBy(*POSITION, F.year("period_date").alias("period_year")).agg(
@@ -155,6 +186,7 @@ class Views:
             F.lit(RUN).alias("run_id"), F.col("r_name").alias("business_unit"), "r_regionkey"
         )
 
+    @_once
     def unit_products(self) -> DataFrame:
         return self.regions().withColumn("product", _each(PRODUCTS))
 
@@ -207,6 +239,7 @@ class Views:
     def period_overrides(self) -> DataFrame:
         return self._factors("USD", "period_override", 0.9)
 
+    @_once
     def ratios(self) -> DataFrame:
         """No ratios for EUROPE."""
         placed = self.table("nation").join(
@@ -220,12 +253,8 @@ class Views:
 
     def run_scope(self) -> DataFrame:
         """Unit x segment group x cost centre x currency that customers fall into."""
-        places = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
         return (
-            self.table("customer")
-            .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+            self.owners()
             .select(
                 F.lit(RUN).alias("run_id"),
                 F.col("r_name").alias("business_unit"),
@@ -340,6 +369,14 @@ class Views:
             brands.select(house, F.lit("All brands")).distinct()
         )
 
+    def element_hierarchy(self) -> DataFrame:
+        """Posting elements under net interest and other income."""
+        edges = F.array(*[
+            F.struct(F.lit(child).alias("financial_element"), F.lit(parent).alias("parent_element"))
+            for child, parent in ELEMENTS.items()
+        ])
+        return self.table("region").select(F.inline(edges)).distinct()
+
     def bridge(self) -> DataFrame:
         placed = self.table("nation").join(self.regions(), F.col("n_regionkey") == F.col("r_regionkey"))
         return placed.select(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from niimble.operators.lookups import attach, latest, range_lookup
+from niimble.sources.schemas import check_columns
 
 SCOPE = ("business_unit", "product", "currency")
 VERSION = ("config_key", "config_version")
@@ -43,12 +44,12 @@ def tag_run(table: DataFrame, run_id: str) -> DataFrame:
 
 
 def take_snapshot(tables: Mapping[str, DataFrame], run_id: str) -> ConfigSnapshot:
-    """Bind the eight configuration tables to one run."""
+    """Bind the eight configuration tables to one run; each must fit its schema."""
     names = [f.name for f in fields(ConfigSnapshot) if f.name != "run_id"]
     missing = [n for n in names if n not in tables]
     if missing:
         raise ValueError(f"configuration tables missing: {missing}")
-    return ConfigSnapshot(run_id, **{n: tag_run(tables[n], run_id) for n in names})
+    return ConfigSnapshot(run_id, **{n: check_columns(tag_run(tables[n], run_id), n) for n in names})
 
 
 def with_run_metadata(rows: DataFrame, execution_id: str, run_timestamp: datetime) -> DataFrame:

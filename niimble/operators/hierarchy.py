@@ -21,7 +21,7 @@ def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
     return spark.sql(
         """
         WITH RECURSIVE path(node, ancestor, depth) AS (
-          SELECT node, node, 0 FROM (SELECT node FROM {links} UNION SELECT up FROM {links})
+          SELECT node, node, 0 FROM (SELECT DISTINCT explode(array(node, up)) AS node FROM {links})
           UNION ALL
           SELECT p.node, l.up, p.depth + 1 FROM path p JOIN {links} l ON p.ancestor = l.node
         )

@@ -70,11 +70,27 @@ def range_lookup(
 
     A NULL end is open. Grain: facts, times the spans that cover the date.
     """
+    last_day = spans.select(F.max(F.greatest(F.col(start), F.col(end))))
+    return _join_by_month(facts, spans, on, at, start, end, take, end_included, how, last_day)
+
+
+def _join_by_month(
+    facts: DataFrame,
+    spans: DataFrame,
+    on: Sequence[str],
+    at: str,
+    start: str,
+    end: str,
+    take: Sequence[str],
+    end_included: bool,
+    how: str,
+    last_day: DataFrame,
+) -> DataFrame:
     on, take = list(on), list(take)
     first = F.trunc(F.col(start), "MM")
     # Months after the last one named anywhere share that last month, on both sides of the
     # join, so an open end needs no far-away horizon and loses nothing.
-    final = spans.select(F.trunc(F.max(F.greatest(F.col(start), F.col(end))), "MM")).scalar()
+    final = F.trunc(last_day.scalar(), "MM")
     usable = F.col(start) <= F.col(end) if end_included else F.col(start) < F.col(end)
     side = {c: f"_span_{c}" for c in dict.fromkeys([*on, start, end, *take])}
     listed = (
@@ -121,4 +137,5 @@ def as_of_lookup(
     # After the step above a key has at most one row per calendar day: the window is bounded.
     follow = Window.partitionBy(*on).orderBy(since)
     spans = days.withColumn("_until", F.lead(since).over(follow))
-    return range_lookup(facts, spans, on, at, since, "_until", take, end_included=False)
+    last_day = points.select(F.max(since))
+    return _join_by_month(facts, spans, on, at, since, "_until", take, False, "left", last_day)

@@ -12,6 +12,7 @@ from niimble.operators.configuration import ConfigSnapshot
 from niimble.operators.drivers import add_drivers, add_inflation, add_proxy, add_yield_delta
 from niimble.operators.enrichment import enrich_actuals, enrich_forecast, enrich_launchpoint
 from niimble.operators.income import add_income, allocate_conserving, allocate_distinct
+from niimble.sources.schemas import check_columns
 from niimble.sources.tables import TableStore
 
 # Result tables in the order they come about.
@@ -69,10 +70,14 @@ def run_forecast(
         done[name] = store.put(name, rows, config.run_id) if store else rows
         return done[name]
 
+    posted = check_columns(inputs.actuals, "actuals")
+    annual = check_columns(inputs.annual_forecast, "annual_forecast")
+    ratios = check_columns(inputs.cost_centre_ratios, "cost_centre_ratios")
+
     keep("config_snapshot", config.run_scope)
-    actuals = keep("actuals_enriched", enrich_actuals(inputs.actuals, params.preallocation_factor))
+    actuals = keep("actuals_enriched", enrich_actuals(posted, params.preallocation_factor))
     forecast = keep("forecast_enriched", enrich_forecast(
-        inputs.annual_forecast, config.forecast_substitution_rules, params.first_month))
+        annual, config.forecast_substitution_rules, params.first_month))
     launchpoint = keep("launchpoint_enriched", enrich_launchpoint(
         actuals, forecast, config.launchpoint_windows, params.day_count_basis, params.salts))
     drivers = keep("calculation_lookup", add_drivers(launchpoint))
@@ -82,5 +87,5 @@ def run_forecast(
         inflated, config.yield_index_mapping, config.custom_yield_overrides))
     income = keep("nii_stage", add_income(yields, params.day_count))
     allocate = allocate_conserving if params.conserving else allocate_distinct
-    keep("nii_stage_cc", allocate(income, inputs.cost_centre_ratios))
+    keep("nii_stage_cc", allocate(income, ratios))
     return done

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, StructType
 
 _RUN_UNIT = "run_id string, business_unit string"
 _RUN_PRODUCT = f"{_RUN_UNIT}, product string"
@@ -85,15 +85,21 @@ def schema_of(name: str) -> StructType:
 def check_columns(rows: DataFrame, name: str) -> DataFrame:
     """The frame cut to the table's columns; an error names what is missing or of another type.
 
-    Looks at the schema only: no job runs.
+    A DECIMAL may stand for a double, so amounts can stay exact. Looks at the schema only: no
+    job runs.
     """
     have = {f.name: f.dataType for f in rows.schema}
     wanted = schema_of(name)
+
+    def fits(found: DataType | None, asked: DataType) -> bool:
+        both_numbers = isinstance(asked, (DecimalType, DoubleType))
+        return found == asked or (both_numbers and isinstance(found, DecimalType))
+
     wrong = [
         f"{f.name}: {have[f.name].simpleString() if f.name in have else 'missing'}, "
         f"not {f.dataType.simpleString()}"
         for f in wanted
-        if have.get(f.name) != f.dataType
+        if not fits(have.get(f.name), f.dataType)
     ]
     if wrong:
         raise ValueError(f"{name} does not fit its schema: {'; '.join(wrong)}")
