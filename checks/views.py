@@ -99,6 +99,7 @@ class Views:
                 "currency",
                 F.col("l_suppkey").alias("supplier"),
                 F.col("l_returnflag").alias("flag"),
+                F.col("l_shipdate").alias("posted_at"),
                 F.col("l_shipdate").cast("date").alias("period_date"),
                 price.cast(MONEY).alias("amount"),
                 (price * F.col("l_discount")).cast(MONEY).alias("income"),
@@ -127,8 +128,9 @@ class Views:
         code = F.when(F.col("product").isin("Loan", "LARGE"), "prior_actual").when(
             F.col("product") == "SMALL", "unknown"
         ).otherwise("flat")
-        last_year = (F.col("period_date") >= F.lit(date(2000, 1, 1))) & (
-            F.col("period_date") < F.lit(date(2001, 1, 1))
+        # On the stored timestamp, so that the scan itself skips other years.
+        last_year = (F.col("posted_at") >= F.lit("2000-01-01").cast("timestamp_ntz")) & (
+            F.col("posted_at") < F.lit("2001-01-01").cast("timestamp_ntz")
         )
         totals = self.lines().where(last_year & (F.col("product") != "MEDIUM")).groupBy(*SEGMENT).agg(
             F.sum("amount").alias("total")

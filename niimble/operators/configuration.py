@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import secrets
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, fields
 from datetime import date, datetime
 from functools import reduce
-from itertools import product
+from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from niimble.operators.lookups import attach, latest, range_lookup
@@ -94,9 +94,13 @@ def effective_on(store: DataFrame, day: date) -> DataFrame:
 
 
 def effective_lookup(facts: DataFrame, store: DataFrame, at: str, take: Sequence[str]) -> DataFrame:
-    """Parameters in force on each row's own date, per config_key. Grain: facts x rows in force."""
+    """Parameters in force on each row's own date, per config_key. Grain: facts x rows in force.
+
+    A key has few versions, so they are listed per year.
+    """
     return range_lookup(
-        facts, store, ["config_key"], at, "effective_date", "expiry_date", take, end_included=False
+        facts, store, ["config_key"], at, "effective_date", "expiry_date", take,
+        end_included=False, step="year",
     )
 
 
@@ -108,20 +112,27 @@ def describe_config(store: DataFrame, catalog: DataFrame) -> DataFrame:
     return attach(store, about, ["config_key"])
 
 
-def scope_filter(facts: DataFrame, scope: DataFrame, columns: Sequence[str] = SCOPE) -> DataFrame:
+def scope_filter(
+    facts: DataFrame, scope: DataFrame, columns: Sequence[str] = SCOPE, salts: int = 1
+) -> DataFrame:
     """Rows that some scope row admits; a NULL scope column admits any value. Grain: facts.
 
-    One EXISTS per pattern of filled scope columns, each with plain equality keys, so no
-    pattern needs a nested-loop join.
+    One equality lookup per pattern of filled scope columns, on just those columns. Rows of one
+    pattern that agree on its columns are equal as a whole, so after ``distinct`` no lookup
+    repeats a fact.
     """
-    outer = facts.alias("_f")
-
-    def admits(filled: tuple[bool, ...]):
-        tests = [
-            F.col(c) == F.col(f"_f.{c}").outer() if on else F.col(c).isNull()
-            for c, on in zip(columns, filled)
-        ]
-        return scope.select(*columns).where(reduce(lambda a, b: a & b, tests)).exists()
-
-    patterns = product((True, False), repeat=len(columns))
-    return outer.where(reduce(lambda a, b: a | b, [admits(p) for p in patterns]))
+    admitted = scope.select(*columns).distinct()
+    rows, hits = facts, []
+    for size in range(len(columns), 0, -1):
+        for filled in combinations(columns, size):
+            hit = "_admitted_by_" + "_".join(filled)
+            tests = [F.col(c).isNotNull() if c in filled else F.col(c).isNull() for c in columns]
+            pattern = admitted.where(_all(tests)).select(*filled, F.lit(True).alias(hit))
+            rows = attach(rows, pattern, filled, salts=salts)
+            hits.append(F.col(hit).isNotNull())
+    everything = admitted.where(_all(F.col(c).isNull() for c in columns)).exists()
+    return rows.where(reduce(lambda a, b: a | b, [*hits, everything])).select(*facts.columns)
+
+
+def _all(tests: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)

@@ -4,10 +4,10 @@ None of them carries a broadcast hint. Spark broadcasts the lookup side where it
 under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides beyond that; AQE then
 splits hot partitions (see ``niimble.session``), and ``salts`` spreads them without AQE.
 
-A range or as-of lookup never compares a row with a whole key group: spans are listed once
-per month they touch, so the join is an equi join on (key, month) and a row meets only the
-spans of its own month. The listed spans pass through one small shuffle first. That gives AQE
-their real size before it decides whether they may be broadcast.
+A range or as-of lookup never compares a row with a whole key group: spans are listed once per
+calendar step they touch, so the join is an equi join on (key, step) and a row meets only the
+spans of its own month, quarter or year. The listed spans pass through one small shuffle first.
+That gives AQE their real size before it decides whether they may be broadcast.
 """
 
 from __future__ import annotations
@@ -19,7 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALT = "_salt"
-BUCKET = "_month"
+BUCKET = "_step"
+
+# Calendar steps: how a date is cut to its step, and the distance to the next one.
+STEPS = {
+    "month": ("MM", "interval 1 month"),
+    "quarter": ("QUARTER", "interval 3 month"),
+    "year": ("YEAR", "interval 1 year"),
+}
 
 
 def attach(
@@ -65,16 +72,18 @@ def range_lookup(
     take: Sequence[str],
     end_included: bool = True,
     how: str = "left",
+    step: str = "month",
 ) -> DataFrame:
     """Attach ``take`` of the span with ``start <= at <= end`` (or ``< end``) and equal ``on``.
 
-    A NULL end is open. Grain: facts, times the spans that cover the date.
+    A NULL end is open. A short ``step`` suits few keys with many spans each, a long one many
+    keys with few spans. Grain: facts, times the spans that cover the date.
     """
     last_day = spans.select(F.max(F.greatest(F.col(start), F.col(end))))
-    return _join_by_month(facts, spans, on, at, start, end, take, end_included, how, last_day)
+    return _join_by_step(facts, spans, on, at, start, end, take, end_included, how, step, last_day)
 
 
-def _join_by_month(
+def _join_by_step(
     facts: DataFrame,
     spans: DataFrame,
     on: Sequence[str],
@@ -84,32 +93,34 @@ def _join_by_month(
     take: Sequence[str],
     end_included: bool,
     how: str,
+    step: str,
     last_day: DataFrame,
 ) -> DataFrame:
     on, take = list(on), list(take)
-    first = F.trunc(F.col(start), "MM")
-    # Months after the last one named anywhere share that last month, on both sides of the
+    unit, distance = STEPS[step]
+    # Dates after the last step named anywhere share that last step, on both sides of the
     # join, so an open end needs no far-away horizon and loses nothing.
-    final = F.trunc(last_day.scalar(), "MM")
+    final = F.trunc(last_day.scalar(), unit)
     usable = F.col(start) <= F.col(end) if end_included else F.col(start) < F.col(end)
     side = {c: f"_span_{c}" for c in dict.fromkeys([*on, start, end, *take])}
     listed = (
         spans.where(F.col(start).isNotNull() & (F.col(end).isNull() | usable))
-        .select(*[F.col(c).alias(a) for c, a in side.items()], first.alias("_from"),
-                F.coalesce(F.trunc(F.col(end), "MM"), final).alias("_to"))
-        .withColumn("_span_month", F.explode(F.sequence("_from", "_to", F.expr("interval 1 month"))))
+        .select(*[F.col(c).alias(a) for c, a in side.items()],
+                F.trunc(F.col(start), unit).alias("_from"),
+                F.coalesce(F.trunc(F.col(end), unit), final).alias("_to"))
+        .withColumn("_span_step", F.explode(F.sequence("_from", "_to", F.expr(distance))))
         .drop("_from", "_to")
-        .repartition(*[side[c] for c in on], "_span_month")
+        .repartition(*[side[c] for c in on], "_span_step")
     )
     day = F.col(at).cast("date")
     dated = facts.withColumn(
-        BUCKET, F.when(F.col(at).isNotNull(), F.least(F.trunc(day, "MM"), final))
+        BUCKET, F.when(F.col(at).isNotNull(), F.least(F.trunc(day, unit), final))
     )
     span_end = F.col(side[end])
     before_end = day <= span_end if end_included else day < span_end
     matches: list[Column] = [
         *[F.col(c) == F.col(side[c]) for c in on],
-        F.col(BUCKET) == F.col("_span_month"),
+        F.col(BUCKET) == F.col("_span_step"),
         F.col(side[start]) <= day,
         span_end.isNull() | before_end,
     ]
@@ -125,6 +136,7 @@ def as_of_lookup(
     since: str,
     take: Sequence[str],
     tie_order: Sequence[str] = (),
+    step: str = "month",
 ) -> DataFrame:
     """Attach ``take`` of the last point with ``since <= at`` and equal ``on``; NULL if none.
 
@@ -138,4 +150,4 @@ def as_of_lookup(
     follow = Window.partitionBy(*on).orderBy(since)
     spans = days.withColumn("_until", F.lead(since).over(follow))
     last_day = points.select(F.max(since))
-    return _join_by_month(facts, spans, on, at, since, "_until", take, False, "left", last_day)
+    return _join_by_step(facts, spans, on, at, since, "_until", take, False, "left", step, last_day)

@@ -49,8 +49,9 @@ def test_as_of_against_brute_force(spark, joins, seed):
     assert {r.id: r.v for r in rows} == expected
 
 
+@pytest.mark.parametrize("step", ["month", "quarter", "year"])
 @pytest.mark.parametrize("end_included", [True, False])
-def test_ranges_against_brute_force(spark, joins, end_included):
+def test_ranges_against_brute_force(spark, joins, end_included, step):
     rng = random.Random(7)
     facts = facts_of(rng)
     spans = []
@@ -75,8 +76,8 @@ def test_ranges_against_brute_force(spark, joins, end_included):
         spark.createDataFrame(spans, "k string, lo date, hi date, v int"),
         ["k"], "at", "lo", "hi", ["v"], end_included,
     )
-    assert sorted(((r.id, r.v) for r in range_lookup(*args).collect()), key=str) == expected
-    inner = range_lookup(*args, how="inner").collect()
+    assert sorted(((r.id, r.v) for r in range_lookup(*args, step=step).collect()), key=str) == expected
+    inner = range_lookup(*args, how="inner", step=step).collect()
     assert sorted((r.id, r.v) for r in inner) == sorted(e for e in expected if e[1] is not None)
 
 

@@ -67,4 +67,4 @@ def test_lines_move_only_for_their_large_joins(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     shuffles = re.findall(r"Exchange hashpartitioning\((l_\w+)#", plan)
     assert sorted(shuffles) == ["l_orderkey", "l_partkey"]
-    assert re.search(r"BroadcastHashJoin \[currency#\d+, _month#\d+\]", plan)
+    assert re.search(r"BroadcastHashJoin \[currency#\d+, _step#\d+\]", plan)
