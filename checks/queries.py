@@ -233,7 +233,7 @@ def hierarchy_rollup(v: Views) -> DataFrame:
         F.col("nation").alias("business_unit"), F.year("period_date").alias("period_year"), "amount"
     )
     return hierarchy.hierarchy_rollup(
-        facts, v.unit_hierarchy(), "business_unit", "parent_unit", ["amount"], ["period_year"]
+        facts, v.unit_hierarchy(), "business_unit", "parent_unit", ["amount"], ["period_year"], levels=3
     )
 
 
@@ -241,7 +241,7 @@ def hierarchy_rollup(v: Views) -> DataFrame:
 def product_rollup(v: Views) -> DataFrame:
     facts = v.lines().select(F.col("brand").alias("product"), "amount", "income")
     return hierarchy.hierarchy_rollup(
-        facts, v.product_hierarchy(), "product", "product_group", ["amount", "income"]
+        facts, v.product_hierarchy(), "product", "product_group", ["amount", "income"], levels=2
     )
 
 

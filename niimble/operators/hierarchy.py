@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from niimble.operators.lookups import attach
 
 
-def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
+def closure(edges: DataFrame, child: str, parent: str, levels: int | None = None) -> DataFrame:
     """Every node with each of its ancestors and itself. Grain: (node, ancestor); columns + depth.
 
-    Walks up level by level as a recursive query, so depth needs no bound known beforehand.
-    A cycle ends in Spark's recursion-limit error, not in a wrong result.
+    With ``levels``, the number of steps from the deepest leaf to the top, the climb is one plan of
+    that many lookups and fits hierarchies of any size; a deeper one is an error. Without it the
+    climb is a recursive query, a round of jobs per level; Spark ends cycles and more than
+    ``spark.sql.cteRecursionRowLimit`` rows with an error. Repeated edges count once.
     """
-    spark = edges.sparkSession
     links = edges.select(F.col(child).alias("node"), F.col(parent).alias("up")).where("up IS NOT NULL")
-    return spark.sql(
+    if levels is not None:
+        return _climb(links.distinct(), levels)
+    return edges.sparkSession.sql(
         """
         WITH RECURSIVE path(node, ancestor, depth) AS (
           SELECT node, node, 0 FROM (SELECT DISTINCT explode(array(node, up)) AS node FROM {links})
@@ -31,6 +34,19 @@ def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
     )
 
 
+def _climb(links: DataFrame, levels: int) -> DataFrame:
+    rows = links.select(F.explode(F.array("node", "up")).alias("_up0")).distinct()
+    for level in range(levels + 1):
+        step = links.select(F.col("node").alias(f"_up{level}"), F.col("up").alias(f"_up{level + 1}"))
+        rows = attach(rows, step, [f"_up{level}"])
+    too_deep = F.raise_error(F.concat(F.lit(f"more than {levels} levels above "), F.col("_up0")))
+    top = F.when(F.col(f"_up{levels + 1}").isNotNull(), too_deep.cast("string")).otherwise(F.col("_up0"))
+    climbed = rows.select(top.alias("node"), F.posexplode(F.array(*[f"_up{k}" for k in range(levels + 1)])))
+    return climbed.where("col IS NOT NULL").select(
+        "node", F.col("col").alias("ancestor"), F.col("pos").alias("depth")
+    ).distinct()
+
+
 def hierarchy_rollup(
     facts: DataFrame,
     edges: DataFrame,
@@ -38,13 +54,15 @@ def hierarchy_rollup(
     parent: str,
     measures: Sequence[str],
     by: Sequence[str] = (),
+    levels: int | None = None,
 ) -> DataFrame:
     """Measures summed for each node over all units below it. Grain: node x ``by``.
 
-    Facts are summed per unit first; only those sums are repeated per ancestor.
+    Facts are summed per unit first; only those sums are repeated per ancestor. ``levels`` as
+    for ``closure``.
     """
     own = facts.groupBy(unit, *by).agg(*[F.sum(m).alias(m) for m in measures])
-    paths = closure(edges, unit, parent).withColumnRenamed("node", unit)
+    paths = closure(edges, unit, parent, levels).withColumnRenamed("node", unit)
     return (
         attach(own, paths, [unit], how="inner")
         .groupBy("ancestor", *by)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from niimble.operators import balances, configuration, drivers, hierarchy, market, metrics, quality, scenarios
@@ -182,7 +183,8 @@ def test_scope_filter_wildcards(spark):
     assert admitted() == []
 
 
-def test_hierarchy_levels_and_repeated_edges(spark):
+@pytest.mark.parametrize("levels", [None, 2, 5])
+def test_hierarchy_levels_and_repeated_edges(spark, levels):
     edges = spark.createDataFrame(
         [("Retail", "Banking"), ("Retail", "Banking"), ("Corporate", "Commercial"),
          ("Banking", "Group"), ("Commercial", "Group"), ("Group", None)],
@@ -191,10 +193,26 @@ def test_hierarchy_levels_and_repeated_edges(spark):
         [("Retail", 1.0), ("Retail", 2.0), ("Corporate", 10.0), ("Group", 100.0), ("Elsewhere", 5.0)],
         "business_unit string, amount double")
     got = {r.ancestor: r.amount for r in hierarchy.hierarchy_rollup(
-        facts, edges, "business_unit", "parent_unit", ["amount"]).collect()}
+        facts, edges, "business_unit", "parent_unit", ["amount"], levels=levels).collect()}
     assert got == {"Retail": 3.0, "Banking": 3.0, "Corporate": 10.0, "Commercial": 10.0, "Group": 113.0}
 
 
+def test_too_deep_or_circular_hierarchies_are_errors(spark):
+    chain = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d")], "k string, up string")
+    assert hierarchy.closure(chain, "k", "up", levels=3).count() == 10
+    with pytest.raises(PySparkException, match="more than 2 levels above a"):
+        hierarchy.closure(chain, "k", "up", levels=2).collect()
+    circle = chain.union(spark.createDataFrame([("d", "a")], chain.schema))
+    with pytest.raises(PySparkException, match="more than 3 levels"):
+        hierarchy.closure(circle, "k", "up", levels=3).collect()
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", "6")
+    try:
+        with pytest.raises(Exception, match="RECURSION_LEVEL_LIMIT_EXCEEDED"):
+            hierarchy.closure(circle, "k", "up").collect()
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionLevelLimit")
+
+
 def test_proxy_fill(spark):
     segments = spark.createDataFrame([("s", None), ("p", 10.0), ("q", 20.0), ("x", None), ("y", 7.0)],
                                      "segment string, balance double")
