@@ -355,7 +355,9 @@ def launchpoint_window_avg(v: Views) -> DataFrame:
 
 @query
 def proxy_fill(v: Views) -> DataFrame:
-    return balances.proxy_fill(v.segment_months(), v.relationships(), "balance", ["period_date"])
+    # The operator reads the segments three times; written once, the lines are joined once.
+    segments = tables.materialize(v.segment_months(), "segments")
+    return balances.proxy_fill(segments, v.relationships(), "balance", ["period_date"])
 
 
 @query

@@ -39,10 +39,10 @@ def default(c: str | Column, value: object) -> Column:
 
 def choose(c: str | Column, values: Mapping[str, object], otherwise: object) -> Column:
     """Literal for each listed value of ``c``; NULL and unlisted values give ``otherwise``."""
-    branch = F
+    picked = F.lit(otherwise)
     for key, value in values.items():
-        branch = branch.when(col(c) == F.lit(key), F.lit(value))
-    return F.lit(otherwise) if branch is F else branch.otherwise(F.lit(otherwise))
+        picked = F.when(col(c) == F.lit(key), F.lit(value)).otherwise(picked)
+    return picked
 
 
 def times(columns: Iterable[Column]) -> Column:

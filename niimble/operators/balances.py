@@ -33,7 +33,8 @@ def proxy_fill(
 
     ``segments``: segment, ``by`` columns, value. ``relationships``: source_segment,
     proxy_segment, proxy_weight. Only segments with a missing value enter the self-join; a
-    segment whose proxies are all missing stays NULL.
+    segment whose proxies are all missing stays NULL. ``segments`` enters the plan three times:
+    ``tables.materialize`` it first if it is costly.
     """
     on = list(by)
     known = segments.where(F.col(value).isNotNull()).select(

@@ -141,13 +141,14 @@ def as_of_lookup(
     """Attach ``take`` of the last point with ``since <= at`` and equal ``on``; NULL if none.
 
     Several points of one day are first reduced to the one highest by ``tie_order`` (then by
-    the taken values). Grain: facts.
+    the taken values); a time of day in ``since`` is not looked at. Grain: facts.
     """
     on, take = list(on), list(take)
     columns = list(dict.fromkeys([*on, since, *take, *tie_order]))
-    days = latest(points.select(*columns), [*on, since], list(tie_order))
+    dated = points.select(*columns).withColumn(since, F.col(since).cast("date"))
+    days = latest(dated, [*on, since], list(tie_order))
     # After the step above a key has at most one row per calendar day: the window is bounded.
     follow = Window.partitionBy(*on).orderBy(since)
     spans = days.withColumn("_until", F.lead(since).over(follow))
-    last_day = points.select(F.max(since))
+    last_day = dated.select(F.max(since))
     return _join_by_step(facts, spans, on, at, since, "_until", take, False, "left", step, last_day)

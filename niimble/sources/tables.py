@@ -87,6 +87,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to a scratch table and read back: for a costly frame used several times.
+
+    The written files also tell Spark the true size of the rows, which it cannot know of a plan.
+    """
+    path = scratch_path(rows.sparkSession, name)
+    write_path(rows, path)
+    return read_path(rows.sparkSession, path, schema=rows.schema)
+
+
 @dataclass(frozen=True)
 class TableStore:
     """Tables under one root, partitioned by run: a run replaces its own rows and no others."""

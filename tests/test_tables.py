@@ -77,6 +77,12 @@ def test_partition_overwrite_replaces_one_run(spark, rows, tmp_path):
     assert store.get("t", first.schema, "r2").count() == 4
 
 
+def test_materialized_rows_are_read_from_the_shared_folder(spark, rows):
+    kept = tables.materialize(rows, "rows")
+    assert sorted(kept.collect()) == sorted(rows.collect()) and kept.schema == rows.schema
+    assert all(spark.conf.get("spark.checkpoint.dir") in f for f in kept.inputFiles())
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = tables.scratch_path(spark, "a"), tables.scratch_path(spark, "a")
