@@ -598,6 +598,8 @@ STATEMENTS = {
           cast(sum(cast(o_totalprice as decimal(18,4))) as double) as value,
           cast(sum(case when o_orderstatus <> 'F' then cast(o_custkey as decimal(18,4)) end) as double) as weight
         from orders group by o_orderpriority""",
+    "catalog_roundtrip": f"""
+        select {POSITION}, period_year, cast(actual_balance as double) as actual_balance from actuals""",
     "parquet_partition_overwrite": f"""
         select {POSITION}, period_year, cast(actual_balance as double) as actual_balance from actuals
         union all
@@ -605,6 +607,7 @@ STATEMENTS = {
           cast(actual_balance * 0.5 as double) from actuals""",
 }
 STATEMENTS["forecast_run_stored"] = STATEMENTS["nii_cost_centre_conserving"]
+STATEMENTS["metric_run"] = STATEMENTS["metric_summary"]
 
 
 def _needed(text: str, found: dict[str, None]) -> None:

@@ -21,7 +21,7 @@ from niimble.operators import balances, configuration, drivers, enrichment, hier
 from niimble.operators import income as nii
 from niimble.operators import market, metrics, quality, scenarios
 from niimble.plans.forecast import run_forecast
-from niimble.plans.metrics import extract, summarise
+from niimble.plans.metrics import extract, run_metrics, summarise
 from niimble.session import tune
 from niimble.sources import tables
 
@@ -483,6 +483,30 @@ def typed_extract(v: Views) -> DataFrame:
     )
 
 
+@query
+def metric_run(v: Views) -> DataFrame:
+    """The whole key/value/weight run: CSV in, summary table out, read back."""
+    rows = v.table("lineitem").select(
+        F.col("l_suppkey").cast("string").alias("key"), F.col("l_extendedprice").alias("value"),
+        F.col("l_quantity").alias("weight"),
+    )
+    source, target = (tables.scratch_path(v.spark, n) for n in ("metric-input", "metric-summary"))
+    tables.write_path(rows, source, "csv")
+    run_metrics(v.spark, source, target, min_weight=5.0)
+    return tables.read_path(v.spark, target)
+
+
+@query
+def catalog_roundtrip(v: Views) -> DataFrame:
+    """A catalog table written twice, under another schema the second time, and read by name."""
+    location = tables.scratch_path(v.spark, "catalog")
+    name = "niimble_" + location.rpartition("-")[2]
+    rows = v.actuals().select(*enrichment.POSITION, "period_year", "actual_balance")
+    tables.write_catalog(v.ratios(), name, location=location)
+    tables.write_catalog(rows, name, location=location)
+    return tables.read_catalog(v.spark, name)
+
+
 @query
 def parquet_partition_overwrite(v: Views) -> DataFrame:
     """Two runs written, the second written again at half its balances; both read back."""

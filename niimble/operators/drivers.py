@@ -1,4 +1,8 @@
-"""Drivers, proxy, inflation and yield: factors attached to launchpoint rows."""
+"""Drivers, proxy, inflation and yield: factors attached to launchpoint rows.
+
+``salts`` is that of ``lookups.attach``: tasks that share one hot key, where a lookup is too
+large to be broadcast and AQE is off.
+"""
 
 from __future__ import annotations
 
@@ -41,7 +45,7 @@ def drivers_long(rows: DataFrame, ids: tuple[str, ...] = ("business_unit", "prod
     return rows.unpivot(list(ids), list(DRIVERS), "driver_type", "driver_value")
 
 
-def add_proxy(rows: DataFrame, mappings: DataFrame) -> DataFrame:
+def add_proxy(rows: DataFrame, mappings: DataFrame, salts: int = 1) -> DataFrame:
     """Balance scaled by the proxy mapping of its own segment. Grain: rows x matching mappings.
 
     The proxy segment itself is not read here; ``niimble.operators.balances.proxy_fill`` does that.
@@ -49,20 +53,22 @@ def add_proxy(rows: DataFrame, mappings: DataFrame) -> DataFrame:
     own = F.col("launchpoint_balance")
     scaled = own * F.col("scale_ratio") + F.col("fixed_adjustment")
     adjusted = F.when(F.col("proxy_business_unit").isNull(), own).otherwise(scaled)
-    return attach(rows, mappings, PRODUCT_KEY).withColumn(
+    return attach(rows, mappings, PRODUCT_KEY, salts=salts).withColumn(
         "proxy_adjusted_balance", adjusted
     ).withColumn("proxy_balance", F.coalesce("proxy_adjusted_balance", own))
 
 
-def add_inflation(rows: DataFrame, lags: DataFrame) -> DataFrame:
+def add_inflation(rows: DataFrame, lags: DataFrame, salts: int = 1) -> DataFrame:
     """One plus the percent sum of the lags, 1.0 without a match. Grain: rows x matching lag rows."""
     total = plus(default(c, MISSING_LAG) for c in INFLATION_LAGS)
-    return attach(rows, lags, PRODUCT_KEY).withColumn(
+    return attach(rows, lags, PRODUCT_KEY, salts=salts).withColumn(
         "inflation_adjustment_factor", F.lit(1.0) + total / F.lit(LAG_UNIT)
     )
 
 
-def add_yield_delta(rows: DataFrame, index_map: DataFrame, overrides: DataFrame) -> DataFrame:
+def add_yield_delta(
+    rows: DataFrame, index_map: DataFrame, overrides: DataFrame, salts: int = 1
+) -> DataFrame:
     """Base yield x inflation x override, each with its default. Grain: rows x matches.
 
     ``rows`` must already carry the inflation factor (``add_inflation``).
@@ -72,7 +78,8 @@ def add_yield_delta(rows: DataFrame, index_map: DataFrame, overrides: DataFrame)
         default("inflation_adjustment_factor", MISSING_FACTOR),
         default("override_factor", MISSING_FACTOR),
     ]
-    mapped = attach(attach(rows, index_map, CURRENCY_KEY), overrides, CURRENCY_KEY)
+    mapped = attach(rows, index_map, CURRENCY_KEY, salts=salts)
+    mapped = attach(mapped, overrides, CURRENCY_KEY, salts=salts)
     return mapped.withColumn("yield_delta", times(factors))
 
 

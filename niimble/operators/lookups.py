@@ -45,10 +45,16 @@ def attach(
     on = list(on)
     if salts <= 1:
         return facts.join(table, on, how)
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in facts.columns]), F.lit(salts))
-    spread = facts.withColumn(SALT, salt)
-    copies = table.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return spread.join(copies, [*on, SALT], how).drop(SALT)
+    copies = table.withColumn(SALT, _every_salt(salts))
+    return facts.withColumn(SALT, _salt_of(facts, salts)).join(copies, [*on, SALT], how).drop(SALT)
+
+
+def _salt_of(rows: DataFrame, salts: int) -> Column:
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in rows.columns]), F.lit(salts))
+
+
+def _every_salt(salts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
 
 
 def latest(table: DataFrame, on: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -73,14 +79,16 @@ def range_lookup(
     end_included: bool = True,
     how: str = "left",
     step: str = "month",
+    salts: int = 1,
 ) -> DataFrame:
     """Attach ``take`` of the span with ``start <= at <= end`` (or ``< end``) and equal ``on``.
 
     A NULL end is open. A short ``step`` suits few keys with many spans each, a long one many
-    keys with few spans. Grain: facts, times the spans that cover the date.
+    keys with few spans; ``salts`` as for ``attach``. Grain: facts, times the spans that cover
+    the date.
     """
     last_day = spans.select(F.max(F.greatest(F.col(start), F.col(end))))
-    return _join_by_step(facts, spans, on, at, start, end, take, end_included, how, step, last_day)
+    return _join_by_step(facts, spans, on, at, start, end, take, end_included, how, step, salts, last_day)
 
 
 def _join_by_step(
@@ -94,6 +102,7 @@ def _join_by_step(
     end_included: bool,
     how: str,
     step: str,
+    salts: int,
     last_day: DataFrame,
 ) -> DataFrame:
     on, take = list(on), list(take)
@@ -109,18 +118,21 @@ def _join_by_step(
                 F.trunc(F.col(start), unit).alias("_from"),
                 F.coalesce(F.trunc(F.col(end), unit), final).alias("_to"))
         .withColumn("_span_step", F.explode(F.sequence("_from", "_to", F.expr(distance))))
+        .withColumn("_span_salt", _every_salt(salts))
         .drop("_from", "_to")
-        .repartition(*[side[c] for c in on], "_span_step")
+        .repartition(*[side[c] for c in on], "_span_step", "_span_salt")
     )
     day = F.col(at).cast("date")
-    dated = facts.withColumn(
-        BUCKET, F.when(F.col(at).isNotNull(), F.least(F.trunc(day, unit), final))
-    )
+    dated = facts.withColumns({
+        BUCKET: F.when(F.col(at).isNotNull(), F.least(F.trunc(day, unit), final)),
+        SALT: _salt_of(facts, salts) if salts > 1 else F.lit(0).cast("bigint"),
+    })
     span_end = F.col(side[end])
     before_end = day <= span_end if end_included else day < span_end
     matches: list[Column] = [
         *[F.col(c) == F.col(side[c]) for c in on],
         F.col(BUCKET) == F.col("_span_step"),
+        F.col(SALT) == F.col("_span_salt"),
         F.col(side[start]) <= day,
         span_end.isNull() | before_end,
     ]
@@ -137,6 +149,7 @@ def as_of_lookup(
     take: Sequence[str],
     tie_order: Sequence[str] = (),
     step: str = "month",
+    salts: int = 1,
 ) -> DataFrame:
     """Attach ``take`` of the last point with ``since <= at`` and equal ``on``; NULL if none.
 
@@ -151,4 +164,6 @@ def as_of_lookup(
     follow = Window.partitionBy(*on).orderBy(since)
     spans = days.withColumn("_until", F.lead(since).over(follow))
     last_day = dated.select(F.max(since))
-    return _join_by_step(facts, spans, on, at, since, "_until", take, False, "left", step, last_day)
+    return _join_by_step(
+        facts, spans, on, at, since, "_until", take, False, "left", step, salts, last_day
+    )

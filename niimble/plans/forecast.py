@@ -48,7 +48,7 @@ class ForecastParams:
     day_count: Column | None = None
     # Sum the income of a unit before it is allocated, instead of its distinct values.
     conserving: bool = False
-    # Tasks that share one hot segment in the launchpoint join, where AQE is off.
+    # Tasks that share one hot key in a lookup that is not broadcast, where AQE is off.
     salts: int = 1
 
 
@@ -81,10 +81,11 @@ def run_forecast(
     launchpoint = keep("launchpoint_enriched", enrich_launchpoint(
         actuals, forecast, config.launchpoint_windows, params.day_count_basis, params.salts))
     drivers = keep("calculation_lookup", add_drivers(launchpoint))
-    proxied = keep("proxy_enriched", add_proxy(drivers, config.proxy_source_mappings))
-    inflated = keep("inflation_adjustment", add_inflation(proxied, config.inflation_adjustments))
+    proxied = keep("proxy_enriched", add_proxy(drivers, config.proxy_source_mappings, params.salts))
+    inflated = keep("inflation_adjustment", add_inflation(
+        proxied, config.inflation_adjustments, params.salts))
     yields = keep("yield_delta", add_yield_delta(
-        inflated, config.yield_index_mapping, config.custom_yield_overrides))
+        inflated, config.yield_index_mapping, config.custom_yield_overrides, params.salts))
     income = keep("nii_stage", add_income(yields, params.day_count))
     allocate = allocate_conserving if params.conserving else allocate_distinct
     keep("nii_stage_cc", allocate(income, ratios))

@@ -54,14 +54,21 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def write_catalog(rows: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """A catalog table; its namespace is created if need be and its schema may change."""
+def write_catalog(
+    rows: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite", location: str | None = None
+) -> None:
+    """A catalog table; its namespace is created if need be and its schema may change.
+
+    With ``location`` the files lie there, not in the warehouse folder.
+    """
     namespace, _, _ = name.rpartition(".")
     if namespace:
         rows.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
     writer = rows.write.format(_checked(fmt)).mode(mode)
     if fmt.lower() == "delta":
         writer = writer.option("overwriteSchema", True)
+    if location is not None:
+        writer = writer.option("path", location)
     writer.saveAsTable(name)
 
 

@@ -111,6 +111,13 @@ def test_decimal_balances_stay_exact(spark, stages):
     assert sorted(map(str, result["nii_stage_cc"].collect())) == sorted(map(str, stages["nii_stage_cc"].collect()))
 
 
+def test_salts_change_no_stage(spark, stages):
+    salted = run_forecast(golden.config(spark), golden.inputs(spark), replace(golden.PARAMS, salts=4))
+    for name in STAGES:
+        assert salted[name].columns == stages[name].columns
+        assert sorted(map(str, salted[name].collect())) == sorted(map(str, stages[name].collect())), name
+
+
 def test_day_count_fraction_parameter(spark):
     params = replace(golden.PARAMS, day_count=day_count_fraction("forecast_month"))
     rows = run_forecast(golden.config(spark), golden.inputs(spark), params)["nii_stage"]

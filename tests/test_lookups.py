@@ -31,8 +31,8 @@ def facts_of(rng, n=300):
     return [*rows, (n, "a", None), (n + 1, None, DAY0), (n + 2, "zz", DAY0)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_as_of_against_brute_force(spark, joins, seed):
+@pytest.mark.parametrize("seed, salts", [(1, 1), (2, 1), (3, 4)])
+def test_as_of_against_brute_force(spark, joins, seed, salts):
     rng = random.Random(seed)
     facts = facts_of(rng)
     points = [(rng.choice("abc"), day(rng), rng.randrange(1000), v) for v in range(60)]
@@ -43,7 +43,7 @@ def test_as_of_against_brute_force(spark, joins, seed):
     rows = as_of_lookup(
         spark.createDataFrame(facts, "id int, k string, at date"),
         spark.createDataFrame(points, "k string, since date, version int, v int"),
-        ["k"], "at", "since", ["v"], ["version"],
+        ["k"], "at", "since", ["v"], ["version"], salts=salts,
     ).collect()
     assert len(rows) == len(facts)
     assert {r.id: r.v for r in rows} == expected
