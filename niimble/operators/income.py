@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from niimble.functions.columns import SHARE_TYPE, default, exact_sum, ratio, times
 from niimble.functions.constants import DAY_COUNT_FRACTION, MISSING_BALANCE
-from niimble.operators.lookups import attach
+from niimble.operators.lookups import attach, attach_bounded
 
 UNIT = ("run_id", "business_unit")
 
@@ -30,15 +30,21 @@ def add_income(rows: DataFrame, fraction: Column | None = None) -> DataFrame:
     )
 
 
-def _weighted(ratios: DataFrame) -> DataFrame:
-    """Ratios with the total weight of their business unit. Grain: ratio row.
+def _with_centres(rows: DataFrame, ratios: DataFrame) -> DataFrame:
+    """Rows with the cost centres of their unit and the unit's total weight. Grain: rows x centre.
 
-    The total is grouped and joined back, so no task holds a whole unit, and summed as DECIMAL,
-    so it is the same for every partitioning.
+    The total is grouped and looked up, so no task holds a whole unit, and summed as DECIMAL, so
+    it is the same for every partitioning. Ratios and totals are looked up one by one: of each,
+    Spark knows the size from the files of the ratios.
     """
     weight = F.col("cc_ratio") * F.col("fe_weight")
-    totals = ratios.groupBy(*UNIT).agg(exact_sum(weight, SHARE_TYPE).alias("_unit_weight"))
-    return attach(ratios, totals, UNIT, how="inner")
+    totals = ratios.groupBy(*UNIT).agg(exact_sum(weight, SHARE_TYPE).alias("allocation_denominator"))
+    return attach(attach(rows, ratios, UNIT, how="inner"), totals, UNIT, how="inner")
+
+
+def _with_share(rows: DataFrame) -> DataFrame:
+    shared = F.col("nii_business_unit") * F.col("cc_ratio") * F.col("fe_weight")
+    return rows.withColumn("nii_cost_centre", ratio(shared, "allocation_denominator"))
 
 
 def allocate_distinct(income: DataFrame, ratios: DataFrame) -> DataFrame:
@@ -47,17 +53,17 @@ def allocate_distinct(income: DataFrame, ratios: DataFrame) -> DataFrame:
     Equal values of several months count once, and the denominator is the unit's weight times
     the number of its distinct values; with ratios that sum to one, the unit's allocations add
     up to the mean value. ``allocate_conserving`` keeps the sum. Units without ratios drop out.
+
+    The values are spread by value and stay so: their number per unit reaches them without a
+    shuffle by unit, which would gather the values of a unit in one task.
     """
-    values = income.select(*UNIT, "nii_business_unit").distinct()
+    units = ratios.select(*UNIT).distinct()
+    values = income.select(*UNIT, "nii_business_unit").join(units, list(UNIT), "left_semi").distinct()
     counts = values.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("_values"))
-    sized = attach(_weighted(ratios), counts, UNIT, how="inner")
-    shared = F.col("nii_business_unit") * F.col("cc_ratio") * F.col("fe_weight")
-    return (
-        attach(values, sized, UNIT, how="inner")
-        .withColumn("allocation_denominator", F.col("_unit_weight") * F.col("_values"))
-        .withColumn("nii_cost_centre", ratio(shared, "allocation_denominator"))
-        .drop("_unit_weight", "_values")
-    )
+    counted = attach_bounded(values, counts, UNIT, bound=ratios)
+    denominator = F.col("allocation_denominator") * F.col("_values")
+    allocated = _with_centres(counted, ratios).withColumn("allocation_denominator", denominator)
+    return _with_share(allocated).drop("_values")
 
 
 def allocate_conserving(
@@ -68,9 +74,4 @@ def allocate_conserving(
     The denominator is the unit's weight alone, so allocations add up to the unit's income.
     """
     totals = income.groupBy(*UNIT, *by).agg(exact_sum("nii_business_unit").alias("nii_business_unit"))
-    shared = F.col("nii_business_unit") * F.col("cc_ratio") * F.col("fe_weight")
-    return (
-        attach(totals, _weighted(ratios), UNIT, how="inner")
-        .withColumnRenamed("_unit_weight", "allocation_denominator")
-        .withColumn("nii_cost_centre", ratio(shared, "allocation_denominator"))
-    )
+    return _with_share(_with_centres(totals, ratios))

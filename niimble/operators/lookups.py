@@ -1,8 +1,9 @@
 """Lookups: equality, date range and as-of.
 
-None of them carries a broadcast hint. Spark broadcasts the lookup side where its size is
-under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides beyond that; AQE then
-splits hot partitions (see ``niimble.session``), and ``salts`` spreads them without AQE.
+Spark broadcasts the lookup side where its files are under ``spark.sql.autoBroadcastJoinThreshold``
+and shuffles both sides beyond that; AQE then splits hot partitions (see ``niimble.session``), and
+``salts`` spreads them without AQE. ``attach_bounded`` is for a lookup side that Spark takes for
+large because it was computed from facts, though a small table bounds its rows.
 
 A range or as-of lookup never compares a row with a whole key group: spans are listed once per
 calendar step they touch, so the join is an equi join on (key, step) and a row meets only the
@@ -18,6 +19,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows of a few short codes and numbers that may be broadcast: some ten megabytes.
+BROADCAST_ROWS = 100_000
+
 SALT = "_salt"
 BUCKET = "_step"
 
@@ -49,6 +53,23 @@ def attach(
     return facts.withColumn(SALT, _salt_of(facts, salts)).join(copies, [*on, SALT], how).drop(SALT)
 
 
+def attach_bounded(
+    facts: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    bound: DataFrame,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Inner equality lookup in a table whose keys are unique and all occur in ``bound``.
+
+    The rows of ``bound`` are counted now, at most one beyond ``max_rows``. Up to ``max_rows`` the
+    table cannot have more rows either, and is broadcast; beyond, it is joined as any other.
+    Grain: facts of those keys.
+    """
+    small = bound.limit(max_rows + 1).count() <= max_rows
+    return facts.join(F.broadcast(table) if small else table, list(on))
+
+
 def _salt_of(rows: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in rows.columns]), F.lit(salts))
 

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 
 import pytest
 
-from niimble.operators.lookups import as_of_lookup, attach, latest, range_lookup
+from niimble.operators.lookups import as_of_lookup, attach, attach_bounded, latest, range_lookup
 
 DAY0 = date(2019, 11, 20)
 
@@ -106,3 +106,13 @@ def test_latest_is_stable_on_ties(spark):
         got = sorted((r.k, r.v) for r in latest(rows.repartition(parts), ["k"], ["t"]).collect())
         assert got == [("a", "y"), ("b", "z")]
     assert latest(rows, ["k"], ["t"]).columns == ["k", "t", "v"]
+
+
+@pytest.mark.parametrize("max_rows, hinted", [(2, True), (1, False)])
+def test_bounded_lookup_is_broadcast_only_within_its_bound(spark, max_rows, hinted):
+    facts = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "k string, n int")
+    bound = spark.createDataFrame([("a",), ("b",)], "k string")
+    table = facts.join(bound, ["k"], "left_semi").groupBy("k").count()
+    rows = attach_bounded(facts, table, ["k"], bound, max_rows)
+    assert sorted((r.k, r.n, r["count"]) for r in rows.collect()) == [("a", 1, 2), ("a", 2, 2), ("b", 3, 1)]
+    assert ("strategy=broadcast" in rows._jdf.queryExecution().logical().toString()) == hinted

@@ -68,3 +68,11 @@ def test_lines_move_only_for_their_large_joins(spark):
     shuffles = re.findall(r"Exchange hashpartitioning\((l_\w+)#", plan)
     assert sorted(shuffles) == ["l_orderkey", "l_partkey"]
     assert re.search(r"BroadcastHashJoin \[currency#\d+, _step#\d+\]", plan)
+
+
+def test_allocation_reads_the_income_once_and_never_gathers_a_unit(spark):
+    rows = QUERIES["nii_cost_centre_distinct"](spark, FOLDER)
+    rows.collect()
+    plan = plan_of(rows).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*nii_business_unit#\d+, \d+\)", plan)) >= 1
+    assert len(re.findall(r"FileScan parquet \[l_", plan)) == 2  # actuals and forecast, once each
