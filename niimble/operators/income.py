@@ -30,7 +30,7 @@ def add_income(rows: DataFrame, fraction: Column | None = None) -> DataFrame:
     )
 
 
-def _with_centres(rows: DataFrame, ratios: DataFrame) -> DataFrame:
+def _with_centres(rows: DataFrame, ratios: DataFrame, salts: int) -> DataFrame:
     """Rows with the cost centres of their unit and the unit's total weight. Grain: rows x centre.
 
     The total is grouped and looked up, so no task holds a whole unit, and summed as DECIMAL, so
@@ -39,7 +39,10 @@ def _with_centres(rows: DataFrame, ratios: DataFrame) -> DataFrame:
     """
     weight = F.col("cc_ratio") * F.col("fe_weight")
     totals = ratios.groupBy(*UNIT).agg(exact_sum(weight, SHARE_TYPE).alias("allocation_denominator"))
-    return attach(attach(rows, ratios, UNIT, how="inner"), totals, UNIT, how="inner")
+    weighed = attach(rows, totals, UNIT, how="inner", salts=salts)
+    return attach(weighed, ratios, UNIT, how="inner", salts=salts).select(
+        *rows.columns, "cost_centre", "cc_ratio", "fe_weight", "allocation_denominator"
+    )
 
 
 def _with_share(rows: DataFrame) -> DataFrame:
@@ -47,7 +50,7 @@ def _with_share(rows: DataFrame) -> DataFrame:
     return rows.withColumn("nii_cost_centre", ratio(shared, "allocation_denominator"))
 
 
-def allocate_distinct(income: DataFrame, ratios: DataFrame) -> DataFrame:
+def allocate_distinct(income: DataFrame, ratios: DataFrame, salts: int = 1) -> DataFrame:
     """Each distinct income value of a unit, allocated. Grain: run x unit x distinct value x cost centre.
 
     Equal values of several months count once, and the denominator is the unit's weight times
@@ -62,16 +65,16 @@ def allocate_distinct(income: DataFrame, ratios: DataFrame) -> DataFrame:
     counts = values.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("_values"))
     counted = attach_bounded(values, counts, UNIT, bound=ratios)
     denominator = F.col("allocation_denominator") * F.col("_values")
-    allocated = _with_centres(counted, ratios).withColumn("allocation_denominator", denominator)
+    allocated = _with_centres(counted, ratios, salts).withColumn("allocation_denominator", denominator)
     return _with_share(allocated).drop("_values")
 
 
 def allocate_conserving(
-    income: DataFrame, ratios: DataFrame, by: Sequence[str] = ()
+    income: DataFrame, ratios: DataFrame, by: Sequence[str] = (), salts: int = 1
 ) -> DataFrame:
     """Summed income of a unit, allocated. Grain: run x unit x ``by`` x cost centre.
 
     The denominator is the unit's weight alone, so allocations add up to the unit's income.
     """
     totals = income.groupBy(*UNIT, *by).agg(exact_sum("nii_business_unit").alias("nii_business_unit"))
-    return _with_share(_with_centres(totals, ratios))
+    return _with_share(_with_centres(totals, ratios, salts))

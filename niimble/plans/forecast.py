@@ -88,5 +88,5 @@ def run_forecast(
         inflated, config.yield_index_mapping, config.custom_yield_overrides, params.salts))
     income = keep("nii_stage", add_income(yields, params.day_count))
     allocate = allocate_conserving if params.conserving else allocate_distinct
-    keep("nii_stage_cc", allocate(income, ratios))
+    keep("nii_stage_cc", allocate(income, ratios, salts=params.salts))
     return done
