@@ -218,10 +218,8 @@ def run_scope_filter(v: Views) -> DataFrame:
 @query
 def run_metadata(v: Views) -> DataFrame:
     moment = datetime(2001, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
-    rows = _stage(v, "nii_stage_cc", conserving=True)
-    return configuration.with_run_metadata(rows, "exec-1", moment).withColumn(
-        "run_timestamp", F.unix_seconds("run_timestamp")
-    )
+    rows = _stage(v, "nii_stage_cc", conserving=True, execution=("exec-1", moment))
+    return rows.withColumn("run_timestamp", F.unix_seconds("run_timestamp"))
 
 
 # ---- hierarchies ----

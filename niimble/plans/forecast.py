@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 
 from niimble.functions.constants import DAY_COUNT_BASIS, PREALLOCATION_FACTOR
-from niimble.operators.configuration import ConfigSnapshot
+from niimble.operators.configuration import ConfigSnapshot, with_run_metadata
 from niimble.operators.drivers import add_drivers, add_inflation, add_proxy, add_yield_delta
 from niimble.operators.enrichment import enrich_actuals, enrich_forecast, enrich_launchpoint
 from niimble.operators.income import add_income, allocate_conserving, allocate_distinct
@@ -48,6 +48,8 @@ class ForecastParams:
     day_count: Column | None = None
     # Sum the income of a unit before it is allocated, instead of its distinct values.
     conserving: bool = False
+    # Execution id and time, put on every row of every stage table if given.
+    execution: tuple[str, datetime] | None = None
     # Tasks that share one hot key in a lookup that is not broadcast, where AQE is off.
     salts: int = 1
 
@@ -67,6 +69,8 @@ def run_forecast(
     done: dict[str, DataFrame] = {}
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
+        if params.execution:
+            rows = with_run_metadata(rows, *params.execution)
         done[name] = store.put(name, rows, config.run_id) if store else rows
         return done[name]
 

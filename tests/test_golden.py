@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +118,17 @@ def test_salts_change_no_stage(spark, stages):
         assert sorted(map(str, salted[name].collect())) == sorted(map(str, stages[name].collect())), name
 
 
+def test_execution_is_put_on_every_table(spark, stages, tmp_path):
+    moment = datetime(2026, 6, 5, 2, 0, tzinfo=timezone.utc)
+    params = replace(golden.PARAMS, execution=("e1", moment))
+    store = TableStore(spark, str(tmp_path))
+    for name, rows in run_forecast(golden.config(spark), golden.inputs(spark), params, store).items():
+        assert sorted(rows.columns) == sorted([*stages[name].columns, "execution_id", "run_timestamp"])
+        assert rows.count() == stages[name].count()
+        marks = rows.select("execution_id", F.unix_seconds("run_timestamp")).distinct().collect()
+        assert [tuple(m) for m in marks] == [("e1", 1780624800)]
+
+
 def test_day_count_fraction_parameter(spark):
     params = replace(golden.PARAMS, day_count=day_count_fraction("forecast_month"))
     rows = run_forecast(golden.config(spark), golden.inputs(spark), params)["nii_stage"]
