@@ -108,8 +108,9 @@ def range_lookup(
     keys with few spans; ``salts`` as for ``attach``. Grain: facts, times the spans that cover
     the date.
     """
-    last_day = spans.select(F.max(F.greatest(F.col(start), F.col(end))))
-    return _join_by_step(facts, spans, on, at, start, end, take, end_included, how, step, salts, last_day)
+    # Before the first end and after the last start no span ends or begins.
+    days = spans.select(F.min(end)), spans.select(F.max(start))
+    return _join_by_step(facts, spans, on, at, start, end, take, end_included, how, step, salts, days)
 
 
 def _join_by_step(
@@ -124,20 +125,25 @@ def _join_by_step(
     how: str,
     step: str,
     salts: int,
-    last_day: DataFrame,
+    days: tuple[DataFrame, DataFrame],
 ) -> DataFrame:
     on, take = list(on), list(take)
     unit, distance = STEPS[step]
-    # Dates after the last step named anywhere share that last step, on both sides of the
-    # join, so an open end needs no far-away horizon and loses nothing.
-    final = F.trunc(last_day.scalar(), unit)
+    # Earlier dates share the first of these steps and later ones the last, on both sides of the
+    # join. That keeps the order of dates, so a date still lies in a step its span is listed
+    # under, and open ends or ends in the year 9999 list no steps that tell nothing apart.
+    first, last = (F.trunc(day.scalar(), unit) for day in days)
+
+    def step_of(day: Column) -> Column:
+        return F.least(F.greatest(F.trunc(day, unit), first), last)
+
     usable = F.col(start) <= F.col(end) if end_included else F.col(start) < F.col(end)
     side = {c: f"_span_{c}" for c in dict.fromkeys([*on, start, end, *take])}
     listed = (
         spans.where(F.col(start).isNotNull() & (F.col(end).isNull() | usable))
         .select(*[F.col(c).alias(a) for c, a in side.items()],
-                F.trunc(F.col(start), unit).alias("_from"),
-                F.coalesce(F.trunc(F.col(end), unit), final).alias("_to"))
+                step_of(F.col(start)).alias("_from"),
+                F.when(F.col(end).isNull(), last).otherwise(step_of(F.col(end))).alias("_to"))
         .withColumn("_span_step", F.explode(F.sequence("_from", "_to", F.expr(distance))))
         .withColumn("_span_salt", _every_salt(salts))
         .drop("_from", "_to")
@@ -145,7 +151,7 @@ def _join_by_step(
     )
     day = F.col(at).cast("date")
     dated = facts.withColumns({
-        BUCKET: F.when(F.col(at).isNotNull(), F.least(F.trunc(day, unit), final)),
+        BUCKET: F.when(F.col(at).isNotNull(), step_of(day)),
         SALT: _salt_of(facts, salts) if salts > 1 else F.lit(0).cast("bigint"),
     })
     span_end = F.col(side[end])
@@ -184,7 +190,7 @@ def as_of_lookup(
     # After the step above a key has at most one row per calendar day: the window is bounded.
     follow = Window.partitionBy(*on).orderBy(since)
     spans = days.withColumn("_until", F.lead(since).over(follow))
-    last_day = dated.select(F.max(since))
+    ends = dated.select(F.min(since)), dated.select(F.max(since))
     return _join_by_step(
-        facts, spans, on, at, since, "_until", take, False, "left", step, salts, last_day
+        facts, spans, on, at, since, "_until", take, False, "left", step, salts, ends
     )

@@ -49,9 +49,9 @@ def test_as_of_against_brute_force(spark, joins, seed, salts):
     assert {r.id: r.v for r in rows} == expected
 
 
-@pytest.mark.parametrize("step", ["month", "quarter", "year"])
+@pytest.mark.parametrize("step, sentinels", [("month", False), ("month", True), ("quarter", True), ("year", False)])
 @pytest.mark.parametrize("end_included", [True, False])
-def test_ranges_against_brute_force(spark, joins, end_included, step):
+def test_ranges_against_brute_force(spark, joins, end_included, step, sentinels):
     rng = random.Random(7)
     facts = facts_of(rng)
     spans = []
@@ -60,6 +60,9 @@ def test_ranges_against_brute_force(spark, joins, end_included, step):
         end = rng.choice([None, start, start + timedelta(rng.randrange(120)), start - timedelta(3)])
         spans.append((rng.choice("abc"), start, end, v))
     spans.append(("a", None, DAY0, 99))
+    if sentinels:
+        spans += [("a", DAY0, date(9999, 12, 31), 100), ("b", date(1, 1, 1), DAY0 + timedelta(40), 101),
+                  ("c", date(1, 1, 1), date(9999, 12, 31), 102)]
 
     def covers(span, at):
         _, start, end, _ = span
@@ -81,6 +84,18 @@ def test_ranges_against_brute_force(spark, joins, end_included, step):
     assert sorted((r.id, r.v) for r in inner) == sorted(e for e in expected if e[1] is not None)
 
 
+def test_overlapping_open_spans_and_far_facts(spark):
+    """All spans overlap: the first end lies after the last start."""
+    facts = spark.createDataFrame(
+        [(i, "a", d) for i, d in enumerate([date(1, 1, 1), date(2020, 1, 5), date(2020, 3, 1), date(2500, 1, 1)])],
+        "id int, k string, at date")
+    spans = spark.createDataFrame(
+        [("a", date(2020, 1, 1), date(2021, 1, 1), 1), ("a", date(2020, 2, 1), None, 2)],
+        "k string, lo date, hi date, v int")
+    got = sorted((r.id, r.v) for r in range_lookup(facts, spans, ["k"], "at", "lo", "hi", ["v"], how="inner").collect())
+    assert got == [(1, 1), (2, 1), (2, 2), (3, 2)]
+
+
 def test_empty_table_keeps_all_facts(spark):
     facts = spark.createDataFrame([(1, "a", DAY0)], "id int, k string, at date")
     points = spark.createDataFrame([], "k string, since date, v int")
