@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql.types import StructField, StructType
 
 from niimble.sources.tables import materialize, scratch_path
 
-__all__ = ["arrow_stage", "fields", "fold", "materialize", "new_name", "read_table", "scratch_path"]
+__all__ = ["arrow_stage", "fields", "fold", "hash_sample", "materialize", "read_table", "scratch_path"]
 
 
 def read_table(spark, folder: str, name: str) -> DataFrame:
@@ -45,5 +44,11 @@ def fold(id_column: str | Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def new_name(name: str) -> str:
-    return f"{name}-{uuid.uuid4().hex[:12]}"
+def hash_sample(rows: DataFrame, about: int, *by: str) -> DataFrame:
+    """About ``about`` of the rows, those whose columns ``by`` have the smallest hashes; all if there are fewer.
+
+    Rows are counted once; the choice depends on the rows alone, so a retried task repeats it.
+    """
+    share = min(1.0, about / max(1, rows.count()))
+    draw = F.pmod(F.xxhash64(F.lit("sample"), *by), F.lit(1_000_000))
+    return rows.where(draw < F.lit(int(share * 1_000_000)))

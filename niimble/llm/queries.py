@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niimble.llm import bpe, language_id
+from niimble.llm import bpe, language_id, quality_rules, token_counts
 from niimble.llm.frames import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,12 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = token_counts.read_pieces(vocabulary_path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(read_table(spark, folder, "documents"), pieces)
+
+
 @query
 def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(vocabulary_path("byte_bpe_50k.json"))
@@ -38,3 +44,10 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     profiles = language_id.learn(docs.where(fold("doc_id") != 0))
     found = language_id.predict(docs, profiles)
     return found.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    trees = quality_rules.learn(docs, labels.where(fold("doc_id") != 0))
+    return quality_rules.judge(docs, trees)

@@ -133,16 +133,21 @@ def lower(data: np.ndarray) -> np.ndarray:
     return data + (capital * np.uint8(32))
 
 
-def ngram_hashes(words: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all n-word windows that lie in one text, and their texts; positions are in order."""
+def window_hashes(words: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-word windows that lie in one text, and the position of each one's first word."""
     m = len(words) - n + 1
     if m <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     total = np.zeros(m, np.uint64)
     for i in range(n):
         total += words[i : i + m] * _POSITION[i]
-    inside = doc[:m] == doc[n - 1 :]
-    return mix(total[inside] + np.uint64(n)), doc[:m][inside]
+    place = np.flatnonzero(doc[:m] == doc[n - 1 :])
+    return mix(total[place] + np.uint64(n)), place
+
+
+def within(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Hashes that are equal for equal things of one text only."""
+    return mix(hashes + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def shingle_hashes(words: np.ndarray, doc: np.ndarray, n_docs: int, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +155,8 @@ def shingle_hashes(words: np.ndarray, doc: np.ndarray, n_docs: int, n: int = 5)
 
     A text of fewer than ``n`` words has its whole sequence as one shingle; without words none.
     """
-    full, full_doc = ngram_hashes(words, doc, n)
+    full, place = window_hashes(words, doc, n)
+    full_doc = doc[place]
     count = np.bincount(doc, minlength=n_docs)
     short = (count > 0) & (count < n)
     if short.any():
@@ -168,3 +174,10 @@ def shingle_hashes(words: np.ndarray, doc: np.ndarray, n_docs: int, n: int = 5)
     fresh = np.ones(len(full), bool)
     fresh[1:] = (full[1:] != full[:-1]) | (full_doc[1:] != full_doc[:-1])
     return full[fresh], full_doc[fresh]
+
+
+def count_marks(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many marked bytes each text has."""
+    sums = np.zeros(len(marks) + 1, np.int64)
+    np.cumsum(marks, out=sums[1:])
+    return sums[bounds[1:]] - sums[bounds[:-1]]
