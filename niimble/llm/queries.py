@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niimble.llm import bpe, language_id, quality_rules, token_counts
-from niimble.llm.frames import fold, read_table
+from niimble.llm import bpe, language_id, quality_rules, token_counts, warc
+from niimble.llm.frames import fold, read_table, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,16 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, folder, "documents"), pieces)
 
 
+@query
+def op7_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    root = scratch_path(spark, "warc")
+    warc.write_archives(read_table(spark, folder, "pages"), root)
+    return warc.read_archives(spark, root, with_payload=False).select(
+        F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 @query
 def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(vocabulary_path("byte_bpe_50k.json"))
@@ -51,3 +61,17 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
     trees = quality_rules.learn(docs, labels.where(fold("doc_id") != 0))
     return quality_rules.judge(docs, trees)
+
+
+SQL["op7_warc_archives"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
