@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niimble.llm import bpe, language_id, quality_rules, token_counts, warc
+from niimble.llm import bpe, language_id, mixing, quality_rules, token_counts, warc
 from niimble.llm.frames import fold, read_table, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,15 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+WEIGHTS = (5, 2, 1)
+
+
+@query
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, folder, "documents"), WEIGHTS)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     pieces = token_counts.read_pieces(vocabulary_path("piece_bpe_32k.model"))
@@ -75,3 +84,51 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id > first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+SQL["op2_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    (('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE)
+      / 4503599627370496::DOUBLE AS u
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    (CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::DOUBLE AS w
+  FROM d GROUP BY source
+), a AS (
+  SELECT *, sum(source_size) OVER () * 1.5::DOUBLE AS words,
+    coalesce(sum(source_size * 2) OVER (ORDER BY source_size / w, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS earlier,
+    sum(w) OVER (ORDER BY source_size / w, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM s
+), b AS (
+  SELECT *, w * (words - earlier) > source_size * 2 * rest AS is_full FROM a
+), c AS (
+  SELECT source, source_size,
+    CASE WHEN is_full THEN (source_size * 2)::DOUBLE
+      ELSE w * (words - coalesce(sum(CASE WHEN is_full THEN source_size * 2 END) OVER (), 0)::DOUBLE)
+        / sum(CASE WHEN NOT is_full THEN w END) OVER () END AS target
+  FROM b
+), e AS (
+  SELECT d.doc_id, d.source, d.size, d.u, c.source_size, c.target,
+    CASE WHEN c.source_size > 0 THEN least(c.target / c.source_size, 2::DOUBLE) ELSE 0 END AS expected
+  FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source
+), f AS (
+  SELECT *, floor(expected) AS certain, expected - floor(expected) AS p FROM e
+), g AS (
+  SELECT *, (u / (1 - u)) / (p / (1 - p)) AS odds, target - sum(certain * size) OVER (PARTITION BY source) AS open
+  FROM f
+), h AS (
+  SELECT *, CASE WHEN p > 0 THEN floor(odds / (1 + odds) * 1099511627776::DOUBLE)::BIGINT END AS pos FROM g
+), r AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY pos NULLS LAST, doc_id
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reached,
+    sum(size) OVER (PARTITION BY source, pos, doc_id) AS own
+  FROM h
+)
+SELECT doc_id, size, source_size, target,
+  ((certain + CASE WHEN p > 0 AND open - (reached - own) > 0
+      AND (reached <= open OR reached - open <= open - (reached - own)) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM r
+"""
