@@ -37,7 +37,8 @@ from niimble.llm.runs import Slice, mix, prefix_sums, slices
 WINDOW = 24
 CHUNK_BYTES = 1024
 LEAST_CHUNK = 128
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 32 << 20
+ENTRY_BYTES = 256  # what an entry of the cache takes besides its bytes
 
 
 class Vocabulary(NamedTuple):
@@ -203,7 +204,7 @@ def encode(
                     if ids is None:
                         tokens = encode_piece(encoder, shared.value, piece.decode("utf-8"))
                         ids = cache[piece] = tokens.astype("<u4").tobytes()
-                        held += len(piece) + len(ids)
+                        held += len(piece) + len(ids) + ENTRY_BYTES
                     parts.append(ids)
                 if held > CACHE_BYTES:  # its chunks would be encoded again, with equal results
                     cache, held = {}, 0

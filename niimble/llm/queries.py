@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niimble.llm import bpe, language_id, mixing, quality_rules, token_counts, warc
+from niimble.llm import bpe, fingerprints, language_id, mixing, quality_rules, token_counts, warc
 from niimble.llm.frames import fold, read_table, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_next(read_table(spark, folder, "documents"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     pieces = token_counts.read_pieces(vocabulary_path("piece_bpe_32k.model"))
