@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niimble.llm import bpe, fingerprints, language_id, mixing, quality_rules, token_counts, warc
+from niimble.llm import bpe, fingerprints, language_id, mixing, quality_rules, token_counts, toxicity, warc
 from niimble.llm.frames import fold, read_table, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,15 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    labels = read_table(spark, folder, "labels").select("doc_id", "toxic")
+    learned = fold("doc_id") != 0
+    model = toxicity.learn(docs.where(learned), labels.where(learned))
+    return toxicity.score(docs, model).withColumn("held_out", fold("doc_id") == 0)
+
+
 @query
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_with_next(read_table(spark, folder, "documents"))
