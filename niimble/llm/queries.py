@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niimble.llm import bpe, fingerprints, language_id, mixing, quality_rules, token_counts, toxicity, warc
-from niimble.llm.frames import fold, read_table, scratch_path
+from niimble.llm import bpe, fingerprints, importance, language_id, mixing, ngram_join, quality_rules, token_counts, toxicity, warc
+from niimble.llm.frames import fold, read_table, scratch_path, text_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,7 +16,10 @@ SQL: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return build(text_session(spark), folder)
+
+    QUERIES[build.__name__] = run
     return build
 
 
@@ -26,6 +29,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_components(read_table(spark, folder, "documents"))
+
+
 WEIGHTS = (5, 2, 1)
 
 
@@ -35,6 +43,12 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op3_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    return importance.resample(docs, importance.learn(docs, labels.where(fold("doc_id") != 0)))
+
+
 @query
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
