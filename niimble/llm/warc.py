@@ -18,6 +18,7 @@ columns are read.
 
 from __future__ import annotations
 
+import bisect
 import gzip
 import hashlib
 import io
@@ -34,7 +35,7 @@ from pyspark.sql.types import (
     BinaryType, BooleanType, LongType, StringType, StructField, StructType,
 )
 
-from niimble.llm.frames import materialize
+from niimble.llm.frames import arrow_stage, materialize
 
 REVISIT_FROM = 100
 SHARD_BYTES = 64 << 20
@@ -50,39 +51,37 @@ MANIFEST = StructType([
 ])
 
 
-def plan_records(
-    pages: DataFrame, id_column: str, payload_column: str, shard_bytes: int, revisit_from: int = REVISIT_FROM
-) -> DataFrame:
-    """One row per (id, digest): its size, the id it refers to or NULL, and its shard.
+def plan_shards(ids: DataFrame, shard_bytes: int) -> list:
+    """The first id of each shard but the first, from ``id, size`` of all records.
 
-    Payloads do not leave the scan. Equal payloads are counted before they are shuffled, and the join
-    back to a payload's first id is one that Spark can split where a payload is hot.
+    Ids are summed, dealt out in ranges and written, so that the ranges stay as they are; sums run along
+    each range, behind those of the ranges before it. The driver gets one id a shard.
     """
-    payload = F.coalesce(F.col(payload_column).cast("binary"), F.lit(b""))
-    light = pages.select(F.col(id_column).alias("id"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("size"))
-    keyed = light.groupBy("id", "digest", "size").agg(F.count(F.lit(1)).alias("copies"))
+    weights = ids.groupBy("id").agg(F.sum("size").alias("size"))
+    parts = materialize(weights.repartitionByRange("id").withColumn("part", F.spark_partition_id()), "warc-plan")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    sums = parts.groupBy("part").agg(F.sum("size").alias("part_size"))
+    offsets = sums.select("part", F.coalesce(F.sum("part_size").over(earlier), F.lit(0)).alias("offset"))
+    along = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("offset") + F.coalesce(F.sum("size").over(along), F.lit(0))
+    shards = parts.join(F.broadcast(offsets), "part").select("id", F.floor(before / shard_bytes).alias("shard"))
+    return sorted(r[0] for r in shards.where(F.col("shard") > 0).groupBy("shard").agg(F.min("id")).select("min(id)").collect())
+
+
+def find_revisits(light: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
+    """``id, digest, refers_to`` of the records that repeat a payload, from ``id, digest, size`` of all.
+
+    Equal payloads are counted before they are shuffled, and the join back to a payload's first id is one
+    that Spark can split where a payload is hot.
+    """
+    large = light.where(F.col("size") >= revisit_from)
     firsts = (
-        keyed.where(F.col("size") >= revisit_from)
-        .groupBy("digest")
-        .agg(F.min("id").alias("first"), F.count("id").alias("ids"))
-        .where(F.col("ids") > 1)
-        .select("digest", "first")
-    )
-    joined = keyed.join(firsts, "digest", "left").select(
-        "id", "digest", "size", "copies", F.when(F.col("id") > F.col("first"), F.col("first")).alias("refers_to")
-    )
-    # written, so that the parts stay as they are while they are summed and then divided
-    dealt = joined.repartitionByRange("id").withColumn("part", F.spark_partition_id())
-    parts = materialize(dealt, "warc-plan")
-    weight = F.col("size") * F.col("copies")
-    sums = parts.groupBy("part").agg(F.sum(weight).alias("part_bytes"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part of the plan
-    offsets = sums.select("part", F.coalesce(F.sum("part_bytes").over(earlier), F.lit(0)).alias("offset"))
-    along = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first(), "digest").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("offset") + F.coalesce(F.sum(weight).over(along), F.lit(0))
-    return parts.join(F.broadcast(offsets), "part").select(
-        "id", "digest", "refers_to", F.floor(before / shard_bytes).cast("long").alias("shard")
+        large.groupBy("digest")
+        .agg(F.min("id").alias("refers_to"), F.max("id").alias("last"))
+        .where(F.col("refers_to") < F.col("last"))
+        .drop("last")
     )
+    return large.join(firsts, "digest").where(F.col("id") > F.col("refers_to")).select("id", "digest", "refers_to").distinct()
 
 
 def _record_id(page: object) -> str:
@@ -177,20 +176,41 @@ def write_archives(
     level: int = LEVEL,
 ) -> DataFrame:
     """Write the archives of ``pages`` under the new folder ``root`` and return their manifest."""
-    spark = pages.sparkSession
-    plan = plan_records(pages, id_column, payload_column, shard_bytes)
     payload = F.coalesce(F.col(payload_column).cast("binary"), F.lit(b""))
-    full = pages.select(F.col(id_column).alias("id"), F.col(url_column).cast("string").alias("url"), payload.alias("payload"))
-    full = full.withColumn("digest", F.sha2("payload", 256)).alias("full")
-    plan = plan.alias("plan")
-    same = F.col("full.id").eqNullSafe(F.col("plan.id")) & (F.col("full.digest") == F.col("plan.digest"))
-    joined = full.join(plan, same).select("shard", "full.id", "url", "payload", "refers_to", "full.digest")
-    dealt = joined.repartition("shard").sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "digest", "url")
+    records = pages.select(
+        F.col(id_column).alias("id"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("size"),
+        F.col(url_column).cast("string").alias("url"), payload.alias("payload"),
+    )
+    light = records.select("id", "digest", "size")
+    starts = plan_shards(light, shard_bytes)
+    nothing = F.lit(None)
+    # what a record refers to travels as a row of its own, ahead of the record: payloads move once
+    notes = find_revisits(light).select(
+        "id", "digest", nothing.cast("string").alias("url"), nothing.cast("binary").alias("payload"), "refers_to"
+    )
+    full = records.select("id", "digest", "url", "payload", nothing.cast(pages.schema[id_column].dataType).alias("refers_to"))
+    rows = full.unionByName(notes)
+    names = rows.columns
+
+    def shard(batch: pa.RecordBatch):
+        ids = batch.column(0).to_pylist()
+        found = [0 if i is None else bisect.bisect_right(starts, i) for i in ids]
+        yield {"shard": pa.array(found, pa.int64()), **{n: batch.column(k) for k, n in enumerate(names)}}
+
+    sharded = arrow_stage(rows, shard, StructType([StructField("shard", LongType()), *rows.schema.fields]))
+    # as many partitions as shards: given a number, Spark does not merge small ones
+    dealt = sharded.repartition(len(starts) + 1, "shard").sortWithinPartitions(
+        "shard", F.col("id").asc_nulls_first(), "digest", F.col("refers_to").asc_nulls_last(), "url"
+    )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}"
-        file, closed, number = None, [], 0
-        for shard, page, url, payload, refers_to in _rows(batches):
+        file, closed, number, noted, target = None, [], 0, None, None
+        for shard, page, digest, url, payload, note in _rows(batches):
+            if note is not None:
+                noted, target = (page, digest), note
+                continue
+            refers_to = target if noted == (page, digest) else None
             if file is not None and (file.shard != shard or file.bytes >= roll_bytes):
                 number = number + 1 if file.shard == shard else 0
                 closed.append(file.close())
@@ -206,9 +226,8 @@ def write_archives(
         types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], MANIFEST.fieldNames())
 
-    rows = dealt.select("shard", "id", "url", "payload", "refers_to").mapInArrow(write, MANIFEST)
-    rows.write.parquet(f"{root}/_manifest")
-    return commit(spark, root)
+    dealt.mapInArrow(write, MANIFEST).write.parquet(f"{root}/_manifest")
+    return commit(pages.sparkSession, root)
 
 
 def commit(spark: SparkSession, root: str) -> DataFrame:
@@ -301,5 +320,5 @@ def read_archives(spark: SparkSession, root: str, with_payload: bool = True, bat
                         waiting, held = [], 0
         yield batch_of(waiting)
 
-    # a file is one row: without this all files of a manifest part would be read by one task
-    return files.repartition("name").mapInArrow(read, READ_SCHEMA)
+    # a file is one row: dealt out one by one, as the size of the rows tells nothing of the files'
+    return files.repartition(max(1, files.count()), "name").mapInArrow(read, READ_SCHEMA)
