@@ -5,13 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from niimble.sources.tables import materialize, scratch_path
 
-__all__ = ["arrow_stage", "fields", "fold", "hash_sample", "materialize", "read_table", "scratch_path"]
+__all__ = ["arrow_stage", "fields", "fold", "hash_sample", "materialize", "read_table", "scratch_path", "text_session"]
+
+
+# Arrow batches of texts are kept small: a task holds one, and what numpy makes of it.
+TEXT_CONF = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
+def text_session(spark: SparkSession) -> SparkSession:
+    """The session, set for tables of texts."""
+    for key, value in TEXT_CONF.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def read_table(spark, folder: str, name: str) -> DataFrame:
