@@ -1,26 +1,85 @@
-"""The corpus pipeline: documents in, token ids of the mixed corpus out. Stages are added as they are built."""
+"""The corpus pipeline: documents in, token ids of a clean, mixed corpus out.
+
+Each stage takes what its predecessor kept, calls one operator, and lets its decisions take effect. All
+but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from niimble.llm import bpe
-from niimble.llm.frames import materialize, read_table
-from niimble.llm.queries import vocabulary_path
+from niimble.llm import bpe, importance, language_id, mixing, ngram_join
+from niimble.llm.frames import fold, materialize, read_table, text_session
+from niimble.llm.queries import WEIGHTS, vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+LEAST_COSINE = 0.1
+
+
+def _as_rows(docs: DataFrame) -> DataFrame:
+    """The text, and all columns as ``row``: an operator carries it like an id."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "text")
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without a letter, and those like no language of the corpus, go."""
+    profiles = language_id.learn(docs.where(fold("doc_id") != 0))
+    found = language_id.predict(_as_rows(docs), profiles, "row")
+    known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_COSINE)
+    return found.where(known).select("row.*")
+
+
+def keep_good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that importance resampling leaves out go."""
+    model = importance.learn(docs, read_table(spark, folder, "labels").where(fold("doc_id") != 0))
+    return importance.resample(_as_rows(docs), model, "row").where("kept").select("row.*")
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of each group of near copies the document of the smallest id stays; of repeated rows one."""
+    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    keyed = docs.withColumn("_key", key)
+    groups = ngram_join.join_components(keyed, "_key").where(F.col("_key").eqNullSafe(F.col("component_id")))
+    kept = materialize(groups.groupBy("_key").count(), "one-of-near-copies")
+    one = keyed.alias("doc").join(kept, F.col("doc._key").eqNullSafe(kept["_key"]), "left_semi")
+    if kept.where(F.col("count") > 1).limit(1).count():  # rows that repeat an id and its text
+        one = one.dropDuplicates(["_key"])
+    return one.select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Each document as often as the mix of its source takes it."""
+    return mixing.mixed_documents(docs, WEIGHTS)
+
 
 def encode_texts(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids of every document that the stages before have kept."""
+    """Token ids of every document in the mix."""
     return bpe.encode(docs, bpe.read_vocabulary(vocabulary_path("byte_bpe_50k.json")))
 
 
-STAGES: list[tuple[str, Stage]] = [("encode", encode_texts)]
+def _in_text_session(stage: Stage) -> Stage:
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(text_session(spark), docs, sf_dir)
+
+    return run
+
+
+STAGES: list[tuple[str, Stage]] = [
+    (name, _in_text_session(stage))
+    for name, stage in (
+        ("language", keep_known_languages),
+        ("quality", keep_good_quality),
+        ("near_copies", keep_one_of_near_copies),
+        ("mixing", mix_sources),
+        ("encoding", encode_texts),
+    )
+]
 
-# Trained models, hashes and token ids are not expressible in SQL.
+# Trained models and token ids are not expressible in SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -103,28 +103,35 @@ def _meet(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     return left.join(right, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[float] | DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-    preference_column: str | None = None,
-    total: float = TOTAL,
-    most_copies: int = MOST_COPIES,
-    seed: str = SEED,
+def _numbered(
+    docs: DataFrame, id_column: str, text_column: str, source_column: str, preference_column: str | None, seed: str,
+    *more: Column,
 ) -> DataFrame:
-    """Per document: the id, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words.
-
-    ``weights`` are given in turn along the sources or as a table ``source, weight``; a source that the table
-    lacks has weight 0 and is not mixed. Texts are read once, to count their words.
-    """
     liking = F.lit(1.0) if preference_column is None else F.col(preference_column).cast("double")
-    sized = docs.select(
-        F.col(id_column).alias("id"), F.col(source_column).alias("source"), word_count(text_column).alias("size"),
-        draw(id_column, seed).alias("u"), F.greatest(F.coalesce(liking, F.lit(0.0)), F.lit(0.0)).alias("liking"),
+    return docs.select(
+        *more, F.col(id_column).alias("id"), F.col(source_column).alias("source"),
+        word_count(text_column).alias("size"), draw(id_column, seed).alias("u"),
+        F.greatest(F.coalesce(liking, F.lit(0.0)), F.lit(0.0)).alias("liking"),
     )
-    sized = materialize(sized, "mixing-sizes")  # a few numbers per document, used several times
+
+
+def _ranked(rows: DataFrame, levels: DataFrame, most_copies: float) -> DataFrame:
+    """Rows with their source's numbers, their ``certain`` copies and the ``rank`` of their fraction."""
+    expected = F.least(F.coalesce(F.col("level") * F.col("liking"), F.lit(0.0)), F.lit(float(most_copies)))
+    return (
+        _meet(rows, levels)
+        .withColumn("expected", expected)
+        .withColumn("certain", F.floor("expected").cast("long"))
+        .withColumn("rank", pareto_rank(F.col("u"), F.col("expected") - F.col("certain")))
+    )
+
+
+def _plan(sized: DataFrame, weights: Sequence[float] | DataFrame, total: float, most_copies: float) -> DataFrame:
+    """One row per source, written: ``source, source_size, target, level, below, edge``.
+
+    A document is drawn if its rank is less than ``below`` or (rank, id) is at most ``edge``; where ``below`` is
+    NULL the documents that may be drawn do not reach the target, and all are.
+    """
     sums = sized.groupBy("source").agg(
         F.sum("size").alias("source_size"),
         F.sum(F.col("size") * F.col("liking").cast("decimal(18,6)")).cast("double").alias("liked"),
@@ -132,18 +139,12 @@ def mix(
     table = weights if isinstance(weights, DataFrame) else cycled_weights(sums.select("source"), weights)
     positive = table.where(F.col("weight") > 0).select("source", F.col("weight").cast("double").alias("weight"))
     targets = source_targets(_meet(sums.select("source", "source_size"), positive), total, most_copies)
+    target = F.coalesce("target", F.lit(0.0))
     levels = _meet(sums, targets.select("source", "target"), "left").select(
-        "source", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"),
-        F.try_divide(F.coalesce("target", F.lit(0.0)), "liked").alias("level"),
+        "source", "source_size", target.alias("target"), F.try_divide(target, F.col("liked")).alias("level"),
     )
     levels = materialize(levels, "mixing-levels")
-    expected = F.least(F.coalesce(F.col("level") * F.col("liking"), F.lit(0.0)), F.lit(float(most_copies)))
-    ranked = (
-        _meet(sized, levels)
-        .withColumn("expected", expected)
-        .withColumn("certain", F.floor("expected").cast("long"))
-        .withColumn("rank", pareto_rank(F.col("u"), F.col("expected") - F.col("certain")))
-    )
+    ranked = _ranked(sized, levels, most_copies)
     certain = ranked.groupBy("source", "target").agg(F.sum(F.col("certain") * F.col("size")).alias("sure"))
     open_words = certain.select("source", (F.col("target") - F.col("sure")).alias("open"))
     # ranks that are NULL are not to be drawn
@@ -155,27 +156,64 @@ def mix(
     last = _meet(inside, second).where(F.shiftright("rank", RANK_BITS - 2 * BITS) == F.col("edge_bin"))
     ties = last.groupBy("source", "rank", "id", "edge_open").agg(F.sum("size").alias("size"))
     along = Window.partitionBy("source").orderBy("rank", "id")  # 2**-(2 * BITS) of a source
-    reached = F.sum("size").over(along)
     missing = F.col("edge_open") - F.col("reached") + F.col("size")
     edge = (
-        ties.withColumn("reached", reached)
+        ties.withColumn("reached", F.sum("size").over(along))
         .where(missing > 0)
         .where((F.col("reached") <= F.col("edge_open")) | (F.col("reached") - F.col("edge_open") <= missing))
         .groupBy("source")
         .agg(F.max(F.struct("rank", "id")).alias("edge"))
-        .select("source", "edge")
-    )
-    # a source whose edge is before the first document of its last bin takes all ranks below that bin
-    fallback = second.select("source", (F.shiftleft(F.col("edge_bin"), RANK_BITS - 2 * BITS)).alias("below"))
-    limits = materialize(_meet(fallback, edge, "left"), "mixing-edges")
-    rank, cut = F.col("rank"), F.col("edge")
-    # without an edge the drawn documents of a source do not reach its open words: all are taken
-    chosen = F.when(F.col("below").isNull(), rank.isNotNull()).otherwise(
-        rank.isNotNull()
-        & ((rank < F.col("below")) | F.coalesce((F.struct(rank, F.col("id")) <= cut), F.lit(False)))
     )
-    marked = _meet(ranked, limits, "left").withColumn("copies", F.col("certain") + chosen.cast("long"))
-    return marked.select(
+    below = second.select("source", F.shiftleft(F.col("edge_bin"), RANK_BITS - 2 * BITS).alias("below"))
+    return materialize(_meet(levels, _meet(below, edge, "left"), "left"), "mixing-plan")
+
+
+def _copies(ranked: DataFrame) -> DataFrame:
+    rank = F.col("rank")
+    within = (rank < F.col("below")) | F.coalesce(F.struct(rank, F.col("id")) <= F.col("edge"), F.lit(False))
+    drawn = F.when(F.col("below").isNull(), rank.isNotNull()).otherwise(rank.isNotNull() & within)
+    return ranked.withColumn("copies", F.col("certain") + drawn.cast("long"))
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[float] | DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    preference_column: str | None = None,
+    total: float = TOTAL,
+    most_copies: int = MOST_COPIES,
+    seed: str = SEED,
+) -> DataFrame:
+    """Per document: the id, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words.
+
+    ``weights`` are given in turn along the sources or as a table ``source, weight``; a source that the table
+    lacks has weight 0 and is not mixed. Texts are read once, to count their words.
+    """
+    sized = _numbered(docs, id_column, text_column, source_column, preference_column, seed)
+    sized = materialize(sized, "mixing-sizes")  # a few numbers per document, used several times
+    plan = _plan(sized, weights, total, most_copies)
+    return _copies(_ranked(sized, plan, most_copies)).select(
         F.col("id").alias(id_column), "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[float] | DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    total: float = TOTAL,
+    most_copies: int = MOST_COPIES,
+    seed: str = SEED,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it. Texts meet only the plan, a row per source."""
+    sized = materialize(_numbered(docs, id_column, text_column, source_column, None, seed), "mixing-sizes")
+    plan = _plan(sized, weights, total, most_copies)
+    whole = F.struct(*docs.columns).alias("row")
+    counted = _copies(_ranked(_numbered(docs, id_column, text_column, source_column, None, seed, whole), plan, most_copies))
+    repeated = counted.where(F.col("copies") > 0).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select("row.*")
