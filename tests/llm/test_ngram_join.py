@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from niimble.llm import ngram_join
+from niimble.llm.components import connected
+from tests.llm.cases import clashing, edge_docs, edge_texts, empty_docs, rows_of, words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    found = WORD.findall((text or "").translate(LOWER))
+    if len(found) < 5:
+        return frozenset([tuple(found)] if found else [])
+    return frozenset(tuple(found[i : i + 5]) for i in range(len(found) - 4))
+
+
+def linked(a, b, share=80):
+    return bool(a and b) and 100 * len(a & b) >= share * len(a | b)
+
+
+def components(rows, share=80):
+    """Smallest id that links lead to, by comparing all pairs."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    least = {i: i for i, _ in sets}
+    changed = True
+    links = [(i, j) for i, a in sets for j, b in sets if i < j and linked(a, b, share)]
+    while changed:
+        changed = False
+        for i, j in links:
+            m = min(least[i], least[j])
+            changed |= (least[i], least[j]) != (m, m)
+            least[i] = least[j] = m
+    return sorted((i, len(s), least[i]) for i, s in sets)
+
+
+def near_copies(seed, groups=12):
+    """Groups of texts with few and many edits, chains of edits, shared passages and copies."""
+    rng = random.Random(seed)
+    passage = words(rng, 60, 10_000)
+    texts = []
+    for g in range(groups):
+        base = words(rng, rng.choice([5, 8, 30, 120, 300]), 10_000)
+        if g % 3 == 0:
+            base = passage + base
+        texts.append(base)
+        current = base
+        for _ in range(rng.choice([0, 1, 3, 12])):
+            current = list(current if rng.random() < 0.5 else base)
+            for _ in range(rng.choice([0, 1, 1, 2, max(1, len(base) // 40)])):
+                current[rng.randrange(len(current))] = f"e{rng.randrange(10**6)}"
+            texts.append(current)
+    rng.shuffle(texts)
+    return [(i, " ".join(w.upper() if rng.random() < 0.1 else w for w in t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_equal_brute_force(spark, seed):
+    rows = near_copies(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = rows_of(ngram_join.join_components(docs), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(components(rows), key=repr)
+    assert len({r[2] for r in got}) < len(got)
+
+
+@pytest.mark.parametrize("share", [50, 80, 95])
+def test_pairs_equal_brute_force(spark, share):
+    rows = near_copies(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    table = ngram_join.shingle_table(docs, share=share)
+    classes = {r["id"]: r["class"] for r in table.collect()}
+    got = {(r["a"], r["b"]) for r in ngram_join.similar_pairs(table, share).collect()}
+    expected = set()
+    for i, a in rows:
+        for j, b in rows:
+            if classes[i] < classes[j] and linked(shingles(a), shingles(b), share):
+                expected.add((classes[i], classes[j]))
+    assert got == expected
+    assert got
+
+
+def test_the_border_of_the_share(spark):
+    # 9 shingles each, 8 in common of 10: exactly 80 percent; one more edit is less
+    base = [f"b{i}" for i in range(13)]
+    rows = [(0, " ".join(base)), (1, " ".join(base[:-1] + ["x"])), (2, " ".join(["y", *base[1:-1], "z"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r[2] for r in rows_of(ngram_join.join_components(docs))] == [0, 0, 2]
+    assert components(rows) == [(0, 9, 0), (1, 9, 0), (2, 9, 2)]
+
+
+def test_a_large_group_of_near_copies(spark):
+    rng = random.Random(3)
+    base = words(rng, 100, 100_000)
+    rows = []
+    for i in range(600):
+        text = list(base)
+        text[rng.randrange(100)] = f"edit{i}"
+        rows.append((i, " ".join(text)))
+    rows += [(1000 + i, " ".join(base)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.join_components(docs).collect()
+    assert len(got) == 900
+    assert {r["component_id"] for r in got} == {0}
+
+
+def test_edges(spark):
+    docs = edge_docs(spark)
+    got = rows_of(ngram_join.join_components(docs), "doc_id", "n_shingles", "component_id")
+    assert got == rows_of(ngram_join.join_components(clashing(docs)), "doc_id", "n_shingles", "component_id")
+    expected = components(list(enumerate(edge_texts())))
+    expected += [r for r in expected if r[0] in (3, 8)] + [(None, 2, None)]
+    assert got == sorted(expected, key=repr)
+    none = ngram_join.join_components(empty_docs(spark))
+    assert none.collect() == []
+    assert none.columns == ["doc_id", "n_shingles", "component_id"]
+
+
+def test_no_text_at_all(spark):
+    docs = spark.createDataFrame([(1, None), (2, " "), (3, None)], "doc_id long, text string")
+    assert rows_of(ngram_join.join_components(docs)) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
+
+
+def test_connected_components(spark):
+    rng = random.Random(11)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(500, 560)] + [(7, 7)]
+    least = {n: n for e in edges for n in e}
+    for _ in range(400):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    expected = sorted((n, r) for n, r in least.items() if any(n in e and e[0] != e[1] for e in edges))
+    found = connected(spark.createDataFrame(edges, "a long, b long"))
+    assert sorted(tuple(r) for r in found.collect()) == expected
+    assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
