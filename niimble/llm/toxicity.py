@@ -163,6 +163,8 @@ def label_model(fired: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
     plus the sum of its residual correlations with the others. Rates and repetitions are estimated in turn.
     """
     n, m = fired.shape
+    if not n:
+        return np.zeros(0), np.vstack([np.zeros((2, m)), np.ones(m)])
     x = fired.astype(np.float64)
     repetition = np.ones(m)
     hits = x[:, : m - len(PATTERNS)].sum(axis=1)
@@ -175,7 +177,7 @@ def label_model(fired: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
         if step % 10 == 9:
             expected = (1 - posterior)[:, None] * rate[0] + posterior[:, None] * rate[1]
             rest = (x - expected) / np.maximum(x.std(axis=0), 1e-3)
-            correlation = np.clip(rest.T @ rest / max(n, 1), 0, 1)
+            correlation = np.clip(rest.T @ rest / n, 0, 1)
             np.fill_diagonal(correlation, 0)
             repetition = 1 + np.where(correlation > 0.05, correlation, 0).sum(axis=1)
         present = (np.log(rate[1]) - np.log(rate[0])) / repetition

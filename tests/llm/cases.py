@@ -44,4 +44,4 @@ def empty_docs(spark: SparkSession) -> DataFrame:
 
 
 def rows_of(frame: DataFrame, *columns: str) -> list[tuple]:
-    return sorted((tuple(r) for r in frame.select(*(columns or frame.columns)).collect()), key=repr)
+    return sorted((tuple(r) for r in (frame.select(*columns) if columns else frame).collect()), key=repr)
