@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from checks import oracle
+from checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,8 @@ def plan_of(rows):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
