@@ -6,17 +6,18 @@ with nothing. Texts with equal sets are one class, named by a hash of the set; c
 
 1. Shingles travel by hash to be counted: of every shingle in how many texts it is. A task sends what is
    frequent among its own texts as a count, so a shingle that a third of all texts share takes one entry
-   a task. Only shingles found twice or more are sent back. A set of which fewer than the share are such
-   has no partner and is done.
+   a task. Only shingles found twice or more are sent back. A set of which fewer than the share are found
+   in other classes has no partner and is done.
 2. All sets are put in one order, rare shingles first. Two sets that overlap enough have at least L
    shingles in common among the first n - need + L of each. Every set chooses its own L: a longer prefix
    costs more lookups, but asks for more matches before a pair is compared. The costs are estimated from
    the counts (at most S / L partners can match L times, S being the number of lookups that hit). A pair
-   is compared if it matches as often as the smaller L of the two.
+   is compared if it matches as often as the smaller L of the two, in prefixes cut to what the sizes
+   of the two ask for.
 3. For components, pairs that are linked already by way of others need no comparison. First each set is
-   compared with the sets that stand first in its prefixes' lists, which joins the bulk of a group of
-   near copies in linear work. Then the pairs of different components that match often enough
-   are compared, all of them. ``similar_pairs`` compares all pairs and returns every link.
+   compared with the most typical set of its prefix's lists, which joins the bulk of a group of near
+   copies in linear work. Then the pairs of different components that match often enough are
+   compared, all of them. ``similar_pairs`` compares all pairs and returns every link.
 
 Comparisons intersect whole sets (of shingles found twice or more, as others cannot be shared). Shingles
 are 64-bit hashes; classes too. Repeated rows are members of one class. NULL ids are kept as they are;
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, BinaryType, ByteType, IntegerType, LongType, StructField, StructType,
@@ -42,7 +43,7 @@ from niimble.llm.runs import find_runs, lower, mix, run_hashes, shingle_hashes,
 
 SHARE = 80  # percent
 SHINGLE = 5
-SLICE_TEXT = 16 << 20
+SLICE_TEXT = 4 << 20
 SLICE_DOCS = 60_000
 OFTEN = 8  # texts of a slice from which on a shingle is sent as a count
 LONGEST = 8  # the largest L tried
@@ -160,7 +161,7 @@ def _send(docs: DataFrame, bits: int) -> DataFrame:
                     number, ids, shingles, doc, held, n_docs = number + 1, [], [], [], 0, 0
                 ids.append(batch.column(0).slice(part.first, size))
                 shingles.append(found)
-                doc.append(own + n_docs)
+                doc.append((own + n_docs).astype(np.int32))
                 held, n_docs = held + len(part.data), n_docs + size
         if n_docs:
             yield rows_of(number, pa.concat_arrays(ids), np.concatenate(shingles), np.concatenate(doc))
@@ -207,32 +208,40 @@ def _count(sent: DataFrame, bits: int) -> DataFrame:
     return sent.groupBy("key").applyInArrow(run, schema)
 
 
-def prefix_choice(size: np.ndarray, need: np.ndarray, count: np.ndarray, sums: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per set the L of least estimated cost and how many of its shingles found twice or more are in the prefix.
+def needed(size: np.ndarray, share: int) -> np.ndarray:
+    """How many shingles a set has in common with any set that overlaps enough, at least."""
+    return (share * size + 99) // 100
 
-    ``sums`` are running sums of (count - 1) over all sets' shingles in order, ``start`` where a set begins.
-    Shingles found once stand before them in a prefix and match nothing.
+
+def prefix_choice(
+    size: np.ndarray, count: np.ndarray, sums: np.ndarray, start: np.ndarray, share: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per set the L of least estimated cost and how many of its shared shingles are in the prefix.
+
+    ``count`` is how many shared shingles a set has; ``sums`` are running sums, over all sets' shared shingles
+    in order, of how many others have them; ``start`` is where a set begins. A set's other shingles stand
+    before them in its prefix and match nothing. The cost is that of meeting sets of equal size; the prefix
+    is long enough for all sizes.
     """
+    equal = (2 * share * size + 99 + share) // (100 + share)
     best, chosen = np.full(len(size), np.inf), np.ones(len(size), np.int64)
     for length in range(1, LONGEST + 1):
-        posted = np.minimum(count - need + length, count)
-        hits = sums[start + posted] - sums[start]
+        hits = sums[start + np.clip(count - equal + length, 0, count)] - sums[start]
         cost = hits + hits / length * COMPARE * (1 + size / 64)
-        usable = posted >= length
-        better = usable & (cost < best)
+        better = cost < best
         best, chosen = np.where(better, cost, best), np.where(better, length, chosen)
-    return chosen, np.minimum(count - need + chosen, count)
+    return chosen, np.minimum(count - needed(size, share) + chosen, count)
 
 
 def _assemble(counted: DataFrame, share: int) -> DataFrame:
     """Per text its id, class and size; for one text of a class per slice that can have a partner its shingles.
 
-    ``tokens`` are the shingles found twice or more, rare ones first; the first ``posted`` are in the prefix.
+    ``tokens`` are the shingles found twice or more and ``counts`` how often, rare ones first.
     """
     id_type = counted.schema["ids"].dataType.elementType
     schema = StructType([
         StructField("id", id_type), StructField("class", LongType()), StructField("n_shingles", LongType()),
-        StructField("matches", IntegerType()), StructField("posted", IntegerType()), StructField("tokens", BinaryType()),
+        StructField("tokens", BinaryType()), StructField("counts", BinaryType()),
     ])
 
     def run(table: pa.Table) -> pa.Table:
@@ -253,50 +262,87 @@ def _assemble(counted: DataFrame, share: int) -> DataFrame:
         shingle = np.concatenate([own, *[_ints(r["b"], "<u8") for r in replies]])
         count = np.concatenate([often_count[np.searchsorted(often, own)], *[_ints(r["c"], "<u4") for r in replies]])
         found = np.bincount(doc, minlength=len(size))
-        need = (share * size + 99) // 100
-        able = (found >= need) & (size > 0) & (found > 0)
+        able = (found >= needed(size, share)) & (size > 0)
         keep = able[doc]
         doc, shingle, count = doc[keep], shingle[keep], count[keep]
         order = np.lexsort((shingle, count, doc))
-        doc, shingle, count = doc[order], shingle[order], count[order].astype(np.int64)
-        sums = np.concatenate([[0], np.cumsum(count - 1)])
+        doc, shingle, count = doc[order], shingle[order], count[order].astype("<u4")
         each = np.flatnonzero(able)
-        start = np.searchsorted(doc, each)
-        matches, posted = prefix_choice(size[each], need[each], found[each], sums, start)
         tokens: list[bytes | None] = [None] * len(size)
-        matches_of, posted_of = np.zeros(len(size), np.int32), np.zeros(len(size), np.int32)
-        matches_of[each], posted_of[each] = matches, posted
-        for i, at in zip(each.tolist(), start.tolist(), strict=True):
-            tokens[i] = shingle[at : at + found[i]].tobytes()
-        return pa.table([ids, pa.array(classes), pa.array(size), pa.array(matches_of), pa.array(posted_of), pa.array(tokens, pa.binary())], schema.fieldNames())
+        counts: list[bytes | None] = [None] * len(size)
+        for i, at in zip(each.tolist(), np.searchsorted(doc, each).tolist(), strict=True):
+            tokens[i], counts[i] = shingle[at : at + found[i]].tobytes(), count[at : at + found[i]].tobytes()
+        return pa.table(
+            [ids, pa.array(classes), pa.array(size), pa.array(tokens, pa.binary()), pa.array(counts, pa.binary())],
+            schema.fieldNames(),
+        )
 
     return counted.groupBy("slice").applyInArrow(run, schema)
 
 
 def shingle_table(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", share: int = SHARE) -> DataFrame:
-    """Steps 1 and 2 of the join, written: per text ``id, class, n_shingles, matches, posted, tokens``."""
+    """Step 1 of the join, written: per text ``id, class, n_shingles, tokens, counts``."""
     bits = bucket_bits(docs)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return materialize(_assemble(_count(_send(texts, bits), bits), share), "shingle-sets")
 
 
-def distinct_sets(table: DataFrame) -> DataFrame:
-    """One row per class that can have a partner, written: ``class, n_shingles, matches, posted, tokens``."""
-    able = table.where(F.col("tokens").isNotNull()).drop("id")
-    return materialize(able.dropDuplicates(["class"]), "distinct-sets")
+def distinct_sets(table: DataFrame, share: int = SHARE) -> DataFrame:
+    """Step 2, written: one row per class that can have a partner, with its prefix.
+
+    ``class, n_shingles, found, matches, posted, tokens``: the ``found`` shingles that other classes have too,
+    rare ones first, of which the first ``posted`` are in the prefix. A shingle that is counted as often as
+    its class was sent is in no other class.
+    """
+    sent = table.where(F.col("tokens").isNotNull()).groupBy("class").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
+        F.first("counts").alias("counts"), F.count(F.lit(1)).alias("times"),
+    )
+    schema = StructType([
+        table.schema["class"], table.schema["n_shingles"], StructField("found", LongType()),
+        StructField("matches", IntegerType()), StructField("posted", IntegerType()), StructField("tokens", BinaryType()),
+    ])
+
+    def choose(batch: pa.RecordBatch):
+        times = batch.column(4).to_numpy(zero_copy_only=False)
+        size = batch.column(1).to_numpy(zero_copy_only=False)
+        counts = [_ints(c.as_py(), "<u4").astype(np.int64) for c in batch.column(3)]
+        shared = [c > t for c, t in zip(counts, times, strict=True)]
+        found = np.array([int(s.sum()) for s in shared], np.int64)
+        able = np.flatnonzero(found >= needed(size, share))
+        kept = [counts[i][shared[i]] - times[i] for i in able]
+        sums = np.concatenate([[0], np.cumsum(np.concatenate([*kept, np.zeros(0, np.int64)]))])
+        start = np.cumsum(found[able]) - found[able]
+        matches, posted = prefix_choice(size[able], found[able], sums, start, share)
+        tokens = [_ints(batch.column(2)[int(i)].as_py(), "<u8")[shared[i]].tobytes() for i in able]
+        chosen = pa.array(able)
+        yield {
+            "class": batch.column(0).take(chosen), "n_shingles": batch.column(1).take(chosen), "found": pa.array(found[able]),
+            "matches": pa.array(matches, pa.int32()), "posted": pa.array(posted, pa.int32()), "tokens": pa.array(tokens, pa.binary()),
+        }
+
+    return materialize(arrow_stage(sent.select("class", "n_shingles", "tokens", "counts", "times"), choose, schema), "distinct-sets")
 
 
 def _postings(sets: DataFrame) -> DataFrame:
-    """``token, class, n_shingles, matches`` for each shingle of each prefix."""
-    schema = StructType([StructField("token", LongType()), *[sets.schema[c] for c in ("class", "n_shingles", "matches")]])
+    """``token, place, class, n_shingles, found, matches`` for each shared shingle of each prefix.
+
+    ``place`` counts from the beginning of the prefix, with the shingles that no other set has.
+    """
+    carried = ("class", "n_shingles", "found", "matches")
+    schema = StructType([
+        StructField("token", LongType()), StructField("place", LongType()), *[sets.schema[c] for c in carried]
+    ])
 
     def post(batch: pa.RecordBatch):
-        posted = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
-        heads = [_ints(t.as_py(), "<i8")[:n] for t, n in zip(batch.column(4), posted, strict=True)]
-        columns = {c: np.repeat(batch.column(i).to_numpy(zero_copy_only=False), posted) for i, c in enumerate(("class", "n_shingles", "matches"))}
+        posted = batch.column(4).to_numpy(zero_copy_only=False).astype(np.int64)
+        heads = [_ints(t.as_py(), "<i8")[:n] for t, n in zip(batch.column(5), posted, strict=True)]
+        columns = {c: np.repeat(batch.column(i).to_numpy(zero_copy_only=False), posted) for i, c in enumerate(carried)}
+        number = np.arange(posted.sum()) - np.repeat(np.cumsum(posted) - posted, posted)
+        columns["place"] = columns["n_shingles"] - columns["found"] + number
         yield {"token": pa.array(np.concatenate([*heads, np.zeros(0, np.int64)])), **{c: pa.array(v) for c, v in columns.items()}}
 
-    return arrow_stage(sets.select("class", "n_shingles", "matches", "posted", "tokens"), post, schema)
+    return arrow_stage(sets.select(*carried, "posted", "tokens"), post, schema)
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
@@ -323,10 +369,21 @@ def _compare(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return arrow_stage(joined, run, schema)
 
 
-def _near_size(share: int):
-    """Whether two sets are close enough in size to overlap enough."""
-    low, high = F.least("n_shingles", "other_n"), F.greatest("n_shingles", "other_n")
-    return 100 * low >= share * high
+def _can_link(share: int) -> Column:
+    """Whether two sets can overlap enough, and the shingle is in what the pair has for prefixes.
+
+    From the sizes follows how many shingles the two must have in common. That is at most what either
+    shares with any other set, and it makes the pair's prefixes shorter than the sets' own.
+    """
+    sizes = F.col("n_shingles") + F.col("other_n")
+    common = F.expr(f"({share} * (n_shingles + other_n) + {99 + share}) div {100 + share}")
+    matches = F.least("matches", "other_matches")
+    return (
+        (100 * F.least("n_shingles", "other_n") >= share * F.greatest("n_shingles", "other_n"))
+        & ((100 + share) * F.least("found", "other_found") >= share * sizes)
+        & (F.col("place") < F.col("n_shingles") - common + matches)
+        & (F.col("other_place") < F.col("other_n") - common + matches)
+    )
 
 
 def _enough(met: DataFrame) -> DataFrame:
@@ -340,8 +397,8 @@ def _enough(met: DataFrame) -> DataFrame:
 
 def _as_other(posts: DataFrame, *more: str) -> DataFrame:
     return posts.select(
-        "token", F.col("class").alias("other"), F.col("n_shingles").alias("other_n"),
-        F.col("matches").alias("other_matches"), *[F.col(c).alias(f"other_{c}") for c in more],
+        "token", F.col("place").alias("other_place"), F.col("class").alias("other"), F.col("n_shingles").alias("other_n"),
+        F.col("found").alias("other_found"), F.col("matches").alias("other_matches"), *[F.col(c).alias(f"other_{c}") for c in more],
     )
 
 
@@ -350,18 +407,20 @@ def similar_pairs(table: DataFrame, share: int = SHARE) -> DataFrame:
 
     A group of n near copies has up to n * n / 2 of them; ``link_components`` needs no such list.
     """
-    sets = distinct_sets(table)
+    sets = distinct_sets(table, share)
     posts = _postings(sets)
-    met = posts.join(_as_other(posts), "token").where((F.col("class") < F.col("other")) & _near_size(share))
+    met = posts.join(_as_other(posts), "token").where((F.col("class") < F.col("other")) & _can_link(share))
     return _compare(_enough(met), sets, share)
 
 
 def link_components(table: DataFrame, share: int = SHARE) -> DataFrame:
     """``class, root``: the classes that have a link, and the smallest class that links lead to."""
-    sets = distinct_sets(table)
+    sets = distinct_sets(table, share)
     posts = materialize(_postings(sets), "prefixes")
-    # first each set with the one that stands first in most of its lists
-    anchors = posts.groupBy("token").agg(F.min("class").alias("anchor"))
+    # first each set with the most typical set of its lists: of all members the one whose shingles are
+    # shared most fully, such as the text that near copies were made from
+    typical = F.max_by("class", F.struct(F.col("found") / F.col("n_shingles"), "class"))
+    anchors = posts.groupBy("token").agg(typical.alias("anchor"))
     met = posts.join(anchors, "token").where(F.col("class") != F.col("anchor")).groupBy("class", "anchor").count()
     best = met.groupBy("class").agg(F.max_by("anchor", F.struct("count", "anchor")).alias("anchor"))
     stars = materialize(_compare(best.select(F.col("anchor").alias("a"), F.col("class").alias("b")), sets, share), "anchor-links")
@@ -377,7 +436,7 @@ def link_components(table: DataFrame, share: int = SHARE) -> DataFrame:
     met = minor.join(_as_other(grouped, "group"), "token").where(
         (F.col("group") != F.col("other_group"))
         & ((F.col("other_group") == F.col("major")) | (F.col("class") < F.col("other")))
-        & _near_size(share)
+        & _can_link(share)
     )
     links = materialize(_compare(_enough(met), sets, share), "group-links")
     groups = joined.withColumnRenamed("root", "group")
