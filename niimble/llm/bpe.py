@@ -3,8 +3,8 @@
 A rolling hash over the bytes of a text cuts it into chunks, at places that depend on the bytes
 around them alone, so documents that share a passage share its chunks. Documents are dealt out by
 the smallest hash among their chunks: copies and documents with common passages tend to meet in one
-task, where a chunk is encoded once. Spark splits a partition that grows large because one group of
-copies is hot; it then is encoded once per part.
+worker, where a chunk is encoded once. Spark splits a partition that grows large because one group of
+copies is hot; it then is encoded once per worker that gets a part.
 
 A cut may tear a word. Near each cut the torn pieces are encoded again as one window. The window
 reaches on both sides to the nearest place where the pre-tokenizer breaks whatever stands around it:
@@ -20,6 +20,7 @@ read, so others may have any name.
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -27,6 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -37,7 +39,7 @@ from niimble.llm.runs import Slice, mix, prefix_sums, slices
 WINDOW = 24
 CHUNK_BYTES = 1024
 LEAST_CHUNK = 128
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 16 << 20
 ENTRY_BYTES = 256  # what an entry of the cache takes besides its bytes
 
 
@@ -117,12 +119,68 @@ def piece_edges(part: Slice, cuts: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([part.bounds, before, after]))
 
 
-def _encoder(vocabulary: Vocabulary):
-    import tiktoken
+def vocabulary_key(vocabulary: Vocabulary) -> str:
+    ranks = sorted(vocabulary.ranks.items(), key=lambda r: r[1])
+    return hashlib.sha256(repr((ranks, sorted(vocabulary.added.items()), vocabulary.pattern)).encode()).hexdigest()
+
+
+class Encoder:
+    """An encoder of pieces and the pieces it has encoded, kept by a Python worker from task to task."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        import tiktoken
+
+        self.vocabulary = vocabulary
+        self.core = tiktoken.Encoding(
+            "chunks", pat_str=vocabulary.pattern, mergeable_ranks=vocabulary.ranks, special_tokens=vocabulary.added
+        )
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def __call__(self, piece: bytes) -> bytes:
+        """Ids of a piece of text as little-endian unsigned 32-bit integers."""
+        ids = self.known.get(piece)
+        if ids is None:
+            if self.held > CACHE_BYTES:  # what is met again is encoded again, with equal results
+                self.known, self.held = {}, 0
+            tokens = encode_piece(self.core, self.vocabulary, piece.decode("utf-8"))
+            ids = self.known[piece] = tokens.astype("<u4").tobytes()
+            self.held += len(piece) + len(ids) + ENTRY_BYTES
+        return ids
+
+
+class Decoder:
+    """Bytes of all tokens one after another, and where each one's begin."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        words = {i: token for token, i in vocabulary.ranks.items()}
+        words |= {i: text.encode() for text, i in vocabulary.added.items()}
+        table = [words.get(i, b"") for i in range(max(words) + 1)]
+        self.known = np.array([i in words for i in range(len(table))])
+        self.size = np.array([len(w) for w in table])
+        self.place = np.cumsum(self.size) - self.size
+        self.letters = np.frombuffer(b"".join(table), np.uint8)
+
+    def __call__(self, ids: bytes | None) -> str:
+        tokens = np.frombuffer(ids or b"", "<u4")
+        if len(tokens) and not (tokens.max() < len(self.known) and self.known[tokens].all()):
+            raise ValueError("an id is not in the vocabulary")
+        length = self.size[tokens]
+        ends = np.cumsum(length)
+        shift = np.repeat(self.place[tokens] - (ends - length), length)
+        return self.letters[shift + np.arange(len(shift))].tobytes().decode("utf-8", "replace")
 
-    return tiktoken.Encoding(
-        "chunks", pat_str=vocabulary.pattern, mergeable_ranks=vocabulary.ranks, special_tokens=vocabulary.added
-    )
+
+_tools: dict[tuple[type, str], object] = {}
+
+
+def _tool(kind: type, key: str, shared: Broadcast):
+    """The worker's encoder or decoder for a vocabulary; one of each kind is kept."""
+    if (kind, key) not in _tools:
+        for old in [k for k in _tools if k[0] is kind]:
+            del _tools[old]
+        _tools[kind, key] = kind(shared.value)
+    return _tools[kind, key]
 
 
 def encode_piece(encoder, vocabulary: Vocabulary, text: str) -> np.ndarray:
@@ -179,35 +237,30 @@ def encode(
     id_column: str = "doc_id",
     text_column: str = "text",
     chunk_bytes: int = CHUNK_BYTES,
+    decoded: bool = False,
 ) -> DataFrame:
     """Per document: the id, ``n_tokens``, and ``ids`` as little-endian unsigned 32-bit integers.
 
-    The vocabulary is sent to the executors once; its size does not depend on the documents.
+    With ``decoded`` also ``text``, decoded from the ids by the same worker. The vocabulary is sent to the
+    executors once; its size does not depend on the documents.
     """
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
     schema = StructType([
         *fields(docs, id_column), StructField("n_tokens", LongType()), StructField("ids", BinaryType()),
+        *[StructField("text", StringType())][: int(decoded)],
     ])
 
+    key = vocabulary_key(vocabulary)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value)
-        cache: dict[bytes, bytes] = {}
-        held = 0
+        encoder = _tool(Encoder, key, shared)
+        decoder = _tool(Decoder, key, shared) if decoded else None
         for batch in batches:
             for part in slices(batch.column(1)):
                 edges = piece_edges(part, chunk_cuts(part, prefix_sums(part.data), chunk_bytes)).tolist()
-                raw, parts = part.data.tobytes(), []
-                for begin, end in zip(edges, edges[1:], strict=False):
-                    piece = raw[begin:end]
-                    ids = cache.get(piece)
-                    if ids is None:
-                        tokens = encode_piece(encoder, shared.value, piece.decode("utf-8"))
-                        ids = cache[piece] = tokens.astype("<u4").tobytes()
-                        held += len(piece) + len(ids) + ENTRY_BYTES
-                    parts.append(ids)
-                if held > CACHE_BYTES:  # its chunks would be encoded again, with equal results
-                    cache, held = {}, 0
+                raw = part.data.tobytes()
+                parts = [encoder(raw[begin:end]) for begin, end in zip(edges, edges[1:], strict=False)]
                 ends = np.searchsorted(edges, part.bounds[1:]).tolist()
                 begins = np.searchsorted(edges, part.bounds[:-1]).tolist()
                 whole = [b"".join(parts[a:b]) for a, b in zip(begins, ends, strict=True)]
@@ -216,6 +269,7 @@ def encode(
                         batch.column(0).slice(part.first, len(whole)),
                         pa.array([len(w) // 4 for w in whole], pa.int64()),
                         pa.array(whole, pa.binary()),
+                        *[pa.array(map(d, whole), pa.string()) for d in (decoder,) if d],
                     ],
                     schema.fieldNames(),
                 )
@@ -233,29 +287,15 @@ def decode(
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
     schema = StructType([*fields(encoded, id_column), StructField("text", StringType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = {i: token for token, i in shared.value.ranks.items()}
-        words |= {i: text.encode() for text, i in shared.value.added.items()}
-        table = [words.get(i, b"") for i in range(max(words) + 1)]
-        known = np.array([i in words for i in range(len(table))])
-        size = np.array([len(w) for w in table])
-        place = np.cumsum(size) - size
-        letters = np.frombuffer(b"".join(table), np.uint8)
-
-        def text_of(ids: bytes | None) -> str:
-            tokens = np.frombuffer(ids or b"", "<u4")
-            if len(tokens) and not (tokens.max() < len(known) and known[tokens].all()):
-                raise ValueError("an id is not in the vocabulary")
-            length = size[tokens]
-            ends = np.cumsum(length)
-            shift = np.repeat(place[tokens] - (ends - length), length)
-            return letters[shift + np.arange(len(shift))].tobytes().decode("utf-8", "replace")
+    key = vocabulary_key(vocabulary)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = _tool(Decoder, key, shared)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 ids = batch.column(1).slice(at, 512).to_pylist()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, 512), pa.array([text_of(x) for x in ids], pa.string())],
+                    [batch.column(0).slice(at, 512), pa.array([decoder(x) for x in ids], pa.string())],
                     schema.fieldNames(),
                 )
 
@@ -263,10 +303,8 @@ def decode(
 
 
 def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Per document: ``n_tokens`` and SHA-256 of the ids and of the text decoded from them.
-
-    Ids and texts go from one step to the next within a task: no join, no further shuffle.
-    """
-    encoded = encode(docs, vocabulary).withColumn("row", F.struct("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256")))
-    decoded = decode(encoded, vocabulary, "row")
-    return decoded.select("row.*", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    """Per document: ``n_tokens`` and SHA-256 of the ids and of the text decoded from them."""
+    return encode(docs, vocabulary, decoded=True).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )

@@ -16,8 +16,8 @@ __all__ = ["arrow_stage", "fields", "fold", "hash_sample", "materialize", "read_
 
 # Arrow batches of texts are kept small: a task holds one, and what numpy makes of it.
 TEXT_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 

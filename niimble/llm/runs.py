@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 MASK = (1 << 64) - 1
 
 # The white space of the contracts, 0x20 and 0x09 to 0x0D.

@@ -16,11 +16,13 @@ those named are not read. Whole texts are counted, in slices of bounded memory.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -29,8 +31,8 @@ from niimble.llm.runs import find_runs, prefix_sums, slices, span_hash
 
 MARK = 0xFF  # stands for the word mark; no byte of UTF-8
 WORD_MARK = "\u2581".encode()  # fixed value: how sentencepiece writes it
-KNOWN_WORDS = 1 << 20
-FILTER_BITS = 22
+KNOWN_WORDS = 1 << 19
+FILTER_BITS = 20
 
 
 class Pieces(NamedTuple):
@@ -119,17 +121,29 @@ def trie_counts(words: list[bytes], pieces: Pieces) -> np.ndarray:
     return count[start + length]
 
 
+_pieces: dict[str, Pieces] = {}
+
+
+def _pieces_for(key: str, shared: Broadcast) -> Pieces:
+    """The worker's table for a vocabulary, made once and kept from task to task."""
+    if key not in _pieces:
+        _pieces.clear()
+        _pieces[key] = pieces_of(shared.value)
+    return _pieces[key]
+
+
 def count_tokens(
     docs: DataFrame, scored: dict[bytes, float], id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Per document: the id, ``n_words`` and ``n_tokens``. The vocabulary is sent once; its size is fixed."""
     shared = docs.sparkSession.sparkContext.broadcast(scored)
+    key = hashlib.sha256(repr(sorted(scored.items())).encode()).hexdigest()
     schema = StructType([
         *fields(docs, id_column), StructField("n_words", LongType()), StructField("n_tokens", LongType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = pieces_of(shared.value)
+        pieces = _pieces_for(key, shared)
         hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for part in slices(batch.column(1)):
