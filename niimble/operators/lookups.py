@@ -2,13 +2,16 @@
 
 Spark broadcasts the lookup side where its files are under ``spark.sql.autoBroadcastJoinThreshold``
 and shuffles both sides beyond that; AQE then splits hot partitions (see ``niimble.session``), and
-``salts`` spreads them without AQE. ``attach_bounded`` is for a lookup side that Spark takes for
-large because it was computed from facts, though a small table bounds its rows.
-
-A range or as-of lookup never compares a row with a whole key group: spans are listed once per
-calendar step they touch, so the join is an equi join on (key, step) and a row meets only the
-spans of its own month, quarter or year. The listed spans pass through one small shuffle first.
-That gives AQE their real size before it decides whether they may be broadcast.
+``salts`` spreads them without AQE. Copies of a table per salt are never broadcast, as Spark would
+judge them by the size before they are copied.
+
+A range or as-of lookup never compares a row with a whole key group: the join is an equi join on
+(key, calendar step), so a row meets only the spans of its own month, quarter or year. Spans are
+listed under the steps that the facts of their key have, and no others. So open ends, ends in the
+year 9999 and stray starts list nothing needless, and what is listed for a key is bounded by its
+facts' steps, times the spans that cover them. The listed spans come from a join, for which
+Spark assumes a large size: they are broadcast only if AQE has measured them small. The facts are
+read twice, once for their steps; ``tables.materialize`` them first where that is costly.
 """
 
 from __future__ import annotations
@@ -19,18 +22,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of a few short codes and numbers that may be broadcast: some ten megabytes.
-BROADCAST_ROWS = 100_000
-
 SALT = "_salt"
 BUCKET = "_step"
 
-# Calendar steps: how a date is cut to its step, and the distance to the next one.
-STEPS = {
-    "month": ("MM", "interval 1 month"),
-    "quarter": ("QUARTER", "interval 3 month"),
-    "year": ("YEAR", "interval 1 year"),
-}
+# Calendar steps: how a date is cut to its step.
+STEPS = {"month": "MM", "quarter": "QUARTER", "year": "YEAR"}
 
 
 def attach(
@@ -49,27 +45,10 @@ def attach(
     on = list(on)
     if salts <= 1:
         return facts.join(table, on, how)
-    copies = table.withColumn(SALT, _every_salt(salts))
+    copies = table.withColumn(SALT, _every_salt(salts)).hint("merge")
     return facts.withColumn(SALT, _salt_of(facts, salts)).join(copies, [*on, SALT], how).drop(SALT)
 
 
-def attach_bounded(
-    facts: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    bound: DataFrame,
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Inner equality lookup in a table whose keys are unique and all occur in ``bound``.
-
-    The rows of ``bound`` are counted now, at most one beyond ``max_rows``. Up to ``max_rows`` the
-    table cannot have more rows either, and is broadcast; beyond, it is joined as any other.
-    Grain: facts of those keys.
-    """
-    small = bound.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(table) if small else table, list(on))
-
-
 def _salt_of(rows: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in rows.columns]), F.lit(salts))
 
@@ -108,9 +87,30 @@ def range_lookup(
     keys with few spans; ``salts`` as for ``attach``. Grain: facts, times the spans that cover
     the date.
     """
-    # Before the first end and after the last start no span ends or begins.
-    days = spans.select(F.min(end)), spans.select(F.max(start))
-    return _join_by_step(facts, spans, on, at, start, end, take, end_included, how, step, salts, days)
+    return _join_by_step(facts, spans, on, at, start, end, take, end_included, how, step, salts)
+
+
+def listed_spans(
+    facts: DataFrame, spans: DataFrame, on: Sequence[str], at: str, start: str, end: str, end_included: bool, step: str
+) -> DataFrame:
+    """Spans under each step of their key's facts that they touch, as column BUCKET.
+
+    Grain: span x step. Spans without a start, or that end before they start, are left out.
+    """
+    unit = STEPS[step]
+    steps = facts.where(F.col(at).isNotNull()).select(
+        *[F.col(c).alias(f"_seen_{c}") for c in on], F.trunc(F.col(at).cast("date"), unit).alias(BUCKET)
+    ).distinct()
+    usable = F.col(start) <= F.col(end) if end_included else F.col(start) < F.col(end)
+    # taken out of an array, a key that is a literal stays a column to join on
+    keys = F.inline(F.array(F.struct(*[F.col(c).alias(f"_key_{c}") for c in on])))
+    tests: list[Column] = [
+        *[F.col(f"_key_{c}") == F.col(f"_seen_{c}") for c in on],
+        F.trunc(F.col(start), unit) <= F.col(BUCKET),
+        F.col(end).isNull() | (F.col(BUCKET) <= F.trunc(F.col(end), unit)),
+    ]
+    proper = spans.where(F.col(start).isNotNull() & (F.col(end).isNull() | usable)).select("*", keys)
+    return proper.join(steps, reduce(lambda a, b: a & b, tests)).select(*spans.columns, BUCKET)
 
 
 def _join_by_step(
@@ -125,41 +125,25 @@ def _join_by_step(
     how: str,
     step: str,
     salts: int,
-    days: tuple[DataFrame, DataFrame],
 ) -> DataFrame:
     on, take = list(on), list(take)
-    unit, distance = STEPS[step]
-    # Earlier dates share the first of these steps and later ones the last, on both sides of the
-    # join. That keeps the order of dates, so a date still lies in a step its span is listed
-    # under, and open ends or ends in the year 9999 list no steps that tell nothing apart.
-    first, last = (F.trunc(day.scalar(), unit) for day in days)
-
-    def step_of(day: Column) -> Column:
-        return F.least(F.greatest(F.trunc(day, unit), first), last)
-
-    usable = F.col(start) <= F.col(end) if end_included else F.col(start) < F.col(end)
-    side = {c: f"_span_{c}" for c in dict.fromkeys([*on, start, end, *take])}
-    listed = (
-        spans.where(F.col(start).isNotNull() & (F.col(end).isNull() | usable))
-        .select(*[F.col(c).alias(a) for c, a in side.items()],
-                step_of(F.col(start)).alias("_from"),
-                F.when(F.col(end).isNull(), last).otherwise(step_of(F.col(end))).alias("_to"))
-        .withColumn("_span_step", F.explode(F.sequence("_from", "_to", F.expr(distance))))
-        .withColumn("_span_salt", _every_salt(salts))
-        .drop("_from", "_to")
-        .repartition(*[side[c] for c in on], "_span_step", "_span_salt")
+    needed = spans.select(*dict.fromkeys([*on, start, end, *take]))
+    side = {c: f"_span_{c}" for c in needed.columns}
+    listed = listed_spans(facts, needed, on, at, start, end, end_included, step).select(
+        *[F.col(c).alias(a) for c, a in side.items()], F.col(BUCKET).alias("_span_step")
     )
     day = F.col(at).cast("date")
-    dated = facts.withColumns({
-        BUCKET: F.when(F.col(at).isNotNull(), step_of(day)),
-        SALT: _salt_of(facts, salts) if salts > 1 else F.lit(0).cast("bigint"),
-    })
+    dated = facts.withColumn(BUCKET, F.when(F.col(at).isNotNull(), F.trunc(day, STEPS[step])))
+    matches: list[Column] = []
+    if salts > 1:
+        listed = listed.withColumn("_span_salt", _every_salt(salts)).hint("merge")
+        dated = dated.withColumn(SALT, _salt_of(facts, salts))
+        matches.append(F.col(SALT) == F.col("_span_salt"))
     span_end = F.col(side[end])
     before_end = day <= span_end if end_included else day < span_end
-    matches: list[Column] = [
+    matches += [
         *[F.col(c) == F.col(side[c]) for c in on],
         F.col(BUCKET) == F.col("_span_step"),
-        F.col(SALT) == F.col("_span_salt"),
         F.col(side[start]) <= day,
         span_end.isNull() | before_end,
     ]
@@ -190,7 +174,4 @@ def as_of_lookup(
     # After the step above a key has at most one row per calendar day: the window is bounded.
     follow = Window.partitionBy(*on).orderBy(since)
     spans = days.withColumn("_until", F.lead(since).over(follow))
-    ends = dated.select(F.min(since)), dated.select(F.max(since))
-    return _join_by_step(
-        facts, spans, on, at, since, "_until", take, False, "left", step, salts, ends
-    )
+    return _join_by_step(facts, spans, on, at, since, "_until", take, False, "left", step, salts)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from niimble.operators.lookups import as_of_lookup, attach, attach_bounded, latest, range_lookup
+from niimble.operators.lookups import as_of_lookup, attach, latest, listed_spans, range_lookup
 
 DAY0 = date(2019, 11, 20)
 
@@ -123,11 +125,50 @@ def test_latest_is_stable_on_ties(spark):
     assert latest(rows, ["k"], ["t"]).columns == ["k", "t", "v"]
 
 
-@pytest.mark.parametrize("max_rows, hinted", [(2, True), (1, False)])
-def test_bounded_lookup_is_broadcast_only_within_its_bound(spark, max_rows, hinted):
-    facts = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "k string, n int")
-    bound = spark.createDataFrame([("a",), ("b",)], "k string")
-    table = facts.join(bound, ["k"], "left_semi").groupBy("k").count()
-    rows = attach_bounded(facts, table, ["k"], bound, max_rows)
-    assert sorted((r.k, r.n, r["count"]) for r in rows.collect()) == [("a", 1, 2), ("a", 2, 2), ("b", 3, 1)]
-    assert ("strategy=broadcast" in rows._jdf.queryExecution().logical().toString()) == hinted
+def executed(rows):
+    rows.collect()
+    return rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_long_spans_list_no_more_than_their_facts_need(spark):
+    """10,000 keys with a span of 40 years each, and facts in three months of two of these years."""
+    keys = spark.range(10_000).select(F.col("id").cast("string").alias("k"))
+    spans = keys.select("k", F.lit(date(1980, 1, 1)).alias("lo"), F.lit(date(2019, 12, 31)).alias("hi"), F.lit(1).alias("v"))
+    days = F.explode(F.array(*[F.lit(d) for d in (date(1990, 5, 5), date(1990, 5, 6), date(1990, 6, 1), date(2001, 1, 1))]))
+    facts = keys.select("k", days.alias("at"))
+    listed = listed_spans(facts, spans, ["k"], "at", "lo", "hi", True, "month")
+    assert listed.count() == 30_000
+    rows = range_lookup(facts, spans, ["k"], "at", "lo", "hi", ["v"])
+    assert rows.where("v = 1").count() == 40_000
+
+
+def test_a_stray_start_adds_at_most_a_row_per_step(spark):
+    facts = spark.createDataFrame([("a", date(2020, 1, 5)), ("a", date(2020, 3, 1)), ("b", date(2020, 1, 1))], "k string, at date")
+    points = [("a", date(1900, 1, 1), 1), ("a", date(9999, 1, 1), 2), ("b", date(9999, 1, 1), 3), ("c", date(2000, 1, 1), 4)]
+    table = spark.createDataFrame(points, "k string, since date, v int")
+    spans = spark.createDataFrame([(k, d, None, v) for k, d, v in points], "k string, lo date, hi date, v int")
+    assert listed_spans(facts, spans, ["k"], "at", "lo", "hi", False, "month").count() == 2
+    got = sorted((r.k, r["at"], r.v) for r in as_of_lookup(facts, table, ["k"], "at", "since", ["v"]).collect() if r.v)
+    assert got == [("a", date(2020, 1, 5), 1), ("a", date(2020, 3, 1), 1)]
+
+
+def test_listed_spans_and_salted_copies_are_not_broadcast_by_estimate(spark, tmp_path):
+    keys = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    keys.select("k", F.lit(date(1980, 1, 1)).alias("lo"), F.lit(date(2019, 12, 31)).alias("hi"), F.lit(1).alias("v")).write.parquet(str(tmp_path / "spans"))
+    keys.select("k", F.explode(F.sequence(F.lit(date(1980, 1, 1)), F.lit(date(1999, 12, 1)), F.expr("interval 1 month"))).alias("at")).write.parquet(str(tmp_path / "facts"))
+    spans, facts = spark.read.parquet(str(tmp_path / "spans")), spark.read.parquet(str(tmp_path / "facts"))
+    rows = range_lookup(facts, spans, ["k"], "at", "lo", "hi", ["v"])
+    plan = executed(rows.agg(F.count("v")))
+    for keys_of_join in re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan):
+        assert "_step" not in keys_of_join  # 720,000 listed rows
+    assert rows.where("v is not null").count() == 720_000
+    salted = attach(facts, spans.select("k", "v"), ["k"], salts=64)
+    assert "BroadcastHashJoin" not in executed(salted.agg(F.count("v")))
+
+
+def test_a_literal_key_stays_an_equi_join(spark):
+    facts = spark.createDataFrame([("EUR", date(2020, 1, 5)), ("USD", date(2020, 1, 5))], "c string, at date")
+    points = spark.createDataFrame([(date(2020, 1, 1), 7)], "since date, v int").select(F.lit("EUR").alias("c"), "since", "v")
+    rows = as_of_lookup(facts, points, ["c"], "at", "since", ["v"])
+    assert "NestedLoop" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.c, r.v) for r in rows.collect()) == [("EUR", 7), ("USD", None)]
