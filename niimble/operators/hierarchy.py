@@ -3,48 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from niimble.operators.lookups import attach
+from niimble.operators.lookups import attach, latest
+from niimble.sources.tables import materialize
 
 
 def closure(edges: DataFrame, child: str, parent: str, levels: int | None = None) -> DataFrame:
-    """Every node with each of its ancestors and itself. Grain: (node, ancestor); columns + depth.
+    """Every node with each of its ancestors and itself, once. Grain: (node, ancestor); columns + depth,
+    the smallest number of steps.
 
-    With ``levels``, the number of steps from the deepest leaf to the top, the climb is one plan of
-    that many lookups and fits hierarchies of any size; a deeper one is an error. Without it the
-    climb is a recursive query, a round of jobs per level; Spark ends cycles and more than
-    ``spark.sql.cteRecursionRowLimit`` rows with an error. Repeated edges count once.
+    The climb goes on with the pairs of the last step only. With ``levels``, the number of steps from
+    the deepest leaf to the top, it is one plan; a deeper hierarchy is an error. Without it each step is
+    written, until one finds no new pair. Both forms give the same rows at any size. A cycle is an error.
+    Repeated edges count once.
     """
-    links = edges.select(F.col(child).alias("node"), F.col(parent).alias("up")).where("up IS NOT NULL")
-    if levels is not None:
-        return _climb(links.distinct(), levels)
-    return edges.sparkSession.sql(
-        """
-        WITH RECURSIVE path(node, ancestor, depth) AS (
-          SELECT node, node, 0 FROM (SELECT DISTINCT explode(array(node, up)) AS node FROM {links})
-          UNION ALL
-          SELECT p.node, l.up, p.depth + 1 FROM path p JOIN {links} l ON p.ancestor = l.node
-        )
-        SELECT node, ancestor, depth FROM path
-        """,
-        links=links.distinct(),
-    )
-
-
-def _climb(links: DataFrame, levels: int) -> DataFrame:
-    rows = links.select(F.explode(F.array("node", "up")).alias("_up0")).distinct()
-    for level in range(levels + 1):
-        step = links.select(F.col("node").alias(f"_up{level}"), F.col("up").alias(f"_up{level + 1}"))
-        rows = attach(rows, step, [f"_up{level}"])
-    too_deep = F.raise_error(F.concat(F.lit(f"more than {levels} levels above "), F.col("_up0")))
-    top = F.when(F.col(f"_up{levels + 1}").isNotNull(), too_deep.cast("string")).otherwise(F.col("_up0"))
-    climbed = rows.select(top.alias("node"), F.posexplode(F.array(*[f"_up{k}" for k in range(levels + 1)])))
-    return climbed.where("col IS NOT NULL").select(
-        "node", F.col("col").alias("ancestor"), F.col("pos").alias("depth")
+    links = edges.select(F.col(child).alias("node"), F.col(parent).alias("up")).where(
+        F.col("node").isNotNull() & F.col("up").isNotNull()
     ).distinct()
+    if levels is None:
+        links = materialize(links, "hierarchy-links")
+    new = links.select(F.explode(F.array("node", "up")).alias("node")).distinct().select(
+        "node", F.col("node").alias("ancestor")
+    )
+    steps = [new.withColumn("depth", F.lit(0))]
+    while levels is None or len(steps) <= levels + 1:
+        new = _step(new, links)
+        if levels is None:
+            new = materialize(new, "hierarchy-step")
+            if new.isEmpty():
+                break
+        elif len(steps) == levels + 1:
+            too_deep = F.raise_error(F.concat(F.lit(f"more than {levels} levels above "), F.col("node").cast("string")))
+            new = new.withColumn("ancestor", too_deep.cast(new.schema["ancestor"].dataType))
+        steps.append(new.withColumn("depth", F.lit(len(steps))))
+    return reduce(DataFrame.unionByName, steps).groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+
+
+def _step(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs one step further up, each once; a node that meets itself is an error."""
+    ups = links.select(F.col("node").alias("ancestor"), F.col("up"))
+    cycle = F.raise_error(F.concat(F.lit("a cycle leads through "), F.col("node").cast("string")))
+    above = F.when(F.col("up") == F.col("node"), cycle.cast(links.schema["up"].dataType)).otherwise(F.col("up"))
+    return pairs.join(ups, "ancestor").select("node", above.alias("ancestor")).distinct()
+
+
+def effective_edges(edges: DataFrame, on_day: date, node: str = "business_unit") -> DataFrame:
+    """The edge of each node that is in force on a day: the last with effective_from <= day. Grain: node."""
+    started = edges.where(F.col("effective_from") <= F.lit(on_day))
+    return latest(started, [node], ["effective_from"])
 
 
 def hierarchy_rollup(
