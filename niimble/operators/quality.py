@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,15 +14,19 @@ def reconcile(
 ) -> DataFrame:
     """Totals of both sides per key and whether they agree. Grain: key of either side.
 
-    A key that one side lacks has a NULL there and does not agree. Both sides are summed
-    before they meet.
+    A key that one side lacks has a NULL there and does not agree. NULL in a key is a value of its own
+    and meets NULL. Both sides are summed before they meet.
     """
     def totals(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy(*on).agg(F.sum(measure).cast("double").alias(name))
 
+    one, other = totals(left, "left_total"), totals(right, "right_total")
+    other = other.withColumnsRenamed({c: f"_other_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [one[c].eqNullSafe(other[f"_other_{c}"]) for c in on])
     gap = F.abs(F.col("left_total") - F.col("right_total"))
-    return totals(left, "left_total").join(totals(right, "right_total"), list(on), "full").withColumn(
-        "agrees", F.coalesce(gap <= F.lit(tolerance), F.lit(False))
+    return one.join(other, same, "full").select(
+        *[F.coalesce(F.col(c), F.col(f"_other_{c}")).alias(c) for c in on], "left_total", "right_total",
+        F.coalesce(gap <= F.lit(tolerance), F.lit(False)).alias("agrees"),
     )
 
 
@@ -37,3 +42,20 @@ def orphan_keys(facts: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFr
     """
     counted = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
     return counted.join(table.select(*on), list(on), "left_anti")
+
+
+def check_unique(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], shown: int = 10) -> None:
+    """An error that names keys given more than once. ``tables``: name to table and its key columns.
+
+    All tables are counted in one job; at most ``shown`` keys come to the driver.
+    """
+    found = [
+        duplicate_keys(table, on).select(
+            F.lit(name).alias("name"), F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in on]).alias("key")
+        )
+        for name, (table, on) in tables.items()
+    ]
+    twice = reduce(DataFrame.unionByName, found).limit(shown).collect()
+    if twice:
+        listed = "; ".join(sorted(f"{r['name']} ({r['key']})" for r in twice))
+        raise ValueError(f"lookup keys given more than once: {listed}")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,9 @@ from pyspark.sql.types import StructType
 FORMATS = ("parquet", "csv", "delta")
 RUN_COLUMN = "run_id"
 
+# Paths given out within each open ``scratch`` block.
+_open_scratch: list[list[str]] = []
+
 
 def _checked(fmt: str) -> str:
     if fmt.lower() not in FORMATS:
@@ -91,7 +96,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="niimble-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for made in _open_scratch:
+        made.append(path)
+    return path
 
 
 def materialize(rows: DataFrame, name: str) -> DataFrame:
@@ -104,9 +112,20 @@ def materialize(rows: DataFrame, name: str) -> DataFrame:
     return read_path(rows.sparkSession, path, schema=rows.schema)
 
 
+class ForeignRun(ValueError):
+    """Rows of another run than the one they were to be written for."""
+
+
+def check_run(rows: DataFrame, run_id: str, name: str) -> None:
+    """An error if any row carries another run id, or none."""
+    foreign = rows.where(~F.col(RUN_COLUMN).eqNullSafe(F.lit(run_id))).select(RUN_COLUMN).limit(1).collect()
+    if foreign:
+        raise ForeignRun(f"{name} has rows of run {foreign[0][0]!r}, not of {run_id!r}")
+
+
 @dataclass(frozen=True)
 class TableStore:
-    """Tables under one root, partitioned by run: a run replaces its own rows and no others."""
+    """Tables under one root, a folder per run: a run replaces its own rows, also by none, and no others."""
 
     spark: SparkSession
     root: str
@@ -114,12 +133,40 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def put(self, name: str, rows: DataFrame, run_id: str) -> DataFrame:
-        """Write the rows of a run and return them as read back, which cuts their lineage."""
-        write_path(rows, self.path(name), partition_by=[RUN_COLUMN])
+    def run_path(self, name: str, run_id: str) -> str:
+        return f"{self.path(name)}/{RUN_COLUMN}={quote(run_id, safe='-_. ')}"
+
+    def put(self, name: str, rows: DataFrame, run_id: str, checked: bool = False) -> DataFrame:
+        """Write the rows of a run and return them as read back, which cuts their lineage.
+
+        Rows of another run are an error, and nothing is written. ``checked``: the caller has seen to that.
+        """
+        if not checked:
+            check_run(rows, run_id, name)
+        write_path(rows.drop(RUN_COLUMN), self.run_path(name, run_id))
         return self.get(name, rows.schema, run_id)
 
     def get(self, name: str, schema: StructType, run_id: str) -> DataFrame:
-        """The rows of one run; other runs' partitions are not read."""
-        stored = read_path(self.spark, self.path(name), schema=schema)
-        return stored.where(F.col(RUN_COLUMN) == F.lit(run_id)).select(*schema.names)
+        """The rows of one run; other runs' folders are not read."""
+        stored = StructType([f for f in schema if f.name != RUN_COLUMN])
+        rows = read_path(self.spark, self.run_path(name, run_id), schema=stored)
+        return rows.withColumn(RUN_COLUMN, F.lit(run_id)).select(*schema.names)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end: what is to stay must have been written by then."""
+    made: list[str] = []
+    _open_scratch.append(made)
+    try:
+        yield
+    finally:
+        _open_scratch.remove(made)
+        for path in made:
+            remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -77,6 +77,37 @@ def test_partition_overwrite_replaces_one_run(spark, rows, tmp_path):
     assert store.get("t", first.schema, "r2").count() == 4
 
 
+def test_an_empty_result_clears_the_run(spark, rows, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    first = store.put("t", rows.withColumn("run_id", F.lit("r1")), "r1")
+    store.put("t", rows.withColumn("run_id", F.lit("r2")), "r2")
+    assert store.put("t", first.where("1 = 0"), "r1").count() == 0
+    assert store.get("t", first.schema, "r1").count() == 0
+    assert store.get("t", first.schema, "r2").count() == 4
+
+
+@pytest.mark.parametrize("other", ["r2", None])
+def test_rows_of_another_run_are_not_written(spark, rows, tmp_path, other):
+    store = tables.TableStore(spark, str(tmp_path))
+    first = store.put("t", rows.withColumn("run_id", F.lit("r1")), "r1")
+    mixed = rows.withColumn("run_id", F.when(F.col("key") == "A", F.lit(other)).otherwise("r1"))
+    with pytest.raises(tables.ForeignRun, match="of run"):
+        store.put("t", mixed, "r1")
+    assert store.get("t", first.schema, "r1").count() == 4
+
+
+def test_scratch_tables_are_removed_at_the_end_of_their_block(spark, rows):
+    from pathlib import Path
+
+    with tables.scratch(spark):
+        kept = tables.materialize(rows, "rows")
+        folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+        assert folder.exists()
+    assert not folder.exists()
+    outside = tables.materialize(rows, "rows")
+    assert outside.count() == 4
+
+
 def test_materialized_rows_are_read_from_the_shared_folder(spark, rows):
     kept = tables.materialize(rows, "rows")
     assert sorted(kept.collect()) == sorted(rows.collect()) and kept.schema == rows.schema
