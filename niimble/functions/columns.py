@@ -24,13 +24,27 @@ def ratio(top: str | Column, bottom: str | Column) -> Column:
 
 
 def mean(c: str | Column) -> Column:
-    """Mean of the non-NULL values as double. A DECIMAL input is summed exactly first."""
-    return ratio(F.sum(col(c)), F.count(col(c)))
+    """Mean of the non-NULL values as double, summed as ``exact_sum`` does."""
+    return ratio(exact_sum(c), F.count(col(c)))
 
 
 def exact_sum(c: str | Column, as_type: str = EXACT_TYPE) -> Column:
-    """Sum of a floating column that is the same for every partitioning of the rows."""
-    return F.sum(col(c).cast(as_type)).cast("double")
+    """Sum as double that is the same for every order and partitioning of the rows.
+
+    Values are rounded to the scale of ``as_type`` (ten places) before they are added. A NaN makes the
+    sum NaN; a value or a sum that does not fit the type makes it NULL. No value drops out unseen.
+    """
+    value = col(c)
+    exact = value.try_cast(as_type)
+    no_number = F.coalesce(F.bool_or(F.isnan(value.cast("double"))), F.lit(False))
+    unfit = F.coalesce(F.bool_or(value.isNotNull() & exact.isNull()), F.lit(False))
+    return F.when(no_number, F.lit(float("nan"))).when(~unfit, F.try_sum(exact).cast("double"))
+
+
+def rounded(c: str | Column, as_type: str) -> Column:
+    """A double at the scale of a DECIMAL type; a value that does not fit it stays as it is."""
+    value = col(c).cast("double")
+    return F.coalesce(col(c).try_cast(as_type).cast("double"), value)
 
 
 def default(c: str | Column, value: object) -> Column:

@@ -4,56 +4,103 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from niimble.functions.columns import exact_sum, mean, ratio
-from niimble.operators.lookups import attach, latest, range_lookup
+from niimble.operators.lookups import as_of_lookup, attach, latest, range_lookup
 
 
 def window_average(
-    positions: DataFrame, windows: DataFrame, by: Sequence[str], balance: str, at: str = "period_date"
+    positions: DataFrame,
+    windows: DataFrame,
+    by: Sequence[str],
+    balance: str,
+    at: str = "period_date",
+    salts: int = 1,
 ) -> DataFrame:
-    """Mean balance inside the launchpoint window of the unit. Grain: ``by``.
+    """Mean balance inside the launchpoint windows of the unit. Grain: ``by``.
 
-    Both window ends count. ``by`` must hold run_id and business_unit.
+    Both window ends count. A position counts once, however many windows of its unit it lies in:
+    windows that overlap or touch are joined to one first. ``by`` must hold run_id and business_unit.
     """
+    unit = ["run_id", "business_unit"]
     inside = range_lookup(
-        positions, windows, ["run_id", "business_unit"], at, "window_start", "window_end", [], how="inner"
+        positions, merged_windows(windows, unit), unit, at, "window_start", "window_end", [], how="inner", salts=salts
     )
     return inside.groupBy(*by).agg(
         mean(balance).alias("launchpoint_balance"), F.count(F.lit(1)).alias("positions")
     )
 
 
+def merged_windows(windows: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Windows that do not overlap and cover the same days, per ``on``; a NULL end is open.
+
+    The window function runs over the windows of one key, a handful of configuration rows.
+    """
+    proper = windows.where(
+        F.col("window_start").isNotNull()
+        & (F.col("window_end").isNull() | (F.col("window_start") <= F.col("window_end")))
+    ).select(*on, "window_start", F.coalesce("window_end", F.lit("9999-12-31").cast("date")).alias("window_end"))
+    along = Window.partitionBy(*on).orderBy("window_start", "window_end")
+    reached = F.max("window_end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opens = proper.withColumn("_opens", (reached.isNull() | (F.col("window_start") > reached)).cast("int"))
+    return (
+        opens.withColumn("_run", F.sum("_opens").over(along))
+        .groupBy(*on, "_run")
+        .agg(F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end"))
+        .drop("_run")
+    )
+
+
 def proxy_fill(
-    segments: DataFrame, relationships: DataFrame, value: str, by: Sequence[str] = ()
+    segments: DataFrame,
+    relationships: DataFrame,
+    value: str,
+    by: Sequence[str] = (),
+    at: str | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Missing values replaced by the weighted values of the proxy segments. Grain: segments.
 
     ``segments``: segment, ``by`` columns, value. ``relationships``: source_segment,
-    proxy_segment, proxy_weight. Only segments with a missing value enter the self-join; a
-    segment whose proxies are all missing stays NULL. ``segments`` enters the plan three times:
-    ``tables.materialize`` it first if it is costly.
+    proxy_segment, proxy_weight. With ``at``, a date column of ``by``, only the relationships of the
+    last ``effective_date`` on or before the date count for a source segment. Only segments with a
+    missing value enter the self-join; a segment whose proxies are all missing stays NULL.
+    ``proxy_weight_found`` is the weight of the proxies that had a value, NULL where nothing was
+    missing; the fill is not scaled up to the whole weight. ``segments`` enters the plan three
+    times: ``tables.materialize`` it first if it is costly.
     """
     on = list(by)
     known = segments.where(F.col(value).isNotNull()).select(
         F.col("segment").alias("proxy_segment"), *on, F.col(value).alias("_proxy_value")
     )
     sparse = segments.where(F.col(value).isNull()).select(F.col("segment").alias("source_segment"), *on)
+    links = relationships.select(
+        "source_segment", "proxy_segment", "proxy_weight", *(["effective_date"] if at else [])
+    )
+    if at:
+        # all relationships of one day are in force together, until the next day that has some
+        days = links.select("source_segment", "effective_date").distinct()
+        dated = as_of_lookup(
+            sparse, days.withColumn("_day", F.col("effective_date")), ["source_segment"], at, "effective_date", ["_day"]
+        )
+        wanted = dated.withColumnRenamed("_day", "effective_date")
+        pairs = attach(wanted, links, ["source_segment", "effective_date"], how="inner", salts=salts)
+    else:
+        pairs = attach(sparse, links, ["source_segment"], how="inner", salts=salts)
     weighted = F.col("proxy_weight") * F.col("_proxy_value")
     fills = (
-        attach(sparse, relationships.select("source_segment", "proxy_segment", "proxy_weight"),
-               ["source_segment"], how="inner")
-        .join(known, ["proxy_segment", *on])
+        pairs.join(known, ["proxy_segment", *on])
         .groupBy("source_segment", *on)
-        .agg(exact_sum(weighted).alias("_fill"))
+        .agg(exact_sum(weighted).alias("_fill"), exact_sum("proxy_weight").alias("_weight"))
         .withColumnRenamed("source_segment", "segment")
     )
     return (
         attach(segments, fills, ["segment", *on])
         .withColumn("filled_value", F.coalesce(F.col(value).cast("double"), "_fill"))
-        .drop("_fill")
+        .withColumn("proxy_weight_found", F.when(F.col(value).isNull(), F.coalesce("_weight", F.lit(0.0))))
+        .drop("_fill", "_weight")
     )
 
 

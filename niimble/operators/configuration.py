@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, fields
 from datetime import date, datetime
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,14 +92,16 @@ def effective_on(store: DataFrame, day: date) -> DataFrame:
     return store.where(started & (F.col("expiry_date").isNull() | (F.col("expiry_date") > F.lit(day))))
 
 
-def effective_lookup(facts: DataFrame, store: DataFrame, at: str, take: Sequence[str]) -> DataFrame:
+def effective_lookup(
+    facts: DataFrame, store: DataFrame, at: str, take: Sequence[str], step: str = "year", salts: int = 1
+) -> DataFrame:
     """Parameters in force on each row's own date, per config_key. Grain: facts x rows in force.
 
     A key has few versions, so they are listed per year.
     """
     return range_lookup(
         facts, store, ["config_key"], at, "effective_date", "expiry_date", take,
-        end_included=False, step="year",
+        end_included=False, step=step, salts=salts,
     )
 
 
@@ -117,21 +118,26 @@ def scope_filter(
 ) -> DataFrame:
     """Rows that some scope row admits; a NULL scope column admits any value. Grain: facts.
 
-    One equality lookup per pattern of filled scope columns, on just those columns. Rows of one
-    pattern that agree on its columns are equal as a whole, so after ``distinct`` no lookup
-    repeats a fact.
+    The patterns of filled columns that occur in the scope are read first, in one small aggregate; there
+    is one equality lookup per pattern, on just its columns. Rows of one pattern that agree on its
+    columns are equal as a whole, so after ``distinct`` no lookup repeats a fact. A scope row without
+    any filled column admits all facts, an empty scope none.
     """
     admitted = scope.select(*columns).distinct()
+    filled = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in columns]))
+    patterns = sorted((r[0] for r in admitted.select(filled.alias("filled")).distinct().collect()), key=lambda p: (-len(p), p))
+    if [] in patterns:
+        return facts
+    if not patterns:
+        return facts.limit(0)
     rows, hits = facts, []
-    for size in range(len(columns), 0, -1):
-        for filled in combinations(columns, size):
-            hit = "_admitted_by_" + "_".join(filled)
-            tests = [F.col(c).isNotNull() if c in filled else F.col(c).isNull() for c in columns]
-            pattern = admitted.where(_all(tests)).select(*filled, F.lit(True).alias(hit))
-            rows = attach(rows, pattern, filled, salts=salts)
-            hits.append(F.col(hit).isNotNull())
-    everything = admitted.where(_all(F.col(c).isNull() for c in columns)).exists()
-    return rows.where(reduce(lambda a, b: a | b, [*hits, everything])).select(*facts.columns)
+    for pattern in patterns:
+        hit = "_admitted_by_" + "_".join(pattern)
+        tests = [F.col(c).isNotNull() if c in pattern else F.col(c).isNull() for c in columns]
+        found = admitted.where(_all(tests)).select(*pattern, F.lit(True).alias(hit))
+        rows = attach(rows, found, pattern, salts=salts)
+        hits.append(F.col(hit).isNotNull())
+    return rows.where(reduce(lambda a, b: a | b, hits)).select(*facts.columns)
 
 
 def _all(tests: Iterable[Column]) -> Column:

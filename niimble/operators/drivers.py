@@ -6,10 +6,10 @@ large to be broadcast and AQE is off.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from niimble.functions.columns import choose, default, plus, times
+from niimble.functions.columns import choose, col, default, plus, times
 from niimble.functions.constants import (
     BASE_YIELD,
     BASE_YIELD_OTHER,
@@ -40,9 +40,21 @@ def add_drivers(rows: DataFrame) -> DataFrame:
     })
 
 
-def drivers_long(rows: DataFrame, ids: tuple[str, ...] = ("business_unit", "product")) -> DataFrame:
-    """Drivers as (driver_type, driver_value). Grain: id x driver, duplicates kept."""
-    return rows.unpivot(list(ids), list(DRIVERS), "driver_type", "driver_value")
+def drivers_long(
+    rows: DataFrame, ids: tuple[str, ...] = ("business_unit", "product"), effective_date: str | Column | None = None
+) -> DataFrame:
+    """Drivers as (driver_type, driver_value). Grain: id x driver, duplicates kept.
+
+    With ``effective_date``, a date column of the rows, the result is the table ``nii_drivers``: values
+    are DECIMAL(18,8), and the date is the last column.
+    """
+    if effective_date is None:
+        return rows.unpivot(list(ids), list(DRIVERS), "driver_type", "driver_value")
+    dated = rows.withColumn("effective_date", col(effective_date))
+    long = dated.unpivot([*ids, "effective_date"], list(DRIVERS), "driver_type", "driver_value")
+    return long.select(
+        *ids, "driver_type", F.col("driver_value").cast("decimal(18,8)").alias("driver_value"), "effective_date"
+    )
 
 
 def add_proxy(rows: DataFrame, mappings: DataFrame, salts: int = 1) -> DataFrame:
@@ -83,8 +95,8 @@ def add_yield_delta(
     return mapped.withColumn("yield_delta", times(factors))
 
 
-def apply_period_override(rows: DataFrame, overrides: DataFrame) -> DataFrame:
+def apply_period_override(rows: DataFrame, overrides: DataFrame, salts: int = 1) -> DataFrame:
     """Yield delta times the launchpoint-period override, 1.0 without one. Grain: rows x matches."""
-    return attach(rows, overrides, CURRENCY_KEY).withColumn(
+    return attach(rows, overrides, CURRENCY_KEY, salts=salts).withColumn(
         "period_yield_delta", F.col("yield_delta") * default("period_override", MISSING_FACTOR)
     )

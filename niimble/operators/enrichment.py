@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from niimble.functions.columns import choose, mean, ratio
+from niimble.functions.columns import choose, exact_sum, mean, ratio
 from niimble.functions.constants import (
     DAY_COUNT_BASIS,
     MONTHS_PER_YEAR,
@@ -70,7 +70,9 @@ def launchpoint_positions(
     the same, and the longest gives the days.
     """
     days = windows.groupBy("run_id", "business_unit").agg(F.max("window_days").alias("window_days"))
-    means = actuals.groupBy(*POSITION).agg(
+    # units without a window are not summed at all
+    windowed = actuals.join(windows.select("run_id", "business_unit"), ["run_id", "business_unit"], "left_semi")
+    means = windowed.groupBy(*POSITION).agg(
         mean("actual_balance_adjusted").alias("launchpoint_balance"),
         mean("actual_income").alias("launchpoint_income"),
     )
@@ -94,3 +96,22 @@ def enrich_launchpoint(
     months = forecast.select(*SEGMENT, "forecast_month", "forecast_balance")
     positions = launchpoint_positions(actuals, windows, basis)
     return attach(positions, months, SEGMENT, salts=salts)
+
+
+def launchpoint_table(positions: DataFrame, windows: DataFrame, rates: DataFrame) -> DataFrame:
+    """The table ``launchpoint_positions``: balance, yield and launch date. Grain: business unit x product.
+
+    ``positions`` are ``launchpoint_positions`` of one run, summed over their segments and centres. The
+    launch date is the last window end of the unit. The yield is the unit's and product's
+    ``avg_rate`` of ``rates``, NULL without one.
+    """
+    unit = ["run_id", "business_unit"]
+    launch = windows.groupBy(*unit).agg(F.max("window_end").alias("launch_date"))
+    sums = positions.groupBy(*unit, "product").agg(
+        exact_sum("launchpoint_balance").cast("decimal(18,4)").alias("launchpoint_balance")
+    )
+    dated = attach(sums, launch, unit)
+    known = rates.select("business_unit", "product", F.col("avg_rate").cast("decimal(9,6)").alias("launchpoint_yield"))
+    return attach(dated, known, ["business_unit", "product"]).select(
+        "business_unit", "product", "launchpoint_balance", "launchpoint_yield", "launch_date"
+    )

@@ -7,12 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from niimble.functions.columns import SHARE_TYPE, default, exact_sum, ratio, times
+from niimble.functions.columns import SHARE_TYPE, default, exact_sum, ratio, rounded, times
 from niimble.functions.constants import DAY_COUNT_FRACTION, MISSING_BALANCE
-from niimble.operators.lookups import attach, attach_bounded
+from niimble.operators.lookups import attach
 
 UNIT = ("run_id", "business_unit")
 
+# Income values that agree to this scale are one value.
+VALUE_TYPE = "decimal(38,6)"
+
+# Tasks that share a unit's distinct values when they meet their number, at least.
+VALUE_SALTS = 16
+
 
 def add_income(rows: DataFrame, fraction: Column | None = None) -> DataFrame:
     """Income on the balance change. Grain: unchanged, narrow.
@@ -50,20 +56,24 @@ def _with_share(rows: DataFrame) -> DataFrame:
     return rows.withColumn("nii_cost_centre", ratio(shared, "allocation_denominator"))
 
 
-def allocate_distinct(income: DataFrame, ratios: DataFrame, salts: int = 1) -> DataFrame:
+def allocate_distinct(
+    income: DataFrame, ratios: DataFrame, salts: int = 1, value_type: str = VALUE_TYPE
+) -> DataFrame:
     """Each distinct income value of a unit, allocated. Grain: run x unit x distinct value x cost centre.
 
-    Equal values of several months count once, and the denominator is the unit's weight times
-    the number of its distinct values; with ratios that sum to one, the unit's allocations add
-    up to the mean value. ``allocate_conserving`` keeps the sum. Units without ratios drop out.
+    Values are rounded to the scale of ``value_type`` first: the last bits of a double, which depend on the
+    order of its sum, make no value of their own. Equal values of several months count once, and the
+    denominator is the unit's weight times the number of its distinct values; with ratios that sum to
+    one, the unit's allocations add up to the mean value. ``allocate_conserving`` keeps the sum. Units
+    without ratios drop out.
 
-    The values are spread by value and stay so: their number per unit reaches them without a
-    shuffle by unit, which would gather the values of a unit in one task.
+    Values are spread by value, and salted when they meet their number: no task holds a whole unit.
     """
     units = ratios.select(*UNIT).distinct()
-    values = income.select(*UNIT, "nii_business_unit").join(units, list(UNIT), "left_semi").distinct()
+    value = rounded("nii_business_unit", value_type).alias("nii_business_unit")
+    values = income.select(*UNIT, value).join(units, list(UNIT), "left_semi").distinct()
     counts = values.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("_values"))
-    counted = attach_bounded(values, counts, UNIT, bound=ratios)
+    counted = attach(values, counts, UNIT, how="inner", salts=max(salts, VALUE_SALTS))
     denominator = F.col("allocation_denominator") * F.col("_values")
     allocated = _with_centres(counted, ratios, salts).withColumn("allocation_denominator", denominator)
     return _with_share(allocated).drop("_values")

@@ -9,7 +9,7 @@ from niimble.plans.forecast import ForecastInputs, ForecastParams
 from niimble.sources.schemas import schema_of
 
 RUN = "run_golden"
-PARAMS = ForecastParams(date(2026, 1, 1))
+PARAMS = ForecastParams(date(2026, 1, 1), conserving=False)
 
 # --- fixed values: the worked example ---------------------------------------
 CONFIG_ROWS = {
