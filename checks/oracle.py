@@ -31,12 +31,13 @@ VIEWS = {
           sum(amount) as actual_balance, sum(income) as actual_income
         from lines group by all""",
     "annual": """
-        select run_id, business_unit, business_segment_group, product, currency,
-          cast(sum(amount) as double) * 1.05e0 as annual_forecast_amount,
+        select run_id, business_unit,
+          case when business_unit = 'AFRICA' then concat('NEW ', business_segment_group)
+            else business_segment_group end as business_segment_group, product, currency,
+          cast(sum(amount) as double) / count(distinct year(period_date)) * 1.05e0 as annual_forecast_amount,
           case when product in ('Loan', 'LARGE') then 'prior_actual'
                when product = 'SMALL' then 'unknown' else 'flat' end as substitution_code
-        from lines where year(period_date) = 2000 and product <> 'MEDIUM'
-        group by run_id, business_unit, business_segment_group, product, currency""",
+        from lines group by 1, 2, 3, 4, 5""",
     "monthly_positions": """
         select run_id, business_unit, business_segment_group, cost_centre, product, currency,
           cast(date_trunc('month', period_date) as date) as period_date, sum(amount) as balance
@@ -68,6 +69,11 @@ VIEWS = {
         select 'R1' as run_id, r_name as business_unit, date '2000-01-01' as window_start,
           date '2000-12-31' as window_end, cast(30 + r_regionkey as bigint) as window_days
         from region where r_regionkey <> 4""",
+    "overlapping_windows": """
+        select 'R1' as run_id, r_name as business_unit, x.a as window_start, x.b as window_end
+        from region, (values (date '1999-01-01', date '1999-12-31'), (date '1999-06-01', date '2000-06-30'),
+          (date '1996-01-01', date '1996-06-30')) x(a, b)
+        where r_regionkey <> 4""",
     "proxies": """
         select run_id, business_unit, product, 'ASIA' as proxy_business_unit, product as proxy_product,
           0.9e0 as scale_ratio, 100e0 as fixed_adjustment
@@ -178,9 +184,9 @@ VIEWS = {
           case s_suppkey % 3 when 0 then 'v1' when 1 then 'v9' else 'v2' end as config_version
         from supplier""",
     "catalog": """
-        select concat('CFG', cast(p_partkey as varchar)) as config_key, p_type as config_category,
-          p_name as description, p_brand as example_usage
-        from part where p_size <= 25""",
+        select concat(case when p_size <= 25 then 'CFG' else 'OTHER' end, cast(p_partkey as varchar)) as config_key,
+          p_type as config_category, p_name as description, p_brand as example_usage
+        from part""",
     "supplier_store": """
         select concat('CFG', cast(s_suppkey as varchar)) as config_key, 'v1' as config_version,
           2 as configint1, make_date(1996 + s_suppkey % 3, 1, 1) as effective_date,
@@ -243,6 +249,13 @@ VIEWS = {
         select concat(business_unit, '|', product) as source_segment,
           concat(x.unit, '|', product) as proxy_segment, x.w as proxy_weight
         from unit_products, (values ('ASIA', 0.6), ('AMERICA', 0.4)) x(unit, w)""",
+    "dated_relationships": """
+        select source_segment, proxy_segment, proxy_weight, date '1995-01-01' as effective_date from relationships
+        union all
+        select concat(business_unit, '|', product), concat('EUROPE|', product), 0.5, date '1999-01-01'
+        from unit_products""",
+    "edges_2001": """
+        select node, case when node = 'ASIA' then 'WEST' else up end as up from unit_edges""",
     "product_groups": f"""
         select product, case product when 'Loan' then 'Assets' when 'Deposit' then 'Liabilities'
           else 'Other' end as product_group
@@ -408,7 +421,14 @@ STATEMENTS = {
           select node, node, 0 from (select node from product_edges union select up from product_edges)
           union all
           select p.node, e.up, p.depth + 1 from path p join product_edges e on p.ancestor = e.node)
-        select node, ancestor, depth from path""",
+        select node, ancestor, min(depth) as depth from path group by node, ancestor""",
+    "hierarchy_asof": """
+        with recursive path(node, ancestor) as (
+          select node, node from (select node from edges_2001 union select up from edges_2001)
+          union all
+          select p.node, e.up from path p join edges_2001 e on p.ancestor = e.node)
+        select ancestor, cast(sum(amount) as double) as amount
+        from lines join path on nation = node group by ancestor""",
     "cost_centre_bridge": """
         select l.business_unit, l.product, period_year, amount, cost_centre
         from (select business_unit, product, cast(year(period_date) as int) as period_year,
@@ -482,21 +502,55 @@ STATEMENTS = {
         select p.run_id, p.business_unit, business_segment_group, cost_centre, product, currency,
           round(cast(sum(balance) as double) / count(balance), 6) as launchpoint_balance,
           count(*) as positions
-        from monthly_positions p join windows w on p.run_id = w.run_id
-          and p.business_unit = w.business_unit and period_date between window_start and window_end
+        from monthly_positions p where exists (select 1 from overlapping_windows w where p.run_id = w.run_id
+          and p.business_unit = w.business_unit and period_date between window_start and window_end)
         group by all""",
     # ---- proxies, substitution, rates ----
     "proxy_fill": """
         with fills as (
-          select s.segment, s.period_date, sum(proxy_weight * k.balance) as fill
+          select s.segment, s.period_date, sum(proxy_weight * k.balance) as fill, sum(proxy_weight) as weight
           from segment_months s join relationships r on s.segment = r.source_segment
             join segment_months k on k.segment = r.proxy_segment and k.period_date = s.period_date
           where s.balance is null and k.balance is not null
           group by s.segment, s.period_date)
         select s.segment, s.period_date, cast(balance as double) as balance,
-          round(cast(coalesce(balance, fill) as double), 6) as filled_value
+          round(cast(coalesce(balance, fill) as double), 6) as filled_value,
+          case when balance is null then round(cast(coalesce(weight, 0) as double), 6) end as proxy_weight_found
         from segment_months s left join fills f
           on s.segment = f.segment and s.period_date = f.period_date""",
+    "proxy_fill_dated": """
+        with fills as (
+          select s.segment, s.period_date, sum(proxy_weight * k.balance) as fill, sum(proxy_weight) as weight
+          from segment_months s join dated_relationships r on s.segment = r.source_segment
+            and r.effective_date = (select max(d.effective_date) from dated_relationships d
+              where d.source_segment = s.segment and d.effective_date <= s.period_date)
+            join segment_months k on k.segment = r.proxy_segment and k.period_date = s.period_date
+          where s.balance is null and k.balance is not null
+          group by s.segment, s.period_date)
+        select s.segment, s.period_date, cast(balance as double) as balance,
+          round(cast(coalesce(balance, fill) as double), 6) as filled_value,
+          case when balance is null then round(cast(coalesce(weight, 0) as double), 6) end as proxy_weight_found
+        from segment_months s left join fills f
+          on s.segment = f.segment and s.period_date = f.period_date""",
+    "launchpoint_positions": """
+        with rates as (
+          select business_unit, product, cast(sum(income) as double) / nullif(cast(sum(amount) as double), 0) as rate
+          from lines group by 1, 2)
+        select p.business_unit, p.product,
+          cast(cast(sum(cast(launchpoint_balance as decimal(38,10))) as decimal(18,4)) as double) as launchpoint_balance,
+          cast(cast(any_value(rate) as decimal(9,6)) as double) as launchpoint_yield, date '2000-12-31' as launch_date
+        from positions p left join rates r on p.business_unit = r.business_unit and p.product = r.product
+        group by 1, 2""",
+    "nii_drivers": """
+        with d as (
+          select business_unit, product, currency, max(period_date) as effective_date,
+            case when currency = 'USD' then 1e0 else 0.95e0 end as currency_mix,
+            case when product = 'Loan' then 0.055e0 else 0.015e0 end as base_yield
+          from lines group by 1, 2, 3)
+        select business_unit, product, 'currency_mix' as driver_type, currency_mix as driver_value, effective_date from d
+        union all select business_unit, product, 'net_exposure_factor', 0.98e0, effective_date from d
+        union all select business_unit, product, 'net_rate_factor', 1.02e0, effective_date from d
+        union all select business_unit, product, 'base_yield', base_yield, effective_date from d""",
     "prior_actual_substitution": """
         with totals as (
           select run_id, business_unit, business_segment_group, product, currency, period_year,
@@ -564,20 +618,19 @@ STATEMENTS = {
         from scenario_forecast where scenario = 'adverse' group by 1, 2""",
     "reconcile": """
         with a as (
-          select business_unit, product, cast(year(period_date) as int) as period_year,
-            cast(sum(income) as double) as left_total
+          select business_unit, nullif(product, 'STANDARD') as product,
+            cast(year(period_date) as int) as period_year, cast(sum(income) as double) as left_total
           from lines group by 1, 2, 3),
         b as (
-          select business_unit, product, cast(year(period_date) as int) as period_year,
-            cast(sum(amount) as double) as right_total
-          from postings
-          where posting_category = 'interest' and (accounting_element = 'INT_INC' or product = 'Loan')
-          group by 1, 2, 3)
+          select business_unit, nullif(product, 'STANDARD') as product,
+            cast(case year(period_date) when 1997 then 2097 else year(period_date) end as int) as period_year,
+            cast(sum(amount + case when product = 'Deposit' then 0.5 else 0 end) as double) as right_total
+          from postings where posting_category = 'interest' group by 1, 2, 3)
         select coalesce(a.business_unit, b.business_unit) as business_unit,
           coalesce(a.product, b.product) as product, coalesce(a.period_year, b.period_year) as period_year,
           round(left_total, 6) as left_total, round(right_total, 6) as right_total,
           coalesce(abs(left_total - right_total) <= 0.01e0, false) as agrees
-        from a full join b on a.business_unit = b.business_unit and a.product = b.product
+        from a full join b on a.business_unit = b.business_unit and a.product is not distinct from b.product
           and a.period_year = b.period_year""",
     "duplicate_keys": """
         select o_custkey, o_orderpriority, count(*) as rows from orders
@@ -606,7 +659,22 @@ STATEMENTS = {
         select 'R2', business_unit, business_segment_group, cost_centre, product, currency, period_year,
           cast(actual_balance * 0.5 as double) from actuals""",
 }
-STATEMENTS["forecast_run_stored"] = STATEMENTS["nii_cost_centre_conserving"]
+for _same in ("forecast_run_stored", "forecast_run_default"):
+    STATEMENTS[_same] = STATEMENTS["nii_cost_centre_conserving"]
+STATEMENTS["forecast_run_distinct"] = STATEMENTS["nii_cost_centre_distinct"]
+STATEMENTS["run_replaced_by_empty"] = STATEMENTS["catalog_roundtrip"]
+STATEMENTS["forecast_run_scoped"] = """
+        select t.run_id, t.business_unit, round(nii, 6) as nii_business_unit, cost_centre,
+          round(cc_ratio, 6) as cc_ratio, fe_weight,
+          round(allocation_denominator, 6) as allocation_denominator,
+          round(nii * cc_ratio * fe_weight / nullif(allocation_denominator, 0), 6) as nii_cost_centre
+        from (select run_id, business_unit,
+                cast(sum(cast(nii_business_unit as decimal(38,10))) as double) as nii
+              from income where business_unit = 'ASIA'
+                or (business_unit in ('EUROPE', 'AMERICA') and business_segment_group = 'BUILDING')
+              group by run_id, business_unit) t
+          join ratios r on t.run_id = r.run_id and t.business_unit = r.business_unit
+          join unit_weights w on t.run_id = w.run_id and t.business_unit = w.business_unit"""
 STATEMENTS["metric_run"] = STATEMENTS["metric_summary"]
 
 

@@ -28,8 +28,10 @@ from niimble.sources import tables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 PLACES = 6
+# The scale of money; at more places the engines' last bits would tell values apart.
+MONEY_VALUE = "decimal(38,4)"
 # Shares of a value with four places end exactly between two of six places too often.
-FINER = {"nii_cost_centre_distinct": {"nii_cost_centre": 9}}
+FINER = {name: {"nii_cost_centre": 9} for name in ("nii_cost_centre_distinct", "forecast_run_distinct")}
 
 
 def query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
@@ -146,10 +148,7 @@ def nii_business_unit(v: Views) -> DataFrame:
 
 @query
 def nii_cost_centre_distinct(v: Views) -> DataFrame:
-    # Rounded before the operator takes distinct values, in both engines.
-    rounded = F.round("nii_business_unit", 4)
-    income = _stage(v, "nii_stage").withColumn("nii_business_unit", rounded)
-    return nii.allocate_distinct(income, v.ratios())
+    return nii.allocate_distinct(_stage(v, "nii_stage"), v.ratios(), value_type=MONEY_VALUE)
 
 
 @query
@@ -162,11 +161,40 @@ def nii_cost_centre_monthly(v: Views) -> DataFrame:
     return nii.allocate_conserving(_stage(v, "nii_stage"), v.ratios(), by=["forecast_month"])
 
 
+@query
+def forecast_run_default(v: Views) -> DataFrame:
+    """The last table of a run as a user calls it."""
+    return run_forecast(v.snapshot(), v.inputs(), v.params())["nii_stage_cc"]
+
+
+@query
+def forecast_run_distinct(v: Views) -> DataFrame:
+    """The last table of a run that allocates distinct values."""
+    return run_forecast(v.snapshot(), v.inputs(), v.params(conserving=False, value_type=MONEY_VALUE))["nii_stage_cc"]
+
+
+@query
+def forecast_run_scoped(v: Views) -> DataFrame:
+    """A run that leaves out what its scope does not admit."""
+    return run_forecast(v.snapshot(v.narrow_scope()), v.inputs(), v.params(scoped=True))["nii_stage_cc"]
+
+
 @query
 def forecast_run_stored(v: Views) -> DataFrame:
-    """All ten stages written and read back, as a production run does it."""
+    """All ten stages written, as a production run does it; the last one read back."""
     store = tables.TableStore(v.spark, tables.scratch_path(v.spark, "forecast"))
-    return run_forecast(v.snapshot(), v.inputs(), v.params(conserving=True), store)["nii_stage_cc"]
+    return run_forecast(v.snapshot(), v.inputs(), v.params(), store)["nii_stage_cc"]
+
+
+@query
+def run_replaced_by_empty(v: Views) -> DataFrame:
+    """Two runs written, the second then replaced by nothing; both read back."""
+    rows = v.actuals().select(*enrichment.POSITION, "period_year", "actual_balance")
+    store = tables.TableStore(v.spark, tables.scratch_path(v.spark, "runs"))
+    first = store.put("actuals", rows, RUN)
+    store.put("actuals", configuration.tag_run(first, "R2"), "R2")
+    store.put("actuals", configuration.tag_run(first, "R2").where("1 = 0"), "R2")
+    return store.get("actuals", rows.schema, RUN).unionByName(store.get("actuals", rows.schema, "R2"))
 
 
 # ---- configuration ----
@@ -235,6 +263,14 @@ def hierarchy_rollup(v: Views) -> DataFrame:
     )
 
 
+@query
+def hierarchy_asof(v: Views) -> DataFrame:
+    """Amounts rolled up along the hierarchy in force on a day."""
+    facts = v.lines().select(F.col("nation").alias("business_unit"), "amount")
+    edges = hierarchy.effective_edges(v.dated_hierarchy(), date(2001, 1, 1))
+    return hierarchy.hierarchy_rollup(facts, edges, "business_unit", "parent_unit", ["amount"])
+
+
 @query
 def product_rollup(v: Views) -> DataFrame:
     facts = v.lines().select(F.col("brand").alias("product"), "amount", "income")
@@ -345,7 +381,9 @@ def balance_scaling(v: Views) -> DataFrame:
 
 @query
 def launchpoint_window_avg(v: Views) -> DataFrame:
-    return balances.window_average(v.monthly_positions(), v.windows(), enrichment.POSITION, "balance")
+    return balances.window_average(
+        v.monthly_positions(), v.overlapping_windows(), enrichment.POSITION, "balance"
+    )
 
 
 # ---- proxies, substitution, rates ----
@@ -358,6 +396,32 @@ def proxy_fill(v: Views) -> DataFrame:
     return balances.proxy_fill(segments, v.relationships(), "balance", ["period_date"])
 
 
+@query
+def proxy_fill_dated(v: Views) -> DataFrame:
+    """The relationships in force on the date of each missing value."""
+    segments = tables.materialize(v.segment_months(), "segments")
+    return balances.proxy_fill(
+        segments, v.dated_relationships(), "balance", ["period_date"], at="period_date"
+    )
+
+
+@query
+def launchpoint_positions(v: Views) -> DataFrame:
+    positions = enrichment.launchpoint_positions(enrichment.enrich_actuals(v.actuals()), v.windows())
+    rates = balances.observed_rate(
+        v.lines().select("business_unit", "product", F.col("amount").alias("balance_amount"), F.col("income").alias("interest_income")),
+        ["business_unit", "product"],
+    )
+    return enrichment.launchpoint_table(positions, v.windows(), rates)
+
+
+@query
+def nii_drivers(v: Views) -> DataFrame:
+    """The drivers of each unit, product and currency of the scope, dated by their last line."""
+    rows = v.lines().groupBy("business_unit", "product", "currency").agg(F.max("period_date").alias("last_date"))
+    return drivers.drivers_long(drivers.add_drivers(rows), ("business_unit", "product"), "last_date")
+
+
 @query
 def prior_actual_substitution(v: Views) -> DataFrame:
     monthly = _stage(v, "forecast_enriched").drop("forecast_balance")
@@ -424,13 +488,17 @@ def scenario_rows(v: Views) -> DataFrame:
 
 @query
 def reconcile(v: Views) -> DataFrame:
+    """Interest of lines against postings. A product without a name is a key of its own on both sides; the
+    postings of Deposit are shifted, and those of one year belong to another."""
+    product = F.when(F.col("product") != "STANDARD", F.col("product"))
     lines = v.lines().select(
-        "business_unit", "product", F.year("period_date").alias("period_year"), F.col("income").alias("amount")
+        "business_unit", product.alias("product"), F.year("period_date").alias("period_year"), F.col("income").alias("amount")
     )
-    posted = v.postings().where(
-        (F.col("accounting_element") == "INT_INC") | (F.col("product") == "Loan")
-    ).where(F.col("posting_category") == "interest").select(
-        "business_unit", "product", F.year("period_date").alias("period_year"), "amount"
+    shifted = F.when(F.col("product") == "Deposit", F.col("amount") + F.lit(Decimal("0.5"))).otherwise(F.col("amount"))
+    year = F.year("period_date")
+    posted = v.postings().where(F.col("posting_category") == "interest").select(
+        "business_unit", product.alias("product"),
+        F.when(year == 1997, F.lit(2097)).otherwise(year).alias("period_year"), shifted.alias("amount"),
     )
     return quality.reconcile(
         lines, posted, ["business_unit", "product", "period_year"], "amount", 0.01

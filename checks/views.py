@@ -138,20 +138,20 @@ class Views:
         )
 
     def annual_forecast(self) -> DataFrame:
-        """Segment. MEDIUM has no forecast, SMALL an unknown rule."""
+        """Segment: the mean year of its lines. SMALL has an unknown rule; the forecasts of AFRICA are for
+        segment groups that have no actuals."""
         code = F.when(F.col("product").isin("Loan", "LARGE"), "prior_actual").when(
             F.col("product") == "SMALL", "unknown"
         ).otherwise("flat")
-        # On the stored timestamp, so that the scan itself skips other years.
-        last_year = (F.col("posted_at") >= F.lit("2000-01-01").cast("timestamp_ntz")) & (
-            F.col("posted_at") < F.lit("2001-01-01").cast("timestamp_ntz")
+        group = F.when(F.col("business_unit") == "AFRICA", F.concat(F.lit("NEW "), "business_segment_group")).otherwise(
+            F.col("business_segment_group")
         )
-        totals = self.lines().where(last_year & (F.col("product") != "MEDIUM")).groupBy(*SEGMENT).agg(
-            F.sum("amount").alias("total")
+        totals = self.lines().withColumn("business_segment_group", group).groupBy(*SEGMENT).agg(
+            F.sum("amount").alias("total"), F.countDistinct(F.year("period_date")).alias("years")
         )
         return totals.select(
             *SEGMENT,
-            (F.col("total").cast("double") * F.lit(1.05)).alias("annual_forecast_amount"),
+            (F.col("total").cast("double") / F.col("years") * F.lit(1.05)).alias("annual_forecast_amount"),
             code.alias("substitution_code"),
         )
 
@@ -220,6 +220,25 @@ class Views:
             (F.col("r_regionkey") + 30).cast("bigint").alias("window_days"),
         )
 
+    def overlapping_windows(self) -> DataFrame:
+        """Three windows per unit: two overlap, one lies apart."""
+        spans = F.array(*[
+            F.struct(F.lit(a).alias("window_start"), F.lit(b).alias("window_end"))
+            for a, b in ((date(1999, 1, 1), date(1999, 12, 31)), (date(1999, 6, 1), date(2000, 6, 30)), (date(1996, 1, 1), date(1996, 6, 30)))
+        ])
+        return self.regions().where(F.col("r_regionkey") != 4).select(
+            "run_id", "business_unit", F.inline(spans)
+        ).withColumn("window_days", F.datediff("window_end", "window_start").cast("bigint"))
+
+    def narrow_scope(self) -> DataFrame:
+        """All of ASIA, one segment group of EUROPE and AMERICA each."""
+        group = F.when(F.col("r_name") != "ASIA", F.lit("BUILDING"))
+        return self.table("region").where(F.col("r_name").isin("ASIA", "EUROPE", "AMERICA")).select(
+            F.lit(RUN).alias("run_id"), F.col("r_name").alias("business_unit"),
+            group.alias("business_segment_group"), F.lit(None).cast("string").alias("cost_centre"),
+            F.lit(None).cast("string").alias("currency"),
+        )
+
     def proxies(self) -> DataFrame:
         mapped = F.col("r_regionkey").isin(0, 1) & (F.col("product") != "Loan")
         return self.unit_products().where(mapped).select(
@@ -281,9 +300,9 @@ class Views:
             .distinct()
         )
 
-    def snapshot(self) -> ConfigSnapshot:
+    def snapshot(self, scope: DataFrame | None = None) -> ConfigSnapshot:
         return take_snapshot({
-            "run_scope": self.run_scope(),
+            "run_scope": self.run_scope() if scope is None else scope,
             "yield_index_mapping": self.yield_map(),
             "launchpoint_windows": self.windows(),
             "proxy_source_mappings": self.proxies(),
@@ -337,8 +356,10 @@ class Views:
         )
 
     def catalog(self) -> DataFrame:
-        return self.table("part").where(F.col("p_size") <= 25).select(
-            _code("CFG", "p_partkey").alias("config_key"), F.col("p_type").alias("config_category"),
+        """Large parts are described under another key, so their parameters find nothing."""
+        key = F.when(F.col("p_size") <= 25, _code("CFG", "p_partkey")).otherwise(_code("OTHER", "p_partkey"))
+        return self.table("part").select(
+            key.alias("config_key"), F.col("p_type").alias("config_category"),
             F.col("p_name").alias("description"), F.col("p_brand").alias("example_usage"),
         )
 
@@ -467,6 +488,25 @@ class Views:
             F.concat_ws("|", "unit", "product").alias("proxy_segment"), "proxy_weight",
         )
 
+    def dated_relationships(self) -> DataFrame:
+        """The proxies of ``relationships`` from 1995 on, EUROPE (0.5) alone from 1999 on."""
+        first = self.relationships().withColumn("effective_date", F.lit(date(1995, 1, 1)))
+        later = self.unit_products().select(
+            F.concat_ws("|", "business_unit", "product").alias("source_segment"),
+            F.concat(F.lit("EUROPE|"), F.col("product")).alias("proxy_segment"),
+            F.lit(0.5).cast("decimal(9,6)").alias("proxy_weight"), F.lit(date(1999, 1, 1)).alias("effective_date"),
+        )
+        return first.unionByName(later)
+
+    def dated_hierarchy(self) -> DataFrame:
+        """The units' hierarchy from 1990 on; from 2000 on ASIA belongs to the WEST."""
+        first = self.unit_hierarchy().withColumn("effective_from", F.lit(date(1990, 1, 1)))
+        moved = self.table("region").where(F.col("r_name") == "ASIA").select(
+            F.col("r_name").alias("business_unit"), F.lit("WEST").alias("parent_unit"),
+            F.lit(date(2000, 1, 1)).alias("effective_from"),
+        )
+        return first.unionByName(moved)
+
     def product_groups(self) -> DataFrame:
         """MEDIUM is not mapped."""
         groups = choose("product", {"Loan": "Assets", "Deposit": "Liabilities"}, "Other")
