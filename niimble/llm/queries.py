@@ -113,6 +113,34 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+SQL["op1_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+  UNION
+  SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4
+), n AS (
+  SELECT doc_id, count(shingle) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM pairs p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+), edges AS (
+  SELECT x, y FROM links UNION SELECT y, x FROM links
+), reach AS (
+  SELECT x, y FROM edges
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN edges l ON r.y = l.x
+)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, least(n.doc_id, min(r.y)) AS component_id
+FROM n LEFT JOIN reach r ON n.doc_id = r.x GROUP BY n.doc_id, n.n
+"""
+
 SQL["op2_source_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
