@@ -22,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
@@ -30,11 +31,11 @@ from niimble.llm.frames import arrow_stage, fields, hash_sample
 from niimble.llm.runs import LEXICAL_CLASSES, Runs, Slice, count_marks, find_runs, lower, mix, prefix_sums, slices, span_hash
 
 LABEL_ROWS = 20_000
-MODEL_ROWS = 20_000
-LEXICON_SIZE = 1024
+MODEL_ROWS = 10_000
+LEXICON_SIZE = 512
 VOCABULARY_SIZE = 4096
 LEAST_SUPPORT = 3
-LEAST_SURE = 2.5  # standard errors by which a voter's word must be likelier in label 1
+LEAST_SURE = 2.0  # standard errors by which a voter's word must be likelier in label 1
 PREFIX_BYTES = 6
 
 # Common insults.
@@ -47,10 +48,13 @@ PATTERNS = ("two_hits", "three_hits", "close_hits", "early_hit", "dense_hits", "
 
 
 class Vocabulary(NamedTuple):
-    """Features by hash, in order, and which of them are voters of the lexicon."""
+    """Features by hash, in order; which of them are voters of the lexicon; in how many of the labelled texts
+    of label 0 and 1 (rows of ``seen``) each occurs, and how many such texts there are."""
 
     hashes: np.ndarray
     voter: np.ndarray
+    seen: np.ndarray
+    labelled: np.ndarray
 
     def find(self, features: np.ndarray) -> np.ndarray:
         """Number of each feature; -1 where it is none of the vocabulary."""
@@ -66,7 +70,10 @@ class Model(NamedTuple):
 
 
 def word_features(part: Slice) -> tuple[Runs, np.ndarray, np.ndarray]:
-    """Words in lower case, letters and digits only: their hashes, and hashes of beginning and length."""
+    """Words in lower case, letters and digits only: their hashes, and hashes of beginning and length.
+
+    For a word that is all beginning, the second is the first again.
+    """
     part = part._replace(data=lower(part.data))
     words = find_runs(part, LEXICAL_CLASSES)
     lexical = LEXICAL_CLASSES[part.data[words.start]] == 1
@@ -74,7 +81,8 @@ def word_features(part: Slice) -> tuple[Runs, np.ndarray, np.ndarray]:
     sums = prefix_sums(part.data)
     head = span_hash(sums, words.start, np.minimum(words.end, words.start + PREFIX_BYTES))
     size = (words.end - words.start).astype(np.uint64)
-    return words, span_hash(sums, words.start, words.end), mix(head + size)
+    own = span_hash(sums, words.start, words.end)
+    return words, own, np.where(size > PREFIX_BYTES, mix(head + size), own)
 
 
 def _distinct(doc: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +138,9 @@ def learn_vocabulary(texts: DataFrame) -> Vocabulary:
     odds = {h: np.log((table[h][0] + 0.5) / n1) - np.log((table[h][1] + 0.5) / n0) for h in sure}
     mined = sorted((h for h in odds if odds[h] >= 2.0), key=lambda h: (-odds[h] * np.sqrt(table[h][0]), h))[:LEXICON_SIZE]
     hashes = np.unique(np.concatenate([fixed, np.array(sorted(table), np.uint64)]))
-    return Vocabulary(hashes, np.isin(hashes, np.concatenate([fixed, np.array(mined, np.uint64)])))
+    seen = np.array([[table.get(int(h), (0, 0))[1 - label] for h in hashes] for label in (0, 1)], np.float64)
+    voter = np.isin(hashes, np.concatenate([fixed, np.array(mined, np.uint64)]))
+    return Vocabulary(hashes, voter, seen, np.array([n0 - 1, n1 - 1]))
 
 
 def votes(part: Slice, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,13 +166,22 @@ def votes(part: Slice, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray,
     return (*_distinct(doc[both >= 0], both[both >= 0]), fired)
 
 
-def label_model(fired: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+def label_model(
+    fired: np.ndarray,
+    prior: float,
+    seen: np.ndarray | None = None,
+    labelled: np.ndarray | None = None,
+    rounds: int = 50,
+) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of label 1 per row of a 0/1 matrix (row, voter), and per voter its two rates and repetition.
 
     Voters are taken as independent given the label, each with its evidence divided by its repetition: one
     plus the sum of its residual correlations with the others. Rates and repetitions are estimated in turn.
+    ``seen`` (label, voter) of ``labelled`` texts per label, where there are such, count as rows of known label.
     """
     n, m = fired.shape
+    seen = np.zeros((2, m)) if seen is None else seen
+    labelled = np.zeros((2, m)) if labelled is None else labelled
     if not n:
         return np.zeros(0), np.vstack([np.zeros((2, m)), np.ones(m)])
     x = fired.astype(np.float64)
@@ -172,7 +191,7 @@ def label_model(fired: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
     rate = np.zeros((2, m))
     for step in range(rounds):
         for label, mass in ((0, 1 - posterior), (1, posterior)):
-            rate[label] = (mass @ x + 0.1) / (mass.sum() + 1.0)
+            rate[label] = (mass @ x + seen[label] + 0.1) / (mass.sum() + labelled[label] + 1.0)
         rate = np.clip(rate, 1e-5, 1 - 1e-5)
         if step % 10 == 9:
             expected = (1 - posterior)[:, None] * rate[0] + posterior[:, None] * rate[1]
@@ -191,7 +210,7 @@ def label_model(fired: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
 
 
 def train_linear(
-    row: np.ndarray, column: np.ndarray, label: np.ndarray, n_columns: int, steps: int = 300, ridge: float = 1e-4
+    row: np.ndarray, column: np.ndarray, label: np.ndarray, n_columns: int, steps: int = 500, ridge: float = 1e-5
 ) -> tuple[np.ndarray, float]:
     """Logistic regression on 0/1 features, given as (row, column) pairs, for labels between 0 and 1 (Adam)."""
     n = max(len(label), 1)
@@ -207,6 +226,13 @@ def train_linear(
     return weight[:-1], float(weight[-1])
 
 
+def _pairs(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, number) of a column of lists."""
+    size = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    number = pc.list_flatten(lists).to_numpy().astype(np.int64)
+    return np.repeat(np.arange(len(size)), size), number
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -227,34 +253,41 @@ def learn(
     vocabulary = learn_vocabulary(texts.join(sample, "id").select("text", "label"))
     balance = known.agg(F.avg("label")).first()[0]
     prior = float(np.clip(0.1 if balance is None else balance, 0.01, 0.99))
-    schema = StructType([StructField("words", ArrayType(IntegerType())), StructField("patterns", ArrayType(IntegerType()))])
+    kinds = [StructField(c, ArrayType(IntegerType())) for c in ("words", "patterns")]
+    schema = StructType([StructField("mark", LongType()), *kinds])
+
+    def listed(doc: np.ndarray, number: np.ndarray, n_docs: int) -> pa.ListArray:
+        ends = np.searchsorted(doc, np.arange(n_docs + 1))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(number, pa.int32()))
 
     def look(batch: pa.RecordBatch):
         for part in slices(batch.column(0)):
             doc, number, fired = votes(part, vocabulary)
-            ends = np.searchsorted(doc, np.arange(len(fired) + 1))
+            n_docs = len(fired)
             yield {
-                "words": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(number, pa.int32())),
-                "patterns": pa.array([np.flatnonzero(f).tolist() for f in fired], pa.list_(pa.int32())),
+                "mark": batch.column(1).slice(part.first, n_docs),
+                "words": listed(doc, number, n_docs),
+                "patterns": listed(*np.nonzero(fired), n_docs),
             }
 
-    drawn = hash_sample(texts, model_rows, "id", "text").select("text")
-    found = arrow_stage(drawn, look, schema).toArrow()
-    words, patterns = found["words"].to_pylist(), found["patterns"].to_pylist()
-    order = sorted(range(len(words)), key=lambda i: (words[i], patterns[i]))
-    row = np.repeat(np.arange(len(order)), [len(words[i]) for i in order]).astype(np.int64)
-    column = np.array([w for i in order for w in words[i]], np.int64)
+    drawn = hash_sample(texts, model_rows, "id", "text").select("text", F.xxhash64("id", "text").alias("mark"))
+    # in the order of their hashes, so that sums do not depend on the order of arrival
+    found = arrow_stage(drawn, look, schema).toArrow().sort_by("mark")
+    row, column = _pairs(found["words"])
     lexicon = np.flatnonzero(vocabulary.voter)
-    fired = np.zeros((len(order), len(lexicon) + len(PATTERNS)), bool)
+    fired = np.zeros((found.num_rows, len(lexicon) + len(PATTERNS)), bool)
     place = np.full(len(vocabulary.hashes), -1)
     place[lexicon] = np.arange(len(lexicon))
     own = place[column] >= 0
     fired[row[own], place[column[own]]] = True
-    for at, i in enumerate(order):
-        fired[at, [len(lexicon) + p for p in patterns[i]]] = True
-    posterior, accuracies = label_model(fired, prior)
+    at, pattern = _pairs(found["patterns"])
+    fired[at, len(lexicon) + pattern] = True
+    # patterns are not counted in the labelled texts: nothing is known of them
+    seen = np.pad(vocabulary.seen[:, lexicon], ((0, 0), (0, len(PATTERNS))))
+    labelled = np.pad(np.repeat(vocabulary.labelled[:, None], len(lexicon), axis=1), ((0, 0), (0, len(PATTERNS))))
+    posterior, accuracies = label_model(fired, prior, seen, labelled)
     weight, intercept = train_linear(row, column, posterior, len(vocabulary.hashes))
-    if not len(order):
+    if not found.num_rows:
         weight, intercept = vocabulary.voter * 4.0, -2.0
     return Model(vocabulary, weight, intercept, accuracies)
 
