@@ -180,10 +180,12 @@ def resample(
     """Per document the id, ``n_grams``, ``log_weight``, ``key`` and ``kept``: whether its key is among the k largest."""
     weights = log_weights(docs, model, id_column, text_column)
     key = F.when(F.col("n_grams") > 0, (F.col("log_weight") - F.col("n_grams") * model.divide) / temperature + gumbel(id_column, seed))
-    keys = materialize(weights.withColumn("key", key), "importance-keys")  # a few numbers per document
+    keyed = weights.withColumn("key", key)
+    # the numbers alone are written; ids, which may carry whole rows, are weighed again at the end
+    numbers = materialize(keyed.select("n_grams", "log_weight", "key").where(F.col("key").isNotNull()), "importance-keys")
     if k is None:
-        k = keys.where((F.col("n_grams") > 0) & (F.col("log_weight") >= F.col("n_grams") * model.divide)).count()
-    edge = edge_of_largest(keys.where(F.col("key").isNotNull()), "key", k)
+        k = numbers.where(F.col("log_weight") >= F.col("n_grams") * model.divide).count()
+    edge = edge_of_largest(numbers, "key", k)
     # with fewer than k texts that have a word all of them are kept; with k = 0 none
     chosen = F.col("key").isNotNull() & (F.lit(k > 0) if edge is None else F.col("key") >= edge)
-    return keys.withColumn("kept", chosen)
+    return keyed.withColumn("kept", chosen)
