@@ -17,7 +17,8 @@ from niimble.llm.queries import WEIGHTS, vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-LEAST_COSINE = 0.1
+# Short documents may be little alike any prototype; below this they are like none of them.
+LEAST_COSINE = 0.02
 
 
 def _as_rows(docs: DataFrame) -> DataFrame:

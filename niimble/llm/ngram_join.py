@@ -143,8 +143,10 @@ def _send(docs: DataFrame, bits: int) -> DataFrame:
                 b, number, LIGHT, None, _bytes(np.diff(light_doc[i:j], prepend=0).astype("<u2")), _shorten(light[i:j], width),
                 _bytes(often[k:m]), _bytes(often_count[k:m].astype("<u4")),
             )
-        kinds = [pa.int32(), pa.int64(), pa.int8(), None, *[pa.binary()] * 4]
-        arrays = [pa.array(c, t) if t is not None else pa.array([None if x is None else x.to_pylist() for x in c], pa.list_(ids.type)) for c, t in zip(columns, kinds, strict=True)]
+        id_lists = pa.list_(ids.type)
+        kinds = [pa.int32(), pa.int64(), pa.int8(), id_lists, *[pa.binary()] * 4]
+        columns[SENT.index("ids")] = [None if x is None else x.to_pylist() for x in columns[SENT.index("ids")]]
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, SENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +323,8 @@ def distinct_sets(table: DataFrame, share: int = SHARE) -> DataFrame:
             "matches": pa.array(matches, pa.int32()), "posted": pa.array(posted, pa.int32()), "tokens": pa.array(tokens, pa.binary()),
         }
 
-    return materialize(arrow_stage(sent.select("class", "n_shingles", "tokens", "counts", "times"), choose, schema), "distinct-sets")
+    chosen_sets = arrow_stage(sent.select("class", "n_shingles", "tokens", "counts", "times"), choose, schema)
+    return materialize(chosen_sets, "distinct-sets")
 
 
 def _postings(sets: DataFrame) -> DataFrame:
@@ -337,10 +340,13 @@ def _postings(sets: DataFrame) -> DataFrame:
     def post(batch: pa.RecordBatch):
         posted = batch.column(4).to_numpy(zero_copy_only=False).astype(np.int64)
         heads = [_ints(t.as_py(), "<i8")[:n] for t, n in zip(batch.column(5), posted, strict=True)]
-        columns = {c: np.repeat(batch.column(i).to_numpy(zero_copy_only=False), posted) for i, c in enumerate(carried)}
+        columns = {
+            c: np.repeat(batch.column(i).to_numpy(zero_copy_only=False), posted) for i, c in enumerate(carried)
+        }
         number = np.arange(posted.sum()) - np.repeat(np.cumsum(posted) - posted, posted)
         columns["place"] = columns["n_shingles"] - columns["found"] + number
-        yield {"token": pa.array(np.concatenate([*heads, np.zeros(0, np.int64)])), **{c: pa.array(v) for c, v in columns.items()}}
+        columns["token"] = np.concatenate([*heads, np.zeros(0, np.int64)])
+        yield {c: pa.array(v) for c, v in columns.items()}
 
     return arrow_stage(sets.select(*carried, "posted", "tokens"), post, schema)
 
@@ -350,7 +356,8 @@ def _compare(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     schema = StructType([StructField("a", LongType()), StructField("b", LongType()), StructField("shared", LongType())])
 
     def side(name: str) -> DataFrame:
-        return sets.select(F.col("class").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("tokens").alias(f"t_{name}"))
+        named = {"class": name, "n_shingles": f"n_{name}", "tokens": f"t_{name}"}
+        return sets.select(*[F.col(c).alias(a) for c, a in named.items()])
 
     joined = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "t_a", "t_b")
 
@@ -423,13 +430,15 @@ def link_components(table: DataFrame, share: int = SHARE) -> DataFrame:
     anchors = posts.groupBy("token").agg(typical.alias("anchor"))
     met = posts.join(anchors, "token").where(F.col("class") != F.col("anchor")).groupBy("class", "anchor").count()
     best = met.groupBy("class").agg(F.max_by("anchor", F.struct("count", "anchor")).alias("anchor"))
-    stars = materialize(_compare(best.select(F.col("anchor").alias("a"), F.col("class").alias("b")), sets, share), "anchor-links")
+    pairs = best.select(F.col("anchor").alias("a"), F.col("class").alias("b"))
+    stars = materialize(_compare(pairs, sets, share), "anchor-links")
     joined = connected(stars).withColumnRenamed("node", "class")
     grouped = posts.join(joined, "class", "left").withColumn("group", F.coalesce("root", "class")).drop("root")
     grouped = materialize(grouped, "grouped-prefixes")
     # then, within each list, all pairs of different groups: sets outside the list's largest group with all others
     sizes = grouped.groupBy("token", "group").count()
-    lists = sizes.groupBy("token").agg(F.max_by("group", F.struct("count", "group")).alias("major"), F.count(F.lit(1)).alias("groups"))
+    largest = F.max_by("group", F.struct("count", "group"))
+    lists = sizes.groupBy("token").agg(largest.alias("major"), F.count(F.lit(1)).alias("groups"))
     lists = lists.where(F.col("groups") > 1).drop("groups")
     mixed = grouped.join(lists, "token")
     minor = mixed.where(F.col("group") != F.col("major"))

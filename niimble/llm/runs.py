@@ -15,7 +15,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19
-MASK = (1 << 64) - 1
 
 # The white space of the contracts, 0x20 and 0x09 to 0x0D.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)

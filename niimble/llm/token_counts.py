@@ -81,8 +81,7 @@ def read_pieces(path: str) -> dict[bytes, float]:
     scores = {i: model.get_score(i) for i in known}
     ranked = all(s == int(s) for s in scores.values())
     return {
-        model.id_to_piece(i).replace("▁", "\xff").encode("latin-1" if False else "utf-8").replace("\xff".encode(), b"\xff"):
-        -float(np.log(2.0 - scores[i])) if ranked else scores[i]
+        model.id_to_piece(i).encode().replace(WORD_MARK, bytes([MARK])): -float(np.log(2.0 - scores[i])) if ranked else scores[i]
         for i in known
     }
 
