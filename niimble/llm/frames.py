@@ -11,7 +11,7 @@ from pyspark.sql.types import StructField, StructType
 
 from niimble.sources.tables import materialize, scratch_path
 
-__all__ = ["arrow_stage", "fields", "fold", "hash_sample", "materialize", "read_table", "scratch_path", "text_session"]
+__all__ = ["arrow_stage", "fields", "fold", "hash_draw", "hash_sample", "materialize", "read_table", "scratch_path", "text_session"]
 
 
 # Arrow batches of texts are kept small: a task holds one, and what numpy makes of it.
@@ -58,11 +58,14 @@ def fold(id_column: str | Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def hash_draw(*by: str) -> Column:
+    """A number from 0 to 1 that depends on the columns ``by`` alone."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit("sample"), *by), 11) / F.lit(float(1 << 53))
+
+
 def hash_sample(rows: DataFrame, about: int, *by: str) -> DataFrame:
     """About ``about`` of the rows, those whose columns ``by`` have the smallest hashes; all if there are fewer.
 
     Rows are counted once; the choice depends on the rows alone, so a retried task repeats it.
     """
-    share = min(1.0, about / max(1, rows.count()))
-    draw = F.pmod(F.xxhash64(F.lit("sample"), *by), F.lit(1_000_000))
-    return rows.where(draw < F.lit(int(share * 1_000_000)))
+    return rows.where(hash_draw(*by) < F.lit(min(1.0, about / max(1, rows.count()))))

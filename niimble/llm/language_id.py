@@ -22,11 +22,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from niimble.llm.frames import arrow_stage, fields
+from niimble.llm.frames import arrow_stage, fields, hash_draw
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -179,9 +179,8 @@ def learn(
     sizes = {r[0]: r[1] for r in rows.groupBy(lang_column).count().collect()}
     if not sizes:
         return Profiles([], np.zeros((0, dimensions), np.float32))
-    draw: Column = F.abs(F.xxhash64(id_column, text_column) % 1_000_000)
     share = F.create_map(*[F.lit(x) for lang, size in sizes.items() for x in (lang, min(1.0, train_rows / size))])
-    chosen = rows.where(draw < share[F.col(lang_column)] * 1_000_000).select(lang_column, text_column)
+    chosen = rows.where(hash_draw(id_column, text_column) < share[F.col(lang_column)]).select(lang_column, text_column)
     schema = StructType([StructField("name", StringType()), StructField("bundle", ArrayType(DoubleType()))])
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
