@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
+from zipfile import ZipFile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+import niimble
 from niimble.sources.tables import materialize, scratch_path
 
 __all__ = ["arrow_stage", "fields", "fold", "hash_draw", "hash_sample", "materialize", "read_table", "scratch_path", "text_session"]
@@ -21,8 +25,26 @@ TEXT_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's Python files to the executors, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(niimble.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="niimble-")) / "niimble_package.zip"
+    with ZipFile(archive, "w") as files:
+        for file in sorted(package.rglob("*.py")):
+            files.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def text_session(spark: SparkSession) -> SparkSession:
-    """The session, set for tables of texts."""
+    """The session, set for tables of texts, its executors able to import this package."""
+    ship_package(spark)
     for key, value in TEXT_CONF.items():
         spark.conf.set(key, value)
     return spark
