@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from niimble.llm import importance, language_id, quality_rules, token_counts, toxicity
-from niimble.llm.frames import fold, read_table
+from niimble.llm.frames import fold, hash_draw, hash_sample, read_table
 from niimble.llm.queries import QUERIES, vocabulary_path
 from niimble.llm.runs import slices
 from tests.llm.cases import clashing, edge_docs, edge_texts, empty_docs, rows_of
@@ -301,3 +301,14 @@ def test_long_words_are_counted(spark):
 def test_folds_follow_the_text_of_the_id(spark):
     rows = spark.createDataFrame([(i,) for i in (0, 7, 123456789, -4, None)], "doc_id long").select("doc_id", fold("doc_id"))
     assert dict(rows_of(rows)) == {i: zlib.crc32("".encode() if i is None else str(i).encode()) % 5 for i in (0, 7, 123456789, -4, None)}
+
+
+def test_samples_by_hash(spark):
+    rows = spark.range(40_000).withColumnRenamed("id", "doc_id")
+    draws = rows.select(hash_draw("doc_id").alias("d")).agg(F.min("d"), F.max("d"), F.avg("d"), F.countDistinct("d")).first()
+    assert 0 <= draws[0] < 0.001 and 0.999 < draws[1] < 1 and abs(draws[2] - 0.5) < 0.01 and draws[3] == 40_000
+    some = hash_sample(rows, 4000, "doc_id")
+    assert abs(some.count() - 4000) < 300
+    assert rows_of(some) == rows_of(hash_sample(rows.repartition(5), 4000, "doc_id"))
+    assert hash_sample(rows, 50_000, "doc_id").count() == 40_000
+    assert hash_sample(rows.where("1 = 0"), 10, "doc_id").count() == 0
