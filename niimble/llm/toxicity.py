@@ -11,13 +11,16 @@ A NULL or empty text has no features: its score is that of the intercept. Repeat
 results; an empty table gives none. Without rows to learn from, scores are those of the fixed lexicon.
 Only the named columns are read.
 
-Bounds, both parameters: about ``LABEL_ROWS`` labelled texts propose lexicon words, about
-``MODEL_ROWS`` texts (labels unused) fit the label model and the classifier. Of the latter the driver
-gets, per text, the numbers of the voters that fire and of the vocabulary's words in it.
+About ``LABEL_ROWS`` labelled texts, a parameter, propose lexicon words. All texts (labels unused) fit
+the label model and the classifier: per text the numbers of the voters that fire and of the vocabulary's
+words in it are written once. A round of EM sums over the distinct vote patterns, a step of the classifier
+over all texts, both by task; the driver gets a number per voter or word. What fits in ``LOCAL_BYTES`` is
+summed on the driver instead, to the same numbers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -25,18 +28,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from niimble.llm.frames import arrow_stage, fields, hash_sample
+from niimble.llm.frames import arrow_stage, fields, hash_sample, materialize
 from niimble.llm.runs import LEXICAL_CLASSES, Runs, Slice, count_marks, find_runs, lower, mix, prefix_sums, slices, span_hash
 
 LABEL_ROWS = 20_000
-MODEL_ROWS = 10_000
-LEXICON_SIZE = 512
+LEXICON_SIZE = 1024
 VOCABULARY_SIZE = 4096
 LEAST_SUPPORT = 3
 LEAST_SURE = 2.0  # standard errors by which a voter's word must be likelier in label 1
 PREFIX_BYTES = 6
+LOCAL_BYTES = 8 << 20
+BATCH_ROWS = 1000
+UNIT = float(1 << 24)
 
 # Common insults.
 INSULTS = (
@@ -166,6 +171,135 @@ def votes(part: Slice, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray,
     return (*_distinct(doc[both >= 0], both[both >= 0]), fired)
 
 
+def _pack(doc: np.ndarray, number: np.ndarray, n_docs: int) -> pa.Array:
+    """Numbers of each text, which come text by text, as two bytes each."""
+    ends = 2 * np.searchsorted(doc, np.arange(n_docs + 1))
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(number.astype("<u2"))]
+    return pa.Array.from_buffers(pa.binary(), n_docs, buffers)
+
+
+def _pairs(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, number) of a column of packed numbers."""
+    packed = packed.cast(pa.binary())
+    size = pc.binary_length(packed).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+    ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    data = packed.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return np.repeat(np.arange(len(size)), size), raw.view("<u2").astype(np.int64)
+
+
+def _hold(rows: DataFrame, *packed: str) -> DataFrame | pa.Table:
+    """The rows themselves, or all of them on the driver if their numbers take at most ``LOCAL_BYTES``."""
+    used = rows.agg(F.sum(sum((F.length(c) for c in packed), F.lit(8)))).first()[0] or 0
+    return rows.toArrow() if used <= LOCAL_BYTES else rows
+
+
+def _total(rows: DataFrame | pa.Table, work: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+    """Sum of the ``size`` whole numbers that ``work`` finds in each batch, over all rows; exact in any order.
+
+    Rows that are not on the driver are summed by task; of those sums, a row per number is added up.
+    """
+    if isinstance(rows, pa.Table):
+        return sum((work(batch) for batch in rows.to_batches(BATCH_ROWS)), np.zeros(size, np.int64))
+    schema = StructType([StructField("place", IntegerType()), StructField("value", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            total += work(batch)
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(total[place])], schema.fieldNames())
+
+    found = rows.mapInArrow(run, schema).groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    total = np.zeros(size, np.int64)
+    total[found["place"].to_numpy()] = found["value"].to_numpy()
+    return total
+
+
+def _whole(values: np.ndarray) -> np.ndarray:
+    """Values in units of 1 / ``UNIT``: whole numbers, whose sums do not depend on their order."""
+    return np.rint(values * UNIT)
+
+
+def _sigmoid(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+
+
+class Evidence(NamedTuple):
+    """What the votes say: the log odds without any, and what each voter that fires adds."""
+
+    base: float
+    votes: np.ndarray
+
+    def posterior(self, row: np.ndarray, number: np.ndarray, n_rows: int) -> np.ndarray:
+        return _sigmoid(self.base + np.bincount(row, self.votes[number], n_rows))
+
+
+def fit_voters(
+    patterns: DataFrame | pa.Table, m: int, prior: float, seen: np.ndarray, labelled: np.ndarray, rounds: int = 50
+) -> tuple[Evidence, np.ndarray]:
+    """The label model of ``m`` voters from packed ``votes`` and the number ``n`` of texts with just these.
+
+    See ``label_model``. A round is one pass over all patterns.
+    """
+    lexicon = m - len(PATTERNS)
+
+    def together(batch: pa.RecordBatch) -> np.ndarray:
+        x = np.zeros((batch.num_rows, m))
+        x[_pairs(batch.column("votes"))] = 1
+        n = batch.column("n").to_numpy()
+        return np.append(np.rint(x.T @ (x * n[:, None])).astype(np.int64).ravel(), n.sum())
+
+    def sums(evidence: Evidence | None) -> tuple[np.ndarray, float, float]:
+        """Over all texts: posterior by voter that fires, posterior, and its square. First from any word's vote."""
+
+        def work(batch: pa.RecordBatch) -> np.ndarray:
+            row, number = _pairs(batch.column("votes"))
+            n = batch.column("n").to_numpy()
+            if evidence is None:
+                posterior = np.where(np.bincount(row, number < lexicon, len(n)) > 0, 0.9, 0.05)
+            else:
+                posterior = evidence.posterior(row, number, len(n))
+            mass = _whole(posterior) * n
+            by_voter = np.bincount(number, mass[row], m)
+            return np.append(by_voter, [mass.sum(), (_whole(posterior**2) * n).sum()]).astype(np.int64)
+
+        total = _total(patterns, work, m + 2) / UNIT
+        return total[:m], total[m], total[m + 1]
+
+    total = _total(patterns, together, m * m + 1).astype(np.float64)
+    both, n = total[:-1].reshape(m, m), total[-1]
+    repetition = np.ones(m)
+    if not n:
+        return Evidence(0.0, np.zeros(m)), np.vstack([np.zeros((2, m)), repetition])
+    fires = np.diag(both).copy()
+    deviation = np.maximum(np.sqrt(np.maximum(fires / n - (fires / n) ** 2, 0)), 1e-3)
+    rate, evidence = np.zeros((2, m)), None
+    for step in range(rounds):
+        by_voter, mass, square = sums(evidence)
+        before = rate
+        rate = np.stack([
+            (fires - by_voter + seen[0] + 0.1) / (n - mass + labelled[0] + 1.0),
+            (by_voter + seen[1] + 0.1) / (mass + labelled[1] + 1.0),
+        ])
+        rate = np.clip(rate, 1e-5, 1 - 1e-5)
+        if step % 10 == 9:
+            # sums of products of what is left of each vote without its expectation, low + posterior * more
+            low, more = rate[0], rate[1] - rate[0]
+            mixed = np.outer(fires, low) + np.outer(by_voter, more)
+            expected = n * np.outer(low, low) + square * np.outer(more, more)
+            expected += mass * (np.outer(low, more) + np.outer(more, low))
+            correlation = np.clip((both - mixed - mixed.T + expected) / n / np.outer(deviation, deviation), 0, 1)
+            np.fill_diagonal(correlation, 0)
+            repetition = 1 + np.where(correlation > 0.05, correlation, 0).sum(axis=1)
+        present = (np.log(rate[1]) - np.log(rate[0])) / repetition
+        absent = (np.log1p(-rate[1]) - np.log1p(-rate[0])) / repetition
+        evidence = Evidence(float(np.log(prior / (1 - prior)) + absent.sum()), present - absent)
+        if step > 20 and np.abs(rate - before).max() < 1e-6:
+            break
+    return evidence, np.vstack([rate, repetition])
+
+
 def label_model(
     fired: np.ndarray,
     prior: float,
@@ -182,55 +316,70 @@ def label_model(
     n, m = fired.shape
     seen = np.zeros((2, m)) if seen is None else seen
     labelled = np.zeros((2, m)) if labelled is None else labelled
-    if not n:
-        return np.zeros(0), np.vstack([np.zeros((2, m)), np.ones(m)])
-    x = fired.astype(np.float64)
-    repetition = np.ones(m)
-    hits = x[:, : m - len(PATTERNS)].sum(axis=1)
-    posterior = np.where(hits > 0, 0.9, 0.05)
-    rate = np.zeros((2, m))
-    for step in range(rounds):
-        for label, mass in ((0, 1 - posterior), (1, posterior)):
-            rate[label] = (mass @ x + seen[label] + 0.1) / (mass.sum() + labelled[label] + 1.0)
-        rate = np.clip(rate, 1e-5, 1 - 1e-5)
-        if step % 10 == 9:
-            expected = (1 - posterior)[:, None] * rate[0] + posterior[:, None] * rate[1]
-            rest = (x - expected) / np.maximum(x.std(axis=0), 1e-3)
-            correlation = np.clip(rest.T @ rest / n, 0, 1)
-            np.fill_diagonal(correlation, 0)
-            repetition = 1 + np.where(correlation > 0.05, correlation, 0).sum(axis=1)
-        present = (np.log(rate[1]) - np.log(rate[0])) / repetition
-        absent = (np.log1p(-rate[1]) - np.log1p(-rate[0])) / repetition
-        score = np.log(prior / (1 - prior)) + absent.sum() + x @ (present - absent)
-        updated = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        if step > 20 and np.abs(updated - posterior).max(initial=0) < 1e-6:
-            break
-        posterior = updated
-    return posterior, np.vstack([rate, repetition])
+    row, number = np.nonzero(fired)
+    rows = pa.table({"votes": _pack(row, number, n), "n": np.ones(n, np.int64)})
+    evidence, table = fit_voters(rows, m, prior, seen, labelled, rounds)
+    return evidence.posterior(row, number, n), table
 
 
 def train_linear(
-    row: np.ndarray, column: np.ndarray, label: np.ndarray, n_columns: int, steps: int = 500, ridge: float = 1e-5
-) -> tuple[np.ndarray, float]:
-    """Logistic regression on 0/1 features, given as (row, column) pairs, for labels between 0 and 1 (Adam)."""
-    n = max(len(label), 1)
-    weight = np.zeros(n_columns + 1)  # the intercept is the last
-    first, second = np.zeros(n_columns + 1), np.zeros(n_columns + 1)
-    for step in range(1, steps + 1):
-        margin = np.bincount(row, weight[column], len(label)) + weight[-1]
-        error = 1 / (1 + np.exp(-margin)) - label
-        slope = np.append(np.bincount(column, error[row], n_columns), error.sum()) / n
-        slope[:-1] += ridge * weight[:-1]
-        first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
-        weight -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    return weight[:-1], float(weight[-1])
-
-
-def _pairs(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, number) of a column of lists."""
-    size = pc.list_value_length(lists).to_numpy().astype(np.int64)
-    number = pc.list_flatten(lists).to_numpy().astype(np.int64)
-    return np.repeat(np.arange(len(size)), size), number
+    texts: DataFrame | pa.Table, evidence: Evidence, n_columns: int, steps: int = 60, ridge: float = 1e-5
+) -> tuple[np.ndarray, float, np.ndarray]:
+    """Logistic regression of the posteriors on packed ``words`` (L-BFGS): weights, intercept, texts per word.
+
+    A step is one pass over all texts, or more if it must be shortened.
+    """
+
+    def count(batch: pa.RecordBatch) -> np.ndarray:
+        return np.append(np.bincount(_pairs(batch.column("words"))[1], minlength=n_columns), batch.num_rows)
+
+    seen = _total(texts, count, n_columns + 1)
+    n = int(seen[-1])
+    if not n:
+        return np.zeros(n_columns), 0.0, seen[:-1]
+    penalty = np.append(np.full(n_columns, ridge), 0.0)  # the intercept is the last
+    scale = 1 / np.sqrt(0.25 * seen / n + ridge)
+
+    def loss(weight: np.ndarray) -> tuple[float, np.ndarray]:
+        def work(batch: pa.RecordBatch) -> np.ndarray:
+            row, column = _pairs(batch.column("words"))
+            label = evidence.posterior(*_pairs(batch.column("votes")), batch.num_rows)
+            margin = np.bincount(row, weight[column], batch.num_rows) + weight[-1]
+            error = _whole(1 / (1 + np.exp(-np.clip(margin, -500, 500))) - label)
+            slope = np.bincount(column, error[row], n_columns)
+            return np.append(slope, [error.sum(), _whole(np.logaddexp(0, margin) - label * margin).sum()]).astype(np.int64)
+
+        total = _total(texts, work, n_columns + 2) / UNIT / n
+        return total[-1] + 0.5 * (penalty * weight**2).sum(), (total[:-1] + penalty * weight) * scale
+
+    place = np.zeros(n_columns + 1)  # the weights over their scale
+    value, slope = loss(place * scale)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        way, used = -slope, []
+        for move, turn in reversed(moves):
+            used.append(move @ way / (move @ turn))
+            way = way - used[-1] * turn
+        if moves:
+            way = way * (moves[-1][0] @ moves[-1][1]) / (moves[-1][1] @ moves[-1][1])
+        for (move, turn), part in zip(moves, reversed(used), strict=True):
+            way = way + (part - turn @ way / (move @ turn)) * move
+        fall, size = slope @ way, 1.0
+        if np.abs(slope).max() < 1e-6 or fall >= 0:
+            break
+        while True:
+            tried, found = loss((place + size * way) * scale)
+            if tried <= value + 1e-4 * size * fall or size < 1e-3:
+                break
+            size /= 2
+        if tried > value:
+            break
+        move, turn = size * way, found - slope
+        place, value, slope = place + move, tried, found
+        if move @ turn > 1e-12:
+            moves = [*moves[-9:], (move, turn)]
+    weight = place * scale
+    return weight[:-1], float(weight[-1]), seen[:-1]
 
 
 def learn(
@@ -240,9 +389,8 @@ def learn(
     text_column: str = "text",
     label_column: str = "toxic",
     label_rows: int = LABEL_ROWS,
-    model_rows: int = MODEL_ROWS,
 ) -> Model:
-    """Voters from the labelled rows, then label model and classifier from unlabelled ``docs``.
+    """Voters from the labelled rows, then label model and classifier from all of ``docs``, labels unused.
 
     All rows of both tables are rows to learn from.
     """
@@ -253,42 +401,35 @@ def learn(
     vocabulary = learn_vocabulary(texts.join(sample, "id").select("text", "label"))
     balance = known.agg(F.avg("label")).first()[0]
     prior = float(np.clip(0.1 if balance is None else balance, 0.01, 0.99))
-    kinds = [StructField(c, ArrayType(IntegerType())) for c in ("words", "patterns")]
-    schema = StructType([StructField("mark", LongType()), *kinds])
-
-    def listed(doc: np.ndarray, number: np.ndarray, n_docs: int) -> pa.ListArray:
-        ends = np.searchsorted(doc, np.arange(n_docs + 1))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(number, pa.int32()))
+    lexicon = np.flatnonzero(vocabulary.voter)
+    voters = len(lexicon) + len(PATTERNS)
+    place = np.full(len(vocabulary.hashes), -1)
+    place[lexicon] = np.arange(len(lexicon))
+    schema = StructType([StructField(c, BinaryType()) for c in ("words", "votes")])
 
     def look(batch: pa.RecordBatch):
         for part in slices(batch.column(0)):
             doc, number, fired = votes(part, vocabulary)
-            n_docs = len(fired)
-            yield {
-                "mark": batch.column(1).slice(part.first, n_docs),
-                "words": listed(doc, number, n_docs),
-                "patterns": listed(*np.nonzero(fired), n_docs),
-            }
-
-    drawn = hash_sample(texts, model_rows, "id", "text").select("text", F.xxhash64("id", "text").alias("mark"))
-    # in the order of their hashes, so that sums do not depend on the order of arrival
-    found = arrow_stage(drawn, look, schema).toArrow().sort_by("mark")
-    row, column = _pairs(found["words"])
-    lexicon = np.flatnonzero(vocabulary.voter)
-    fired = np.zeros((found.num_rows, len(lexicon) + len(PATTERNS)), bool)
-    place = np.full(len(vocabulary.hashes), -1)
-    place[lexicon] = np.arange(len(lexicon))
-    own = place[column] >= 0
-    fired[row[own], place[column[own]]] = True
-    at, pattern = _pairs(found["patterns"])
-    fired[at, len(lexicon) + pattern] = True
+            own = place[number] >= 0
+            at, pattern = np.nonzero(fired)
+            by = np.concatenate([doc[own], at])
+            voter = np.concatenate([place[number[own]], len(lexicon) + pattern])
+            order = np.argsort(by, kind="stable")
+            yield {"words": _pack(doc, number, len(fired)), "votes": _pack(by[order], voter[order], len(fired))}
+
+    found = materialize(arrow_stage(texts.select("text"), look, schema), "toxicity-votes")
+    patterns = materialize(found.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "toxicity-patterns")
     # patterns are not counted in the labelled texts: nothing is known of them
     seen = np.pad(vocabulary.seen[:, lexicon], ((0, 0), (0, len(PATTERNS))))
     labelled = np.pad(np.repeat(vocabulary.labelled[:, None], len(lexicon), axis=1), ((0, 0), (0, len(PATTERNS))))
-    posterior, accuracies = label_model(fired, prior, seen, labelled)
-    weight, intercept = train_linear(row, column, posterior, len(vocabulary.hashes))
-    if not found.num_rows:
+    evidence, accuracies = fit_voters(_hold(patterns, "votes"), voters, prior, seen, labelled)
+    weight, intercept, texts_with = train_linear(_hold(found, "words", "votes"), evidence, len(vocabulary.hashes))
+    if not texts_with.any():
         weight, intercept = vocabulary.voter * 4.0, -2.0
+    # an insult of the fixed list that no text holds weighs as those do that some text holds
+    fixed = np.isin(vocabulary.hashes, insult_hashes())
+    if (fixed & (texts_with > 0)).any():
+        weight[fixed & (texts_with == 0)] = np.median(weight[fixed & (texts_with > 0)])
     return Model(vocabulary, weight, intercept, accuracies)
 
 

@@ -190,6 +190,42 @@ def test_toxicity_edges(spark, docs):
     assert [r["predicted"] for r in sorted(toxicity.score(rows, blind).collect())] == [1, 0, 0]
 
 
+def rare_words(spark):
+    """30,000 texts; each of 30 words is in five texts labelled toxic, and in no other."""
+    common = F.concat_ws(" ", *[F.concat(F.lit("common"), F.pmod(F.xxhash64("doc_id", F.lit(i)), F.lit(50))) for i in range(8)])
+    rare = F.when(F.col("doc_id") < 150, F.concat(F.lit(" rare"), (F.col("doc_id") % 30).cast("string"))).otherwise("")
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id")).withColumn("text", F.concat(common, rare))
+    labels = docs.where("doc_id < 3000").select("doc_id", (F.col("doc_id") < 150).cast("int").alias("toxic"))
+    return docs, labels
+
+
+def test_every_voter_is_fitted(spark):
+    docs, labels = rare_words(spark)
+    model = toxicity.learn(docs, labels)
+    found = toxicity.score(docs.where("doc_id < 30").withColumn("text", F.concat(F.lit("common1 rare"), "doc_id")), model)
+    assert [r["predicted"] for r in found.collect()] == [1] * 30
+    (part,) = slices(pa.array([" ".join(f"rare{i}" for i in range(30))]))
+    assert (model.weight[model.vocabulary.find(toxicity.word_features(part)[1])] > 0).all()
+
+
+def test_sums_in_spark_equal_those_on_the_driver(spark, monkeypatch):
+    docs, labels = rare_words(spark)
+    here = toxicity.learn(docs, labels)
+    monkeypatch.setattr(toxicity, "LOCAL_BYTES", 0)
+    there = toxicity.learn(docs.repartition(5), labels)
+    assert (here.weight == there.weight).all()
+    assert here.intercept == there.intercept
+    assert (here.accuracies == there.accuracies).all()
+
+
+def test_an_insult_of_no_text_counts(spark, docs):
+    texts = docs.select("doc_id", "text").where(~F.lower("text").contains("vermin"))
+    model = toxicity.learn(texts, read_table(spark, FOLDER, "labels"))
+    rows = spark.createDataFrame([(1, "vermin"), (2, "village")], "doc_id long, text string")
+    insult, plain = [r["score"] for r in sorted(toxicity.score(rows, model).collect())]
+    assert insult > plain
+
+
 # ---- importance resampling ----
 
 
