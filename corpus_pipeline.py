@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from niimble.llm import bpe, importance, language_id, mixing, ngram_join
@@ -17,8 +17,11 @@ from niimble.llm.queries import WEIGHTS, vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Short documents may be little alike any prototype; below this they are like none of them.
-LEAST_COSINE = 0.02
+# Cosines of texts in no language of the corpus scatter by 1 / sqrt(1024) = 0.03. Those of texts in one grow with
+# their letters, as do those of chance letters, but less: a text of up to SHORT letters must reach LEAST_COSINE,
+# one of twice as many COSINE_PER_DOUBLING more, and so on up to ENOUGH_COSINE.
+SHORT = 32
+LEAST_COSINE, COSINE_PER_DOUBLING, ENOUGH_COSINE = 0.08, 0.03, 0.2
 
 
 def _as_rows(docs: DataFrame) -> DataFrame:
@@ -26,11 +29,17 @@ def _as_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*docs.columns).alias("row"), "text")
 
 
+def least_cosine(letters: Column) -> Column:
+    """What the score of a text of so many letters must reach."""
+    doublings = F.log2(F.greatest(letters, F.lit(SHORT)) / F.lit(SHORT))
+    return F.least(LEAST_COSINE + COSINE_PER_DOUBLING * doublings, F.lit(ENOUGH_COSINE))
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without a letter, and those like no language of the corpus, go."""
     profiles = language_id.learn(docs.where(fold("doc_id") != 0))
-    found = language_id.predict(_as_rows(docs), profiles, "row")
-    known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_COSINE)
+    found = language_id.predict(_as_rows(docs), profiles, "row", letters_column="n_letters")
+    known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= least_cosine(F.col("n_letters")))
     return found.where(known).select("row.*")
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from niimble.llm.frames import arrow_stage, fields, hash_draw
 
@@ -135,14 +135,13 @@ def find_grams(codes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 def profiles_of(texts: pa.Array, dimensions: int, n: int, letters: Letters) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First text of a block, the profiles of its texts, and which of them have a letter.
+    """First text of a block, the profiles of its texts, and how many letters they have.
 
     The table of counts has at most ``BLOCK_DOCS`` rows and ``BLOCK_GRAMS`` columns at a time.
     """
     for first, codes, doc in blocks(texts):
         n_docs = int(doc[-1]) + 1
-        has_letter = np.zeros(n_docs, bool)
-        has_letter[doc[codes != 32]] = True
+        n_letters = np.bincount(doc[codes != 32], minlength=n_docs)
         found = np.zeros((n_docs, dimensions), np.float32)
         for at in range(0, n_docs, BLOCK_DOCS):
             low, high = np.searchsorted(doc, [at, at + BLOCK_DOCS])
@@ -154,7 +153,7 @@ def profiles_of(texts: pa.Array, dimensions: int, n: int, letters: Letters) -> I
                 cells = owner[here] * columns + which[here] - column
                 counts = np.bincount(cells, minlength=rows * columns).reshape(rows, columns)
                 found[at : at + rows] += counts.astype(np.float32) @ letters.bound(grams[column : column + columns])
-        yield first, found, has_letter
+        yield first, found, n_letters
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -212,28 +211,34 @@ def predict(
     text_column: str = "text",
     keep: tuple[str, ...] = (),
     n: int = GRAM,
+    letters_column: str | None = None,
 ) -> DataFrame:
-    """Per document: the id, the columns to keep, ``lang_pred`` and ``score``, the cosine or 0 if negative."""
+    """Per document: the id, the columns to keep, ``lang_pred`` and ``score``, the cosine or 0 if negative.
+
+    With ``letters_column`` a column of that name says how many letters the text has.
+    """
     names, prototypes = profiles
     carried = [id_column, *[c for c in keep if c != id_column]]
     schema = StructType([
         *fields(docs, *carried), StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+        *([] if letters_column is None else [StructField(letters_column, LongType())]),
     ])
     letters = Letters(prototypes.shape[1])
     # the text goes first, under its own position, as it may be among the columns to keep
     rows = docs.select(F.col(text_column).alias("_text"), *carried)
 
     def score(batch: pa.RecordBatch):
-        for first, found, has_letter in profiles_of(batch.column(0), prototypes.shape[1], n, letters):
+        for first, found, n_letters in profiles_of(batch.column(0), prototypes.shape[1], n, letters):
             size = len(found)
             cosine = _unit(found) @ prototypes.T if names else np.zeros((size, 1), np.float32)
-            known = has_letter & bool(names)
+            known = (n_letters > 0) & bool(names)
             best = cosine.argmax(axis=1)
             value = np.where(known, np.clip(cosine[np.arange(size), best], 0.0, 1.0), 0.0)
             yield {
                 **{c: batch.column(1 + i).slice(first, size) for i, c in enumerate(carried)},
                 "lang_pred": pa.array([names[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]),
                 "score": pa.array(value.astype(np.float64)),
+                **({} if letters_column is None else {letters_column: pa.array(n_letters, pa.int64())}),
             }
 
     return arrow_stage(rows, score, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import duckdb
@@ -124,3 +125,25 @@ def test_und_goes(spark):
     kept = dict(corpus_pipeline.STAGES)["language"](spark, docs.unionByName(read_table(spark, FOLDER, "documents")), FOLDER)
     assert not {r[0] for r in rows_of(kept, "doc_id", "text") if not any(c.isalpha() for c in r[1] or "")}
     assert language_id.UNDETERMINED == "und"
+
+
+def test_texts_of_no_known_language_go(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = read_table(spark, folder, "documents")
+    rng = random.Random(8)
+    alphabets = ["αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщыэюя", "漢字仮名交文日本語中国人", "abcdefghijklmnopqrstuvwxyz"]
+
+    def chance(letters, n):
+        return " ".join("".join(rng.choices(letters, k=rng.randrange(2, 10))) for _ in range(n))
+
+    foreign = [chance(a, n) for a in alphabets for n in (3, 10, 40, 300, 1500) for _ in range(15)]
+    good = read_table(spark, folder, "labels").where("quality = 1")
+    texts = [r["text"].split() for r in docs.join(good, "doc_id").orderBy("doc_id").collect() if len(r["text"].split()) > 30]
+    short = [" ".join(t[:n]) for n in (4, 8) for t in texts[:150]]
+    planted = [(10**6 + i, t, None, "a", len(t)) for i, t in enumerate(foreign)]
+    planted += [(2 * 10**6 + i, t, None, "a", len(t)) for i, t in enumerate(short)]
+    rows = docs.unionByName(spark.createDataFrame(planted, docs.schema))
+    kept = [r["doc_id"] for r in dict(corpus_pipeline.STAGES)["language"](spark, rows, folder).collect()]
+    assert sum(10**6 <= i < 2 * 10**6 for i in kept) <= 0.05 * len(foreign)
+    assert sum(i >= 2 * 10**6 for i in kept) >= 0.98 * len(short)
+    assert sum(i < 10**6 for i in kept) >= 0.99 * docs.count()
