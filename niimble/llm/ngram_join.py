@@ -232,6 +232,8 @@ def prefix_choice(
         cost = hits + hits / length * COMPARE * (1 + size / 64)
         better = cost < best
         best, chosen = np.where(better, cost, best), np.where(better, length, chosen)
+    # a small set may have fewer shingles in common with another than that
+    chosen = np.minimum(chosen, np.maximum(1, needed(size, share)))
     return chosen, np.minimum(count - needed(size, share) + chosen, count)
 
 

@@ -84,6 +84,26 @@ def test_pairs_equal_brute_force(spark, share):
     assert got
 
 
+@pytest.mark.parametrize("share", [50, 60])
+def test_pairs_of_short_texts_equal_brute_force(spark, share):
+    rng = random.Random(share)
+    rows = []
+    for _ in range(60):
+        base = words(rng, rng.randrange(6, 11), 10_000)
+        edited = [*base]
+        edited[rng.choice([0, -1])] = f"e{rng.randrange(10**6)}"
+        rows += [base, edited, base[1:], [*base, "more"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    table = ngram_join.shingle_table(docs, share=share)
+    classes = {r["id"]: r["class"] for r in table.collect()}
+    got = {(r["a"], r["b"]) for r in ngram_join.similar_pairs(table, share).collect()}
+    sets = [(classes[i], shingles(t)) for i, t in rows]
+    assert got == {(c, d) for c, a in sets for d, b in sets if c < d and linked(a, b, share)}
+    components_found = rows_of(ngram_join.join_components(docs, share=share), "doc_id", "n_shingles", "component_id")
+    assert components_found == sorted(components(rows, share), key=repr)
+
+
 def test_the_border_of_the_share(spark):
     # 9 shingles each, 8 in common of 10: exactly 80 percent; one more edit is less
     base = [f"b{i}" for i in range(13)]
