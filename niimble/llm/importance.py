@@ -3,8 +3,11 @@
 Words, runs of symbols and pairs of neighbours are hashed into buckets. Two bag-of-n-grams models give each
 bucket a probability: one from the target texts (labelled as good), one from all raw texts. A text's log
 weight is the sum over its n-grams of log(target) - log(raw), the logarithm of the ratio of the two
-models. Resampling adds Gumbel noise, drawn from a hash of seed and id, to log weight / temperature and
-keeps the k largest: a sample without replacement with these weights.
+models. Resampling adds Gumbel noise, drawn from a hash of seed and id, to (log weight - n-grams * divide)
+/ temperature and keeps the k largest: a sample without replacement with these shifted weights, not with
+the ratio of the models itself. The divide is a log weight per n-gram between those of good and bad labelled
+texts. The shift makes long texts no better or worse by their length alone; as the default temperature's noise
+is small beside sums over n-grams, the outcome is near that of a threshold: mean log ratio >= divide.
 
 The raw model counts all documents; the target model counts a bounded number of labelled ones
 (``TRAIN_ROWS``, a parameter). ``k`` is given, or is the number of documents whose log weight per n-gram
