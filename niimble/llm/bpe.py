@@ -3,14 +3,15 @@
 A rolling hash over the bytes of a text cuts it into chunks, at places that depend on the bytes
 around them alone, so documents that share a passage share its chunks. Documents are dealt out by
 the smallest hash among their chunks: copies and documents with common passages tend to meet in one
-worker, where a chunk is encoded once. Spark splits a partition that grows large because one group of
+worker, where a piece is encoded once. Spark splits a partition that grows large because one group of
 copies is hot; it then is encoded once per worker that gets a part.
 
-A cut may tear a word. Near each cut the torn pieces are encoded again as one window. The window
-reaches on both sides to the nearest place where the pre-tokenizer breaks whatever stands around it:
-between a visible ASCII character and a space or line feed. Up to there the chunk's own tokens and
-those of the whole text agree; a chunk without such a place is swallowed by the window, which then
-reaches into the next chunk. So the tokens are those of the text encoded in one piece.
+A cut may tear a word. So chunks themselves are not encoded: around each cut a window is set, which
+reaches on both sides to the nearest place where the pre-tokenizer breaks whatever stands around it,
+between a visible ASCII character and a space or line feed. The pieces encoded are the windows and what
+lies between them; their tokens are those of the text encoded in one piece, and no join needs repair. A
+chunk without such a place is swallowed by the window, which then reaches into the next chunk; a text
+without any is one piece, so a passage it shares with different texts is encoded anew for each.
 
 Empty and NULL texts have no tokens. The text of an added token (here ``<|endoftext|>``) is that
 token. Repeated rows give repeated results; an empty table gives none. Only the named columns are
