@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niimble.llm import bpe, fingerprints, importance, language_id, mixing, ngram_join, quality_rules, token_counts, toxicity, warc
+from niimble.llm import (
+    bpe, fingerprints, hard_negatives, importance, language_id, mixing, ngram_join, quality_rules, substring_dedup,
+    token_counts, toxicity, warc, whitening,
+)
 from niimble.llm.frames import fold, read_table, scratch_path, text_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +103,26 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(docs, trees)
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    # DECIMAL holds what a long cannot at tens of millions of rows; such a deviation is NULL here
+    found = whitening.whiten(read_table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    digest = F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    return substring_dedup.remove_repeats(read_table(spark, folder, "documents"), of_kept=digest)
+
+
 SQL["op7_warc_archives"] = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
@@ -188,3 +211,42 @@ SELECT doc_id, size, source_size, target,
       AND (reached <= open OR reached - open <= open - (reached - own)) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM r
 """
+
+SQL["op11_hard_negatives"] = """
+WITH x AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM x a JOIN x b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, s.id AS negative_id, p.positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY rank <= 5
+"""
+
+SQL["op13_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), c AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS place
+  FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING count(*) > 1)
+), k AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d) ANTI JOIN c USING (r, place) GROUP BY r
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
