@@ -306,7 +306,9 @@ def find_repeats(texts: DataFrame, window: int = WINDOW, prefix: int = PREFIX, g
     filed = texts.mapInArrow(partial(_file, window=window, prefix=prefix), STRETCH)
     shared = filed.groupBy("prefix").agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
     entry = F.struct("span", "prefix", F.ceil(F.col("_n") / group).cast("int").alias("parts"))
-    asked = filed.join(shared, "prefix").groupBy("key").agg(F.collect_list(entry).alias("asked"))  # at most a text's words
+    # joined on an expression, so that both sides are shuffled for the join and AQE can split a hot prefix
+    twin = F.bitwise_not("prefix")
+    asked = filed.withColumn("_twin", twin).join(shared.select(twin.alias("_twin"), "_n"), "_twin").groupBy("key").agg(F.collect_list(entry).alias("asked"))  # at most a text's words
     moved = texts.join(asked, "key").mapInArrow(partial(_cut, window=window), FILED)
     dealt = moved.repartition("prefix", "part").sortWithinPartitions("prefix", "part")
     marks = dealt.mapInArrow(partial(_trees, window=window), MARK)
