@@ -260,6 +260,57 @@ VIEWS = {
         select product, case product when 'Loan' then 'Assets' when 'Deposit' then 'Liabilities'
           else 'Other' end as product_group
         from {PRODUCTS} p(product) where product <> 'MEDIUM'""",
+    "curve_points": """
+        select concat('A', cast(n_nationkey as varchar)) as assumption_id, 'OIS' as curve_type, t.tenor,
+          case when n_nationkey % 2 = 0 then 'USD' else 'EUR' end as currency,
+          cast(n_nationkey * 1e-3 + i * 7e-4 as decimal(18,8)) as value,
+          make_date(1995 + cast(floor(n_nationkey / 4e0) as int), 1 + n_nationkey % 12, 1) as effective_date
+        from nation, (values (0, '1M'), (1, '3M'), (2, '6M'), (3, '1Y'), (4, '2Y'), (5, '5Y'), (6, 'spot')) t(i, tenor)
+        where (n_nationkey + i) % 3 <> 0""",
+    "tenor_length": """
+        select * from (values ('1M', 1 / 12e0), ('3M', 3 / 12e0), ('6M', 6 / 12e0), ('1Y', 1e0), ('2Y', 2e0),
+          ('5Y', 5e0)) l(tenor, years)""",
+    "curve_grid": """
+        select c.currency, c.day as effective_date, l.years, arg_max(cast(m.value as double), m.effective_date) as rate
+        from (select distinct currency, effective_date as day from curve_points where tenor <> 'spot') c
+          join curve_points m on m.currency = c.currency and m.effective_date <= c.day
+          join tenor_length l on m.tenor = l.tenor
+        group by 1, 2, 3""",
+    "forwards": """
+        select * from (values ('Loan', 6 / 12e0, 18 / 12e0), ('Deposit', 1 / 12e0, 3 / 12e0), ('LARGE', 2e0, 10e0),
+          ('MEDIUM', 7 / 365e0, 1.5e0), ('SMALL', 1e0, 6 / 12e0), ('STANDARD', 1 / 365e0, 1e0)) f(product, t1, t2)""",
+    "moving_edges": """
+        select node, up, date '1990-01-01' as since from unit_edges
+        union all
+        select * from (values ('ASIA', 'WEST', date '2000-07-01'), ('CHINA', 'EUROPE', date '1997-03-15'),
+          ('CHINA', 'ASIA', date '1999-03-15'), ('EAST', 'WEST', date '1998-01-01'),
+          ('AFRICA', null, date '2001-05-05')) m(node, up, since)""",
+    "supplier_history": """
+        select concat('CFG', cast(s_suppkey as varchar)) as config_key, e.version, e.flag, e.moment
+        from supplier, lateral (values ('v1', true, date '1995-06-01', true),
+          ('v2', true, make_date(1998 + s_suppkey % 3, 3, 1), true), ('v2', false, date '2001-02-01', s_suppkey % 5 = 0),
+          ('v1', true, date '2001-06-15', s_suppkey % 7 = 0), ('v1', false, date '1997-01-01', s_suppkey % 11 = 0),
+          ('v1', true, date '1998-01-01', s_suppkey % 11 = 0)) e(version, flag, moment, told)
+        where e.told""",
+    "proxy_chains": f"""
+        select concat(x.unit, '|', product) as source_segment, concat(x.proxy, '|', product) as proxy_segment, x.w
+        from {PRODUCTS} p(product), (values ('AFRICA', 'AMERICA', 0.7), ('AFRICA', 'ASIA', 0.3), ('AMERICA', 'ASIA', 0.6),
+          ('AMERICA', 'EUROPE', 0.3), ('ASIA', 'EUROPE', 0.8), ('ASIA', 'MIDDLE EAST', 0.2),
+          ('EUROPE', 'MIDDLE EAST', 0.9), ('EUROPE', 'ATLANTIS', 0.1)) x(unit, proxy, w)""",
+    "nation_codes": """
+        select n_nationkey as k, n_name, case n_name when 'UNITED STATES' then 'USD' when 'UNITED KINGDOM' then 'GBP'
+          else left(n_name, 3) end as code from nation""",
+    "nation_positions": """
+        select code as currency, cast(date_trunc('month', period_date) as date) as period_date, business_unit,
+          sum(amount) as balance
+        from lines join nation_codes on nation = n_name group by 1, 2, 3""",
+    "nation_quotes": """
+        select q.currency, q.quote_currency, make_date(1994 + a.k % 4 + step * 3, a.k % 12 + 1, 10) as effective_date,
+          0.5e0 + a.k * 0.125e0 + step * 0.0625e0 as fx_rate
+        from nation_codes a left join nation_codes b on b.k = a.k - 1, (values (0), (1)) s(step),
+          lateral (values (a.code, 'USD', a.k % 5 = 0), ('USD', a.code, a.k % 5 = 1),
+            (a.code, b.code, a.k % 5 in (2, 3)), (b.code, a.code, a.k % 10 = 3)) q(currency, quote_currency, told)
+        where q.told and q.currency <> q.quote_currency""",
 }
 
 POSITION = "run_id, business_unit, business_segment_group, cost_centre, product, currency"
@@ -658,6 +709,146 @@ STATEMENTS = {
         union all
         select 'R2', business_unit, business_segment_group, cost_centre, product, currency, period_year,
           cast(actual_balance * 0.5 as double) from actuals""",
+    "curve_forward": """
+        with asked as (
+          select distinct l.product, l.currency, period_date, t1, t2,
+            (select max(effective_date) from curve_grid g where g.currency = l.currency and g.effective_date <= period_date) as day
+          from lines l join forwards f on l.product = f.product),
+        ends as (
+          select product, currency, period_date, day, t1 as t from asked
+          union select product, currency, period_date, day, t2 from asked),
+        around as (
+          select e.product, e.currency, e.period_date, e.t,
+            max(years) filter (where years <= t) as lt, arg_max(rate, years) filter (where years <= t) as lr,
+            min(years) filter (where years >= t) as ht, arg_min(rate, years) filter (where years >= t) as hr
+          from ends e join curve_grid g on g.currency = e.currency and g.effective_date = e.day group by 1, 2, 3, 4),
+        z as (
+          select *, case when lt is null then hr when ht is null then lr when lt = ht then lr
+            else lr + (hr - lr) * ((t - lt) / (ht - lt)) end as rate from around),
+        f as (
+          select a.product, a.currency, a.period_date,
+            case when t2 > t1 then cast((y.rate * t2 - x.rate * t1) / (t2 - t1) as decimal(18,8)) end as forward_rate
+          from asked a join z x on x.product = a.product and x.currency = a.currency and x.period_date = a.period_date and x.t = t1
+            join z y on y.product = a.product and y.currency = a.currency and y.period_date = a.period_date and y.t = t2)
+        select business_unit, l.product, l.currency, cast(date_trunc('month', l.period_date) as date) as month,
+          count(*) as lines, count(forward_rate) as priced, cast(sum(amount * forward_rate) as double) as weighted
+        from lines l left join f on l.product = f.product and l.currency = f.currency and l.period_date = f.period_date
+        group by 1, 2, 3, 4""",
+    "curve_days": """
+        select 'OIS' as curve_type, currency, effective_date, round(years, 6) as years, round(rate, 6) as rate
+        from curve_grid""",
+    "forward_yield_parameters": """
+        with asked as (
+          select distinct business_unit, l.product, l.currency, cast(date_trunc('month', period_date) as date) as reference_date,
+            t1, t2 from lines l join forwards f on l.product = f.product),
+        dated as (
+          select *, (select max(effective_date) from curve_grid g
+            where g.currency = a.currency and g.effective_date <= reference_date) as day from asked a),
+        ends as (select currency, day, t1 as t from dated union select currency, day, t2 from dated),
+        around as (
+          select e.currency, e.day, e.t,
+            max(years) filter (where years <= t) as lt, arg_max(rate, years) filter (where years <= t) as lr,
+            min(years) filter (where years >= t) as ht, arg_min(rate, years) filter (where years >= t) as hr
+          from ends e join curve_grid g on g.currency = e.currency and g.effective_date = e.day group by 1, 2, 3),
+        z as (
+          select *, t * ln(1 + case when lt is null then hr when ht is null then lr when lt = ht then lr
+            else lr + (hr - lr) * ((t - lt) / (ht - lt)) end) as growth from around)
+        select business_unit, product, a.currency, reference_date, 'OIS' as yield_curve,
+          cast(case when t2 > t1 then cast(exp((y.growth - x.growth) / (t2 - t1)) - 1 as decimal(18,8)) end as double) as forward_rate
+        from dated a left join z x on x.currency = a.currency and x.day = a.day and x.t = t1
+          left join z y on y.currency = a.currency and y.day = a.day and y.t = t2""",
+    "hierarchy_rollup_dated": """
+        with recursive days as (select distinct period_date as day from lines),
+        edges_on as (
+          select day, node, up from days join moving_edges on since <= day
+          qualify row_number() over (partition by day, node order by since desc) = 1),
+        path(day, node, ancestor) as (
+          select day, n_name, n_name from days, nation
+          union all
+          select p.day, p.node, e.up from path p join edges_on e on p.ancestor = e.node and p.day = e.day where e.up is not null)
+        select ancestor, cast(year(period_date) as int) as period_year, cast(sum(amount) as double) as amount
+        from lines join path on nation = node and period_date = day group by 1, 2""",
+    "hierarchy_closure_dated": """
+        with recursive cuts as (
+          select d, row_number() over (order by d) as place, lead(d) over (order by d) as next
+          from (select since as d from moving_edges union select date '0001-01-01')),
+        edges_on as (
+          select place, node, up from cuts join moving_edges on since <= d
+          qualify row_number() over (partition by place, node order by since desc) = 1),
+        path(place, node, ancestor) as (
+          select place, node, node from cuts, (select node from moving_edges union select up from moving_edges where up is not null)
+          union all
+          select p.place, p.node, e.up from path p join edges_on e on p.ancestor = e.node and p.place = e.place
+          where e.up is not null),
+        runs as (
+          select *, place - row_number() over (partition by node, ancestor order by place) as run from path)
+        select node, ancestor, nullif(min(d), date '0001-01-01') as valid_from, arg_max_null(next, place) as valid_until
+        from runs join cuts using (place) group by node, ancestor, run""",
+    "config_as_known": """
+        with l as (
+          select concat('CFG', cast(supplier as varchar)) as config_key, period_date,
+            period_date + cast(14 + supplier % 13 * 31 as int) as known_date, amount from lines),
+        q as (select distinct config_key, known_date from l),
+        told as (
+          select q.config_key, known_date, version, arg_max(flag, moment) as flag, max(moment) as moment
+          from q join supplier_history h on q.config_key = h.config_key and moment <= known_date group by 1, 2, 3),
+        active as (
+          select * from told where flag
+          qualify row_number() over (partition by config_key, known_date order by moment desc, version desc) = 1)
+        select l.config_key, s.config_version, count(*) as lines, cast(sum(amount * configint1) as double) as scaled
+        from l left join active a on l.config_key = a.config_key and l.known_date = a.known_date
+          left join supplier_store s on s.config_key = a.config_key and s.config_version = a.version
+            and effective_date <= period_date and (expiry_date is null or period_date < expiry_date)
+        group by 1, 2""",
+    "known_versions": """
+        with q as (select distinct config_key, moment as known_from from supplier_history),
+        told as (
+          select q.config_key, known_from, version, arg_max(flag, moment) as flag, max(moment) as moment
+          from q join supplier_history h on q.config_key = h.config_key and moment <= known_from group by 1, 2, 3),
+        active as (
+          select * from told where flag
+          qualify row_number() over (partition by config_key, known_from order by moment desc, version desc) = 1)
+        select q.config_key, q.known_from, a.version as config_version
+        from q left join active a on q.config_key = a.config_key and q.known_from = a.known_from""",
+    "proxy_fill_chained": """
+        with recursive walk(source, period_date, segment, weight, depth) as (
+          select segment, period_date, segment, 1e0, 0 from segment_months where balance is null
+          union all
+          select w.source, w.period_date, r.proxy_segment, w.weight * cast(r.w as double), w.depth + 1
+          from walk w join segment_months m on m.segment = w.segment and m.period_date = w.period_date and m.balance is null
+            join proxy_chains r on r.source_segment = w.segment),
+        fills as (
+          select source, w.period_date, sum(weight * cast(balance as double)) as fill,
+            sum(weight) filter (where balance is not null) as weight, max(depth) as depth
+          from walk w left join segment_months k on k.segment = w.segment and k.period_date = w.period_date
+          group by 1, 2)
+        select s.segment, s.period_date, cast(balance as double) as balance,
+          round(coalesce(cast(balance as double), fill), 6) as filled_value,
+          case when balance is null then round(coalesce(weight, 0), 6) end as proxy_weight_found,
+          depth as proxy_depth
+        from segment_months s left join fills f on f.source = s.segment and f.period_date = s.period_date""",
+    "currency_cross": """
+        with recursive days as (select distinct period_date as day from nation_positions),
+        held as (
+          select day, currency as one, quote_currency as other, arg_max(fx_rate, {'d': effective_date, 'r': fx_rate}) as rate
+          from days join nation_quotes on effective_date <= day group by 1, 2, 3),
+        ways as (
+          select day, one, other, rate, 0 as inverse from held
+          union all select day, other, one, 1e0 / rate, 1 from held),
+        best as (select * from ways qualify row_number() over (partition by day, one, other order by inverse) = 1),
+        routes(day, currency, rate, route, hops, inverses) as (
+          select day, 'USD', 1e0, 'USD', 0, 0 from days
+          union all
+          select b.day, b.one, b.rate * r.rate, concat(b.one, '>', r.route), r.hops + 1, r.inverses + b.inverse
+          from routes r join best b on b.day = r.day and b.other = r.currency
+          where r.hops < 3 and not contains(r.route, b.one)),
+        shortest as (
+          select * from routes qualify row_number() over (partition by day, currency order by hops, inverses, route) = 1)
+        select p.business_unit, p.currency, period_date, cast(balance as double) as balance,
+          case when p.currency = 'USD' then 1e0 else round(rate, 6) end as fx_rate,
+          case when p.currency = 'USD' then 'USD' else route end as fx_route,
+          round(cast(balance as double) * case when p.currency = 'USD' then 1e0 else rate end, 6) as converted_amount
+        from nation_positions p left join shortest s on s.day = p.period_date and s.currency = p.currency""",
 }
 for _same in ("forecast_run_stored", "forecast_run_default"):
     STATEMENTS[_same] = STATEMENTS["nii_cost_centre_conserving"]

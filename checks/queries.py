@@ -17,7 +17,9 @@ from pyspark.sql.types import DecimalType, DoubleType
 
 from checks.views import FIRST_MONTH, RUN, Views
 from niimble.functions.dates import day_count_fraction, month_of, month_text
-from niimble.operators import balances, configuration, drivers, enrichment, hierarchy
+from niimble.operators import (
+    balances, configuration, currencies, curves, dated_hierarchy, drivers, enrichment, hierarchy, known, proxies,
+)
 from niimble.operators import income as nii
 from niimble.operators import market, metrics, quality, scenarios
 from niimble.plans.forecast import run_forecast
@@ -225,6 +227,26 @@ def config_effective(v: Views) -> DataFrame:
     )
 
 
+@query
+def config_as_known(v: Views) -> DataFrame:
+    """Parameters of each line's day, as known some months later, from two weeks to over a year."""
+    lines = v.lines().select(
+        F.concat(F.lit("CFG"), F.col("supplier").cast("string")).alias("config_key"), "period_date", "amount",
+        F.date_add("period_date", (F.lit(14) + F.col("supplier") % 13 * 31).cast("int")).alias("known_date"),
+    )
+    dated = known.config_as_known(
+        lines, v.supplier_store(), v.supplier_history(), "period_date", "known_date", ["config_version", "configint1"]
+    )
+    return dated.groupBy("config_key", "config_version").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.col("amount") * F.col("configint1")).alias("scaled")
+    )
+
+
+@query
+def known_versions(v: Views) -> DataFrame:
+    return known.known_versions(v.supplier_history())
+
+
 @query
 def config_on_day(v: Views) -> DataFrame:
     return configuration.effective_on(v.supplier_store(), date(1999, 1, 1))
@@ -271,6 +293,22 @@ def hierarchy_asof(v: Views) -> DataFrame:
     return hierarchy.hierarchy_rollup(facts, edges, "business_unit", "parent_unit", ["amount"])
 
 
+@query
+def hierarchy_rollup_dated(v: Views) -> DataFrame:
+    """Amounts of each year rolled up along the hierarchy of each line's own day."""
+    facts = v.lines().select(
+        F.col("nation").alias("business_unit"), "period_date", F.year("period_date").alias("period_year"), "amount"
+    )
+    return dated_hierarchy.rollup_dated(
+        facts, v.moving_hierarchy(), "business_unit", "parent_unit", ["amount"], "period_date", ["period_year"]
+    )
+
+
+@query
+def hierarchy_closure_dated(v: Views) -> DataFrame:
+    return dated_hierarchy.dated_closure(v.moving_hierarchy(), "business_unit", "parent_unit", levels=4)
+
+
 @query
 def product_rollup(v: Views) -> DataFrame:
     facts = v.lines().select(F.col("brand").alias("product"), "amount", "income")
@@ -341,6 +379,40 @@ def yield_parameters(v: Views) -> DataFrame:
     return market.yield_parameters(requests, v.curve_map(), v.market())
 
 
+@query
+def curve_forward(v: Views) -> DataFrame:
+    """Lines at the forward rate of their product on their own day."""
+    lines = v.lines().join(v.forward_map(), ["business_unit", "product", "currency"], "left")
+    priced = curves.curve_forward(lines, v.curve_points(), at="period_date")
+    return priced.groupBy("business_unit", "product", "currency", month_of("period_date").alias("month")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count("forward_rate").alias("priced"),
+        F.sum(F.col("amount") * F.col("forward_rate")).alias("weighted"),
+    )
+
+
+@query
+def curve_days(v: Views) -> DataFrame:
+    """Every point of every curve on every day on which it changes."""
+    return curves.curves(v.curve_points()).select(
+        "curve_type", "currency", "effective_date", F.inline("points")
+    )
+
+
+@query
+def forward_yield_parameters(v: Views) -> DataFrame:
+    requests = v.lines().select(
+        "business_unit", "product", "currency", month_of("period_date").alias("reference_date")
+    ).distinct()
+    return curves.forward_yield_parameters(requests, v.forward_map(), v.curve_points(), compounding="annual")
+
+
+@query
+def currency_cross(v: Views) -> DataFrame:
+    """Balances of 25 currencies in USD, by up to three quotes."""
+    positions = tables.materialize(v.nation_positions(), "positions")
+    return currencies.convert_crossed(positions, v.nation_quotes(), "balance", "period_date", "USD", hops=3)
+
+
 @query
 def currency_conversion(v: Views) -> DataFrame:
     converted = market.convert_currency(
@@ -405,6 +477,13 @@ def proxy_fill_dated(v: Views) -> DataFrame:
     )
 
 
+@query
+def proxy_fill_chained(v: Views) -> DataFrame:
+    """Proxies of proxies, up to four links."""
+    segments = tables.materialize(v.segment_months(), "segments")
+    return proxies.proxy_fill_chained(segments, v.proxy_chains(), "balance", ["period_date"])
+
+
 @query
 def launchpoint_positions(v: Views) -> DataFrame:
     positions = enrichment.launchpoint_positions(enrichment.enrich_actuals(v.actuals()), v.windows())

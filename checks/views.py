@@ -31,6 +31,16 @@ ELEMENTS = {
     "Non-Interest Income": "Income",
 }
 MONEY = "decimal(18,4)"
+TENORS = ("1M", "3M", "6M", "1Y", "2Y", "5Y", "spot")
+FORWARDS = {"Loan": ("6M", "18M"), "Deposit": ("1M", "3M"), "LARGE": ("2Y", "10Y"), "MEDIUM": ("1W", "1Y6M"), "SMALL": ("1Y", "6M")}
+MOVES = (
+    ("ASIA", "WEST", date(2000, 7, 1)), ("CHINA", "EUROPE", date(1997, 3, 15)), ("CHINA", "ASIA", date(1999, 3, 15)),
+    ("EAST", "WEST", date(1998, 1, 1)), ("AFRICA", None, date(2001, 5, 5)),
+)
+CHAIN = (
+    ("AFRICA", "AMERICA", 0.7), ("AFRICA", "ASIA", 0.3), ("AMERICA", "ASIA", 0.6), ("AMERICA", "EUROPE", 0.3),
+    ("ASIA", "EUROPE", 0.8), ("ASIA", "MIDDLE EAST", 0.2), ("EUROPE", "MIDDLE EAST", 0.9), ("EUROPE", "ATLANTIS", 0.1),
+)
 
 # Given schemas spare the read of a file footer per table and query.
 TABLES = {
@@ -512,3 +522,96 @@ class Views:
         groups = choose("product", {"Loan": "Assets", "Deposit": "Liabilities"}, "Other")
         mapped = self.unit_products().select("product").where(F.col("product") != "MEDIUM")
         return mapped.distinct().withColumn("product_group", groups)
+
+    def curve_points(self) -> DataFrame:
+        """Six tenors per point of ``market``, of which every third is missing, and one that cannot be read."""
+        tenors = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("tenor")) for i, t in enumerate(TENORS)])
+        key = F.col("n_nationkey")
+        return self.table("nation").select(
+            "n_nationkey", _code("A", "n_nationkey").alias("assumption_id"), F.lit("OIS").alias("curve_type"),
+            F.when(key % 2 == 0, "USD").otherwise("EUR").alias("currency"),
+            F.make_date(F.lit(1995) + F.floor(key / 4).cast("int"), key % 12 + 1, F.lit(1)).alias("effective_date"),
+            F.inline(tenors),
+        ).where((F.col("n_nationkey") + F.col("i")) % 3 != 0).select(
+            "assumption_id", "curve_type", "tenor", "currency",
+            (F.col("n_nationkey") * F.lit(0.001) + F.col("i") * F.lit(0.0007)).cast("decimal(18,8)").alias("value"), "effective_date",
+        )
+
+    def forward_map(self) -> DataFrame:
+        """Between tenors that are quoted or not, before the first and after the last; none that fit for SMALL."""
+        start = choose("product", {k: v[0] for k, v in FORWARDS.items()}, "ON")
+        end = choose("product", {k: v[1] for k, v in FORWARDS.items()}, "1Y")
+        return self.unit_products().select(
+            "business_unit", "product", _each(("EUR", "USD")).alias("currency"), F.lit("OIS").alias("curve_type"),
+            start.alias("start_tenor"), end.alias("end_tenor"),
+        )
+
+    def moving_hierarchy(self) -> DataFrame:
+        """The units' hierarchy from 1990 on; ASIA moves to the WEST in mid-2000, CHINA to EUROPE for two years,
+        the EAST below the WEST, and AFRICA ends."""
+        moves = F.array(*[
+            F.struct(F.lit(node).alias("business_unit"), F.lit(up).cast("string").alias("parent_unit"), F.lit(day).alias("effective_from"))
+            for node, up, day in MOVES
+        ])
+        first = self.unit_hierarchy().withColumn("effective_from", F.lit(date(1990, 1, 1)))
+        return first.unionByName(self.table("region").where(F.col("r_regionkey") == 0).select(F.inline(moves)))
+
+    def supplier_history(self) -> DataFrame:
+        """v1 active from 1995 on; v2 from 1998, 1999 or 2000 on, taken back in 2001 for every fifth; v1 once more for
+        every seventh; every eleventh has no version from 1997 to 1998."""
+        key = F.col("s_suppkey")
+
+        def event(version: str, flag: bool, moment: Column, of: Column) -> Column:
+            return F.when(of, F.struct(F.lit(version).alias("config_version"), F.lit(flag).alias("active_flag"), moment.alias("activated_at")))
+
+        always = F.lit(True)
+        events = F.array_compact(F.array(
+            event("v1", True, F.lit(date(1995, 6, 1)), always),
+            event("v2", True, F.make_date(F.lit(1998) + (key % 3).cast("int"), F.lit(3), F.lit(1)), always),
+            event("v2", False, F.lit(date(2001, 2, 1)), key % 5 == 0),
+            event("v1", True, F.lit(date(2001, 6, 15)), key % 7 == 0),
+            event("v1", False, F.lit(date(1997, 1, 1)), key % 11 == 0),
+            event("v1", True, F.lit(date(1998, 1, 1)), key % 11 == 0),
+        ))
+        return self.table("supplier").select(_code("CFG", "s_suppkey").alias("config_key"), F.inline(events))
+
+    def proxy_chains(self) -> DataFrame:
+        """Each unit's product is proxied by the next two units of the list, the last by none."""
+        chain = F.array(*[
+            F.struct(F.lit(a).alias("unit"), F.lit(b).alias("proxy"), F.lit(w).cast("decimal(9,6)").alias("proxy_weight"))
+            for a, b, w in CHAIN
+        ])
+        products = self.unit_products().select("product").distinct()
+        return products.select("product", F.inline(chain)).select(
+            F.concat_ws("|", "unit", "product").alias("source_segment"),
+            F.concat_ws("|", "proxy", "product").alias("proxy_segment"), "proxy_weight",
+        )
+
+    def nation_positions(self) -> DataFrame:
+        """Balance per nation and month in the nation's own currency, its first three letters; the UNITED ones differ."""
+        code = choose("nation", {"UNITED STATES": "USD", "UNITED KINGDOM": "GBP"}, None)
+        return self.lines().groupBy(
+            F.coalesce(code, F.substring("nation", 1, 3)).alias("currency"), month_of("period_date").alias("period_date"), "business_unit"
+        ).agg(F.sum("amount").alias("balance"))
+
+    def nation_quotes(self) -> DataFrame:
+        """Quotes straight to USD, from USD, to the currency of the nation before, both ways, or none; two dates each."""
+        key = F.col("n_nationkey")
+        code = F.coalesce(choose("n_name", {"UNITED STATES": "USD", "UNITED KINGDOM": "GBP"}, None), F.substring("n_name", 1, 3))
+        coded = self.table("nation").select("n_nationkey", code.alias("code"))
+        before = coded.select((F.col("n_nationkey") + 1).alias("n_nationkey"), F.col("code").alias("before"))
+        dated = coded.join(before, "n_nationkey", "left").withColumn("step", F.explode(F.array(F.lit(0), F.lit(1))))
+        rate = F.lit(0.5) + key * F.lit(0.125) + F.col("step") * F.lit(0.0625)
+        since = F.make_date(F.lit(1994) + key % 4 + F.col("step") * 3, key % 12 + 1, F.lit(10))
+
+        def quote(of: Column, currency: Column, other: Column, value: Column) -> Column:
+            named = F.struct(currency.alias("currency"), other.alias("quote_currency"), value.alias("fx_rate"))
+            return F.when(of, named)
+
+        ways = F.array_compact(F.array(
+            quote(key % 5 == 0, F.col("code"), F.lit("USD"), rate),
+            quote(key % 5 == 1, F.lit("USD"), F.col("code"), rate),
+            quote((key % 5 == 2) | (key % 5 == 3), F.col("code"), F.col("before"), rate),
+            quote(key % 10 == 3, F.col("before"), F.col("code"), rate),
+        ))
+        return dated.select(since.alias("effective_date"), F.inline(ways)).where(F.col("currency") != F.col("quote_currency"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column
@@ -18,6 +18,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def ratio(top: str | Column, bottom: str | Column) -> Column:
     """``top / bottom`` as double, NULL where the bottom is zero or NULL."""
     return F.try_divide(col(top).cast("double"), col(bottom).cast("double"))

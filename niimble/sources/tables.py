@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -123,12 +126,28 @@ def check_run(rows: DataFrame, run_id: str, name: str) -> None:
         raise ForeignRun(f"{name} has rows of run {foreign[0][0]!r}, not of {run_id!r}")
 
 
+class NoSuchRun(LookupError):
+    """A table of a run that was never committed."""
+
+
+MANIFEST, ATTEMPT = "_manifest-", "attempt-"
+
+
 @dataclass(frozen=True)
 class TableStore:
-    """Tables under one root, a folder per run: a run replaces its own rows, also by none, and no others."""
+    """Tables under one root, a folder per run: a run replaces its own rows, also by none, and no others.
+
+    Every write goes to an attempt folder of its own. It counts from the moment its manifest, a small file
+    with the next number, has been renamed into place; readers take the attempt that the highest manifest
+    names. So a write that dies leaves the rows that were there, readers see the old rows or the new ones
+    and never a part, and a run may be replaced by what is computed from its own rows. Of two writers at
+    once the one that commits last stays. The last ``keep`` attempts remain, so that readers that began
+    before a swap can end; ``clean_up`` removes what dead writes left.
+    """
 
     spark: SparkSession
     root: str
+    keep: int = 2
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -143,15 +162,131 @@ class TableStore:
         """
         if not checked:
             check_run(rows, run_id, name)
-        write_path(rows.drop(RUN_COLUMN), self.run_path(name, run_id))
-        return self.get(name, rows.schema, run_id)
+        folder = self.run_path(name, run_id)
+        attempt = f"{ATTEMPT}{uuid.uuid4().hex}"
+        write_path(rows.drop(RUN_COLUMN), f"{folder}/{attempt}")
+        number = self._commit(folder, attempt)
+        self._retire(folder, number - self.keep)
+        return self._rows(f"{folder}/{attempt}", rows.schema, run_id)
 
     def get(self, name: str, schema: StructType, run_id: str) -> DataFrame:
-        """The rows of one run; other runs' folders are not read."""
+        """The rows of one run as last committed; other runs' folders are not read."""
+        return self._rows(f"{self.run_path(name, run_id)}/{self.attempt(name, run_id)}", schema, run_id)
+
+    def everything(self, name: str, schema: StructType) -> DataFrame:
+        """The committed rows of all runs, pruned by run id when filtered by it."""
+        paths = [f"{self.run_path(name, run)}/{self.attempt(name, run)}" for run in self.runs(name)]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*paths).select(*schema.names)
+
+    def attempt(self, name: str, run_id: str) -> str:
+        """The folder of the committed write."""
+        folder = self.run_path(name, run_id)
+        manifests = self._manifests(folder)
+        if not manifests:
+            raise NoSuchRun(f"{name} holds no rows of run {run_id!r}")
+        return self._named(folder, manifests[max(manifests)])
+
+    def runs(self, name: str) -> list[str]:
+        """Run ids of which the table has committed rows."""
+        prefix = f"{RUN_COLUMN}="
+        folders = [n for n, _ in _children(self.spark, self.path(name)) if n.startswith(prefix)]
+        return sorted(unquote(n.removeprefix(prefix)) for n in folders if self._manifests(f"{self.path(name)}/{n}"))
+
+    def clean_up(self, name: str, run_id: str, older_than: float = 86_400.0) -> list[str]:
+        """Remove what no manifest names and nobody has touched for so many seconds; returns the names.
+
+        A write that takes longer than that between its files would lose them: give the longest one time.
+        """
+        folder = self.run_path(name, run_id)
+        named = {self._named(folder, m) for m in self._manifests(folder).values()}
+        left = []
+        for child, changed in _children(self.spark, folder):
+            own = child.startswith((ATTEMPT, "_writing-")) and child not in named
+            if own and time.time() - max([changed, *_changes(self.spark, f"{folder}/{child}")]) >= older_than:
+                remove_path(self.spark, f"{folder}/{child}")
+                left.append(child)
+        return sorted(left)
+
+    def _rows(self, path: str, schema: StructType, run_id: str) -> DataFrame:
         stored = StructType([f for f in schema if f.name != RUN_COLUMN])
-        rows = read_path(self.spark, self.run_path(name, run_id), schema=stored)
+        rows = read_path(self.spark, path, schema=stored)
         return rows.withColumn(RUN_COLUMN, F.lit(run_id)).select(*schema.names)
 
+    def _manifests(self, folder: str) -> dict[int, str]:
+        names = [n for n, _ in _children(self.spark, folder) if n.startswith(MANIFEST)]
+        return {int(n.removeprefix(MANIFEST)): n for n in names}
+
+    def _named(self, folder: str, manifest: str) -> str:
+        return json.loads(_read_text(self.spark, f"{folder}/{manifest}"))["attempt"]
+
+    def _commit(self, folder: str, attempt: str) -> int:
+        """Rename a manifest to the next number; one that another writer takes meanwhile is passed over."""
+        number = max(self._manifests(folder), default=0) + 1
+        while not _publish(self.spark, json.dumps({"attempt": attempt}), folder, f"{MANIFEST}{number:012d}"):
+            number += 1
+        return number
+
+    def _retire(self, folder: str, last: int) -> None:
+        """Remove manifests up to a number, and then their attempts."""
+        for number, manifest in self._manifests(folder).items():
+            if number <= last:
+                attempt = self._named(folder, manifest)
+                remove_path(self.spark, f"{folder}/{manifest}")
+                remove_path(self.spark, f"{folder}/{attempt}")
+
+
+def _located(spark: SparkSession, path: str) -> tuple:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _children(spark: SparkSession, folder: str) -> list[tuple[str, float]]:
+    """Names in a folder and when they were changed, in seconds; none where there is no folder."""
+    files, target = _located(spark, folder)
+    if not files.exists(target):
+        return []
+    return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in files.listStatus(target)]
+
+
+def _changes(spark: SparkSession, folder: str) -> list[float]:
+    """When the files below a folder were changed, in seconds."""
+    files, target = _located(spark, folder)
+    found, listed = [], files.listFiles(target, True)
+    while listed.hasNext():
+        found.append(listed.next().getModificationTime() / 1000)
+    return found
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    files, target = _located(spark, path)
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _publish(spark: SparkSession, text: str, folder: str, name: str) -> bool:
+    """Write a small file under another name and rename it; False if there is one of that name already."""
+    jvm = spark._jvm
+    files, target = _located(spark, f"{folder}/{name}")
+    draft = jvm.org.apache.hadoop.fs.Path(f"{folder}/_writing-{uuid.uuid4().hex}")
+    stream = files.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(draft), files.makeQualified(target), no_options)
+    except Py4JJavaError as error:
+        files.delete(draft, False)
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
@@ -168,5 +303,5 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever file system it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _located(spark, path)
+    files.delete(target, True)

@@ -99,7 +99,7 @@ def test_stored_run_equals_lazy_run_and_keeps_other_runs(spark, stages, tmp_path
     other = stored["nii_stage_cc"].withColumn("run_id", F.lit("another"))
     store.put("nii_stage_cc", other, "another")
     run_forecast(golden.config(spark), golden.inputs(spark), golden.PARAMS, store)
-    everything = read_path(spark, store.path("nii_stage_cc"))
+    everything = store.everything("nii_stage_cc", other.schema)
     assert {r[0]: r[1] for r in everything.groupBy("run_id").count().collect()} == {golden.RUN: 4, "another": 4}
 
 

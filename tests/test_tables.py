@@ -96,6 +96,85 @@ def test_rows_of_another_run_are_not_written(spark, rows, tmp_path, other):
     assert store.get("t", first.schema, "r1").count() == 4
 
 
+def failing(rows):
+    """Rows of which the last to be written ends its task with an error."""
+    broken = F.when(F.col("key") == "B", F.raise_error(F.lit("disk lost")).cast("double")).otherwise(F.col("value"))
+    return rows.withColumn("value", broken).repartition(3, "key")
+
+
+def test_a_write_that_dies_leaves_the_old_rows(spark, rows, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    tagged = rows.withColumn("run_id", F.lit("r1"))
+    store.put("t", tagged, "r1")
+    with pytest.raises(PySparkException, match="disk lost"):
+        store.put("t", failing(tagged), "r1", checked=True)
+    assert sorted(store.get("t", tagged.schema, "r1").collect()) == sorted(tagged.collect())
+    assert store.clean_up("t", "r1") == []  # it might still be running
+    assert len(store.clean_up("t", "r1", older_than=0)) <= 1
+    assert store.clean_up("t", "r1", older_than=0) == []
+    assert store.get("t", tagged.schema, "r1").count() == 4
+
+
+@pytest.mark.parametrize("dies", ["_publish", "_retire"])
+def test_a_driver_killed_beside_the_swap(spark, rows, tmp_path, monkeypatch, dies):
+    """Before the swap the old rows stay, after it the new ones; a part is never read."""
+    store = tables.TableStore(spark, str(tmp_path))
+    tagged = rows.withColumn("run_id", F.lit("r1"))
+    store.put("t", tagged, "r1")
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables if dies == "_publish" else tables.TableStore, dies, killed)
+        with pytest.raises(KeyboardInterrupt):
+            store.put("t", tagged.where("key = 'A'"), "r1")
+    left = store.clean_up("t", "r1", older_than=0)
+    assert store.get("t", tagged.schema, "r1").count() == (4 if dies == "_publish" else 2)
+    assert len(left) == (1 if dies == "_publish" else 0)
+
+
+def test_readers_that_began_before_a_swap_can_end(spark, rows, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    tagged = rows.withColumn("run_id", F.lit("r1"))
+    before = store.put("t", tagged, "r1")
+    after = store.put("t", before.where("key = 'A'"), "r1")  # replaced by what is computed from its own rows
+    assert (before.count(), after.count(), store.get("t", tagged.schema, "r1").count()) == (4, 2, 2)
+    for _ in range(4):
+        store.put("t", store.get("t", tagged.schema, "r1"), "r1")
+    held = [p.name for p in (tmp_path / "t" / "run_id=r1").iterdir() if not p.name.startswith(".")]
+    assert sorted(n.rpartition("-")[0] for n in held) == ["_manifest", "_manifest", "attempt", "attempt"]
+    assert store.get("t", tagged.schema, "r1").count() == 2
+
+
+def test_of_two_writers_the_last_to_commit_stays(spark, rows, tmp_path, monkeypatch):
+    store = tables.TableStore(spark, str(tmp_path), keep=5)
+    tagged = rows.withColumn("run_id", F.lit("r1"))
+    store.put("t", tagged, "r1")
+    stale = store._manifests(store.run_path("t", "r1"))
+    store.put("t", tagged.where("key = 'A'"), "r1")
+    real = tables.TableStore._manifests
+    answers = [stale]  # the second writer listed the folder before the first had committed
+    monkeypatch.setattr(tables.TableStore, "_manifests", lambda self, folder: answers.pop() if answers else real(self, folder))
+    store.put("t", tagged.where("1 = 0"), "r1")
+    assert store.get("t", tagged.schema, "r1").count() == 0
+    assert sorted(real(store, store.run_path("t", "r1"))) == [1, 2, 3]
+
+
+def test_runs_of_a_table(spark, rows, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    assert store.runs("t") == []
+    with pytest.raises(tables.NoSuchRun, match="no rows of run 'a/b'"):
+        store.get("t", rows.schema, "a/b")
+    for run in ("r 2", "a/b"):
+        store.put("t", rows.withColumn("run_id", F.lit(run)), run)
+    assert store.runs("t") == ["a/b", "r 2"]
+    store.put("t", rows.where("key = 'A'").withColumn("run_id", F.lit("a/b")), "a/b")
+    every = store.everything("t", rows.withColumn("run_id", F.lit("")).schema)
+    assert {r[0]: r[1] for r in every.groupBy("run_id").count().collect()} == {"a/b": 2, "r 2": 4}
+    assert store.everything("none", every.schema).collect() == []
+
+
 def test_scratch_tables_are_removed_at_the_end_of_their_block(spark, rows):
     from pathlib import Path
 
