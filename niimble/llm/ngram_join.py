@@ -13,7 +13,8 @@ with nothing. Texts with equal sets are one class, named by a hash of the set; c
    costs more lookups, but asks for more matches before a pair is compared. The costs are estimated from
    the counts (at most S / L partners can match L times, S being the number of lookups that hit). A pair
    is compared if it matches as often as the smaller L of the two, in prefixes cut to what the sizes
-   of the two ask for.
+   of the two ask for. Whether sizes and places admit a pair is known before it is made: the entries of a
+   shingle's list are joined by their classes, sizes and L, each under those it can be linked with.
 3. For components, pairs that are linked already by way of others need no comparison. First each set is
    compared with the most typical set of its prefix's lists, which joins the bulk of a group of near
    copies in linear work. Then the pairs of different components that match often enough are
@@ -39,7 +40,7 @@ from pyspark.sql.types import (
 
 from niimble.llm.components import connected
 from niimble.llm.frames import arrow_stage, materialize
-from niimble.llm.runs import find_runs, lower, mix, run_hashes, shingle_hashes, slices
+from niimble.llm.runs import Slice, find_runs, lower, mix, run_hashes, shingle_hashes, slices
 
 SHARE = 80  # percent
 SHINGLE = 5
@@ -59,6 +60,14 @@ def bucket_bits(docs: DataFrame) -> int:
     return max(STEPS, (4 * partitions - 1).bit_length())
 
 
+def _short(parts: Iterator[Slice]) -> Iterator[Slice]:
+    """Slices of at most SLICE_DOCS texts: a text's number in its slice is sent as two bytes."""
+    for part in parts:
+        for at in range(0, len(part.bounds) - 1, SLICE_DOCS):
+            bounds = part.bounds[at : at + SLICE_DOCS + 1]
+            yield Slice(part.first + at, part.data[bounds[0] : bounds[-1]], bounds - bounds[0])
+
+
 def _bytes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
 
@@ -153,7 +162,7 @@ def _send(docs: DataFrame, bits: int) -> DataFrame:
         number = TaskContext.get().partitionId() << 20
         ids, shingles, doc, held, n_docs = [], [], [], 0, 0
         for batch in batches:
-            for part in slices(batch.column(1)):
+            for part in _short(slices(batch.column(1))):
                 lowered = part._replace(data=lower(part.data))
                 words = find_runs(lowered)
                 size = len(part.bounds) - 1
@@ -378,23 +387,48 @@ def _compare(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return arrow_stage(joined, run, schema)
 
 
-def _can_link(share: int) -> Column:
-    """Whether two sets can overlap enough, and the shingle is in what the pair has for prefixes.
+def _partners(classes: str, share: int) -> Column:
+    """Of the ``classes`` (size and L) of sets in a list those that a set can be linked with, as far as it knows.
 
-    From the sizes follows how many shingles the two must have in common. That is at most what either
-    shares with any other set, and it makes the pair's prefixes shorter than the sets' own.
+    From the sizes of two sets follows how many shingles they must have in common. That is at most what
+    either shares with any other set, and it makes the pair's prefixes shorter than the sets' own: the place
+    of the list's shingle must be in them.
     """
-    sizes = F.col("n_shingles") + F.col("other_n")
-    common = F.expr(f"({share} * (n_shingles + other_n) + {99 + share}) div {100 + share}")
-    matches = F.least("matches", "other_matches")
-    return (
-        (100 * F.least("n_shingles", "other_n") >= share * F.greatest("n_shingles", "other_n"))
-        & ((100 + share) * F.least("found", "other_found") >= share * sizes)
-        & (F.col("place") < F.col("n_shingles") - common + matches)
-        & (F.col("other_place") < F.col("other_n") - common + matches)
+    def fits(other: Column) -> Column:
+        n, m = F.col("n_shingles"), other["n_shingles"]
+        least = share * (n + m) + (99 + share)
+        common = ((least - least % (100 + share)) / (100 + share)).cast("long")
+        return (
+            (100 * F.least(n, m) >= share * F.greatest(n, m))
+            & ((100 + share) * F.col("found") >= share * (n + m))
+            & (F.col("place") < n - common + F.least("matches", other["matches"]))
+        )
+
+    return F.filter(classes, fits)
+
+
+def _own_class() -> Column:
+    return F.struct("n_shingles", "matches")
+
+
+def _listed(posts: DataFrame, classes: str, share: int, *more: str) -> DataFrame:
+    """Each entry of a list under the classes that it can be linked with: ``own`` and ``partner`` are classes."""
+    return posts.select(
+        "token", "class", "matches", *more, _own_class().alias("own"), F.explode(_partners(classes, share)).alias("partner")
     )
 
 
+def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Entries of one list of which each takes the other for a partner: ``class``, ``other`` and more.
+
+    Joined on the classes of both besides the list, so entries that sizes or places keep apart never meet,
+    however many share a frequent shingle.
+    """
+    renamed = {c: f"other_{c}" for c in right.columns if c not in ("token", "class", "own", "partner")}
+    others = right.withColumnsRenamed({**renamed, "class": "other", "own": "_partner", "partner": "own"})
+    return left.join(others.withColumnRenamed("_partner", "partner"), ["token", "own", "partner"])
+
+
 def _enough(met: DataFrame) -> DataFrame:
     """Pairs that met in as many prefix lists as the smaller of their L; ``met`` has a row per pair and list."""
     pair = met.select(
@@ -404,22 +438,16 @@ def _enough(met: DataFrame) -> DataFrame:
     return pair.groupBy("a", "b", "needed").count().where(F.col("count") >= F.col("needed")).select("a", "b")
 
 
-def _as_other(posts: DataFrame, *more: str) -> DataFrame:
-    return posts.select(
-        "token", F.col("place").alias("other_place"), F.col("class").alias("other"), F.col("n_shingles").alias("other_n"),
-        F.col("found").alias("other_found"), F.col("matches").alias("other_matches"), *[F.col(c).alias(f"other_{c}") for c in more],
-    )
-
-
 def similar_pairs(table: DataFrame, share: int = SHARE) -> DataFrame:
     """All links between different sets: ``a, b, shared``, classes of ``table`` with a < b.
 
     A group of n near copies has up to n * n / 2 of them; ``link_components`` needs no such list.
     """
     sets = distinct_sets(table, share)
-    posts = _postings(sets)
-    met = posts.join(_as_other(posts), "token").where((F.col("class") < F.col("other")) & _can_link(share))
-    return _compare(_enough(met), sets, share)
+    posts = materialize(_postings(sets), "prefixes")
+    classes = posts.groupBy("token").agg(F.collect_set(_own_class()).alias("classes"), F.count(F.lit(1)).alias("n"))
+    listed = _listed(posts.join(classes.where(F.col("n") > 1), "token"), "classes", share)
+    return _compare(_enough(_meet(listed, listed).where(F.col("class") < F.col("other"))), sets, share)
 
 
 def link_components(table: DataFrame, share: int = SHARE) -> DataFrame:
@@ -442,12 +470,17 @@ def link_components(table: DataFrame, share: int = SHARE) -> DataFrame:
     largest = F.max_by("group", F.struct("count", "group"))
     lists = sizes.groupBy("token").agg(largest.alias("major"), F.count(F.lit(1)).alias("groups"))
     lists = lists.where(F.col("groups") > 1).drop("groups")
-    mixed = grouped.join(lists, "token")
-    minor = mixed.where(F.col("group") != F.col("major"))
-    met = minor.join(_as_other(grouped, "group"), "token").where(
+    mixed = materialize(grouped.join(lists, "token"), "mixed-lists")
+    in_minor = F.col("group") != F.col("major")
+    # a list has no more classes than its sets have sizes, times LONGEST
+    classes = mixed.groupBy("token").agg(
+        F.collect_set(_own_class()).alias("classes"), F.collect_set(F.when(in_minor, _own_class())).alias("minor_classes")
+    )
+    mixed = mixed.join(classes, "token")
+    minor = _listed(mixed.where(in_minor), "classes", share, "group", "major")
+    met = _meet(minor, _listed(mixed, "minor_classes", share, "group")).where(
         (F.col("group") != F.col("other_group"))
         & ((F.col("other_group") == F.col("major")) | (F.col("class") < F.col("other")))
-        & _can_link(share)
     )
     links = materialize(_compare(_enough(met), sets, share), "group-links")
     groups = joined.withColumnRenamed("root", "group")

@@ -3,10 +3,13 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from niimble.llm import ngram_join
 from niimble.llm.components import connected
+from niimble.llm.runs import Slice
 from tests.llm.cases import clashing, edge_docs, edge_texts, empty_docs, rows_of, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -128,6 +131,27 @@ def test_a_large_group_of_near_copies(spark):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_pages_that_differ_in_one_word_never_meet(spark):
+    """All share four frequent shingles of five; sizes and places say that no two can be linked."""
+    rows = [(i, f"page not found please go back to start x{i}") for i in range(3000)]
+    rows += [(5000 + i, f"page not found please go back to start x{i} and y{i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    table = ngram_join.shingle_table(docs)
+    posts = ngram_join._postings(ngram_join.distinct_sets(table))
+    classes = posts.groupBy("token").agg(F.collect_set(ngram_join._own_class()).alias("classes"))
+    listed = ngram_join._listed(posts.join(classes, "token"), "classes", 80)
+    pairs = ngram_join._meet(listed, listed).where("class < other")
+    assert (posts.count() >= 3000, pairs.count()) == (True, 0)
+    assert all(r["component_id"] == r["doc_id"] for r in ngram_join.join_components(docs).collect())
+
+
+def test_slices_of_very_many_short_texts():
+    bounds = np.arange(150_001)
+    parts = list(ngram_join._short(iter([Slice(7, np.zeros(150_000, np.uint8), bounds)])))
+    assert [p.first for p in parts] == [7, 60_007, 120_007]
+    assert [len(p.bounds) - 1 for p in parts] == [len(p.data) for p in parts] == [60_000, 60_000, 30_000]
+
+
 def test_edges(spark):
     docs = edge_docs(spark)
     got = rows_of(ngram_join.join_components(docs), "doc_id", "n_shingles", "component_id")
