@@ -3,15 +3,17 @@
 A rolling hash over the bytes of a text cuts it into chunks, at places that depend on the bytes
 around them alone, so documents that share a passage share its chunks. Documents are dealt out by
 the smallest hash among their chunks: copies and documents with common passages tend to meet in one
-worker, where a piece is encoded once. Spark splits a partition that grows large because one group of
+worker, where a chunk is encoded once. Spark splits a partition that grows large because one group of
 copies is hot; it then is encoded once per worker that gets a part.
 
-A cut may tear a word. So chunks themselves are not encoded: around each cut a window is set, which
-reaches on both sides to the nearest place where the pre-tokenizer breaks whatever stands around it,
-between a visible ASCII character and a space or line feed. The pieces encoded are the windows and what
-lies between them; their tokens are those of the text encoded in one piece, and no join needs repair. A
-chunk without such a place is swallowed by the window, which then reaches into the next chunk; a text
-without any is one piece, so a passage it shares with different texts is encoded anew for each.
+A cut may tear a word, so the tokens of two chunks are wrong where they join. A window around the join is
+encoded anew. It reaches over two firm places on either side, at which the pre-tokenizer breaks whatever
+stands around them: after letters, digits or signs, where another kind begins. What lies between the two
+firm places of a side was encoded with the chunk as well, and must have the same tokens both times; if not,
+the window grows by one firm place on either side, until both sides agree. Tokens up to a firm place do not
+depend on what follows it, nor those after it on what is before, so the joined tokens are those of the text
+encoded in one piece. A cut with too few firm places around it is left out, and its chunks are one; so a
+text without any is encoded whole.
 
 Empty and NULL texts have no tokens. The text of an added token (here ``<|endoftext|>``) is that
 token. Repeated rows give repeated results; an empty table gives none. Only the named columns are
@@ -40,6 +42,8 @@ from niimble.llm.runs import Slice, mix, prefix_sums, slices
 WINDOW = 24
 CHUNK_BYTES = 1024
 LEAST_CHUNK = 128
+REACH = 48  # bytes beside a cut that are searched for firm places first
+FIRM_PLACES = 4  # how many are looked for on either side; a join is tried with 2, then 3, then 4
 CACHE_BYTES = 16 << 20
 ENTRY_BYTES = 256  # what an entry of the cache takes besides its bytes
 
@@ -108,16 +112,81 @@ def chunk_cuts(part: Slice, sums: tuple[np.ndarray, np.ndarray], chunk_bytes: in
     return low[np.diff(low, prepend=-LEAST_CHUNK) >= LEAST_CHUNK]
 
 
-def piece_edges(part: Slice, cuts: np.ndarray) -> np.ndarray:
-    """Sorted edges of the pieces to encode: ends of texts, and of the window around each cut."""
-    data = part.data
+# Where the pre-tokenizer breaks whatever stands around: after letters, digits or signs, where another kind begins,
+# save after signs before letters (an apostrophe may belong to both). Not after blanks: how a run of them is
+# broken depends on what follows. Characters whose kind programs do not agree on, such as control
+# characters, count for none.
+_BLANK = "[ \\n\\r\\t\\u3000]"
+_SIGN = r"[\p{P}\p{S}]"
+FIRM = regex.compile(
+    rf"(?<=\p{{L}})(?=\p{{N}}|{_SIGN}|{_BLANK})|(?<=\p{{N}})(?=\p{{L}}|{_SIGN}|{_BLANK})"
+    rf"|(?<={_SIGN})(?=\p{{N}}|{_BLANK})"
+)
+
+
+def plain_firm_places(data: np.ndarray) -> np.ndarray:
+    """The most frequent firm places, found without decoding: after a visible ASCII character, before a space or line feed."""
     visible = (data > 32) & (data < 127)
     blank = (data == 32) | (data == 10)
-    firm = np.flatnonzero(visible[:-1] & blank[1:]) + 1
-    firm = np.unique(np.concatenate([firm, part.bounds]))
-    before = firm[np.searchsorted(firm, cuts, "right") - 1]
-    after = firm[np.searchsorted(firm, cuts, "left")]
-    return np.unique(np.concatenate([part.bounds, before, after]))
+    return np.flatnonzero(visible[:-1] & blank[1:]) + 1
+
+
+def firm_places(raw: bytes, low: int, high: int) -> list[int]:
+    """All firm places strictly between two places of a text, which must be first bytes of characters."""
+    text = raw[low:high].decode("utf-8")
+    places = [m.start() for m in FIRM.finditer(text)]
+    if len(text) == high - low:
+        return [low + p for p in places]
+    lengths = np.cumsum([0, *(len(c.encode()) for c in text)])
+    return [low + int(lengths[p]) for p in places]
+
+
+def _character(raw: bytes, place: int, high: int) -> int:
+    """The first byte of a character at or after a place."""
+    while place < high and raw[place] & 0xC0 == 0x80:
+        place += 1
+    return place
+
+
+class Join(NamedTuple):
+    """A cut and the firm places beside it, nearest first."""
+
+    cut: int
+    before: list[int]
+    after: list[int]
+
+
+def joins(raw: bytes, begin: int, end: int, cuts: list[int], plain: np.ndarray) -> list[Join]:
+    """The cuts of a text that can be repaired; their windows do not overlap. ``plain``: firm places known already."""
+    found: list[Join] = []
+    edges = [*cuts, end]
+    last = begin  # the last cut that stays
+    for i, cut in enumerate(cuts):
+        taken = found[-1].after[1] if found else last
+        before = _beside(raw, cut, taken, -1, plain)
+        after = _beside(raw, cut, edges[i + 1], 1, plain) if len(before) >= 2 else []
+        if len(before) >= 2 and len(after) >= 2:
+            found.append(Join(cut, before, after))
+            last = cut
+    return found
+
+
+def _beside(raw: bytes, cut: int, limit: int, way: int, plain: np.ndarray) -> list[int]:
+    """Up to FIRM_PLACES firm places between a cut and a limit, nearest first; the limit of a former window counts."""
+    at = int(np.searchsorted(plain, cut, "left" if way < 0 else "right"))
+    near = (plain[max(0, at - FIRM_PLACES) : at][::-1] if way < 0 else plain[at : at + FIRM_PLACES]).tolist()
+    near = [p for p in near if abs(p - cut) <= 4 * REACH and (p >= limit if way < 0 else p < limit)]
+    reach = REACH
+    while len(near) < 2:
+        if way < 0:
+            low = _character(raw, max(limit, cut - reach), cut)
+            near = firm_places(raw, low, cut)[::-1][:FIRM_PLACES]
+        else:
+            near = firm_places(raw, cut, _character(raw, min(limit, cut + reach), limit))[:FIRM_PLACES]
+        if reach >= abs(limit - cut):
+            break
+        reach *= 4
+    return near
 
 
 def vocabulary_key(vocabulary: Vocabulary) -> str:
@@ -125,8 +194,22 @@ def vocabulary_key(vocabulary: Vocabulary) -> str:
     return hashlib.sha256(repr((ranks, sorted(vocabulary.added.items()), vocabulary.pattern)).encode()).hexdigest()
 
 
+class Piece(NamedTuple):
+    """Tokens of some bytes, and the place where each ends."""
+
+    ids: np.ndarray
+    ends: np.ndarray
+
+    def number(self, place: int) -> int:
+        """How many tokens end up to a place, which must be the end of one or the beginning."""
+        n = int(np.searchsorted(self.ends, place, "right"))
+        if place and (n == 0 or self.ends[n - 1] != place):
+            return -1
+        return n
+
+
 class Encoder:
-    """An encoder of pieces and the pieces it has encoded, kept by a Python worker from task to task."""
+    """An encoder of chunks and windows and those it has encoded, kept by a Python worker from task to task."""
 
     def __init__(self, vocabulary: Vocabulary):
         import tiktoken
@@ -135,19 +218,75 @@ class Encoder:
         self.core = tiktoken.Encoding(
             "chunks", pat_str=vocabulary.pattern, mergeable_ranks=vocabulary.ranks, special_tokens=vocabulary.added
         )
-        self.known: dict[bytes, bytes] = {}
+        self.added = {text.encode(): i for text, i in vocabulary.added.items()}
+        names = sorted(self.added, key=len, reverse=True)
+        self.find_added = regex.compile(b"|".join(map(regex.escape, names))) if names else None
+        self.size = np.zeros(max([*vocabulary.ranks.values(), *vocabulary.added.values()]) + 1, np.int64)
+        for table in (vocabulary.ranks, self.added):
+            for token, i in table.items():
+                self.size[i] = len(token)
+        self.known: dict[bytes, Piece] = {}
         self.held = 0
+        self.encoded = 0  # how many pieces were encoded, for tests
 
-    def __call__(self, piece: bytes) -> bytes:
-        """Ids of a piece of text as little-endian unsigned 32-bit integers."""
-        ids = self.known.get(piece)
-        if ids is None:
+    def __call__(self, piece: bytes) -> Piece:
+        """Tokens of some bytes encoded by themselves."""
+        found = self.known.get(piece)
+        if found is None:
             if self.held > CACHE_BYTES:  # what is met again is encoded again, with equal results
                 self.known, self.held = {}, 0
-            tokens = encode_piece(self.core, self.vocabulary, piece.decode("utf-8"))
-            ids = self.known[piece] = tokens.astype("<u4").tobytes()
-            self.held += len(piece) + len(ids) + ENTRY_BYTES
-        return ids
+            ids = encode_piece(self.core, self.vocabulary, piece.decode("utf-8")).astype(np.uint32)
+            found = self.known[piece] = Piece(ids, np.cumsum(self.size[ids]))
+            self.held += len(piece) + 12 * len(ids) + ENTRY_BYTES
+            self.encoded += 1
+        return found
+
+    def text(self, raw: bytes, begin: int, end: int, cuts: list[int], plain: np.ndarray) -> bytes:
+        """Ids of ``raw[begin:end]`` as little-endian unsigned 32-bit integers. Added tokens stand by themselves."""
+        parts: list[np.ndarray] = []
+        at = begin
+        for m in self.find_added.finditer(raw, begin, end) if self.find_added else ():
+            parts += self._section(raw, at, m.start(), [c for c in cuts if at < c < m.start()], plain)
+            parts.append(np.array([self.added[m.group()]], np.uint32))
+            at = m.end()
+        parts += self._section(raw, at, end, [c for c in cuts if at < c < end] if at > begin else cuts, plain)
+        return np.concatenate([*parts, np.zeros(0, np.uint32)]).astype("<u4").tobytes()
+
+    def _section(self, raw: bytes, begin: int, end: int, cuts: list[int], plain: np.ndarray) -> list[np.ndarray]:
+        """Tokens of a text without added tokens: those of its chunks, repaired at each join."""
+        if begin == end:
+            return []
+        repaired = joins(raw, begin, end, cuts, plain)
+        edges = [begin, *[j.cut for j in repaired], end]
+        chunks = [self(raw[a:b]) for a, b in zip(edges, edges[1:])]
+        parts: list[np.ndarray] = []
+        used = 0  # tokens of the current chunk that a window has replaced
+        for k, join in enumerate(repaired):
+            left, right = chunks[k], chunks[k + 1]
+            window = self._agreed(raw, join, left, edges[k], right, used)
+            if window is None:
+                return [self(raw[begin:end]).ids]
+            piece, a, b = window
+            parts += [left.ids[used:a], piece.ids]
+            used = b
+        return [*parts, chunks[-1].ids[used:]]
+
+    def _agreed(
+        self, raw: bytes, join: Join, left: Piece, left_at: int, right: Piece, used: int
+    ) -> tuple[Piece, int, int] | None:
+        """The window around a join, and the numbers of tokens of both chunks at its ends, once both sides agree."""
+        for reach in range(1, min(len(join.before), len(join.after))):
+            outer, inner = join.before[reach], join.before[reach - 1]
+            inner_right, outer_right = join.after[reach - 1], join.after[reach]
+            piece = self(raw[outer:outer_right])
+            a, a2, w = left.number(outer - left_at), left.number(inner - left_at), piece.number(inner - outer)
+            b, b2 = right.number(inner_right - join.cut), right.number(outer_right - join.cut)
+            v = piece.number(inner_right - outer)
+            if min(a, a2, w, b, b2, v) < 0 or a < used:
+                continue
+            if np.array_equal(left.ids[a:a2], piece.ids[:w]) and np.array_equal(right.ids[b:b2], piece.ids[v:]):
+                return piece, a, b2
+        return None
 
 
 class Decoder:
@@ -232,6 +371,15 @@ def cluster(docs: DataFrame, id_column: str, text_column: str, chunk_bytes: int
     return rows.hint("rebalance", "chunk_key").drop("chunk_key")
 
 
+def encode_slice(encoder: Encoder, part: Slice, chunk_bytes: int = CHUNK_BYTES) -> list[bytes]:
+    """Ids of each text of a slice."""
+    cuts = chunk_cuts(part, prefix_sums(part.data), chunk_bytes)
+    plain, raw = plain_firm_places(part.data), part.data.tobytes()
+    own = np.split(cuts, np.searchsorted(cuts, part.bounds[1:-1]))
+    bounds = part.bounds.tolist()
+    return [encoder.text(raw, a, b, c.tolist(), plain) for a, b, c in zip(bounds, bounds[1:], own)]
+
+
 def encode(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -259,12 +407,7 @@ def encode(
         decoder = _tool(Decoder, key, shared) if decoded else None
         for batch in batches:
             for part in slices(batch.column(1)):
-                edges = piece_edges(part, chunk_cuts(part, prefix_sums(part.data), chunk_bytes)).tolist()
-                raw = part.data.tobytes()
-                parts = [encoder(raw[begin:end]) for begin, end in zip(edges, edges[1:], strict=False)]
-                ends = np.searchsorted(edges, part.bounds[1:]).tolist()
-                begins = np.searchsorted(edges, part.bounds[:-1]).tolist()
-                whole = [b"".join(parts[a:b]) for a, b in zip(begins, ends, strict=True)]
+                whole = encode_slice(encoder, part, chunk_bytes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, len(whole)),

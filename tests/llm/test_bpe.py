@@ -37,25 +37,76 @@ def test_both_files_hold_one_vocabulary(vocabulary):
     assert vocabulary.ranks == bpe.vocabulary_of_ranks(vocabulary_path("byte_bpe_50k.tiktoken")).ranks
 
 
+def slice_ids(encoder, texts, chunk_bytes=1024, limit=20_000):
+    found = []
+    for part in slices(pa.array(texts), limit):
+        found += [np.frombuffer(x, "<u4").tolist() for x in bpe.encode_slice(encoder, part, chunk_bytes)]
+    return found
+
+
+def prose(rng, n, letters, signs):
+    """Sentences without blanks."""
+    return "".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 25))) + rng.choice(signs) for _ in range(n))
+
+
+HAN, KANA = [chr(0x4E00 + 7 * i) for i in range(900)], [chr(0x3042 + i) for i in range(160)]
+
+
 @pytest.mark.parametrize("chunk_bytes", [16, 100, 1024])
-def test_pieces_give_the_tokens_of_the_whole(vocabulary, tokenizer, chunk_bytes):
+def test_joined_chunks_give_the_tokens_of_the_whole(vocabulary, tokenizer, chunk_bytes):
     rng = random.Random(chunk_bytes)
     texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 300))) for _ in range(300)]
+    texts += [prose(rng, 40, HAN, "，。、！") for _ in range(40)] + [prose(rng, 40, KANA + ["ー", "々"], "。」「・") for _ in range(40)]
+    texts += ["".join(rng.choice("\U0001f600\U0001f468\u200d\U0001f469é ") for _ in range(400)) for _ in range(20)]
+    texts += [" " * 700 + "a" + "\n" * 500 + " b", "x" * 3000, "漢" * 2000, "1234 " * 300, "don't we're 'tis" * 60]
     encoder = bpe.Encoder(vocabulary)
-    for part in slices(pa.array(texts), 20_000):
-        edges = bpe.piece_edges(part, bpe.chunk_cuts(part, prefix_sums(part.data), chunk_bytes))
-        raw = part.data.tobytes()
-        pieces = [np.frombuffer(encoder(raw[a:b]), "<u4").tolist() for a, b in zip(edges, edges[1:], strict=False)]
-        at = np.searchsorted(edges, part.bounds)
-        for k in range(len(part.bounds) - 1):
-            whole = tokenizer.encode(texts[part.first + k], add_special_tokens=False).ids
-            assert sum(pieces[at[k] : at[k + 1]], []) == whole
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert slice_ids(encoder, texts, chunk_bytes) == expected
+    assert slice_ids(encoder, texts, chunk_bytes) == expected  # from its cache
+
+
+def test_every_firm_place_is_one_whatever_stands_around(vocabulary, tokenizer):
+    rng = random.Random(9)
+    for _ in range(200):
+        text = "".join(rng.choice([p for p in PIECES if p != "<|endoftext|>"] + HAN[:9]) for _ in range(40))
+        raw = text.encode()
+        whole = tokenizer.encode(text, add_special_tokens=False).ids
+        for place in bpe.firm_places(raw, 0, len(raw)):
+            halves = [tokenizer.encode(h.decode(), add_special_tokens=False).ids for h in (raw[:place], raw[place:])]
+            assert halves[0] + halves[1] == whole
+
+
+def test_a_passage_without_blanks_is_encoded_once(vocabulary, tokenizer):
+    """In a hundred different texts: its chunks are encoded once, only windows at its two ends are new."""
+    rng = random.Random(2)
+    passage = prose(rng, 700, HAN, "，。、！")
+    encoder = bpe.Encoder(vocabulary)
+    texts = [prose(rng, 3, HAN, "，。") + passage + prose(rng, 3, HAN, "，。") for _ in range(100)]
+    one = slice_ids(encoder, texts[:1], limit=1 << 20)
+    first = encoder.encoded
+    assert first > 20
+    found = one + slice_ids(encoder, texts[1:], limit=1 << 20)
+    assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.encoded - first <= 6 * 99
+
+
+def test_a_join_that_does_not_agree_is_widened_and_at_last_given_up(vocabulary, tokenizer, monkeypatch):
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(900))
+    expected = tokenizer.encode(text, add_special_tokens=False).ids
+    real, calls = np.array_equal, []
+    monkeypatch.setattr(np, "array_equal", lambda a, b: calls.append(1) is None and len(calls) % 3 != 1 and real(a, b))
+    assert slice_ids(bpe.Encoder(vocabulary), [text], 200) == [expected]  # every other first try is refused
+    widened = len(calls)
+    monkeypatch.setattr(np, "array_equal", lambda a, b: False)
+    assert slice_ids(bpe.Encoder(vocabulary), [text], 200) == [expected]
+    assert widened > 10
 
 
 def test_long_runs_of_blanks(vocabulary, tokenizer):
     text = "a" + " " * 1_500_000 + "b" + "\n" * 1_200_000 + "<|endoftext|>"
     encoder = bpe.Encoder(vocabulary)
-    assert np.frombuffer(encoder(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder(text.encode()).ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_shared_text_is_cut_alike():
