@@ -37,6 +37,7 @@ from pyspark.sql.types import (
 
 from niimble.llm.frames import arrow_stage, materialize
 
+HEADER_BYTES = 600  # what a record weighs besides its payload
 REVISIT_FROM = 100
 SHARD_BYTES = 64 << 20
 ROLL_BYTES = 16 << 20
@@ -57,7 +58,7 @@ def plan_shards(ids: DataFrame, shard_bytes: int) -> list:
     Ids are summed, dealt out in ranges and written, so that the ranges stay as they are; sums run along
     each range, behind those of the ranges before it. The driver gets one id a shard.
     """
-    weights = ids.groupBy("id").agg(F.sum("size").alias("size"))
+    weights = ids.groupBy("id").agg(F.sum(F.col("size") + HEADER_BYTES).alias("size"))
     parts = materialize(weights.repartitionByRange("id").withColumn("part", F.spark_partition_id()), "warc-plan")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     sums = parts.groupBy("part").agg(F.sum("size").alias("part_size"))
@@ -198,8 +199,8 @@ def write_archives(
         yield {"shard": pa.array(found, pa.int64()), **{n: batch.column(k) for k, n in enumerate(names)}}
 
     sharded = arrow_stage(rows, shard, StructType([StructField("shard", LongType()), *rows.schema.fields]))
-    # as many partitions as shards: given a number, Spark does not merge small ones
-    dealt = sharded.repartition(len(starts) + 1, "shard").sortWithinPartitions(
+    # a partition for each shard by its number: a hash of so few numbers would put some together
+    dealt = sharded.repartitionById(len(starts) + 1, F.col("shard").cast("int")).sortWithinPartitions(
         "shard", F.col("id").asc_nulls_first(), "digest", F.col("refers_to").asc_nulls_last(), "url"
     )
 
@@ -321,4 +322,5 @@ def read_archives(spark: SparkSession, root: str, with_payload: bool = True, bat
         yield batch_of(waiting)
 
     # a file is one row: dealt out one by one, as the size of the rows tells nothing of the files'
-    return files.repartition(max(1, files.count()), "name").mapInArrow(read, READ_SCHEMA)
+    # (by range: hashes of as many names as there are partitions would leave a third of these empty)
+    return files.repartitionByRange(max(1, files.count()), "name").mapInArrow(read, READ_SCHEMA)
