@@ -15,7 +15,7 @@ from pyspark.sql.types import StructField, StructType
 import niimble
 from niimble.sources.tables import materialize, scratch_path
 
-__all__ = ["arrow_stage", "fields", "fold", "hash_draw", "hash_sample", "materialize", "read_table", "scratch_path", "text_session"]
+__all__ = ["arrow_stage", "fields", "fold", "hash_draw", "hash_sample", "labelled_sample", "materialize", "read_table", "scratch_path", "text_session"]
 
 
 # Arrow batches of texts are kept small: a task holds one, and what numpy makes of it.
@@ -91,3 +91,27 @@ def hash_sample(rows: DataFrame, about: int, *by: str) -> DataFrame:
     Rows are counted once; the choice depends on the rows alone, so a retried task repeats it.
     """
     return rows.where(hash_draw(*by) < F.lit(min(1.0, about / max(1, rows.count()))))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str, about: int, rule: Callable[[str], Column]
+) -> DataFrame:
+    """``text, label`` of about ``about`` labelled ids, one row each, chosen by hash.
+
+    ``rule`` settles several labels of an id (such as F.max); of its different texts that of the smallest hash
+    counts. So neither an id with very many labels nor one with very many texts makes the sample larger.
+    """
+    known = one_label(labels, id_column, label_column, rule)
+    sample = F.broadcast(hash_sample(known, about, "id"))  # about ``about`` rows, as ids are distinct
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    found = texts.join(sample, "id").groupBy("id").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("label").alias("label")
+    )
+    return found.select("text", "label")
+
+
+def one_label(labels: DataFrame, id_column: str, label_column: str, rule: Callable[[str], Column]) -> DataFrame:
+    """``id, label``: each labelled id once. Rows without id or label are left out."""
+    known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
+    known = known.select(F.col(id_column).alias("id"), F.col(label_column).cast("double").alias("label"))
+    return known.groupBy("id").agg(rule("label").alias("label"))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from niimble.llm.frames import arrow_stage, fields, hash_sample, materialize
+from niimble.llm.frames import arrow_stage, fields, hash_sample, materialize, one_label
 from niimble.llm.runs import LEXICAL_CLASSES, Slice, find_runs, run_hashes, slices, window_hashes
 
 BUCKETS = 1 << 14
@@ -77,9 +77,9 @@ def learn(
 
     One pass over the texts; a task passes on one row per bucket and kind.
     """
-    known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
-    known = known.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
-    sample = F.broadcast(hash_sample(known, train_rows, "id").groupBy("id").agg(F.min("label").alias("label")))
+    # an id labelled bad once is bad; ids are distinct before the draw, so train_rows bounds the sample
+    known = one_label(labels, id_column, label_column, F.min).withColumn("label", F.col("label").cast("int"))
+    sample = F.broadcast(hash_sample(known, train_rows, "id"))
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(sample, "id", "left")
     schema = StructType([StructField(c, LongType()) for c in ("kind", "bucket", "n")])
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from niimble.llm.frames import arrow_stage, fields, hash_sample
+from niimble.llm.frames import arrow_stage, fields, labelled_sample
 from niimble.llm.runs import Runs, Slice, count_marks, find_runs, prefix_sums, slices, span_hash, window_hashes, within
 
 TRAIN_ROWS = 20_000
@@ -220,19 +220,17 @@ def learn(
     train_rows: int = TRAIN_ROWS,
 ) -> Trees:
     """Trees for the labels 0 and 1 of ``labels``; rows without a document or label are left out."""
-    known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
-    known = known.select(F.col(id_column).alias("_id"), F.col(label_column).cast("double").alias("_label"))
-    sample = F.broadcast(hash_sample(known, train_rows, "_id"))  # bounded by train_rows
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).join(sample, "_id")
+    # an id labelled bad once is bad
+    rows = labelled_sample(docs, labels, id_column, text_column, label_column, train_rows, F.min)
     schema = StructType([StructField("label", DoubleType()), *[StructField(f, DoubleType()) for f in MONOTONE]])
 
     def measure(batch: pa.RecordBatch):
-        for part in slices(batch.column(1)):
+        for part in slices(batch.column(0)):
             x = statistics(part)[1]
             columns = {f: pa.array(x[:, i]) for i, f in enumerate(MONOTONE)}
-            yield columns | {"label": batch.column(2).slice(part.first, len(x))}
+            yield columns | {"label": batch.column(1).slice(part.first, len(x))}
 
-    found = arrow_stage(rows.select("_id", "_text", "_label"), measure, schema).toPandas()
+    found = arrow_stage(rows, measure, schema).toPandas()
     found = found.sort_values(list(found.columns)).to_numpy(np.float64)
     return grow(found[:, 1:], found[:, 0], list(MONOTONE.values()))
 

@@ -11,11 +11,10 @@ A NULL or empty text has no features: its score is that of the intercept. Repeat
 results; an empty table gives none. Without rows to learn from, scores are those of the fixed lexicon.
 Only the named columns are read.
 
-About ``LABEL_ROWS`` labelled texts, a parameter, propose lexicon words. All texts (labels unused) fit
-the label model and the classifier: per text the numbers of the voters that fire and of the vocabulary's
-words in it are written once. A round of EM sums over the distinct vote patterns, a step of the classifier
-over all texts, both by task; the driver gets a number per voter or word. What fits in ``LOCAL_BYTES`` is
-summed on the driver instead, to the same numbers.
+About ``LABEL_ROWS`` labelled ids, a parameter, propose lexicon words, each with one text and one label. All
+texts (labels unused) fit the label model and the classifier: per text the numbers of the voters that fire
+and of the vocabulary's words in it are written once. A round of EM sums over the distinct vote patterns, a
+step of the classifier over all texts, both by task; the driver gets a number per voter or word.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from niimble.llm.frames import arrow_stage, fields, hash_sample, materialize
+from niimble.llm.frames import arrow_stage, fields, labelled_sample, materialize, one_label
 from niimble.llm.runs import LEXICAL_CLASSES, Runs, Slice, count_marks, find_runs, lower, mix, prefix_sums, slices, span_hash
 
 LABEL_ROWS = 20_000
@@ -39,7 +38,6 @@ VOCABULARY_SIZE = 4096
 LEAST_SUPPORT = 3
 LEAST_SURE = 2.0  # standard errors by which a voter's word must be likelier in label 1
 PREFIX_BYTES = 6
-LOCAL_BYTES = 8 << 20
 BATCH_ROWS = 1000
 UNIT = float(1 << 24)
 
@@ -188,16 +186,11 @@ def _pairs(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(size)), size), raw.view("<u2").astype(np.int64)
 
 
-def _hold(rows: DataFrame, *packed: str) -> DataFrame | pa.Table:
-    """The rows themselves, or all of them on the driver if their numbers take at most ``LOCAL_BYTES``."""
-    used = rows.agg(F.sum(sum((F.length(c) for c in packed), F.lit(8)))).first()[0] or 0
-    return rows.toArrow() if used <= LOCAL_BYTES else rows
-
-
 def _total(rows: DataFrame | pa.Table, work: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
     """Sum of the ``size`` whole numbers that ``work`` finds in each batch, over all rows; exact in any order.
 
-    Rows that are not on the driver are summed by task; of those sums, a row per number is added up.
+    Rows are summed by task; of those sums, a row per number is added up. A table of Arrow is a matrix
+    given to ``label_model``.
     """
     if isinstance(rows, pa.Table):
         return sum((work(batch) for batch in rows.to_batches(BATCH_ROWS)), np.zeros(size, np.int64))
@@ -394,12 +387,9 @@ def learn(
 
     All rows of both tables are rows to learn from.
     """
-    known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
-    known = known.select(F.col(id_column).alias("id"), F.col(label_column).cast("double").alias("label"))
-    sample = F.broadcast(hash_sample(known, label_rows, "id"))  # bounded by label_rows
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    vocabulary = learn_vocabulary(texts.join(sample, "id").select("text", "label"))
-    balance = known.agg(F.avg("label")).first()[0]
+    # an id labelled toxic once is toxic
+    vocabulary = learn_vocabulary(labelled_sample(docs, labels, id_column, text_column, label_column, label_rows, F.max))
+    balance = one_label(labels, id_column, label_column, F.max).agg(F.avg("label")).first()[0]
     prior = float(np.clip(0.1 if balance is None else balance, 0.01, 0.99))
     lexicon = np.flatnonzero(vocabulary.voter)
     voters = len(lexicon) + len(PATTERNS)
@@ -417,13 +407,13 @@ def learn(
             order = np.argsort(by, kind="stable")
             yield {"words": _pack(doc, number, len(fired)), "votes": _pack(by[order], voter[order], len(fired))}
 
-    found = materialize(arrow_stage(texts.select("text"), look, schema), "toxicity-votes")
+    found = materialize(arrow_stage(docs.select(F.col(text_column).alias("text")), look, schema), "toxicity-votes")
     patterns = materialize(found.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "toxicity-patterns")
     # patterns are not counted in the labelled texts: nothing is known of them
     seen = np.pad(vocabulary.seen[:, lexicon], ((0, 0), (0, len(PATTERNS))))
     labelled = np.pad(np.repeat(vocabulary.labelled[:, None], len(lexicon), axis=1), ((0, 0), (0, len(PATTERNS))))
-    evidence, accuracies = fit_voters(_hold(patterns, "votes"), voters, prior, seen, labelled)
-    weight, intercept, texts_with = train_linear(_hold(found, "words", "votes"), evidence, len(vocabulary.hashes))
+    evidence, accuracies = fit_voters(patterns, voters, prior, seen, labelled)
+    weight, intercept, texts_with = train_linear(found, evidence, len(vocabulary.hashes))
     if not texts_with.any():
         weight, intercept = vocabulary.voter * 4.0, -2.0
     # an insult of the fixed list that no text holds weighs as those do that some text holds

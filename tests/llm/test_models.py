@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from niimble.llm import importance, language_id, quality_rules, token_counts, toxicity
-from niimble.llm.frames import fold, hash_draw, hash_sample, read_table
+from niimble.llm.frames import fold, hash_draw, hash_sample, labelled_sample, read_table
 from niimble.llm.queries import QUERIES, vocabulary_path
 from niimble.llm.runs import slices
 from tests.llm.cases import clashing, edge_docs, edge_texts, empty_docs, rows_of
@@ -208,16 +208,91 @@ def test_every_voter_is_fitted(spark):
     assert (model.weight[model.vocabulary.find(toxicity.word_features(part)[1])] > 0).all()
 
 
-def test_sums_in_spark_equal_those_on_the_driver(spark, monkeypatch):
+def test_sums_do_not_depend_on_partitions(spark):
     docs, labels = rare_words(spark)
     here = toxicity.learn(docs, labels)
-    monkeypatch.setattr(toxicity, "LOCAL_BYTES", 0)
-    there = toxicity.learn(docs.repartition(5), labels)
+    there = toxicity.learn(docs.repartition(5), labels.repartition(3))
     assert (here.weight == there.weight).all()
     assert here.intercept == there.intercept
     assert (here.accuracies == there.accuracies).all()
 
 
+def plain_label_model(x, prior, rounds=50):
+    """EM on a dense 0/1 matrix, as its definition reads."""
+    n, m = x.shape
+    words = x[:, : m - len(toxicity.PATTERNS)]
+    posterior = np.where(words.any(axis=1), 0.9, 0.05)
+    spread = np.maximum(x.std(axis=0), 1e-3)
+    rate, repetition = np.zeros((2, m)), np.ones(m)
+    for step in range(rounds):
+        before = rate
+        rate = np.clip([((1 - posterior) @ x + 0.1) / ((1 - posterior).sum() + 1), (posterior @ x + 0.1) / (posterior.sum() + 1)], 1e-5, 1 - 1e-5)
+        if step % 10 == 9:
+            rest = x - (rate[0] + posterior[:, None] * (rate[1] - rate[0]))
+            related = np.clip(rest.T @ rest / n / np.outer(spread, spread), 0, 1)
+            np.fill_diagonal(related, 0)
+            repetition = 1 + np.where(related > 0.05, related, 0).sum(axis=1)
+        odds = np.log(prior / (1 - prior)) + x @ (np.log(rate[1] / rate[0]) / repetition) + (1 - x) @ (np.log((1 - rate[1]) / (1 - rate[0])) / repetition)
+        posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        if step > 20 and np.abs(rate - before).max() < 1e-6:
+            break
+    return posterior, rate, repetition
+
+
+def test_label_model_and_classifier_equal_a_plain_version(spark, docs):
+    """Voters by plain Python, EM on a dense matrix, and the classifier at the least of its loss."""
+    texts = [r["text"] or "" for r in docs.select("text").collect()]
+    model = toxicity.learn(docs.select("doc_id", "text"), read_table(spark, FOLDER, "labels"))
+    lexicon = np.flatnonzero(model.vocabulary.voter)
+    x, words = np.zeros((len(texts), len(lexicon) + len(toxicity.PATTERNS))), np.zeros((len(texts), len(model.weight)))
+    for i, text in enumerate(texts):
+        (part,) = slices(pa.array([text]))
+        runs, own, head = toxicity.word_features(part)
+        numbers, heads = model.vocabulary.find(own).tolist(), model.vocabulary.find(head).tolist()
+        hits = [j for j, k in enumerate(numbers) if k >= 0 and model.vocabulary.voter[k]]
+        for k in numbers + heads:
+            if k >= 0:
+                words[i, k] = 1
+                if model.vocabulary.voter[k]:
+                    x[i, np.searchsorted(lexicon, k)] = 1
+        capitals = sum("A" <= c <= "Z" for c in text)
+        letters = sum(b > 64 for b in text.encode())
+        x[i, len(lexicon) :] = [
+            len(hits) >= 2, len(hits) >= 3, any(b - a <= 5 for a, b in zip(hits, hits[1:])), any(j < 10 for j in hits),
+            len(hits) * 50 >= max(len(numbers), 1), capitals * 2 > max(letters, 1), not hits,
+        ]
+    prior = float(np.clip(read_table(spark, FOLDER, "labels").agg(F.avg("toxic")).first()[0], 0.01, 0.99))
+    row, number = np.nonzero(x)
+    table = pa.table({"votes": toxicity._pack(row, number, len(x)), "n": np.ones(len(x), np.int64)})
+    none = np.zeros((2, x.shape[1]))
+    evidence, accuracies = toxicity.fit_voters(table, x.shape[1], prior, none, none)
+    posterior, rate, repetition = plain_label_model(x, prior)
+    assert np.abs(evidence.posterior(row, number, len(x)) - posterior).max() < 1e-4
+    assert np.abs(accuracies - np.vstack([rate, repetition])).max() < 1e-4
+    # the model's own classifier: no step lowers its loss on the model's own posteriors
+    seen = np.pad(model.vocabulary.seen[:, lexicon], ((0, 0), (0, len(toxicity.PATTERNS))))
+    labelled = np.pad(np.repeat(model.vocabulary.labelled[:, None], len(lexicon), axis=1), ((0, 0), (0, len(toxicity.PATTERNS))))
+    target = toxicity.fit_voters(table, x.shape[1], prior, seen, labelled)[0].posterior(row, number, len(x))
+    margin = words @ model.weight + model.intercept
+    slope = np.append(words.T @ (1 / (1 + np.exp(-margin)) - target) / len(x) + 1e-5 * model.weight, np.mean(1 / (1 + np.exp(-margin)) - target))
+    assert np.abs(slope).max() < 2e-4
+
+
+def test_an_id_with_very_many_labels_and_texts_is_one_row_of_the_sample(spark):
+    """Two fifths of all label rows, and of all texts, have one id."""
+    ids = spark.range(20_000).select(F.when(F.col("id") % 5 < 2, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.col("id").alias("n"))
+    docs = ids.select("doc_id", F.concat(F.lit("text "), F.col("n").cast("string")).alias("text"))
+    labels = ids.select("doc_id", (F.col("n") % 2).cast("int").alias("toxic"))
+    for about in (500, 4000, 50_000):
+        found = labelled_sample(docs, labels, "doc_id", "text", "toxic", about, F.max)
+        n = found.count()
+        assert n <= min(1.2 * about, 12_001) and found.select("text").distinct().count() == n
+        assert rows_of(found) == rows_of(labelled_sample(docs.repartition(7), labels.repartition(3), "doc_id", "text", "toxic", about, F.max))
+    one = docs.where("doc_id = 7")
+    assert [r["label"] for r in labelled_sample(one, labels, "doc_id", "text", "toxic", 50_000, F.max).collect()] == [1.0]
+    assert [r["label"] for r in labelled_sample(one, labels, "doc_id", "text", "toxic", 50_000, F.min).collect()] == [0.0]
+
+
 def test_an_insult_of_no_text_counts(spark, docs):
     texts = docs.select("doc_id", "text").where(~F.lower("text").contains("vermin"))
     model = toxicity.learn(texts, read_table(spark, FOLDER, "labels"))
