@@ -195,6 +195,22 @@ VIEWS = {
         select concat('CFG', cast(s_suppkey as varchar)), 'v2', 3,
           make_date(1998 + s_suppkey % 3, 1, 1), null from supplier""",
     # ---- scope, hierarchies, dated lookups ----
+    "run_scope": """
+        select distinct 'R1' as run_id, r_name as business_unit, c_mktsegment as business_segment_group,
+          concat('CC', cast(c_nationkey as varchar)) as cost_centre,
+          case when r_name in ('AMERICA', 'ASIA') then 'USD' else 'EUR' end as currency
+        from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+    "chosen_versions": """
+        select config_key, coalesce(q.config_version, a.config_version) as config_version
+        from requested_versions q full join (
+          select config_key, arg_max(config_version, activated_at) as config_version
+          from active_versions where active_flag group by config_key) a using (config_key)""",
+    "quality_rules": """
+        select * from (values
+          ('income agrees', 'income', 0.01e0, false, 'error'), ('income is near', 'income', 0.0001e0, true, 'warning'),
+          ('fees agree', 'fee', 0.01e0, false, 'error'), ('fees are known', 'fee', 1e0, true, 'info'),
+          ('balances agree', 'balance', 0.01e0, false, 'error'))
+          r(rule, measure, tolerance, is_relative, severity)""",
     "scope": """
         select case when r_regionkey <> 2 then r_name end as business_unit,
           case r_regionkey when 0 then 'Loan' when 2 then 'Deposit' when 3 then 'LARGE' end as product,
@@ -438,6 +454,61 @@ STATEMENTS = {
             and (s.product is null or s.product = l.product)
             and (s.currency is null or s.currency = l.currency))
         group by business_unit, product, currency""",
+    "launchpoint_day_weighted": """
+        with daily as (
+          select run_id, business_unit, business_segment_group, cost_centre, product, currency, period_date,
+            sum(amount) as balance
+          from lines where period_date <= date '2000-03-31' group by all),
+        days as (
+          select distinct business_unit, cast(d as date) as day
+          from (select business_unit, unnest(generate_series(window_start, window_end, interval 1 day)) as d
+                from overlapping_windows) where d <= date '2000-03-31'),
+        segments as (
+          select distinct run_id, business_unit, business_segment_group, cost_centre, product, currency from daily),
+        wanted as (select * from segments join days using (business_unit))
+        select w.run_id, w.business_unit, w.business_segment_group, w.cost_centre, w.product, w.currency,
+          round(cast(sum(balance) as double) / count(*), 6) as launchpoint_balance, count(*) as days,
+          count(distinct period_date) as positions
+        from wanted w asof join daily p on w.run_id = p.run_id and w.business_unit = p.business_unit
+          and w.business_segment_group = p.business_segment_group and w.cost_centre = p.cost_centre
+          and w.product = p.product and w.currency = p.currency and w.day >= p.period_date
+        group by 1, 2, 3, 4, 5, 6""",
+    "quality_report": """
+        with a as (
+          select business_unit, product, cast(year(period_date) as int) as period_year,
+            cast(sum(income) as double) as income, cast(sum(fee) as double) as fee
+          from lines group by 1, 2, 3),
+        b as (
+          select business_unit, product,
+            cast(case year(period_date) when 1997 then 2097 else year(period_date) end as int) as period_year,
+            cast(sum(amount + case when product = 'Deposit' then 0.5 else 0 end)
+              filter (posting_category = 'interest') as double) as income,
+            cast(sum(amount) filter (posting_category = 'fee') as double) as fee
+          from postings group by 1, 2, 3),
+        totals as (
+          select business_unit, product, period_year, 'income' as measure, a.income as l, b.income as r
+          from a full join b using (business_unit, product, period_year)
+          union all
+          select business_unit, product, period_year, 'fee', a.fee, b.fee
+          from a full join b using (business_unit, product, period_year)),
+        judged as (
+          select business_unit, product, period_year, rule, measure, severity, l, r,
+            case when is_relative then tolerance * abs(r) else tolerance end as allowed,
+            coalesce(abs(l - r) <= case when is_relative then tolerance * abs(r) else tolerance end, false) as passed
+          from totals join quality_rules using (measure))
+        select business_unit, product, period_year, rule, measure, severity, round(l, 6) as left_total,
+          round(r, 6) as right_total, round(abs(l - r), 6) as gap, round(allowed, 6) as allowed, passed,
+          count(*) over () as all_rows, count(*) filter (not passed and severity = 'error') over () as all_error,
+          count(*) filter (not passed and severity = 'warning') over () as all_warning,
+          count(*) filter (not passed and severity = 'info') over () as all_info
+        from judged""",
+    "nii_rollup_distinct": """
+        select business_unit, product, currency,
+          cast(grouping(business_unit, product, currency) as int) as grouping_id,
+          cast(sum(income) as double) as income, cast(sum(amount) as double) as amount,
+          round(cast(sum(income) as double) / nullif(cast(sum(amount) as double), 0), 6) as observed_rate,
+          count(distinct supplier) as distinct_exact, true as estimate_holds
+        from lines group by rollup (business_unit, product, currency)""",
     "run_metadata": """
         select run_id, business_unit, round(nii_business_unit, 6) as nii_business_unit, cost_centre,
           round(cc_ratio, 6) as cc_ratio, fe_weight,
@@ -869,6 +940,47 @@ STATEMENTS["forecast_run_scoped"] = """
 STATEMENTS["metric_run"] = STATEMENTS["metric_summary"]
 
 
+def _content(name: str, table: str, columns: str) -> str:
+    """Number and hash sums of a table's rows, a row being the text of its cells by column name."""
+    cells = ", ".join(
+        f"'{c}', coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar) || ';', '~;')"
+        for c in sorted(columns.split())
+    )
+    sums = ", ':', ".join(
+        f"coalesce(sum(cast(concat('0x', substr(h, {1 + 15 * i}, 15)) as bigint)), 0)" for i in range(4)
+    )
+    return (
+        f"select '{name}' as table_name, sha256(concat('{name}', ':', count(*), ':', {sums})) as content_id "
+        f"from (select sha256(concat({cells})) as h from {table})"
+    )
+
+
+STATEMENTS["run_identity"] = """
+        with contents as (""" + " union all ".join(_content(*t) for t in (
+    ("run_scope", "run_scope", "business_unit business_segment_group cost_centre currency"),
+    ("yield_index_mapping", "yield_map", "business_unit product currency yield_index"),
+    ("launchpoint_windows", "windows", "business_unit window_start window_end window_days"),
+    ("proxy_source_mappings", "proxies",
+     "business_unit product proxy_business_unit proxy_product scale_ratio fixed_adjustment"),
+    ("inflation_adjustments", "inflation", "business_unit product lag_0 lag_1 lag_2 lag_3"),
+    ("custom_yield_overrides", "overrides", "business_unit product currency override_factor"),
+    ("forecast_substitution_rules", "rules", "substitution_code substitution_type"),
+    ("launchpoint_period_yield_overrides", "period_overrides", "business_unit product currency period_override"),
+    ("active_config_versions", "chosen_versions", "config_key config_version"),
+)) + """),
+        ids as (
+          select sha256(string_agg(content_id, ':' order by table_name)) as config_snapshot_id,
+            max(content_id) filter (table_name = 'active_config_versions') as active_config_version
+          from contents)
+        select run_id, business_unit, round(nii_business_unit, 6) as nii_business_unit, cost_centre,
+          round(cc_ratio, 6) as cc_ratio, fe_weight,
+          round(allocation_denominator, 6) as allocation_denominator,
+          round(nii_cost_centre, 6) as nii_cost_centre,
+          'exec-1' as execution_id, cast(978404645 as bigint) as run_timestamp,
+          config_snapshot_id, active_config_version, 'nii_stage_cc' as output_table
+        from allocated, ids"""
+
+
 def _needed(text: str, found: dict[str, None]) -> None:
     for name in VIEWS:
         if name not in found and re.search(rf"\b(?:from|join|,)\s+{name}\b", text):

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -272,6 +273,17 @@ def run_metadata(v: Views) -> DataFrame:
     return rows.withColumn("run_timestamp", F.unix_seconds("run_timestamp"))
 
 
+@query
+def run_identity(v: Views) -> DataFrame:
+    """A run whose rows carry all five system parameters."""
+    moment = datetime(2001, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
+    identity = configuration.identify_run(
+        v.snapshot(), v.active_versions(), v.requested_versions(), "exec-1", moment
+    )
+    rows = _stage(v, "nii_stage_cc", conserving=True, identity=identity)
+    return rows.withColumn("run_timestamp", F.unix_seconds("run_timestamp"))
+
+
 # ---- hierarchies ----
 
 
@@ -358,6 +370,23 @@ def nii_rollup(v: Views) -> DataFrame:
     )
 
 
+@query
+def nii_rollup_distinct(v: Views) -> DataFrame:
+    """Suppliers behind the lines and the observed rate per level; the estimates are held against exact counts."""
+    dims, lg_size = ["business_unit", "product", "currency"], 12
+    # one shuffle of the lines: each group's suppliers once, with their sums
+    pairs = v.lines().groupBy(*dims, "supplier").agg(F.sum("income").alias("income"), F.sum("amount").alias("amount"))
+    sketches = hierarchy.distinct_sketches(pairs, dims, "supplier", {"income": "income", "amount": "amount"}, lg_size)
+    totals = hierarchy.rollup_distinct(sketches, dims, ["income", "amount"], {"observed_rate": ("income", "amount")})
+    exact = hierarchy.rollup_distinct_exact(pairs, dims, "supplier")
+    same = [totals[c].eqNullSafe(exact[c]) for c in [*dims, "grouping_id"]]
+    near = 4 * hierarchy.sketch_error(lg_size) * F.col("distinct_exact") + 1
+    return totals.join(exact, reduce(lambda a, b: a & b, same)).select(
+        *[totals[c] for c in [*dims, "grouping_id"]], "income", "amount", "observed_rate", "distinct_exact",
+        (F.abs(F.col("distinct_estimate") - F.col("distinct_exact")) <= near).alias("estimate_holds"),
+    )
+
+
 # ---- dated lookups ----
 
 
@@ -458,6 +487,14 @@ def launchpoint_window_avg(v: Views) -> DataFrame:
     )
 
 
+@query
+def launchpoint_day_weighted(v: Views) -> DataFrame:
+    """Balances that stand until the next posting of their segment, weighted by their days."""
+    return balances.day_weighted_average(
+        v.lines(), v.overlapping_windows(), enrichment.POSITION, "amount", date(2000, 3, 31)
+    )
+
+
 # ---- proxies, substitution, rates ----
 
 
@@ -584,6 +621,27 @@ def reconcile(v: Views) -> DataFrame:
     )
 
 
+@query
+def quality_report(v: Views) -> DataFrame:
+    """Interest and fees of lines against postings, under five rules; written, with the failures counted on
+    the way. Postings of Deposit are shifted, those of one year belong to another."""
+    lines = v.lines().select(
+        "business_unit", "product", F.year("period_date").alias("period_year"), "income", "fee"
+    )
+    shifted = F.when(F.col("product") == "Deposit", F.col("amount") + F.lit(Decimal("0.5"))).otherwise(F.col("amount"))
+    year = F.year("period_date")
+    posted = v.postings().select(
+        "business_unit", "product", F.when(year == 1997, F.lit(2097)).otherwise(year).alias("period_year"),
+        F.when(F.col("posting_category") == "interest", shifted).alias("income"),
+        F.when(F.col("posting_category") == "fee", F.col("amount")).alias("fee"),
+    )
+    report = quality.quality_report(lines, posted, ["business_unit", "product", "period_year"], ["income", "fee"], v.quality_rules())
+    path = tables.scratch_path(v.spark, "quality-report")
+    counts = quality.write_report(report, lambda rows: tables.write_path(rows, path))
+    stored = tables.read_path(v.spark, path, schema=report.schema)
+    return stored.withColumns({f"all_{s}": F.lit(counts[s]).cast("bigint") for s in ("rows", *quality.SEVERITIES)})
+
+
 @query
 def duplicate_keys(v: Views) -> DataFrame:
     return quality.duplicate_keys(v.table("orders"), ["o_custkey", "o_orderpriority"])

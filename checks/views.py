@@ -240,6 +240,14 @@ class Views:
             "run_id", "business_unit", F.inline(spans)
         ).withColumn("window_days", F.datediff("window_end", "window_start").cast("bigint"))
 
+    def quality_rules(self) -> DataFrame:
+        """Absolute and relative tolerances; the last rule's measure is not measured."""
+        return self.spark.createDataFrame([
+            ("income agrees", "income", 0.01, False, "error"), ("income is near", "income", 0.0001, True, "warning"),
+            ("fees agree", "fee", 0.01, False, "error"), ("fees are known", "fee", 1.0, True, "info"),
+            ("balances agree", "balance", 0.01, False, "error"),
+        ], "rule string, measure string, tolerance double, is_relative boolean, severity string")
+
     def narrow_scope(self) -> DataFrame:
         """All of ASIA, one segment group of EUROPE and AMERICA each."""
         group = F.when(F.col("r_name") != "ASIA", F.lit("BUILDING"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,49 @@ def window_average(
     )
 
 
+def day_weighted_average(
+    positions: DataFrame,
+    windows: DataFrame,
+    by: Sequence[str],
+    balance: str,
+    until: date,
+    at: str = "period_date",
+    salts: int = 1,
+) -> DataFrame:
+    """Mean balance over the days of the unit's launchpoint windows. Grain: ``by``.
+
+    A position, the sum of the rows of one day, stands from its day until the day before the next one of
+    its ``by`` group, the last one up to and including ``until``. Days count that lie in a window of the
+    unit, once however many windows hold them; both window ends count. So a position from before a window
+    stands for its first days, and days before the first position count nowhere. Groups without such a day
+    are left out. A day whose balances are all NULL counts as unknown: its days are in no sum. Rows
+    without a day, and those after ``until``, are left out. ``by`` must hold run_id and business_unit.
+
+    Rows are summed per day first, so what a group's next day is sought among holds one row a calendar
+    day at most. The merged windows of a unit are one array of a few configuration rows: spans meet them
+    in a single equality lookup, and no row is repeated.
+    """
+    unit = ["run_id", "business_unit"]
+    day = F.col(at).cast("date")
+    daily = positions.where(day <= F.lit(until)).groupBy(*by, day.alias("_from")).agg(exact_sum(balance).alias("_balance"))
+    follow = Window.partitionBy(*by).orderBy("_from")
+    spans = daily.withColumn("_next", F.coalesce(F.lead("_from").over(follow), F.date_add(F.lit(until), 1)))
+    span = F.struct(F.col("window_start").alias("start"), F.date_add(F.least("window_end", F.lit(until)), 1).alias("end"))
+    arrays = merged_windows(windows, unit).groupBy(*unit).agg(F.collect_list(span).alias("_windows"))
+
+    def shared(window):
+        days = F.datediff(F.least(window["end"], F.col("_next")), F.greatest(window["start"], F.col("_from")))
+        return F.greatest(days, F.lit(0))
+
+    inside = attach(spans, arrays, unit, how="inner", salts=salts).withColumn(
+        "_days", F.aggregate(F.transform("_windows", shared), F.lit(0), lambda a, b: a + b)
+    ).where((F.col("_days") > 0) & F.col("_balance").isNotNull())
+    return inside.groupBy(*by).agg(
+        ratio(exact_sum(F.col("_balance") * F.col("_days")), F.sum("_days")).alias("launchpoint_balance"),
+        F.sum("_days").alias("days"), F.count(F.lit(1)).alias("positions"),
+    )
+
+
 def merged_windows(windows: DataFrame, on: Sequence[str]) -> DataFrame:
     """Windows that do not overlap and cover the same days, per ``on``; a NULL end is open.
 

@@ -59,6 +59,75 @@ def with_run_metadata(rows: DataFrame, execution_id: str, run_timestamp: datetim
     })
 
 
+@dataclass(frozen=True)
+class RunIdentity:
+    """What a run was: its execution, and names for the content of its configuration and chosen versions."""
+
+    execution_id: str
+    run_timestamp: datetime
+    config_snapshot_id: str
+    active_config_version: str
+
+
+def with_run_identity(rows: DataFrame, identity: RunIdentity, output_table: str) -> DataFrame:
+    """The five system parameters on every row. Grain: unchanged."""
+    return with_run_metadata(rows, identity.execution_id, identity.run_timestamp).withColumns({
+        "config_snapshot_id": F.lit(identity.config_snapshot_id),
+        "active_config_version": F.lit(identity.active_config_version),
+        "output_table": F.lit(output_table),
+    })
+
+
+def content_ids(tables: Mapping[str, DataFrame], leave_out: Sequence[str] = ("run_id",)) -> DataFrame:
+    """A name for the content of each table, and its row count. Columns table_name, row_count, content_id.
+
+    Equal for equal rows in any order and under any partitioning; repeated rows count. A row is hashed as the
+    text of its cells by column name, NULL apart from any text, and the hashes are added in four parts of 60
+    bits. Columns of ``leave_out`` are not looked at. Each table is one partial aggregate, whatever its size.
+    """
+    def summed(name: str, table: DataFrame) -> DataFrame:
+        cells = []
+        for c in sorted(c for c in table.columns if c not in leave_out):
+            text = F.col(c).cast("string")
+            told = F.concat(F.length(text).cast("string"), F.lit(":"), text, F.lit(";"))
+            cells += [F.lit(c), F.coalesce(told, F.lit("~;"))]
+        row = table.select(F.sha2(F.concat(*cells).cast("binary"), 256).alias("h"))
+        parts = [F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("decimal(19,0)") for i in range(4)]
+        sums = [F.coalesce(F.sum(p), F.lit(0)).cast("string") for p in parts]
+        return row.agg(F.count(F.lit(1)).alias("row_count"), F.concat_ws(":", *sums).alias("sums")).select(
+            F.lit(name).alias("table_name"), "row_count", "sums"
+        )
+
+    found = reduce(DataFrame.unionByName, [summed(n, t) for n, t in sorted(tables.items())])
+    told = F.concat_ws(":", "table_name", F.col("row_count").cast("string"), "sums")
+    return found.select("table_name", "row_count", F.sha2(told.cast("binary"), 256).alias("content_id"))
+
+
+def snapshot_ids(config: ConfigSnapshot, versions: DataFrame, requested: DataFrame) -> DataFrame:
+    """``config_snapshot_id`` and ``active_config_version``, one row.
+
+    The second names the set of chosen versions (``chosen_versions``), the first that set and the eight
+    configuration tables. Run ids do not enter: runs of equal configuration have equal names.
+    """
+    tables = {f.name: getattr(config, f.name) for f in fields(ConfigSnapshot) if f.name != "run_id"}
+    chosen = "active_config_versions"
+    ids = content_ids({**tables, chosen: chosen_versions(versions, requested)})
+    # one row per table
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("table_name", "content_id"))), lambda t: t["content_id"]), ":")
+    return ids.agg(
+        F.sha2(listed.cast("binary"), 256).alias("config_snapshot_id"),
+        F.max(F.when(F.col("table_name") == chosen, F.col("content_id"))).alias("active_config_version"),
+    )
+
+
+def identify_run(
+    config: ConfigSnapshot, versions: DataFrame, requested: DataFrame, execution_id: str, run_timestamp: datetime
+) -> RunIdentity:
+    """The identity of a run; reads the configuration, and brings two short texts to the driver."""
+    ids = snapshot_ids(config, versions, requested).collect()[0]
+    return RunIdentity(execution_id, run_timestamp, ids["config_snapshot_id"], ids["active_config_version"])
+
+
 def config_row(store: DataFrame, key: str, version: str | None) -> DataFrame:
     """The parameter row of one key and version; no row for an unknown or missing version.
 
@@ -74,16 +143,20 @@ def active_versions(versions: DataFrame) -> DataFrame:
     return latest(flagged, ["config_key"], ["activated_at"]).select(*VERSION)
 
 
-def resolve_versions(store: DataFrame, versions: DataFrame, requested: DataFrame) -> DataFrame:
-    """Parameter rows of the requested version per key, else of the active one. Grain: store row.
+def chosen_versions(versions: DataFrame, requested: DataFrame) -> DataFrame:
+    """The requested version per key, else the active one. Grain: key.
 
     ``requested`` has one (config_key, config_version) row per key it names.
     """
     asked = requested.select("config_key", F.col("config_version").alias("_asked"))
-    chosen = active_versions(versions).join(asked, ["config_key"], "full").select(
+    return active_versions(versions).join(asked, ["config_key"], "full").select(
         "config_key", F.coalesce("_asked", "config_version").alias("config_version")
     )
-    return store.join(chosen, list(VERSION), "left_semi")
+
+
+def resolve_versions(store: DataFrame, versions: DataFrame, requested: DataFrame) -> DataFrame:
+    """Parameter rows of the versions chosen by ``chosen_versions``. Grain: store row."""
+    return store.join(chosen_versions(versions, requested), list(VERSION), "left_semi")
 
 
 def effective_on(store: DataFrame, day: date) -> DataFrame:

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from niimble.functions.columns import ratio
 from niimble.operators.lookups import attach, latest
 from niimble.sources.tables import materialize
 
@@ -105,3 +106,51 @@ def rollup_totals(
         F.grouping_id().cast("int").alias("grouping_id"),
         *[F.sum(n).alias(n) for n in measures],
     )
+
+
+def distinct_sketches(
+    facts: DataFrame, dims: Sequence[str], of: str, measures: Mapping[str, str], lg_size: int = 12
+) -> DataFrame:
+    """Per finest group the sums and a sketch of the distinct values of ``of``. Grain: dims.
+
+    ``measures`` as for ``rollup_totals``. Sketches merge, so a stored table of them serves any coarser
+    total later; each has at most 2^``lg_size`` bytes or so. ``of`` is a string or whole number; NULL is no value.
+    """
+    return facts.groupBy(*dims).agg(
+        F.hll_sketch_agg(of, F.lit(lg_size)).alias("distinct_sketch"),
+        *[F.sum(c).alias(n) for n, c in measures.items()],
+    )
+
+
+def sketch_error(lg_size: int = 12) -> float:
+    """Relative standard error of a distinct count estimated by a sketch of that size."""
+    return 1.04 / 2 ** (lg_size / 2)
+
+
+def rollup_distinct(
+    sketches: DataFrame,
+    dims: Sequence[str],
+    measures: Sequence[str],
+    rates: Mapping[str, tuple[str, str]] | None = None,
+) -> DataFrame:
+    """Totals that cannot be added, per prefix of ``dims``. Grain: prefix of dims.
+
+    Distinct counts come from sketches merged upward (``distinct_estimate``), each of ``rates`` from the sums
+    of its two measures at that level, never from rates below; NULL where the bottom sums to zero.
+    """
+    totals = sketches.rollup(*dims).agg(
+        F.grouping_id().cast("int").alias("grouping_id"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("distinct_estimate"),
+        *[F.sum(m).alias(m) for m in measures],
+    )
+    return totals.withColumns({n: ratio(top, bottom) for n, (top, bottom) in (rates or {}).items()})
+
+
+def rollup_distinct_exact(facts: DataFrame, dims: Sequence[str], of: str) -> DataFrame:
+    """Exact distinct counts per prefix of ``dims``, to hold the estimates against. Grain: prefix of dims.
+
+    Each (dims, value) is kept once before it is repeated per level.
+    """
+    return facts.select(*dims, of).distinct().rollup(*dims).agg(
+        F.grouping_id().cast("int").alias("grouping_id"), F.count_distinct(of).alias("distinct_exact")
+    )

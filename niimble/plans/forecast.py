@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 
 from niimble.functions.constants import DAY_COUNT_BASIS, PREALLOCATION_FACTOR
-from niimble.operators.configuration import ConfigSnapshot, scope_filter, with_run_metadata
+from niimble.operators.configuration import ConfigSnapshot, RunIdentity, scope_filter, with_run_identity, with_run_metadata
 from niimble.operators.drivers import add_drivers, add_inflation, add_proxy, add_yield_delta
 from niimble.operators.enrichment import enrich_actuals, enrich_forecast, enrich_launchpoint
 from niimble.operators.income import VALUE_TYPE, add_income, allocate_conserving, allocate_distinct
@@ -54,6 +54,8 @@ class ForecastParams:
     value_type: str = VALUE_TYPE
     # Execution id and time, put on every row of every stage table if given.
     execution: tuple[str, datetime] | None = None
+    # All five system parameters, put on every row in place of ``execution``.
+    identity: RunIdentity | None = None
     # Tasks that share one hot key in a lookup that is not broadcast, where AQE is off.
     salts: int = 1
     # Only actuals and forecasts that the run's scope admits.
@@ -102,7 +104,9 @@ def run_forecast(
         raise ValueError(f"no such stages: {sorted(unknown)}")
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
-        if params.execution:
+        if params.identity:
+            rows = with_run_identity(rows, params.identity, name)
+        elif params.execution:
             rows = with_run_metadata(rows, *params.execution)
         done[name] = rows
         if store and name in params.keep:
