@@ -10,6 +10,10 @@ A pre-token's count is stored at the node where it ends and looked up wherever t
 again in the task. Of equal scores the one with the shorter last piece counts. A byte outside all
 pieces is one token of a score below every piece's.
 
+Below ``DEEP`` bytes the trie is walked word by word in their order, each word going on from the node where
+it leaves the one before it, so a node is still met once; the pieces that end in a stretch of ``STRETCH``
+bytes are found together. The time is linear in a word's bytes.
+
 NULL, empty and blank texts have no tokens. Repeated rows give repeated results; columns other than
 those named are not read. Whole texts are counted, in slices of bounded memory.
 """
@@ -33,6 +37,8 @@ MARK = 0xFF  # stands for the word mark; no byte of UTF-8
 WORD_MARK = "\u2581".encode()  # fixed value: how sentencepiece writes it
 KNOWN_WORDS = 1 << 19
 FILTER_BITS = 20
+DEEP = 256
+STRETCH = 1 << 16
 
 
 class Pieces(NamedTuple):
@@ -97,7 +103,8 @@ def trie_counts(words: list[bytes], pieces: Pieces) -> np.ndarray:
     by_length = np.argsort(length, kind="stable")
     ordered = length[by_length]
     node = np.zeros(len(words), np.int64)
-    for depth in range(1, int(length.max()) + 1):
+    deep = max(DEEP, pieces.longest + 1)
+    for depth in range(1, min(int(length.max()), deep) + 1):
         alive = by_length[np.searchsorted(ordered, depth) :]
         # a node is its parent's number and one more byte
         key = node[alive] * 256 + data[start[alive] + depth - 1]
@@ -117,9 +124,53 @@ def trie_counts(words: list[bytes], pieces: Pieces) -> np.ndarray:
             tokens = np.where(better, 1 if whole else count[end - size] + 1, tokens)
         # what was found once per node is noted at each word that runs through it
         best[start[alive] + depth], count[start[alive] + depth] = score[which], tokens[which]
+    before = None
+    for word in sorted(np.flatnonzero(length > deep), key=lambda i: words[i]):
+        known = deep
+        if before is not None:
+            known = max(deep, _common(data, start[before], start[word], min(length[before], length[word])))
+            own, others = slice(start[word] + 1, start[word] + known + 1), slice(start[before] + 1, start[before] + known + 1)
+            if known > deep:
+                best[own], count[own] = best[others], count[others]
+        _go_deeper(sums, start[word] + known, start[word] + length[word], best, count, pieces)
+        before = word
     return count[start + length]
 
 
+def _common(data: np.ndarray, a: int, b: int, most: int) -> int:
+    """How many bytes from places ``a`` and ``b`` on are equal, up to ``most``."""
+    differ = data[a : a + most] != data[b : b + most]
+    return int(differ.argmax()) if differ.any() else int(most)
+
+
+def _go_deeper(sums: np.ndarray, place: int, end: int, best: np.ndarray, count: np.ndarray, pieces: Pieces) -> None:
+    """Fill ``best`` and ``count`` of one word from a place, deeper than any piece is long, to the word's end."""
+    longest = pieces.longest
+    for low in range(place, end, STRETCH):
+        ends = np.arange(low + 1, min(low + STRETCH, end) + 1)
+        found = []
+        for size in range(1, longest + 1):
+            scores = pieces.find(span_hash(sums, ends - size, ends))
+            if size == 1:  # every place ends at least a single byte
+                scores[np.isneginf(scores)] = pieces.fallback
+            hit = np.flatnonzero(~np.isneginf(scores))
+            found.append((ends[hit], np.full(len(hit), size), scores[hit]))
+        stop, size, score = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.argsort(stop, kind="stable")  # by place, then by size
+        first = low - longest
+        value, tokens = best[first : low + 1].tolist(), count[first : low + 1].tolist()
+        for s, begin, found_score in zip(
+            (stop[order] - first).tolist(), (stop[order] - size[order] - first).tolist(), score[order].tolist(), strict=True
+        ):
+            reached = value[begin] + found_score
+            if s == len(value):
+                value.append(reached)
+                tokens.append(tokens[begin] + 1)
+            elif reached > value[s]:
+                value[s], tokens[s] = reached, tokens[begin] + 1
+        best[low + 1 : ends[-1] + 1], count[low + 1 : ends[-1] + 1] = value[longest + 1 :], tokens[longest + 1 :]
+
+
 _pieces: dict[str, Pieces] = {}
 
 

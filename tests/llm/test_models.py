@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -423,3 +424,28 @@ def test_samples_by_hash(spark):
     assert rows_of(some) == rows_of(hash_sample(rows.repartition(5), 4000, "doc_id"))
     assert hash_sample(rows, 50_000, "doc_id").count() == 40_000
     assert hash_sample(rows.where("1 = 0"), 10, "doc_id").count() == 0
+
+
+def test_long_words_equal_brute_force(monkeypatch):
+    """Words below the trie's depth: shared beginnings, one the beginning of another, stretches of any length."""
+    rng = np.random.default_rng(8)
+    scored = token_counts.read_pieces(vocabulary_path("piece_bpe_32k.model"))
+    pieces = token_counts.pieces_of(scored)
+    letters = "the quick brown fox jumps over 漢字かな交じり文éß".replace(" ", "")
+    base = "".join(rng.choice(list(letters), 1500)).encode()
+    words = [base, base[:700], base[:900] + b"zz" + base[:300], b"a" * 800, b"a" * 1300, base[5:], b"short", bytes(rng.integers(128, 255, 600, np.uint8))]
+    expected = [tokens_of(w, scored, pieces) for w in words]
+    for deep, stretch in ((256, 1 << 16), (1, 64), (1, 1), (100_000, 7)):
+        monkeypatch.setattr(token_counts, "DEEP", deep)
+        monkeypatch.setattr(token_counts, "STRETCH", stretch)
+        assert token_counts.trie_counts(words, pieces).tolist() == expected
+
+
+def test_a_word_of_a_megabyte():
+    scored = token_counts.read_pieces(vocabulary_path("piece_bpe_32k.model"))
+    pieces = token_counts.pieces_of(scored)
+    word = ("漢字かな交じり文をながくつづける" * 21_000).encode()[: 1 << 20]
+    begun = time.perf_counter()
+    (count,) = token_counts.trie_counts([word], pieces)
+    assert time.perf_counter() - begun < 20
+    assert count == tokens_of(word, scored, pieces)
