@@ -7,7 +7,7 @@ distinct shingles. Sets of at most ``k`` shingles are compared exactly.
 
 NULL counts as the empty text; its sketch is empty. Two empty sketches resemble each other fully, an
 empty and another one not at all. Equal texts have equal sketches. Repeated rows give repeated results;
-only the named columns are read.
+only the named columns are read. Ids may be of any type that can be ordered, NULL comes last.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from niimble.llm.frames import materialize
 
@@ -90,48 +91,91 @@ def merge_parts(parts: DataFrame, key: str, sketch_column: str, k: int = K) -> D
     return smallest.groupBy(key).agg(F.sort_array(F.collect_list("hash")).alias(sketch_column))
 
 
-def next_in_order(ids: DataFrame, column: str) -> DataFrame:
-    """``column, next``: the next smaller value of each distinct one; after the smallest the largest.
+def next_in_order(places: DataFrame, column: str) -> DataFrame:
+    """``column, next``: the next larger value of each distinct one; after the largest the smallest. No NULLs.
 
     Values are dealt out in ranges and written; each range looks for the next value within itself, and
     the first values of the ranges, one a range, close the gaps between them.
     """
-    values = ids.select(column).distinct().repartitionByRange(F.col(column).desc_nulls_last())
+    values = places.select(column).distinct().repartitionByRange(F.col(column))
     dealt = materialize(values.withColumn("part", F.spark_partition_id()), "order")
-    order = F.col(column).desc_nulls_last()
-    # whether there is a following value, as the value itself may be NULL
-    inside = Window.partitionBy("part").orderBy(order)
-    led = dealt.withColumn("following", F.lead(F.struct(column)).over(inside))
-    heads = dealt.groupBy("part").agg(F.min_by(F.struct(column), F.struct(F.col(column).isNull(), -F.col(column))).alias("head"))
+    led = dealt.withColumn("following", F.lead(column).over(Window.partitionBy("part").orderBy(column)))
+    heads = dealt.groupBy("part").agg(F.min(column).alias("head"))
     around = Window.orderBy("part")
     first = F.first("head").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.select("part", F.coalesce(F.lead("head").over(around), first).alias("next_head"))
-    found = F.coalesce("following", "next_head")
     # one row per range
-    return led.join(F.broadcast(heads), "part").select(column, found[column].alias("next"))
+    return led.join(F.broadcast(heads), "part").select(column, F.coalesce("following", "next_head").alias("next"))
 
 
-def with_next(rows: DataFrame, id_column: str, carried: list[str], block: int = BLOCK) -> DataFrame:
-    """Rows and, as ``next_*``, the ``carried`` columns of the row that follows by descending id.
+def numbered(rows: DataFrame, id_column: str, as_name: str) -> DataFrame:
+    """Rows with a long in the order of their ids, NULL for NULL. Grain: rows.
 
-    After the last row comes the first; of rows with one id the order is that of their carried columns.
-    Ids are cut to blocks of neighbours. The rows move once, by block; the row after a block's last is
-    the first of the next block that has rows, and only these few meet in a join.
+    Whole numbers stand for themselves. Ids of another type are ranked: the distinct ones are dealt out in
+    ranges and written, and the rows move once more to meet their ranks.
     """
-    number = F.floor(F.col(id_column) / block)
-    blocks = rows.withColumn("block", number)
-    order = Window.partitionBy("block").orderBy(F.col(id_column).desc_nulls_last(), *[F.col(c).asc() for c in carried])
-    led = blocks.withColumn("place", F.row_number().over(order)).withColumn(
-        "following", F.lead(F.struct(*carried)).over(order)
+    if isinstance(rows.schema[id_column].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return rows.withColumn(as_name, F.col(id_column).cast("long"))
+    ids = rows.select(id_column).where(F.col(id_column).isNotNull()).distinct().repartitionByRange(F.col(id_column))
+    dealt = materialize(ids.withColumn("_part", F.spark_partition_id()), "ids")
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(id_column))
+    ranks = dealt.select(id_column, (F.shiftleft(F.col("_part").cast("long"), 40) + rank).alias(as_name))
+    return rows.join(ranks, id_column, "left")
+
+
+def in_blocks(rows: DataFrame, id_column: str, block: int = BLOCK) -> DataFrame:
+    """Rows with text, ``_number`` and ``_hash`` to order them by and ``_block``, a piece of that order.
+
+    A block is ``block`` neighbouring ids. One with more than four rows an id is cut by id and, as one id may
+    have any number of rows, by ranges of the texts' hashes. Only equal texts of one id stay together
+    whatever their number. The blocks to be cut are counted from ids alone; they are few unless ids repeat.
+    """
+    placed = numbered(rows, id_column, "_number").withColumn("_hash", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    label = F.col("_number") - F.pmod(F.col("_number"), F.lit(block))
+    counts = placed.groupBy(label.alias("_label")).agg(F.count(F.lit(1)).alias("n"))
+    crowded = counts.where(F.col("n") > 4 * block).select(
+        "_label", F.ceil(F.log2(F.col("n") / F.lit(float(block)))).cast("int").alias("_bits")
+    )
+    # written, so that Spark knows its size
+    crowded = materialize(crowded, "crowded-blocks")
+    met = placed.join(crowded, label.eqNullSafe(F.col("_label")), "left")
+    cut = F.col("_bits").isNotNull()
+    # ascending, larger ids first and NULL last; no field is NULL
+    return met.withColumn("_block", F.struct(
+        F.col("_number").isNull().alias("no_id"),
+        F.coalesce(F.bitwise_not(label), F.lit(0)).alias("block"),
+        F.coalesce(F.when(cut, F.bitwise_not("_number")), F.lit(0)).alias("own"),
+        F.coalesce(F.when(cut, F.expr("shiftright(_hash, 63 - _bits)")), F.lit(0)).alias("hashes"),
+    )).drop("_label", "_bits")
+
+
+def with_next(docs: DataFrame, id_column: str, add: Callable[[DataFrame], DataFrame], carried: list[str], block: int = BLOCK) -> DataFrame:
+    """``docs`` (id, text), with the columns that ``add`` makes, and as ``next_*`` the ``carried`` columns of the
+    row that follows by descending id; after the last row comes the first.
+
+    Of rows with one id the order is that of their texts' hashes, then texts. Rows move once, by block, and
+    what ``add`` makes moves with them; the row after a block's last is the first of the next block that has
+    rows, and only these few meet in a join. The branches differ after the move only, so Spark moves once.
+    """
+    placed = in_blocks(docs, id_column, block)
+    chain = next_in_order(placed.select("_block"), "_block")
+    chain = materialize(chain.select(F.col("_block").alias("before"), F.col("next").alias("after")), "blocks")
+    # ordered by every column, so no branch needs fewer of them before the move
+    order = Window.partitionBy("_block").orderBy(
+        F.col("_number").desc_nulls_last(), "_hash", *[F.col(c) for c in carried], F.col(id_column)
     )
-    chain = next_in_order(rows.select(number.alias("block")), "block")
-    chain = materialize(chain.withColumnRenamed("block", "before"), "blocks")
-    heads = led.where(F.col("place") == 1).select("block", F.struct(*carried).alias("head"))
-    heads = heads.join(chain, heads["block"].eqNullSafe(chain["next"])).select("before", "head")
-    ends = led.where(F.col("following").isNull())
-    closed = ends.join(heads, ends["block"].eqNullSafe(heads["before"])).withColumn("following", F.col("head"))
-    names = [*rows.columns, *[F.col("following")[c].alias(f"next_{c}") for c in carried]]
-    return led.where(F.col("following").isNotNull()).select(*names).unionByName(closed.select(*names))
+    made = add(placed)
+    # column by column: a struct to be led would be made before the move, and every text moved twice
+    led = made.withColumns({
+        "_opens": F.lag(F.lit(1)).over(order).isNull(), "_closes": F.lead(F.lit(1)).over(order).isNull(),
+        **{f"next_{c}": F.lead(c).over(order) for c in carried},
+    })
+    heads = led.where("_opens").select(F.col("_block").alias("after"), *[F.col(c).alias(f"_head_{c}") for c in carried])
+    heads = heads.join(chain, "after")
+    ends = led.where("_closes").drop(*[f"next_{c}" for c in carried])
+    closed = ends.join(heads, ends["_block"] == heads["before"]).withColumnsRenamed({f"_head_{c}": f"next_{c}" for c in carried})
+    names = [*[c for c in made.columns if c not in ("_number", "_hash", "_block")], *[f"next_{c}" for c in carried]]
+    return led.where(~F.col("_closes")).select(*names).unionByName(closed.select(*names))
 
 
 def fingerprint(
@@ -150,7 +194,8 @@ def half_edited(text: Column, other: Column) -> Column:
 
 def compare_with_next(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = K) -> DataFrame:
     """Per document: fingerprint, that of the text edited with the next document, and how alike they are."""
-    rows = with_next(fingerprint(docs, id_column, text_column, k), id_column, ["text", "sketch"])
+    texts = docs.select(id_column, F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    rows = with_next(texts, id_column, lambda d: d.withColumn("sketch", sketch(F.col("text"), k)), ["text", "sketch"])
     edited = rows.withColumn("edited", half_edited(F.col("text"), F.col("next_text")))
     edited = edited.withColumn("edited_sketch", sketch(F.col("edited"), k))
     return edited.select(

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from niimble.llm import fingerprints as fp
@@ -97,3 +98,50 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark):
     plan = fp.compare_with_next(corpus(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def edited_by_hand(rows):
+    """``{(id, text, sha256 of the edited text)}`` of rows in order."""
+    found = []
+    for at, (doc, text) in enumerate(rows):
+        following = rows[(at + 1) % len(rows)][1]
+        half = len(text) // 2
+        found.append((doc, len(text), hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()))
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(20,2)", "double", "binary", "smallint"])
+def test_ids_of_any_type(spark, kind):
+    """Unlike ids, ordered as Spark orders them."""
+    texts = corpus(spark).select(F.row_number().over(Window.orderBy("doc_id")).alias("n"), "text")
+    ids = {"date": F.date_add(F.lit("2001-01-01").cast("date"), F.col("n")), "string": F.concat(F.lit("doc-"), "n"), "binary": F.concat(F.lit("b"), "n").cast("binary")}
+    docs = texts.select(ids.get(kind, F.col("n").cast(kind)).alias("doc_id"), "text")
+    rows = [(r["doc_id"], r["text"]) for r in docs.orderBy(F.col("doc_id").desc()).collect()]
+    assert rows_of(fp.compare_with_next(docs), "doc_id", "n_chars", "edited_sha256") == edited_by_hand(rows)
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_a_hot_id_is_cut(spark, hot):
+    """A third of all rows on one id: in blocks of some rows each, and right all the same."""
+    texts = [(hot if i % 3 == 0 else i, f"text {i} with words enough to be cut in half {i * i}") for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    placed = fp.in_blocks(docs, "doc_id", 16)
+    assert placed.groupBy("_block").count().agg(F.max("count")).first()[0] <= 4 * 16
+    by_hash = docs.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    rows = [(r["doc_id"], r["text"]) for r in by_hash.orderBy(F.col("doc_id").desc_nulls_last(), "h", "text").collect()]
+    add = fp.with_next(docs, "doc_id", lambda d: d, ["text"], 16)
+    following = [(doc, text, rows[(at + 1) % len(rows)][1]) for at, (doc, text) in enumerate(rows)]
+    assert rows_of(add, "doc_id", "text", "next_text") == sorted(following, key=repr)
+    assert rows_of(fp.compare_with_next(docs), "doc_id", "n_chars", "edited_sha256") == edited_by_hand(rows)
+
+
+def test_texts_are_sketched_and_moved_once(spark, tmp_path):
+    corpus(spark).write.parquet(str(tmp_path / "docs"))
+    rows = fp.compare_with_next(spark.read.parquet(str(tmp_path / "docs")))
+    rows.collect()
+    final = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [line for line in final.splitlines() if re.search(r"Exchange hashpartitioning\(_block#", line)]
+    assert [line for line in moved if "ReusedExchange" not in line] == moved[:1]
+    assert len(moved) == 3
+    for line in moved[1:]:  # nothing moves but the rows, their order and their sketches
+        assert re.search(r"ReusedExchange \[doc_id#\d+L, text#\d+, _number#\d+L, _hash#\d+L, _block#\d+, sketch#\d+\]", line)
