@@ -374,8 +374,9 @@ def nii_rollup(v: Views) -> DataFrame:
 def nii_rollup_distinct(v: Views) -> DataFrame:
     """Suppliers behind the lines and the observed rate per level; the estimates are held against exact counts."""
     dims, lg_size = ["business_unit", "product", "currency"], 12
-    # one shuffle of the lines: each group's suppliers once, with their sums
+    # one shuffle of the lines: each group's suppliers once, with their sums; written, as both counts read them
     pairs = v.lines().groupBy(*dims, "supplier").agg(F.sum("income").alias("income"), F.sum("amount").alias("amount"))
+    pairs = tables.materialize(pairs, "suppliers")
     sketches = hierarchy.distinct_sketches(pairs, dims, "supplier", {"income": "income", "amount": "amount"}, lg_size)
     totals = hierarchy.rollup_distinct(sketches, dims, ["income", "amount"], {"observed_rate": ("income", "amount")})
     exact = hierarchy.rollup_distinct_exact(pairs, dims, "supplier")
