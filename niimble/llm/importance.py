@@ -2,18 +2,20 @@
 
 Words, runs of symbols and pairs of neighbours are hashed into buckets. Two bag-of-n-grams models give each
 bucket a probability: one from the target texts (labelled as good), one from all raw texts. A text's log
-weight is the sum over its n-grams of log(target) - log(raw), the logarithm of the ratio of the two
-models. Resampling adds Gumbel noise, drawn from a hash of seed and id, to (log weight - n-grams * divide)
-/ temperature and keeps the k largest: a sample without replacement with these shifted weights, not with
-the ratio of the models itself. The divide is a log weight per n-gram between those of good and bad labelled
-texts. The shift makes long texts no better or worse by their length alone; as the default temperature's noise
-is small beside sums over n-grams, the outcome is near that of a threshold: mean log ratio >= divide.
+weight is the sum over its n-grams of log(target) - log(raw), the logarithm of the ratio of the two models.
+Resampling adds Gumbel noise, drawn from a hash of seed and id, to the log weight and keeps the k largest: a
+sample of k texts without replacement, drawn one after the other with odds in proportion to their weights.
+
+So that length alone makes no text likelier, the weight drawn by is the ratio per n-gram, exp(log weight /
+n-grams / temperature); ``resampling_key`` is the one place of that. At the default temperature a text of half the
+probability per n-gram has a thousandth of the odds; noise decides between texts that lie nearer together. With
+``per_ngram=False`` and temperature 1 the ratio of the whole text counts, in which long texts leave noise no say.
 
 The raw model counts all documents; the target model counts a bounded number of labelled ones
-(``TRAIN_ROWS``, a parameter). ``k`` is given, or is the number of documents whose log weight per n-gram
-lies nearer to the good labelled texts than to the bad ones. The k-th largest key is found by counting
-keys in bins, bins of the bin at the edge and so on; keys are not sorted, and of them the driver sees
-at most ``EDGE_ROWS``.
+(``TRAIN_ROWS``, a parameter). ``k`` is given, or is the number of documents whose log weight per n-gram lies
+above the divide, a point between the means of good and bad labelled texts; the divide has no part in the ranking.
+The k-th largest key is found by counting keys in bins, bins of the bin at the edge and so on; keys are not sorted,
+and of them the driver sees at most ``EDGE_ROWS``, or the doubles of an interval too narrow to be cut.
 
 NULL and empty texts have log weight 0 and are not kept. Repeated rows get the same key and are kept or
 left together, also where that makes the sample larger than k. Without labelled rows of both kinds all
@@ -37,7 +39,7 @@ from niimble.llm.runs import LEXICAL_CLASSES, Slice, find_runs, run_hashes, slic
 BUCKETS = 1 << 14
 TRAIN_ROWS = 20_000
 SEED = "gumbel-1"
-TEMPERATURE = 0.05
+TEMPERATURE = 0.1
 BINS = 4096
 EDGE_ROWS = 10_000
 SMOOTHING = 0.5
@@ -163,12 +165,18 @@ def edge_of_largest(keys: DataFrame, column: str, k: int) -> float | None:
         low, high, total = row["low"], row["high"], row["n"]
     if low == high:
         return low
-    values = inside.groupBy(column).count().orderBy(F.col(column).desc())
-    for value, n in values.limit(EDGE_ROWS).collect():
+    # at most EDGE_ROWS values, or an interval of less than BINS doubles' width: no more than 2 * BINS of them
+    for value, n in inside.groupBy(column).count().orderBy(F.col(column).desc()).collect():
         missing -= n
         if missing <= 0:
             return value
-    raise ValueError("the values at the edge lie too close to tell apart")
+    return low
+
+
+def resampling_key(id_column: str, temperature: float = TEMPERATURE, seed: str = SEED, per_ngram: bool = True) -> Column:
+    """Log of the weight that a text of ``log_weight`` and ``n_grams`` is drawn by, plus noise; NULL without n-grams."""
+    weight = F.col("log_weight") / F.col("n_grams") if per_ngram else F.col("log_weight")
+    return F.when(F.col("n_grams") > 0, weight / temperature + gumbel(id_column, seed))
 
 
 def resample(
@@ -179,11 +187,11 @@ def resample(
     k: int | None = None,
     temperature: float = TEMPERATURE,
     seed: str = SEED,
+    per_ngram: bool = True,
 ) -> DataFrame:
     """Per document the id, ``n_grams``, ``log_weight``, ``key`` and ``kept``: whether its key is among the k largest."""
     weights = log_weights(docs, model, id_column, text_column)
-    key = F.when(F.col("n_grams") > 0, (F.col("log_weight") - F.col("n_grams") * model.divide) / temperature + gumbel(id_column, seed))
-    keyed = weights.withColumn("key", key)
+    keyed = weights.withColumn("key", resampling_key(id_column, temperature, seed, per_ngram))
     # the numbers alone are written; ids, which may carry whole rows, are weighed again at the end
     numbers = materialize(keyed.select("n_grams", "log_weight", "key").where(F.col("key").isNotNull()), "importance-keys")
     if k is None:

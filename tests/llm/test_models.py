@@ -6,11 +6,13 @@ import re
 import time
 import zlib
 from collections import Counter
+from itertools import permutations
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from niimble.llm import importance, language_id, quality_rules, token_counts, toxicity
@@ -338,6 +340,49 @@ def test_exactly_the_largest_keys_are_kept(spark, docs, k):
     assert sorted((r["key"] for r in rows if r["kept"]), reverse=True) == keys[:k]
 
 
+def inclusion_odds(weights, k):
+    """Odds of each to be among the first k drawn one after the other, by all orders."""
+    odds = np.zeros(len(weights))
+    for order in permutations(range(len(weights)), k):
+        left, p = sum(weights), 1.0
+        for i in order:
+            p, left = p * weights[i] / left, left - weights[i]
+        odds[list(order)] += p
+    return odds
+
+
+@pytest.mark.parametrize("per_ngram, temperature", [(True, 0.1), (True, 0.4), (False, 1.0)])
+def test_inclusion_follows_the_weights(spark, per_ngram, temperature):
+    draws, k = 20_000, 2
+    texts = [(0, 10, 0.4), (1, 20, -1.0), (2, 5, -0.6), (3, 40, -2.0), (4, 8, 0.9)]
+    table = spark.createDataFrame(texts, "doc long, n_grams long, log_weight double")
+    rows = table.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("one", F.struct("doc", "draw"))
+    keyed = rows.withColumn("key", importance.resampling_key("one", temperature, "s", per_ngram))
+    rank = F.row_number().over(Window.partitionBy("draw").orderBy(F.col("key").desc()))
+    taken = dict(keyed.withColumn("rank", rank).where(F.col("rank") <= k).groupBy("doc").count().collect())
+    weights = [np.exp((w / n if per_ngram else w) / temperature) for _, n, w in texts]
+    expected = inclusion_odds(weights, k)
+    for doc in range(len(texts)):
+        sigma = np.sqrt(expected[doc] * (1 - expected[doc]) / draws)
+        assert abs(taken.get(doc, 0) / draws - expected[doc]) < 5 * sigma
+
+
+def test_noise_decides_within_its_reach(spark, docs):
+    """The sample is not a cut by weight, its seed matters, and what it swaps lies near the edge."""
+    model = importance.learn(docs, read_table(spark, FOLDER, "labels"))
+    k, taken = 500, {}
+    for seed in ("a", "b"):
+        rows = importance.resample(docs, model, k=k, seed=seed).where("n_grams > 0").collect()
+        weight = {r["doc_id"]: r["log_weight"] / r["n_grams"] for r in rows}
+        taken[seed] = {r["doc_id"] for r in rows if r["kept"]}
+        cut = set(sorted(weight, key=weight.get, reverse=True)[:k])
+        assert len(cut - taken[seed]) > 50
+        edge = min(weight[d] for d in cut)
+        # noise passes 7 once in a thousand texts, and falls below -3 never
+        assert min(weight[d] for d in taken[seed]) > edge - 14 * importance.TEMPERATURE
+    assert len(taken["a"] - taken["b"]) > 50
+
+
 def test_edge_of_many_close_values(spark, monkeypatch):
     monkeypatch.setattr(importance, "EDGE_ROWS", 50)
     values = [1e9, -5.0] + [1 + i * 1e-6 for i in range(3000)] + [2.0] * 400
