@@ -127,7 +127,7 @@ def proxy_fill(
         # all relationships of one day are in force together, until the next day that has some
         days = links.select("source_segment", "effective_date").distinct()
         dated = as_of_lookup(
-            sparse, days.withColumn("_day", F.col("effective_date")), ["source_segment"], at, "effective_date", ["_day"]
+            sparse, days.withColumn("_day", F.col("effective_date")), ["source_segment"], at, "effective_date", ["_day"], salts=salts
         )
         wanted = dated.withColumnRenamed("_day", "effective_date")
         pairs = attach(wanted, links, ["source_segment", "effective_date"], how="inner", salts=salts)
@@ -141,7 +141,7 @@ def proxy_fill(
         .withColumnRenamed("source_segment", "segment")
     )
     return (
-        attach(segments, fills, ["segment", *on])
+        attach(segments, fills, ["segment", *on], salts=salts)
         .withColumn("filled_value", F.coalesce(F.col(value).cast("double"), "_fill"))
         .withColumn("proxy_weight_found", F.when(F.col(value).isNull(), F.coalesce("_weight", F.lit(0.0))))
         .drop("_fill", "_weight")
@@ -155,7 +155,7 @@ def prior_actuals(actuals: DataFrame, on: Sequence[str], period: str, balance: s
 
 
 def substitute_prior_actual(
-    monthly: DataFrame, actuals: DataFrame, on: Sequence[str], period: str, balance: str
+    monthly: DataFrame, actuals: DataFrame, on: Sequence[str], period: str, balance: str, salts: int = 1
 ) -> DataFrame:
     """Forecast with rule ``prior_actual`` set to the last actual balance. Grain: monthly.
 
@@ -165,7 +165,7 @@ def substitute_prior_actual(
     replaced = F.when(
         F.col("substitution_type") == "prior_actual", F.coalesce(prior, F.col("monthly_forecast_balance"))
     ).otherwise(F.col("monthly_forecast_balance"))
-    return attach(monthly, prior_actuals(actuals, on, period, balance), on).withColumn(
+    return attach(monthly, prior_actuals(actuals, on, period, balance), on, salts=salts).withColumn(
         "forecast_balance", replaced
     )
 

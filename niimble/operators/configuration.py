@@ -178,12 +178,12 @@ def effective_lookup(
     )
 
 
-def describe_config(store: DataFrame, catalog: DataFrame) -> DataFrame:
+def describe_config(store: DataFrame, catalog: DataFrame, salts: int = 1) -> DataFrame:
     """Parameter rows with category and description of their key. Grain: store row."""
     about = catalog.select(
         "config_key", "config_category", F.col("description").alias("config_description"), "example_usage"
     )
-    return attach(store, about, ["config_key"])
+    return attach(store, about, ["config_key"], salts=salts)
 
 
 def scope_filter(

@@ -61,7 +61,7 @@ def enrich_forecast(forecast: DataFrame, rules: DataFrame, first_month: date) ->
 
 
 def launchpoint_positions(
-    actuals: DataFrame, windows: DataFrame, basis: int = DAY_COUNT_BASIS
+    actuals: DataFrame, windows: DataFrame, basis: int = DAY_COUNT_BASIS, salts: int = 1
 ) -> DataFrame:
     """Mean balance and income with the window length. Grain: segment x cost centre.
 
@@ -71,12 +71,13 @@ def launchpoint_positions(
     """
     days = windows.groupBy("run_id", "business_unit").agg(F.max("window_days").alias("window_days"))
     # units without a window are not summed at all
-    windowed = actuals.join(windows.select("run_id", "business_unit"), ["run_id", "business_unit"], "left_semi")
+    units = windows.select("run_id", "business_unit")
+    windowed = attach(actuals, units, ["run_id", "business_unit"], how="left_semi", salts=salts)
     means = windowed.groupBy(*POSITION).agg(
         mean("actual_balance_adjusted").alias("launchpoint_balance"),
         mean("actual_income").alias("launchpoint_income"),
     )
-    return attach(means, days, ["run_id", "business_unit"], how="inner").withColumn(
+    return attach(means, days, ["run_id", "business_unit"], how="inner", salts=salts).withColumn(
         "launchpoint_day_count", ratio("window_days", F.lit(basis))
     )
 
@@ -94,7 +95,7 @@ def enrich_launchpoint(
     forecast. A segment without forecast keeps one row with a NULL month.
     """
     months = forecast.select(*SEGMENT, "forecast_month", "forecast_balance")
-    positions = launchpoint_positions(actuals, windows, basis)
+    positions = launchpoint_positions(actuals, windows, basis, salts)
     return attach(positions, months, SEGMENT, salts=salts)
 
 

@@ -82,15 +82,15 @@ def hierarchy_rollup(
     )
 
 
-def cost_centre_bridge(facts: DataFrame, bridge: DataFrame) -> DataFrame:
+def cost_centre_bridge(facts: DataFrame, bridge: DataFrame, salts: int = 1) -> DataFrame:
     """Facts with the assignable cost centres of their unit and product. Grain: facts x leaf centre."""
     leaves = bridge.where(F.col("is_leaf")).select("business_unit", "product", "cost_centre")
-    return attach(facts, leaves, ["business_unit", "product"], how="inner")
+    return attach(facts, leaves, ["business_unit", "product"], how="inner", salts=salts)
 
 
-def segment_products(facts: DataFrame, segments: DataFrame) -> DataFrame:
+def segment_products(facts: DataFrame, segments: DataFrame, salts: int = 1) -> DataFrame:
     """Facts with the group of their product, NULL if unmapped. Grain: facts."""
-    return attach(facts, segments.select("product", "product_group"), ["product"])
+    return attach(facts, segments.select("product", "product_group"), ["product"], salts=salts)
 
 
 def rollup_totals(

@@ -9,14 +9,19 @@ A range or as-of lookup never compares a row with a whole key group: the join is
 (key, calendar step), so a row meets only the spans of its own month, quarter or year. Spans are
 listed under the steps that the facts of their key have, and no others. So open ends, ends in the
 year 9999 and stray starts list nothing needless, and what is listed for a key is bounded by its
-facts' steps, times the spans that cover them. The listed spans come from a join, for which
-Spark assumes a large size: they are broadcast only if AQE has measured them small. The facts are
-read twice, once for their steps; ``tables.materialize`` them first where that is costly.
+facts' steps, times the spans that cover them. A span of up to ``OWN_STEPS`` steps lists these and
+meets the facts' steps by equality; only longer ones are compared with all steps of their key. As
+spans that do not overlap are few where they are long, daily points of one key cost a row each. The
+listed spans come from a join, for which Spark assumes a large size: they are broadcast only if AQE
+has measured them small. That join itself may broadcast at most ``OWN_STEPS`` times a table that
+Spark takes for small. The facts are read twice, once for their steps; ``tables.materialize`` them
+first where that is costly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +32,11 @@ BUCKET = "_step"
 
 # Calendar steps: how a date is cut to its step.
 STEPS = {"month": "MM", "quarter": "QUARTER", "year": "YEAR"}
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
+# Spans of at most so many steps list them all.
+OWN_STEPS = 4
+# No step begins on this day.
+ANY_STEP = date(1970, 1, 2)
 
 
 def attach(
@@ -97,20 +107,25 @@ def listed_spans(
 
     Grain: span x step. Spans without a start, or that end before they start, are left out.
     """
-    unit = STEPS[step]
+    unit, months = STEPS[step], MONTHS[step]
     steps = facts.where(F.col(at).isNotNull()).select(
         *[F.col(c).alias(f"_seen_{c}") for c in on], F.trunc(F.col(at).cast("date"), unit).alias(BUCKET)
     ).distinct()
     usable = F.col(start) <= F.col(end) if end_included else F.col(start) < F.col(end)
     # taken out of an array, a key that is a literal stays a column to join on
     keys = F.inline(F.array(F.struct(*[F.col(c).alias(f"_key_{c}") for c in on])))
-    tests: list[Column] = [
-        *[F.col(f"_key_{c}") == F.col(f"_seen_{c}") for c in on],
-        F.trunc(F.col(start), unit) <= F.col(BUCKET),
-        F.col(end).isNull() | (F.col(BUCKET) <= F.trunc(F.col(end), unit)),
-    ]
+    first, last = F.trunc(F.col(start), unit), F.trunc(F.col(end), unit)
+    same = [F.col(f"_key_{c}") == F.col(f"_seen_{c}") for c in on]
     proper = spans.where(F.col(start).isNotNull() & (F.col(end).isNull() | usable)).select("*", keys)
-    return proper.join(steps, reduce(lambda a, b: a & b, tests)).select(*spans.columns, BUCKET)
+    # a step is met under its own date by short spans, under ANY_STEP by long ones, in one join
+    short = last <= F.add_months(first, (OWN_STEPS - 1) * months)
+    # Spark may look at the sequence before it leaves out the spans that end before they start
+    steps_of = F.sequence(first, F.greatest(first, last), F.expr(f"interval {months} months"))
+    own = F.when(short, steps_of).otherwise(F.array(F.lit(ANY_STEP)))
+    met = steps.select("*", F.explode(F.array(F.col(BUCKET), F.lit(ANY_STEP))).alias("_met"))
+    listed = proper.select("*", F.explode(own).alias("_own"))
+    tests = [*same, F.col("_own") == F.col("_met"), first <= F.col(BUCKET), F.col(end).isNull() | (F.col(BUCKET) <= last)]
+    return listed.join(met, reduce(lambda a, b: a & b, tests)).select(*spans.columns, BUCKET)
 
 
 def _join_by_step(

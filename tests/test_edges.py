@@ -236,6 +236,33 @@ def test_prior_actual_is_the_last_period_of_the_segment(spark):
         ("a", "None", 5.0), ("a", "flat", 5.0), ("a", "prior_actual", 5.0), ("b", "prior_actual", 5.0)]
 
 
+def test_salts_change_no_lookup_of_a_hot_key(spark):
+    facts = spark.createDataFrame(
+        [("hot", "p", i) for i in range(300)] + [("b", "q", 1), (None, "p", 2)], "business_unit string, product string, n int"
+    ).repartition(3)
+    bridge = spark.createDataFrame(
+        [("c1", "hot", "p", True), ("c2", "hot", "p", True), ("c3", "hot", "p", False), ("c4", "b", "q", True)],
+        "cost_centre string, business_unit string, product string, is_leaf boolean")
+    groups = spark.createDataFrame([("p", "loans")], "product string, product_group string")
+    store = facts.withColumnRenamed("business_unit", "config_key")
+    catalog = spark.createDataFrame([("hot", "k", "d", "e")], "config_key string, config_category string, description string, example_usage string")
+    monthly = facts.select("business_unit", "n", F.lit("prior_actual").alias("substitution_type"), F.lit(1.0).alias("monthly_forecast_balance"))
+    actuals = spark.createDataFrame([("hot", 2020, 1.0), ("hot", 2021, 2.0), ("b", 2021, 3.0)], "business_unit string, period int, bal double")
+    segments = facts.select(F.col("business_unit").alias("segment"), "n", F.when(F.col("n") % 2 == 0, F.col("n").cast("double")).alias("v"))
+    links = spark.createDataFrame([("hot", "hot", 1.0, date(2020, 1, 1))], "source_segment string, proxy_segment string, proxy_weight double, effective_date date")
+    dated = segments.withColumn("day", F.lit(date(2020, 5, 1)))
+    for salted in (
+        lambda salts: hierarchy.cost_centre_bridge(facts, bridge, salts),
+        lambda salts: hierarchy.segment_products(facts, groups, salts),
+        lambda salts: configuration.describe_config(store, catalog, salts),
+        lambda salts: balances.substitute_prior_actual(monthly, actuals, ["business_unit"], "period", "bal", salts),
+        lambda salts: balances.proxy_fill(dated, links, "v", ["n", "day"], "day", salts),
+    ):
+        plain, spread = salted(1), salted(4)
+        assert spread.columns == plain.columns
+        assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_documented_rates(spark):
     rows = spark.createDataFrame(
         [("Retail", 10250000.0, 145000.0), ("Corporate", 8750000.0, 126500.0), ("None", 0.0, 1.0)],

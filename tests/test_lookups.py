@@ -7,6 +7,7 @@ import re
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from niimble.operators.lookups import as_of_lookup, attach, latest, listed_spans, range_lookup
@@ -142,6 +143,37 @@ def test_long_spans_list_no_more_than_their_facts_need(spark):
     assert rows.where("v = 1").count() == 40_000
 
 
+def test_points_of_one_key_meet_only_their_own_steps(spark):
+    """Daily points of one key over 30 years: a join on the key alone would compare each with 360 months."""
+    day0, n_days = date(1990, 1, 1), 10_957
+    last = day0 + timedelta(n_days - 1)
+    days = spark.range(n_days).select(F.lit("EUR").alias("k"), F.date_add(F.lit(day0), F.col("id").cast("int")).alias("lo"), F.col("id").alias("v"))
+    spans = days.select("k", "lo", F.when(F.col("lo") < F.lit(last), F.date_add("lo", 1)).alias("hi"), "v")
+    facts = days.select("k", F.col("lo").alias("at"))
+    listed = listed_spans(facts, spans, ["k"], "at", "lo", "hi", False, "month")
+    assert listed.count() == n_days + 359  # a span that ends on the first of a month touches two
+    join = listed._jdf.queryExecution().optimizedPlan()
+    while join.nodeName() != "Join":
+        join = join.children().apply(0)
+    sides = [spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, join.children().apply(i)) for i in (0, 1)]
+    left, right = (DataFrame(side, spark) for side in sides)
+    pairs = left.groupBy("_own").count().join(right.groupBy("_met").agg(F.count("*").alias("n")), F.col("_own") == F.col("_met"))
+    # the open span meets all 360 months, the others one or two each
+    assert pairs.agg(F.sum(F.col("count") * F.col("n"))).first()[0] == 360 + n_days + 358
+
+
+def test_spans_of_any_length_are_listed_alike(spark, joins):
+    rng = random.Random(11)
+    facts = [(rng.choice("ab"), day(rng, 2500)) for _ in range(200)]
+    spans = [("a", s, s + timedelta(w), w) for w in (0, 27, 31, 89, 92, 120, 123, 125, 300, 365, 367, 1100, 1500, 2400) for s in (DAY0, DAY0 + timedelta(11), DAY0 + timedelta(42))]
+    expected = sorted((k, at, v) for k, at in facts for key, s, e, v in spans if key == k and s <= at <= e)
+    args = spark.createDataFrame(facts, "k string, at date"), spark.createDataFrame(spans, "k string, lo date, hi date, v int")
+    for step in ("month", "quarter", "year"):
+        for salts in (1, 3):
+            found = range_lookup(*args, ["k"], "at", "lo", "hi", ["v"], how="inner", step=step, salts=salts).collect()
+            assert sorted((r.k, r["at"], r.v) for r in found) == expected
+
+
 def test_a_stray_start_adds_at_most_a_row_per_step(spark):
     facts = spark.createDataFrame([("a", date(2020, 1, 5)), ("a", date(2020, 3, 1)), ("b", date(2020, 1, 1))], "k string, at date")
     points = [("a", date(1900, 1, 1), 1), ("a", date(9999, 1, 1), 2), ("b", date(9999, 1, 1), 3), ("c", date(2000, 1, 1), 4)]
