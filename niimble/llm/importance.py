@@ -188,10 +188,14 @@ def resample(
     temperature: float = TEMPERATURE,
     seed: str = SEED,
     per_ngram: bool = True,
+    noise_column: str | None = None,
 ) -> DataFrame:
-    """Per document the id, ``n_grams``, ``log_weight``, ``key`` and ``kept``: whether its key is among the k largest."""
+    """Per document the id, ``n_grams``, ``log_weight``, ``key`` and ``kept``: whether its key is among the k largest.
+
+    ``noise_column`` names what noise is drawn by in place of the id, such as a field of an id that carries whole rows.
+    """
     weights = log_weights(docs, model, id_column, text_column)
-    keyed = weights.withColumn("key", resampling_key(id_column, temperature, seed, per_ngram))
+    keyed = weights.withColumn("key", resampling_key(noise_column or id_column, temperature, seed, per_ngram))
     # the numbers alone are written; ids, which may carry whole rows, are weighed again at the end
     numbers = materialize(keyed.select("n_grams", "log_weight", "key").where(F.col("key").isNotNull()), "importance-keys")
     if k is None:
