@@ -46,7 +46,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, folder: str) -> D
 def keep_good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that importance resampling leaves out go."""
     model = importance.learn(docs, read_table(spark, folder, "labels").where(fold("doc_id") != 0))
-    return importance.resample(_as_rows(docs), model, "row").where("kept").select("row.*")
+    return importance.resample(_as_rows(docs), model, "row", noise_column="row.doc_id").where("kept").select("row.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
