@@ -412,7 +412,10 @@ def yield_parameters(v: Views) -> DataFrame:
 @query
 def curve_forward(v: Views) -> DataFrame:
     """Lines at the forward rate of their product on their own day."""
-    lines = v.lines().join(v.forward_map(), ["business_unit", "product", "currency"], "left")
+    lines = v.lines().join(v.forward_map(), ["business_unit", "product", "currency"], "left").select(
+        "business_unit", "product", "currency", "period_date", "amount", "curve_type", "start_tenor", "end_tenor"
+    )
+    lines = tables.materialize(lines, "curve-lines")  # read for what they ask and for their rates
     priced = curves.curve_forward(lines, v.curve_points(), at="period_date")
     return priced.groupBy("business_unit", "product", "currency", month_of("period_date").alias("month")).agg(
         F.count(F.lit(1)).alias("lines"), F.count("forward_rate").alias("priced"),
@@ -433,6 +436,7 @@ def forward_yield_parameters(v: Views) -> DataFrame:
     requests = v.lines().select(
         "business_unit", "product", "currency", month_of("period_date").alias("reference_date")
     ).distinct()
+    requests = tables.materialize(requests, "curve-requests")  # read for what they ask and for their yields
     return curves.forward_yield_parameters(requests, v.forward_map(), v.curve_points(), compounding="annual")
 
 

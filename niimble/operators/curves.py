@@ -2,22 +2,28 @@
 
 A curve changes on each day on which one of its tenors is quoted; every other tenor keeps its last value.
 The points of such a day are one array, sorted by tenor, so a fact takes a whole curve with one as-of
-lookup, and rates between the points are an expression on the array: points never meet points.
+lookup, and rates between the points are an expression on the array: points never meet points. Facts that
+ask for the same rate share it: the expression runs once per curve, day and pair of tenors, not once per fact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from niimble.functions.columns import col, let
 from niimble.operators.lookups import as_of_lookup, attach, latest
+from niimble.sources.tables import materialize
 
 CURVE_KEY = ("curve_type", "currency")
 COMPOUNDING = ("continuous", "annual", "simple")
 RATE = "decimal(18,8)"
+DAY = "_curve_day"
+FOUND = "_curve_rate"
 
 # --- fixed values: length of the parts of a tenor in years ---
 TENOR = r"^(?:(\d+)Y)?(?:(\d+)M)?(?:(\d+)W)?(?:(\d+)D)?$"
@@ -138,11 +144,18 @@ def curve_forward(
     """Forward rate between two tenors of the row's curve on the row's date, as ``forward_rate``. Grain: facts.
 
     ``facts`` have curve_type, currency, the date and both tenors. NULL without a curve on that date, or
-    where the tenors cannot be read or do not follow each other.
+    where the tenors cannot be read or do not follow each other. The facts are read twice, once for what they
+    ask: ``tables.materialize`` them first where that is costly.
     """
-    dated = as_of_lookup(facts, curves(market), list(CURVE_KEY), at, "effective_date", ["points"], step=step, salts=salts)
     rate = forward_rate("points", tenor_years(start_tenor), tenor_years(end_tenor), compounding, extrapolate)
-    return dated.withColumn("forward_rate", rate.try_cast(RATE)).drop("points")
+    asks = [*CURVE_KEY, DAY, *dict.fromkeys([start_tenor, end_tenor])]
+    dated = facts.withColumn(DAY, F.col(at).cast("date"))
+    asked = materialize(dated.select(*asks).where(reduce(and_, [F.col(c).isNotNull() for c in asks])).distinct(), "curve-asked")
+    known = as_of_lookup(asked, curves(market), list(CURVE_KEY), DAY, "effective_date", ["points"], step=step, salts=salts)
+    # written, so that Spark knows how small the rates are and need not shuffle the facts
+    rates = materialize(known.select(*asks, rate.try_cast(RATE).alias(FOUND)), "curve-rates")
+    priced = attach(dated, rates, asks, salts=salts)
+    return priced.select(*facts.columns, FOUND).withColumn("forward_rate", F.col(FOUND)).drop(FOUND)
 
 
 def forward_yield_parameters(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +99,37 @@ def test_points_do_not_meet_points(spark):
 def test_empty_market(spark):
     facts = spark.createDataFrame([(1, "OIS", "USD", date(2020, 1, 1), "1Y", "2Y")], "id int, curve_type string, currency string, reference_date date, start_tenor string, end_tenor string")
     assert [r.forward_rate for r in curves.curve_forward(facts, spark.createDataFrame([], MARKET)).collect()] == [None]
+
+
+FACTS = "id int, curve_type string, currency string, day timestamp, a string, b string, forward_rate string"
+
+
+def test_a_rate_is_worked_out_once_however_many_facts_ask_for_it(spark):
+    """The expression on the points is not part of the plan that the facts run through; rows and columns stay as they are."""
+    quotes = [("A", "OIS", "1Y", "USD", 0.03, date(2020, 1, 1)), ("B", "OIS", "2Y", "USD", 0.04, date(2020, 1, 1)), ("C", "OIS", "2Y", "USD", 0.05, date(2020, 3, 1))]
+    asks = [("OIS", "USD", datetime(2020, 2, 1, 9), "1Y", "2Y"), ("OIS", "USD", datetime(2020, 2, 1, 17), "1Y", "2Y"), ("OIS", "USD", datetime(2020, 3, 1), "1Y", "2Y"),
+            ("OIS", "USD", datetime(2020, 3, 1), "2Y", "1Y"), ("OIS", None, datetime(2020, 3, 1), "1Y", "2Y"), (None, "USD", datetime(2020, 3, 1), "1Y", "2Y"),
+            ("OIS", "USD", None, "1Y", "2Y"), ("OIS", "USD", datetime(2019, 3, 1), "1Y", "2Y"), ("OIS", "USD", datetime(2020, 3, 1), None, "2Y")]
+    expected = [0.05, 0.05, 0.07, *[None] * 6]
+    facts = spark.createDataFrame([(i, *ask, "old") for i, ask in enumerate(asks) for _ in range(40)], FACTS)
+    market = spark.createDataFrame(quotes, MARKET)
+    for salts in (1, 3):
+        rows = curves.curve_forward(facts, market, "day", "a", "b", salts=salts)
+        assert rows.columns == facts.columns
+        found = [(r.id, r.forward_rate) for r in rows.orderBy("id").collect()]
+        assert [i for i, _ in found] == [i for i in range(len(asks)) for _ in range(40)]
+        assert all(v is None if expected[i] is None else float(v) == pytest.approx(expected[i], abs=1e-8) for i, v in found)
+        assert "lambda" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert curves.curve_forward(facts, market, "day", "a", "a").where("forward_rate is not null").count() == 0
+
+
+def test_priced_facts_are_not_shuffled(spark):
+    """The rates are written, so that Spark sees that they are small."""
+    market = spark.createDataFrame([("A", "OIS", "1Y", "USD", 0.03, date(2020, 1, 1)), ("A", "OIS", "2Y", "USD", 0.04, date(2020, 1, 1))], MARKET)
+    facts = spark.range(1000).select(
+        "id", F.lit("OIS").alias("curve_type"), F.lit("USD").alias("currency"), F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 50).cast("int")).alias("reference_date"),
+        F.lit("1Y").alias("start_tenor"), F.lit("2Y").alias("end_tenor"))
+    rows = curves.curve_forward(facts, market)
+    assert rows.where("forward_rate = 0.05").count() == 1000
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
